@@ -8,7 +8,9 @@ shuffled join, which AQE can still split when one key is hot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakestar.session import ensure_checkpoint_dir
@@ -17,16 +19,40 @@ from lakestar.session import ensure_checkpoint_dir
 # joined by shuffle instead of broadcast.
 BROADCAST_MAX_ROWS = 1_000_000
 
+# Row counts measured while writing materialised frames: id(frame) -> (frame, rows).
+_KNOWN_ROWS: dict[int, tuple[DataFrame, int]] = {}
+
+
+def known_rows(df: DataFrame) -> int | None:
+    hit = _KNOWN_ROWS.get(id(df))
+    return hit[1] if hit and hit[0] is df else None
+
+
+def remember_rows(df: DataFrame, rows: int) -> DataFrame:
+    _KNOWN_ROWS[id(df)] = (df, rows)
+    return df
+
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    One job (a reliable ``checkpoint()`` computes the plan twice unless cached),
+    lineage is cut, a lost executor only costs re-reading files, and the
+    read-back carries real file sizes for Catalyst's broadcast threshold.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-tables/{uuid.uuid4().hex}"
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return remember_rows(spark.read.parquet(path), int(obs.get["rows"]))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Count the (already materialised) side; only a bounded side may be broadcast."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Count the side (free when it was materialised); only a bounded side may be broadcast."""
+    n = known_rows(df)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+    return n <= max_rows
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",

@@ -21,8 +21,9 @@ _LOW_BITS = (1 << 33) - 1
 def dense_ids(df: DataFrame, order_col: str, id_col: str, id_type: str = "int") -> DataFrame:
     """Number the distinct values of ``order_col`` 1..n by ascending value.
 
-    ``df`` must already hold one row per value. The sorted frame is checkpointed
-    once, so the counts and the numbering read the same partitions.
+    ``df`` must already hold one row per value. The position id is computed once
+    and written (``materialize``), so the counts and the numbering read the same
+    values even if tasks are retried or files are read back in another order.
     """
     ranged = (df.repartitionByRange(F.col(order_col).asc_nulls_first())
               .sortWithinPartitions(F.col(order_col).asc_nulls_first())

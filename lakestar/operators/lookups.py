@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import join_small
+from lakestar.operators.joins import BROADCAST_MAX_ROWS, join_small, known_rows, materialize, remember_rows
 from lakestar.operators.keys import dense_ids
 
 
@@ -13,12 +13,19 @@ def build_lookup(src: DataFrame, raw_col: str, label: Column, id_col: str, name_
     """``SELECT DISTINCT label`` over non-NULL raw values, NULL labels dropped, ids by name.
 
     The distinct is a partial + final hash aggregate, so each map task ships only
-    its own distinct labels; numbering uses :func:`dense_ids` (no single task).
+    its own distinct labels. The label set is written once and counted during
+    the write; a set of at most ``BROADCAST_MAX_ROWS`` labels is numbered by one
+    ordered window (its size is measured, so one task is bounded), a larger one
+    by :func:`dense_ids`, which never gathers the set into one task.
     """
-    names = (src.where(F.col(raw_col).isNotNull())
-             .select(label.alias(name_col))
-             .where(F.col(name_col).isNotNull())
-             .distinct())
+    names = materialize(src.where(F.col(raw_col).isNotNull())
+                        .select(label.alias(name_col))
+                        .where(F.col(name_col).isNotNull())
+                        .distinct())
+    n = known_rows(names)
+    if n is not None and n <= BROADCAST_MAX_ROWS:
+        numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col), name_col)
+        return remember_rows(numbered, n)
     return dense_ids(names, name_col, id_col)
 
 

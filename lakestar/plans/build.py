@@ -33,11 +33,17 @@ class Build:
 
     # ---- lookups ----
     @cached_property
-    def lookups(self) -> dict[str, DataFrame]:
-        return {name: materialize(silver.lookup(self.raw, name)) for name in silver.LOOKUP_SPECS}
+    def _lookups(self) -> dict[str, DataFrame]:
+        return {}
 
     def lk(self, name: str) -> DataFrame:
-        return self.lookups[name]
+        if name not in self._lookups:
+            self._lookups[name] = silver.lookup(self.raw, name)
+        return self._lookups[name]
+
+    @property
+    def lookups(self) -> dict[str, DataFrame]:
+        return {name: self.lk(name) for name in silver.LOOKUP_SPECS}
 
     # ---- silver ----
     @cached_property
