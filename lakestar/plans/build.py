@@ -8,6 +8,7 @@ that decides whether they are broadcast.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,27 @@ from lakestar.sources.fixtures import Fixtures
 DEFAULT_AS_OF = dt.date(2023, 1, 1)
 
 
+Sink = Callable[[str, str, DataFrame], DataFrame]
+
+
 class Build:
-    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=DEFAULT_AS_OF):
+    """``sink(layer, name, df)`` writes a finished table and returns it read back.
+
+    Without a sink (query mode) tables stay lazy, and only frames read by
+    several later steps are materialised in the checkpoint folder.
+    """
+
+    def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=DEFAULT_AS_OF,
+                 sink: Sink | None = None):
         self.spark = spark
         self.raw = raw
         self.as_of = as_of
+        self.sink = sink
+
+    def _out(self, layer: str, name: str, df: DataFrame, reuse: bool = False) -> DataFrame:
+        if self.sink is not None:
+            return self.sink(layer, name, df)
+        return materialize(df) if reuse else df
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> "Build":
@@ -38,7 +55,7 @@ class Build:
 
     def lk(self, name: str) -> DataFrame:
         if name not in self._lookups:
-            self._lookups[name] = silver.lookup(self.raw, name)
+            self._lookups[name] = self._out("silver", name, silver.lookup(self.raw, name))
         return self._lookups[name]
 
     @property
@@ -48,32 +65,35 @@ class Build:
     # ---- silver ----
     @cached_property
     def locations(self) -> DataFrame:
-        return materialize(silver.locations(self.raw["locations"]))
+        return self._out("silver", "locations", silver.locations(self.raw["locations"]), reuse=True)
 
     @cached_property
     def users(self) -> DataFrame:
-        return materialize(silver.users(self.raw["users"], self.locations))
+        return self._out("silver", "users", silver.users(self.raw["users"], self.locations), reuse=True)
 
     @cached_property
     def watchlist(self) -> DataFrame:
-        return silver.watchlist(self.raw["watchlist"], self.lk("dim_content_types"), self.lk("dim_genres"))
+        return self._out("silver", "watchlist", silver.watchlist(self.raw["watchlist"], self.lk("dim_content_types"),
+                                                                  self.lk("dim_genres")))
 
     @cached_property
     def devices(self) -> DataFrame:
-        return silver.devices(self.raw["devices"], self.users, self.lk("dim_device_types"), self.lk("dim_os"))
+        return self._out("silver", "devices", silver.devices(self.raw["devices"], self.users,
+                                                              self.lk("dim_device_types"), self.lk("dim_os")))
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        return silver.subscriptions(self.raw["subscriptions"], self.users, self.lk("dim_plan_types"),
-                                    self.lk("dim_event_types"))
+        return self._out("silver", "subscriptions", silver.subscriptions(
+            self.raw["subscriptions"], self.users, self.lk("dim_plan_types"), self.lk("dim_event_types")))
 
     @cached_property
     def payments(self) -> DataFrame:
-        return silver.payments(self.raw["payments"], self.subscriptions)
+        return self._out("silver", "payments", silver.payments(self.raw["payments"], self.subscriptions))
 
     @cached_property
     def viewing_activity(self) -> DataFrame:
-        return silver.viewing_activity(self.raw["viewing_activity"], self.users, self.watchlist, self.devices)
+        return self._out("silver", "viewing_activity", silver.viewing_activity(
+            self.raw["viewing_activity"], self.users, self.watchlist, self.devices))
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {"locations": self.locations, "users": self.users, "watchlist": self.watchlist,
@@ -83,24 +103,27 @@ class Build:
     # ---- gold ----
     @cached_property
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.spark)
+        return self._out("gold", "dim_date", gold.dim_date(self.spark))
 
     @cached_property
     def dim_content(self) -> DataFrame:
-        return gold.dim_content(self.watchlist, self.lk("dim_content_types"), self.lk("dim_genres"))
+        return self._out("gold", "dim_content", gold.dim_content(self.watchlist, self.lk("dim_content_types"),
+                                                                  self.lk("dim_genres")))
 
     @cached_property
     def dim_user(self) -> DataFrame:
-        return gold.dim_user(self.users, self.locations, self.subscriptions, self.lk("dim_plan_types"), self.as_of)
+        return self._out("gold", "dim_user", gold.dim_user(self.users, self.locations, self.subscriptions,
+                                                           self.lk("dim_plan_types"), self.as_of))
 
     @cached_property
     def fact_subscription_events(self) -> DataFrame:
-        return gold.fact_subscription_events(self.payments, self.subscriptions, self.dim_user, self.dim_date,
-                                             self.lk("dim_event_types"))
+        return self._out("gold", "fact_subscription_events", gold.fact_subscription_events(
+            self.payments, self.subscriptions, self.dim_user, self.dim_date, self.lk("dim_event_types")))
 
     @cached_property
     def fact_viewing_activity(self) -> DataFrame:
-        return gold.fact_viewing_activity(self.viewing_activity, self.dim_user, self.dim_content, self.dim_date)
+        return self._out("gold", "fact_viewing_activity", gold.fact_viewing_activity(
+            self.viewing_activity, self.dim_user, self.dim_content, self.dim_date))
 
     @cached_property
     def mrr_by_month_event(self) -> DataFrame:
