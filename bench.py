@@ -41,6 +41,7 @@ def main() -> None:
     queries = {f"stage_{k}": round(v, 3) for k, v in report.seconds.items()}
     queries["silver_plus_gold"] = round(report.seconds["silver"] + report.seconds["gold"], 3)
     queries["mrr_by_month_event"] = round(report_secs, 3)
+    queries.update({f"write_{k}": v for k, v in report.table_seconds.items()})
     print(json.dumps({
         "metric": "pipeline_total",
         "value": round(total, 3),

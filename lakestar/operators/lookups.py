@@ -29,6 +29,39 @@ def build_lookup(src: DataFrame, raw_col: str, label: Column, id_col: str, name_
     return dense_ids(names, name_col, id_col)
 
 
+def build_lookups(sources: dict[str, DataFrame], specs: dict[str, tuple[str, str, Column, str, str]]
+                  ) -> dict[str, DataFrame]:
+    """Several lookups in one job: ``specs[name] = (source, raw column, label, id column, name column)``.
+
+    Each source table is scanned once (its labels exploded into ``(lookup,
+    label)`` pairs), one distinct over the union is written, and the per-lookup
+    sizes -- one row per lookup -- decide how each is numbered.
+    """
+    parts = []
+    for src_name in dict.fromkeys(s[0] for s in specs.values()):
+        mine = [(n, s) for n, s in specs.items() if s[0] == src_name]
+        pairs = F.array(*[F.when(F.col(raw_col).isNotNull(),
+                                 F.struct(F.lit(n).alias("lookup"), label.alias("label")))
+                          for n, (_, raw_col, label, _, _) in mine])
+        parts.append(sources[src_name].select(F.explode(pairs).alias("p")).select("p.lookup", "p.label"))
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    labels = materialize(union.where(F.col("lookup").isNotNull() & F.col("label").isNotNull()).distinct())
+    sizes = {r["lookup"]: r["n"] for r in labels.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = {}
+    for n, (_, _, _, id_col, name_col) in specs.items():
+        names = labels.where(F.col("lookup") == n).select(F.col("label").alias(name_col))
+        size = sizes.get(n, 0)
+        if size <= BROADCAST_MAX_ROWS:
+            numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col),
+                                    name_col)
+            out[n] = remember_rows(numbered, size)
+        else:
+            out[n] = dense_ids(names, name_col, id_col)
+    return out
+
+
 def attach_id(df: DataFrame, label: Column, lookup: DataFrame, name_col: str, id_col: str) -> DataFrame:
     """Left-join the lookup on a label computed once from the row."""
     lk = lookup.select(F.col(name_col).alias("__label"), F.col(id_col))

@@ -50,17 +50,11 @@ class Build:
 
     # ---- lookups ----
     @cached_property
-    def _lookups(self) -> dict[str, DataFrame]:
-        return {}
+    def lookups(self) -> dict[str, DataFrame]:
+        return {name: self._out("silver", name, df) for name, df in silver.all_lookups(self.raw).items()}
 
     def lk(self, name: str) -> DataFrame:
-        if name not in self._lookups:
-            self._lookups[name] = self._out("silver", name, silver.lookup(self.raw, name))
-        return self._lookups[name]
-
-    @property
-    def lookups(self) -> dict[str, DataFrame]:
-        return {name: self.lk(name) for name in silver.LOOKUP_SPECS}
+        return self.lookups[name]
 
     # ---- silver ----
     @cached_property

@@ -28,6 +28,7 @@ class RunReport:
     failed_checks: int
     seconds: dict[str, float]
     rows: dict[str, int]
+    table_seconds: dict[str, float]
 
 
 def quality_frames(b: Build) -> dict[str, DataFrame]:
@@ -83,4 +84,5 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
     if ok and publish:
         w.publish()
     return RunReport(w.run_id, ok and publish, failed, secs,
-                     {f"{s.layer}.{s.table}": s.rows for s in w.stats})
+                     {f"{s.layer}.{s.table}": s.rows for s in w.stats},
+                     {f"{s.layer}.{s.table}": round(s.seconds, 3) for s in w.stats})

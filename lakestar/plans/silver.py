@@ -16,7 +16,7 @@ from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
 from lakestar.operators.joins import semi
-from lakestar.operators.lookups import attach_id, build_lookup
+from lakestar.operators.lookups import attach_id, build_lookup, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
 LOOKUP_SPECS = {
@@ -47,6 +47,13 @@ def lookup(raw: dict[str, DataFrame], name: str) -> DataFrame:
     return build_lookup(raw[table], col, fn(F.col(col)), id_col, name_col)
 
 
+def all_lookups(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The six lookups from one distinct job."""
+    specs = {name: (table, col, fn(F.col(col)), id_col, name_col)
+             for name, (table, col, fn, id_col, name_col) in LOOKUP_SPECS.items()}
+    return build_lookups(raw, specs)
+
+
 def _pick(df: DataFrame, table: str) -> DataFrame:
     keys, orders = DEDUPE[table]
     return first_per_key(df, keys, orders)
