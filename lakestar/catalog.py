@@ -60,3 +60,245 @@ for _t in ["locations", "users", "watchlist", "devices", "subscriptions", "payme
 # ---- gold (D10-D13) and the headline report ----
 for _t in ["dim_content", "dim_user", "fact_subscription_events", "fact_viewing_activity", "mrr_by_month_event"]:
     _attr_query(_t, _t, _t)
+
+
+# ---------------------------------------------------------------------------
+# Operator-level queries: each runs one rule of the build over a whole raw table.
+from pyspark.sql import functions as F  # noqa: E402
+
+from lakestar import schemas  # noqa: E402
+from lakestar.functions import dates, text  # noqa: E402
+from lakestar.functions.conform import conform  # noqa: E402
+from lakestar.operators import audit  # noqa: E402
+from lakestar.operators.dedupe import asc, first_per_key  # noqa: E402
+from lakestar.operators.joins import anti, semi  # noqa: E402
+from lakestar.operators.lookups import attach_id  # noqa: E402
+from lakestar.plans import gold, silver  # noqa: E402
+from lakestar.sources.fixtures import Fixtures  # noqa: E402
+from lakestar.sources.landing import land  # noqa: E402
+
+
+def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return Fixtures(spark, sf_dir).raw()
+
+
+RAW_CTE = {"locations": "raw_locations", "users": "raw_users", "watchlist": "raw_watchlist",
+           "devices": "raw_devices", "subscriptions": "raw_subscriptions", "payments": "raw_payments",
+           "viewing_activity": "raw_viewing"}
+
+
+# ---- ingest (S1, S4, S6, S7, P13) ----
+@register("drop_all_null_rows", O.query("""
+SELECT CAST(user_id AS BIGINT) AS user_id, user_legacy_id, name, email, age, country_id, region_id, region_code,
+       region_name, signup_date, acquisition_source
+FROM raw_users
+WHERE NOT (user_id IS NULL AND user_legacy_id IS NULL AND name IS NULL AND email IS NULL AND age IS NULL
+           AND country_id IS NULL AND region_id IS NULL AND region_code IS NULL AND region_name IS NULL
+           AND signup_date IS NULL AND acquisition_source IS NULL)""", "raw_users"))
+def q_drop_all_null_rows(spark, sf_dir):
+    return land(conform(_raw(spark, sf_dir)["users"], schemas.RAW["users"]))
+
+
+@register("row_count_audit", O.query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {c}" for t, c in RAW_CTE.items()),
+    *RAW_CTE.values()))
+def q_row_count_audit(spark, sf_dir):
+    return audit.row_counts(_raw(spark, sf_dir))
+
+
+@register("content_fingerprint", None)
+def q_content_fingerprint(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    frames = [audit.fingerprint(df).select(F.lit(t).alias("table_name"), "*") for t, df in raw.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("conform_types", O.query("""
+SELECT CAST(payment_id AS BIGINT) AS payment_id, user_legacy_id, CAST(sub_id AS BIGINT) AS sub_id,
+       try_cast(amount AS DECIMAL(10,2)) AS amount, try_cast(payment_date AS TIMESTAMP) AS payment_date, method
+FROM raw_payments""", "raw_payments"))
+def q_conform_types(spark, sf_dir):
+    return conform(_raw(spark, sf_dir)["payments"], schemas.SILVER["payments"].schema)
+
+
+# ---- scalar functions (F1-F14, L1-L6) ----
+@register("initcap_alnum", O.query(f"""
+SELECT CAST(user_id AS BIGINT) AS user_id, {O.initcap('trim(name)')} AS name_title FROM raw_users""", "raw_users"))
+def q_initcap(spark, sf_dir):
+    return _raw(spark, sf_dir)["users"].select("user_id", text.initcap_alnum(F.trim("name")).alias("name_title"))
+
+
+@register("split_part_genre", O.query("""
+SELECT content_id, split_part(trim(genre), ',', 1) AS genre_label FROM raw_watchlist""", "raw_watchlist"))
+def q_split_part(spark, sf_dir):
+    return _raw(spark, sf_dir)["watchlist"].select("content_id", text.genre_label("genre").alias("genre_label"))
+
+
+@register("device_label", O.query(f"""
+SELECT device_id, {O.device_case('device_type')} AS device_label FROM raw_devices""", "raw_devices"))
+def q_device_label(spark, sf_dir):
+    return _raw(spark, sf_dir)["devices"].select("device_id", text.device_type_label("device_type").alias("device_label"))
+
+
+@register("os_label", O.query(f"""
+SELECT device_id, {O.os_case('operating_system')} AS os_label FROM raw_devices""", "raw_devices"))
+def q_os_label(spark, sf_dir):
+    return _raw(spark, sf_dir)["devices"].select("device_id", text.os_label("operating_system").alias("os_label"))
+
+
+@register("event_label", O.query(f"""
+SELECT sub_id, {O.event_case('last_event_type')} AS event_label FROM raw_subscriptions""", "raw_subscriptions"))
+def q_event_label(spark, sf_dir):
+    return _raw(spark, sf_dir)["subscriptions"].select(
+        "sub_id", text.event_type_label("last_event_type").alias("event_label"))
+
+
+@register("parse_iso_or_us_date", O.query(f"""
+SELECT CAST(user_id AS BIGINT) AS user_id, signup_date AS raw_value, {O.signup_date('signup_date')} AS parsed
+FROM raw_users""", "raw_users"))
+def q_parse_mixed_date(spark, sf_dir):
+    return _raw(spark, sf_dir)["users"].select("user_id", F.col("signup_date").alias("raw_value"),
+                                               dates.iso_or_us_date("signup_date").alias("parsed"))
+
+
+@register("parse_us_date", O.query("""
+SELECT CAST(user_id AS BIGINT) AS user_id, CAST(try_strptime(signup_date, '%m/%d/%Y') AS DATE) AS parsed
+FROM raw_users""", "raw_users"))
+def q_parse_us_date(spark, sf_dir):
+    return _raw(spark, sf_dir)["users"].select("user_id", dates.us_text_to_date("signup_date").alias("parsed"))
+
+
+@register("parse_iso_date", O.query(f"""
+SELECT sub_id, {O.strict_date('start_date')} AS start_date, {O.strict_date('end_date')} AS end_date
+FROM raw_subscriptions""", "raw_subscriptions"))
+def q_parse_iso_date(spark, sf_dir):
+    return _raw(spark, sf_dir)["subscriptions"].select(
+        "sub_id", dates.strict_iso_date("start_date").alias("start_date"),
+        dates.strict_iso_date("end_date").alias("end_date"))
+
+
+@register("parse_mixed_timestamp", O.query(f"""
+SELECT session_id, {O.mixed_ts('session_start_ts')} AS session_start_ts FROM raw_viewing""", "raw_viewing"))
+def q_parse_mixed_ts(spark, sf_dir):
+    return _raw(spark, sf_dir)["viewing_activity"].select(
+        "session_id", dates.iso_or_us_timestamp("session_start_ts").alias("session_start_ts"))
+
+
+@register("strict_iso_timestamp", O.query(f"""
+SELECT payment_id, {O.strict_ts('payment_date')} AS payment_date,
+       {O.strict_ts(chr(39) + '2024-01-05' + chr(39))} AS date_only FROM raw_payments""", "raw_payments"))
+def q_strict_ts(spark, sf_dir):
+    return _raw(spark, sf_dir)["payments"].select(
+        "payment_id", dates.strict_iso_timestamp("payment_date").alias("payment_date"),
+        dates.strict_iso_timestamp(F.lit("2024-01-05")).alias("date_only"))
+
+
+@register("date_parts", O.query(f"""
+SELECT sub_id, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, CAST(year(d) AS INTEGER) AS "year",
+       CAST(quarter(d) AS INTEGER) AS quarter, CAST(month(d) AS INTEGER) AS "month",
+       CAST(day(d) AS INTEGER) AS "day", CAST(isodow(d) AS INTEGER) AS day_of_week,
+       strftime(d, '%B') AS month_name, isodow(d) IN (6, 7) AS is_weekend
+FROM (SELECT sub_id, {O.strict_date('start_date')} AS d FROM raw_subscriptions) s""", "raw_subscriptions"))
+def q_date_parts(spark, sf_dir):
+    s = _raw(spark, sf_dir)["subscriptions"].select("sub_id", dates.strict_iso_date("start_date").alias("d"))
+    d = F.col("d")
+    dow = dates.iso_day_of_week(d)
+    return s.select("sub_id", dates.date_key(d).alias("date_key"), F.year(d).alias("year"),
+                    F.quarter(d).alias("quarter"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"),
+                    dow.cast("int").alias("day_of_week"), dates.month_name(d).alias("month_name"),
+                    dow.isin(6, 7).alias("is_weekend"))
+
+
+# ---- filters (P2-P6) ----
+@register("non_blank_name", O.query("""
+SELECT CAST(user_id AS BIGINT) AS user_id, user_legacy_id FROM raw_users
+WHERE name IS NOT NULL AND trim(name) <> ''""", "raw_users"))
+def q_non_blank(spark, sf_dir):
+    return _raw(spark, sf_dir)["users"].where(~text.is_blank("name")).select("user_id", "user_legacy_id")
+
+
+@register("non_negative_amount", O.query("""
+SELECT payment_id, amount FROM raw_payments WHERE amount >= 0""", "raw_payments"))
+def q_non_negative(spark, sf_dir):
+    return _raw(spark, sf_dir)["payments"].where(F.col("amount") >= 0).select("payment_id", "amount")
+
+
+@register("rating_domain", O.query("""
+SELECT session_id, rating FROM raw_viewing WHERE rating IS NULL OR (rating >= 1 AND rating <= 5)""", "raw_viewing"))
+def q_rating(spark, sf_dir):
+    return _raw(spark, sf_dir)["viewing_activity"].where(silver.rating_ok()).select("session_id", "rating")
+
+
+@register("end_after_start", O.query("""
+SELECT sub_id, start_date, end_date FROM raw_subscriptions
+WHERE end_date IS NULL OR try_cast(end_date AS DATE) >= try_cast(start_date AS DATE)""", "raw_subscriptions"))
+def q_end_after_start(spark, sf_dir):
+    return _raw(spark, sf_dir)["subscriptions"].where(silver.end_not_before_start()).select(
+        "sub_id", "start_date", "end_date")
+
+
+# ---- dedupe / window (A2, W1, A3) ----
+@register("distinct_on_first", O.query(f"""
+SELECT DISTINCT ON (payment_id) payment_id, user_legacy_id, sub_id, amount, payment_date, method
+FROM raw_payments
+ORDER BY payment_id, amount ASC NULLS LAST, payment_date ASC NULLS LAST, method ASC NULLS LAST,
+         {O.nf('user_legacy_id', 'sub_id', 'amount', 'payment_date', 'method')}""", "raw_payments"))
+def q_distinct_on(spark, sf_dir):
+    return first_per_key(_raw(spark, sf_dir)["payments"], ["payment_id"],
+                         [asc("amount"), asc("payment_date"), asc("method")])
+
+
+@register("latest_subscription", O.query("""
+SELECT r.user_legacy_id, f.first_subscription_date, r.end_date AS latest_end_date,
+       r.plan_type_id AS latest_plan_type_id
+FROM ranked_subscriptions r
+JOIN (SELECT user_legacy_id, min(start_date) AS first_subscription_date FROM silver_subscriptions
+      GROUP BY user_legacy_id) f ON f.user_legacy_id = r.user_legacy_id
+WHERE r.rn = 1""", "ranked_subscriptions", "silver_subscriptions"))
+def q_latest_subscription(spark, sf_dir):
+    return gold.subscription_summary(_b(spark, sf_dir).subscriptions)
+
+
+# ---- joins (J1-J15) ----
+@register("fk_valid_semi", O.query("""
+SELECT sub_id, user_legacy_id FROM raw_subscriptions
+WHERE user_legacy_id IN (SELECT user_legacy_id FROM silver_users)""", "raw_subscriptions", "silver_users"))
+def q_fk_semi(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    return semi(b.raw["subscriptions"], b.users.select("user_legacy_id"), "user_legacy_id").select(
+        "sub_id", "user_legacy_id")
+
+
+@register("fk_orphans_anti", O.query("""
+SELECT session_id, content_id FROM raw_viewing
+WHERE content_id IS NOT NULL AND content_id NOT IN (SELECT content_id FROM silver_watchlist)""",
+    "raw_viewing", "silver_watchlist"))
+def q_fk_anti(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    v = b.raw["viewing_activity"].where(F.col("content_id").isNotNull())
+    return anti(v, b.watchlist.select("content_id"), "content_id").select("session_id", "content_id")
+
+
+@register("lookup_attach", O.query(f"""
+SELECT d.device_id, dt.device_type_id, o.os_id FROM raw_devices d
+LEFT JOIN dim_device_types dt ON dt.device_type_name = {O.device_case('d.device_type')}
+LEFT JOIN dim_os o ON o.os_name = {O.os_case('d.operating_system')}""", "raw_devices", "dim_device_types", "dim_os"))
+def q_lookup_attach(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    d = attach_id(b.raw["devices"], text.device_type_label("device_type"), b.lk("dim_device_types"),
+                  "device_type_name", "device_type_id")
+    d = attach_id(d, text.os_label("operating_system"), b.lk("dim_os"), "os_name", "os_id")
+    return d.select("device_id", "device_type_id", "os_id")
+
+
+@register("date_lookup", O.query("""
+SELECT v.session_id, d.date_key, d.is_weekend FROM silver_viewing_activity v
+JOIN dim_date d ON d.full_date = CAST(v.session_start_ts AS DATE)""", "silver_viewing_activity", "dim_date"))
+def q_date_lookup(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    v = b.viewing_activity.select("session_id", F.to_date("session_start_ts").alias("full_date"))
+    return v.join(F.broadcast(b.dim_date.select("full_date", "date_key", "is_weekend")), "full_date").select(
+        "session_id", "date_key", "is_weekend")
