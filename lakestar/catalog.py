@@ -302,3 +302,76 @@ def q_date_lookup(spark, sf_dir):
     v = b.viewing_activity.select("session_id", F.to_date("session_start_ts").alias("full_date"))
     return v.join(F.broadcast(b.dim_date.select("full_date", "date_key", "is_weekend")), "full_date").select(
         "session_id", "date_key", "is_weekend")
+
+
+# ---- quality (Q1-Q7), rejects (S15), DQ results (S16) ----
+def _quality(spark, sf_dir):
+    from lakestar.plans.pipeline import quality_frames
+    return quality_frames(Build.from_fixtures(spark, sf_dir, materialized=True))
+
+
+_QS = O.quality_sql()
+
+
+@register("pk_violations", O.union_query(*_QS["pk"]))
+def q_pk(spark, sf_dir):
+    return _quality(spark, sf_dir)["pk"]
+
+
+@register("not_null_violations", O.union_query(*_QS["not_null"]))
+def q_not_null(spark, sf_dir):
+    return _quality(spark, sf_dir)["not_null"]
+
+
+@register("varchar_overflow", O.union_query(*_QS["varchar"]))
+def q_varchar(spark, sf_dir):
+    return _quality(spark, sf_dir)["varchar"]
+
+
+@register("fk_violations", O.union_query(*_QS["fk"]))
+def q_fk(spark, sf_dir):
+    return _quality(spark, sf_dir)["fk"]
+
+
+@register("precision_overflow", O.query("""
+SELECT 'raw.payments' AS table_name, 'amount' AS column_name,
+       CAST(count(*) FILTER (WHERE amount IS NOT NULL AND try_cast(amount AS DECIMAL(10,2)) IS NULL) AS BIGINT)
+       AS overflow_rows FROM raw_payments
+UNION ALL
+SELECT 'raw.viewing_activity', 'completion_percentage',
+       CAST(count(*) FILTER (WHERE completion_percentage IS NOT NULL
+                             AND try_cast(completion_percentage AS DECIMAL(5,2)) IS NULL) AS BIGINT)
+FROM raw_viewing""", "raw_payments", "raw_viewing"))
+def q_precision(spark, sf_dir):
+    from lakestar.operators.quality import precision_summary
+    raw = _raw(spark, sf_dir)
+    return precision_summary(raw["payments"], "raw.payments", {"amount": (10, 2)}).unionByName(
+        precision_summary(raw["viewing_activity"], "raw.viewing_activity", {"completion_percentage": (5, 2)}))
+
+
+@register("rejected_rows", O.rejected_rows_sql())
+def q_rejected(spark, sf_dir):
+    from lakestar.plans.rejects import rejected_rows
+    return rejected_rows(_b(spark, sf_dir)).select("source_table", "target_table", "rejection_reason", "row_key")
+
+
+@register("dq_results", O.dq_results_sql())
+def q_dq_results(spark, sf_dir):
+    from lakestar.operators.quality import dq_results
+    q = _quality(spark, sf_dir)
+    return dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"])
+
+
+# ---- verification queries (A4, O1) ----
+_GOLD_CTES = ["dim_date", "dim_content", "dim_user", "fact_subscription_events", "fact_viewing_activity"]
+
+
+@register("table_count", O.query(" UNION ALL ".join(
+    f"SELECT 'gold.{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {t}" for t in _GOLD_CTES), *_GOLD_CTES))
+def q_table_count(spark, sf_dir):
+    return audit.row_counts({f"gold.{k}": v for k, v in _b(spark, sf_dir).gold_tables().items()})
+
+
+@register("sample_limit", O.query("SELECT * FROM dim_user ORDER BY user_key LIMIT 10", "dim_user"))
+def q_sample_limit(spark, sf_dir):
+    return _b(spark, sf_dir).dim_user.orderBy("user_key").limit(10)

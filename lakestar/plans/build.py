@@ -44,9 +44,11 @@ class Build:
         return materialize(df) if reuse else df
 
     @classmethod
-    def from_fixtures(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF) -> "Build":
-        b = cls(spark, Fixtures(spark, sf_dir).raw(), as_of)
-        return b
+    def from_fixtures(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF,
+                      materialized: bool = False) -> "Build":
+        """``materialized``: write every finished table once (for many readers, e.g. checks)."""
+        sink = (lambda layer, name, df: materialize(df)) if materialized else None
+        return cls(spark, Fixtures(spark, sf_dir).raw(), as_of, sink=sink)
 
     # ---- lookups ----
     @cached_property
