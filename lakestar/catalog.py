@@ -375,3 +375,26 @@ def q_table_count(spark, sf_dir):
 @register("sample_limit", O.query("SELECT * FROM dim_user ORDER BY user_key LIMIT 10", "dim_user"))
 def q_sample_limit(spark, sf_dir):
     return _b(spark, sf_dir).dim_user.orderBy("user_key").limit(10)
+
+
+# ---- ticketing KPIs (K1-K10) ----
+def _kpi_query(name: str, attr: str, oracle_cte: str) -> None:
+    from lakestar.plans.kpis import Ticketing
+
+    def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return getattr(Ticketing.from_fixtures(spark, sf_dir), attr)
+    fn.__name__ = name
+    REGISTRY[name] = Entry(fn, O.table(oracle_cte))
+
+
+for _n, _a, _c in [("silver_venues", "venues", "silver_venues"),
+                   ("enum_conform", "events", "silver_ticket_events"),
+                   ("email_normalised", "customers", "silver_customers"),
+                   ("silver_tickets", "tickets", "silver_tickets"),
+                   ("silver_checkins", "checkins", "silver_checkins"),
+                   ("silver_refunds", "refunds", "silver_refunds"),
+                   ("silver_campaigns", "campaigns", "silver_campaigns"),
+                   ("event_sales", "event_sales", "event_sales"),
+                   ("daily_metrics", "daily_metrics", "daily_metrics"),
+                   ("campaign_roi", "campaign_roi", "campaign_roi")]:
+    _kpi_query(_n, _a, _c)
