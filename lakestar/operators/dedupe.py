@@ -1,19 +1,24 @@
 """One row per key under an explicit total order (``DISTINCT ON`` / top-1 per key).
 
-The pick is an aggregation, ``min(struct(order fields..., payload...))`` grouped
-by the key, not a window: Spark runs it as a partial aggregate before the
-shuffle, so a key holding a third of all rows sends one row per map task over
-the network instead of its whole group to one reducer. Appending every payload
-column after the stated order makes the pick a total order, so reruns (and task
-retries) choose the same row. Within the struct NULL sorts first, which is why
-each order field carries its own null flag.
+Both forms keep a hot key (say a third of all rows) off a single reducer by
+cutting it down before the shuffle:
+
+* ``row_number() == 1`` over ``partitionBy(keys).orderBy(order)``: Catalyst
+  plans a *partial* ``WindowGroupLimit`` on the map side, so each map task ships
+  at most one row per key;
+* with ``extra_aggs`` (other per-key aggregates in the same shuffle) the pick is
+  ``min(struct(order fields..., payload...))``, a partial + final aggregate.
+  Within the struct NULL sorts first, so each order field carries a null flag.
+
+Appending every payload column after the stated order makes the pick a total
+order, so reruns and task retries choose the same row.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +71,13 @@ def order_by_sql(keys: list[str], orders: list[Order], payload: list[str]) -> st
     return ", ".join(parts)
 
 
+def _sort_col(o: Order) -> Column:
+    c = F.col(o.column)
+    if o.descending:
+        return c.desc_nulls_first() if o.nulls_first else c.desc_nulls_last()
+    return c.asc_nulls_first() if o.nulls_first else c.asc_nulls_last()
+
+
 def first_per_key(df: DataFrame, keys: list[str], orders: list[Order] | None = None,
                   extra_aggs: list[Column] | None = None) -> DataFrame:
     """Keep the first row per ``keys`` by ``orders`` then all remaining columns ascending.
@@ -75,6 +87,10 @@ def first_per_key(df: DataFrame, keys: list[str], orders: list[Order] | None = N
     """
     orders = orders or []
     payload = [c for c in df.columns if c not in keys]
+    if not extra_aggs:
+        w = Window.partitionBy(*keys).orderBy(*[_sort_col(o) for o in orders],
+                                              *[F.col(c).asc_nulls_first() for c in payload])
+        return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
     pick = F.struct(*_order_fields(df, orders), *[F.col(c) for c in payload])
     aggs = [F.min(pick).alias("__first")] + list(extra_aggs or [])
     out = df.groupBy(*keys).agg(*aggs)

@@ -28,7 +28,10 @@ def test_first_per_key_hot_key_is_partially_aggregated(spark):
     got = {r.k: r.v for r in out.collect()}
     assert got[7] == 19999 and len(got) == 100
     p = plan(out)
-    assert "partial_min" in p  # map-side combine before the shuffle
+    assert "WindowGroupLimit" in p and "Partial" in p  # map-side top-1 before the shuffle
+    both = first_per_key(hot.unionByName(cold), ["k"], [desc("v")], extra_aggs=[F.min("v").alias("lo")])
+    assert {r.k: (r.v, r.lo) for r in both.collect()}[7] == (19999, 0)
+    assert "partial_min" in plan(both)
 
 
 def test_dense_ids_range_path(spark):
