@@ -72,7 +72,7 @@ from lakestar.functions.conform import conform  # noqa: E402
 from lakestar.operators import audit  # noqa: E402
 from lakestar.operators.dedupe import asc, first_per_key  # noqa: E402
 from lakestar.operators.joins import anti, semi  # noqa: E402
-from lakestar.operators.lookups import attach_id  # noqa: E402
+from lakestar.operators.lookups import attach_id_by_value  # noqa: E402
 from lakestar.plans import gold, silver  # noqa: E402
 from lakestar.sources.fixtures import Fixtures  # noqa: E402
 from lakestar.sources.landing import land  # noqa: E402
@@ -288,9 +288,8 @@ LEFT JOIN dim_device_types dt ON dt.device_type_name = {O.device_case('d.device_
 LEFT JOIN dim_os o ON o.os_name = {O.os_case('d.operating_system')}""", "raw_devices", "dim_device_types", "dim_os"))
 def q_lookup_attach(spark, sf_dir):
     b = _b(spark, sf_dir)
-    d = attach_id(b.raw["devices"], text.device_type_label("device_type"), b.lk("dim_device_types"),
-                  "device_type_name", "device_type_id")
-    d = attach_id(d, text.os_label("operating_system"), b.lk("dim_os"), "os_name", "os_id")
+    d = attach_id_by_value(b.raw["devices"], "device_type", b.vmap("dim_device_types"), "device_type_id")
+    d = attach_id_by_value(d, "operating_system", b.vmap("dim_os"), "os_id")
     return d.select("device_id", "device_type_id", "os_id")
 
 

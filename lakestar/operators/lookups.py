@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import BROADCAST_MAX_ROWS, join_small, known_rows, materialize, remember_rows
+from lakestar.operators.joins import (BROADCAST_MAX_ROWS, fits_broadcast, join_small, known_rows, materialize,
+                                      remember_rows)
 from lakestar.operators.keys import dense_ids
 
 
@@ -29,37 +33,67 @@ def build_lookup(src: DataFrame, raw_col: str, label: Column, id_col: str, name_
     return dense_ids(names, name_col, id_col)
 
 
-def build_lookups(sources: dict[str, DataFrame], specs: dict[str, tuple[str, str, Column, str, str]]
-                  ) -> dict[str, DataFrame]:
-    """Several lookups in one job: ``specs[name] = (source, raw column, label, id column, name column)``.
+@dataclass
+class LookupSet:
+    """Lookup tables ``(id, name)`` plus, per lookup, a ``(raw_value, id)`` map.
 
-    Each source table is scanned once (its labels exploded into ``(lookup,
-    label)`` pairs), one distinct over the union is written, and the per-lookup
-    sizes -- one row per lookup -- decide how each is numbered.
+    Labels are computed once per *distinct raw value*, never per row; the
+    build attaches ids by joining the raw column against the (size-checked)
+    value map, so title-casing and prefix rules do not run on the big tables.
+    """
+    tables: dict[str, DataFrame]
+    value_maps: dict[str, DataFrame]
+
+
+def build_lookups(sources: dict[str, DataFrame],
+                  specs: dict[str, tuple[str, str, Callable[[Column], Column], str, str]]) -> LookupSet:
+    """Several lookups from one job: ``specs[name] = (source, raw column, label fn, id col, name col)``.
+
+    Each source is scanned once; its non-NULL raw values are exploded into
+    ``(lookup, raw_value)`` pairs, one distinct over the union is written, and
+    one small aggregate gives per lookup the raw-value and label counts (a
+    bound for broadcasting the maps and for numbering in one task).
     """
     parts = []
     for src_name in dict.fromkeys(s[0] for s in specs.values()):
         mine = [(n, s) for n, s in specs.items() if s[0] == src_name]
         pairs = F.array(*[F.when(F.col(raw_col).isNotNull(),
-                                 F.struct(F.lit(n).alias("lookup"), label.alias("label")))
-                          for n, (_, raw_col, label, _, _) in mine])
-        parts.append(sources[src_name].select(F.explode(pairs).alias("p")).select("p.lookup", "p.label"))
+                                 F.struct(F.lit(n).alias("lookup"), F.col(raw_col).cast("string").alias("raw_value")))
+                          for n, (_, raw_col, _, _, _) in mine])
+        parts.append(sources[src_name].select(F.explode(pairs).alias("p")).select("p.lookup", "p.raw_value"))
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    labels = materialize(union.where(F.col("lookup").isNotNull() & F.col("label").isNotNull()).distinct())
-    sizes = {r["lookup"]: r["n"] for r in labels.groupBy("lookup").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = {}
+    values = materialize(union.where(F.col("lookup").isNotNull()).distinct())
+    label = None
+    for n, (_, _, fn, _, _) in specs.items():
+        cond = F.col("lookup") == F.lit(n)
+        label = F.when(cond, fn(F.col("raw_value"))) if label is None else label.when(cond, fn(F.col("raw_value")))
+    labeled = values.select("lookup", "raw_value", label.alias("label"))
+    sizes = {r["lookup"]: (r["values"], r["labels"]) for r in labeled.groupBy("lookup").agg(
+        F.count(F.lit(1)).alias("values"), F.count_distinct("label").alias("labels")).collect()}
+    tables, maps = {}, {}
     for n, (_, _, _, id_col, name_col) in specs.items():
-        names = labels.where(F.col("lookup") == n).select(F.col("label").alias(name_col))
-        size = sizes.get(n, 0)
-        if size <= BROADCAST_MAX_ROWS:
-            numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col),
-                                    name_col)
-            out[n] = remember_rows(numbered, size)
+        n_values, n_labels = sizes.get(n, (0, 0))
+        names = labeled.where((F.col("lookup") == n) & F.col("label").isNotNull()).select(
+            F.col("label").alias(name_col)).distinct()
+        if n_labels <= BROADCAST_MAX_ROWS:
+            numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col), name_col)
         else:
-            out[n] = dense_ids(names, name_col, id_col)
-    return out
+            numbered = dense_ids(names, name_col, id_col)
+        tables[n] = remember_rows(numbered, n_labels)
+        vmap = (labeled.where(F.col("lookup") == n)
+                .join(numbered.select(F.col(name_col).alias("label"), F.col(id_col).alias("id")), "label")
+                .select("raw_value", "id"))
+        maps[n] = remember_rows(vmap, n_values)          # an upper bound: one row per raw value at most
+    return LookupSet(tables, maps)
+
+
+def attach_id_by_value(df: DataFrame, raw_col: str, value_map: DataFrame, id_col: str) -> DataFrame:
+    """Left-join ``raw value -> id``; a NULL or unknown raw value gets a NULL id."""
+    vm = value_map.select(F.col("raw_value").alias("__rv"), F.col("id").alias(id_col))
+    side = F.broadcast(vm) if fits_broadcast(value_map) else vm
+    return df.join(side, df[raw_col].cast("string") == F.col("__rv"), "left").drop("__rv")
 
 
 def attach_id(df: DataFrame, label: Column, lookup: DataFrame, name_col: str, id_col: str) -> DataFrame:

@@ -51,13 +51,21 @@ class Build:
         return cls(spark, Fixtures(spark, sf_dir).raw(), as_of, sink=sink)
 
     # ---- lookups ----
+    @cached_property
+    def _lookup_set(self):
+        return silver.all_lookups(self.raw)
+
     @cached_property
     def lookups(self) -> dict[str, DataFrame]:
-        return {name: self._out("silver", name, df) for name, df in silver.all_lookups(self.raw).items()}
+        return {name: self._out("silver", name, df) for name, df in self._lookup_set.tables.items()}
 
     def lk(self, name: str) -> DataFrame:
         return self.lookups[name]
 
+    def vmap(self, name: str) -> DataFrame:
+        """Raw value -> id for one lookup (labels computed on distinct raw values only)."""
+        return self._lookup_set.value_maps[name]
+
     # ---- silver ----
     @cached_property
     def locations(self) -> DataFrame:
@@ -69,18 +77,18 @@ class Build:
 
     @cached_property
     def watchlist(self) -> DataFrame:
-        return self._out("silver", "watchlist", silver.watchlist(self.raw["watchlist"], self.lk("dim_content_types"),
-                                                                  self.lk("dim_genres")))
+        return self._out("silver", "watchlist", silver.watchlist(self.raw["watchlist"], self.vmap("dim_content_types"),
+                                                                  self.vmap("dim_genres")))
 
     @cached_property
     def devices(self) -> DataFrame:
         return self._out("silver", "devices", silver.devices(self.raw["devices"], self.users,
-                                                              self.lk("dim_device_types"), self.lk("dim_os")))
+                                                              self.vmap("dim_device_types"), self.vmap("dim_os")))
 
     @cached_property
     def subscriptions(self) -> DataFrame:
         return self._out("silver", "subscriptions", silver.subscriptions(
-            self.raw["subscriptions"], self.users, self.lk("dim_plan_types"), self.lk("dim_event_types")))
+            self.raw["subscriptions"], self.users, self.vmap("dim_plan_types"), self.vmap("dim_event_types")))
 
     @cached_property
     def payments(self) -> DataFrame:

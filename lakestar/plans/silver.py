@@ -16,7 +16,7 @@ from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
 from lakestar.operators.joins import semi
-from lakestar.operators.lookups import attach_id, build_lookup, build_lookups
+from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookup, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
 LOOKUP_SPECS = {
@@ -47,11 +47,9 @@ def lookup(raw: dict[str, DataFrame], name: str) -> DataFrame:
     return build_lookup(raw[table], col, fn(F.col(col)), id_col, name_col)
 
 
-def all_lookups(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The six lookups from one distinct job."""
-    specs = {name: (table, col, fn(F.col(col)), id_col, name_col)
-             for name, (table, col, fn, id_col, name_col) in LOOKUP_SPECS.items()}
-    return build_lookups(raw, specs)
+def all_lookups(raw: dict[str, DataFrame]) -> LookupSet:
+    """The six lookups (and their raw-value maps) from one distinct job."""
+    return build_lookups(raw, LOOKUP_SPECS)
 
 
 def _pick(df: DataFrame, table: str) -> DataFrame:
@@ -81,19 +79,19 @@ def users(raw_users: DataFrame, locations_df: DataFrame) -> DataFrame:
     return conform(out, schemas.SILVER["users"].schema)
 
 
-def watchlist(raw_watchlist: DataFrame, content_types: DataFrame, genres: DataFrame) -> DataFrame:
+def watchlist(raw_watchlist: DataFrame, content_type_map: DataFrame, genre_map: DataFrame) -> DataFrame:
     d = _pick(raw_watchlist.where(F.col("content_id").isNotNull()), "watchlist")
-    d = attach_id(d, text.content_type_label("content_type"), content_types, "content_type_name", "content_type_id")
-    d = attach_id(d, text.genre_label("genre"), genres, "genre_name", "genre_id")
+    d = attach_id_by_value(d, "content_type", content_type_map, "content_type_id")
+    d = attach_id_by_value(d, "genre", genre_map, "genre_id")
     return conform(d, schemas.SILVER["watchlist"].schema)
 
 
-def devices(raw_devices: DataFrame, users_df: DataFrame, device_types: DataFrame, os_df: DataFrame) -> DataFrame:
+def devices(raw_devices: DataFrame, users_df: DataFrame, device_type_map: DataFrame, os_map: DataFrame) -> DataFrame:
     kept = semi(raw_devices.where(F.col("device_id").isNotNull()), users_df.select("user_legacy_id"),
                 "user_legacy_id")
     d = _pick(kept, "devices")
-    d = attach_id(d, text.device_type_label("device_type"), device_types, "device_type_name", "device_type_id")
-    d = attach_id(d, text.os_label("operating_system"), os_df, "os_name", "os_id")
+    d = attach_id_by_value(d, "device_type", device_type_map, "device_type_id")
+    d = attach_id_by_value(d, "operating_system", os_map, "os_id")
     d = d.withColumn("last_used", dates.strict_iso_timestamp("last_used"))
     return conform(d, schemas.SILVER["devices"].schema)
 
@@ -103,14 +101,13 @@ def end_not_before_start() -> F.Column:
     return end.isNull() | (dates.text_to_date(end) >= dates.text_to_date(start))
 
 
-def subscriptions(raw_subs: DataFrame, users_df: DataFrame, plan_types: DataFrame,
-                  event_types: DataFrame) -> DataFrame:
+def subscriptions(raw_subs: DataFrame, users_df: DataFrame, plan_type_map: DataFrame,
+                  event_type_map: DataFrame) -> DataFrame:
     kept = raw_subs.where(F.col("sub_id").isNotNull() & end_not_before_start())
     kept = semi(kept, users_df.select("user_legacy_id"), "user_legacy_id")
     d = _pick(kept, "subscriptions")
-    d = attach_id(d, text.plan_type_label("plan_type"), plan_types, "plan_type_name", "plan_type_id")
-    d = attach_id(d, text.event_type_label("last_event_type"), event_types, "event_type_name",
-                  "event_type_id").withColumnRenamed("event_type_id", "last_event_type_id")
+    d = attach_id_by_value(d, "plan_type", plan_type_map, "plan_type_id")
+    d = attach_id_by_value(d, "last_event_type", event_type_map, "last_event_type_id")
     d = d.select("sub_id", "user_legacy_id", "plan_type_id",
                  dates.strict_iso_date("start_date").alias("start_date"),
                  dates.strict_iso_date("end_date").alias("end_date"), "last_event_type_id",
