@@ -18,6 +18,7 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 

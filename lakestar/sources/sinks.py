@@ -11,6 +11,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,14 +51,16 @@ class LayerWriter:
 
     def stats_frame(self) -> DataFrame:
         """Load audit: one row per written table (bounded by the number of tables)."""
-        rows = [(s.layer, s.table, s.rows, float(s.seconds), self.run_id) for s in self.stats]
-        return self.spark.createDataFrame(
-            rows, "layer string, table_name string, rows long, seconds double, run_id string")
+        pdf = pd.DataFrame({"layer": [s.layer for s in self.stats], "table_name": [s.table for s in self.stats],
+                            "rows": [s.rows for s in self.stats], "seconds": [float(s.seconds) for s in self.stats],
+                            "run_id": [self.run_id] * len(self.stats)})
+        return self.spark.createDataFrame(pdf, "layer string, table_name string, rows long, seconds double, "
+                                               "run_id string")
 
     def publish(self) -> None:
         """Point readers at this run (one-row pointer table, replaced atomically per run)."""
-        ptr = self.spark.createDataFrame([(self.run_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-                                         "run_id string, published_at timestamp_ntz")
+        ptr = self.spark.range(1).select(F.lit(self.run_id).alias("run_id"),
+                                         F.localtimestamp().cast("timestamp_ntz").alias("published_at"))
         ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.root.rstrip('/')}/published")
 
 
