@@ -2,10 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _row_hash(df: DataFrame) -> Column:
+    cols = [F.col(c) for c in df.columns]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
+def fingerprint_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: the fingerprint taken during a write, no second pass."""
+    h = _row_hash(df)
+    return [F.count(F.lit(1)).alias("row_count"),
+            F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"),
+            F.coalesce(F.bit_xor(h), F.lit(0).cast("long")).alias("hash_xor")]
+
+
+def fingerprint_from_metrics(m: dict) -> str:
+    """Same value as :func:`fingerprint` computes in Spark."""
+    text = f"{int(m['row_count'])}|{int(m['hash_sum'])}|{int(m['hash_xor'])}"
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """One row: ``row_count`` and a SHA-256 over a multiset hash of all rows.
 
@@ -14,8 +35,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
     ``xxhash64`` skips NULLs and would make ``(NULL, 1)`` equal ``(1, NULL)``.
     One pass; partial aggregates per task, no shuffle of rows.
     """
-    cols = [F.col(c) for c in df.columns]
-    h = F.xxhash64(*cols, *[c.isNull() for c in cols])
+    h = _row_hash(df)
     agg = df.agg(F.count(F.lit(1)).alias("row_count"),
                  F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("__sum"),
                  F.coalesce(F.bit_xor(h), F.lit(0).cast("long")).alias("__xor"))

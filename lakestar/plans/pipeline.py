@@ -57,9 +57,15 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
     secs: dict[str, float] = {}
 
     t = time.perf_counter()
-    bronze = {name: w("bronze", name, land(df)) for name, df in raw.items()}
-    w("audit", "bronze_fingerprints", quality.union_all(
-        [audit.fingerprint(df).select(F.lit(name).alias("table_name"), "*") for name, df in bronze.items()]))
+    bronze = {}
+    for name, df in raw.items():
+        landed = land(df)
+        bronze[name] = w("bronze", name, landed, metrics=audit.fingerprint_metrics(landed))
+    prints = [s for s in w.stats if s.layer == "bronze"]
+    w("audit", "bronze_fingerprints", w.local_frame(
+        {"table_name": [s.table for s in prints], "row_count": [int(s.metrics["row_count"]) for s in prints],
+         "fingerprint": [audit.fingerprint_from_metrics(s.metrics) for s in prints]},
+        "table_name string, row_count long, fingerprint string"))
     secs["bronze"] = time.perf_counter() - t
 
     b = Build(spark, bronze, as_of, sink=w)

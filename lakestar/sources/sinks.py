@@ -25,6 +25,7 @@ class WriteStat:
     rows: int
     seconds: float
     path: str
+    metrics: dict = field(default_factory=dict)
 
 
 @dataclass
@@ -39,16 +40,25 @@ class LayerWriter:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/runs/{self.run_id}/{layer}/{table}"
 
-    def __call__(self, layer: str, table: str, df: DataFrame, mode: str = "overwrite") -> DataFrame:
-        """Write ``df`` and return it read back (lineage cut, size known to Catalyst)."""
+    def __call__(self, layer: str, table: str, df: DataFrame, mode: str = "overwrite",
+                 metrics: list | None = None) -> DataFrame:
+        """Write ``df`` and return it read back (lineage cut, size known to Catalyst).
+
+        ``metrics`` are extra aggregate Columns observed during the same write.
+        """
         path = self.path(layer, table)
         obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:6]}")
         t0 = time.perf_counter()
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(self.fmt).save(path)
-        rows = int(obs.get["rows"])
-        self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path))
+        df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or [])).write.mode(mode).format(self.fmt).save(path)
+        got = dict(obs.get)
+        rows = int(got["rows"])
+        self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path, got))
         return remember_rows(self.spark.read.format(self.fmt).load(path), rows)
 
+    def local_frame(self, data: dict, ddl: str) -> DataFrame:
+        """A small frame from driver-side values (one row per table), via Arrow."""
+        return self.spark.createDataFrame(pd.DataFrame(data), ddl)
+
     def stats_frame(self) -> DataFrame:
         """Load audit: one row per written table (bounded by the number of tables)."""
         pdf = pd.DataFrame({"layer": [s.layer for s in self.stats], "table_name": [s.table for s in self.stats],

@@ -173,3 +173,16 @@ def test_registered_query_matches_oracle(spark, name):
     d = con.execute(E.oracle_sql()[name]).df()
     assert sorted(s.columns) == sorted(d.columns)
     assert rows(s) == rows(d)
+
+
+def test_rejects_carry_reason_key_and_row_image(spark):
+    import json
+
+    from lakestar.plans.rejects import rejected_rows
+    b = build(spark, locations=LOC, users=[user(1, "U1"), user(2, "U2", name=" ", country=999),
+                                           user(3, "U3", signup="02/30/2024")])
+    got = {(r.row_key, r.rejection_reason): r.row_data for r in rejected_rows(b).collect()}
+    assert set(got) == {("2", "name is blank"), ("2", "country_id not in locations"),
+                        ("3", "signup_date is not a valid date")}
+    assert json.loads(got[("3", "signup_date is not a valid date")])["signup_date"] == "02/30/2024"
+    assert [r.signup_date for r in b.users.where("user_id = 3").collect()] == [None]   # kept, value nulled

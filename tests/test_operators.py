@@ -53,6 +53,10 @@ def test_fingerprint_is_order_free_and_null_aware(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (None, "z")], "a int, b string")
     b = spark.createDataFrame([(None, "z"), (2, None), (1, "x")], "a int, b string").repartition(3)
     assert audit.fingerprint(a).first() == audit.fingerprint(b).first()
+    from pyspark.sql import Observation
+    obs = Observation("fp")
+    a.observe(obs, *audit.fingerprint_metrics(a)).write.format("noop").mode("overwrite").save()
+    assert audit.fingerprint_from_metrics(obs.get) == audit.fingerprint(a).first().fingerprint
     c = spark.createDataFrame([(None, 1)], "a int, b int")
     d = spark.createDataFrame([(1, None)], "a int, b int")
     assert audit.fingerprint(c).first().fingerprint != audit.fingerprint(d).first().fingerprint
