@@ -20,6 +20,7 @@ from lakestar.session import ensure_checkpoint_dir
 BROADCAST_MAX_ROWS = 1_000_000
 
 # Row counts measured while writing materialised frames: id(frame) -> (frame, rows).
+# (dict item assignment is atomic, so concurrent writers can record safely.)
 _KNOWN_ROWS: dict[int, tuple[DataFrame, int]] = {}
 
 

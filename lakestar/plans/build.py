@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +58,11 @@ class Build:
 
     @cached_property
     def lookups(self) -> dict[str, DataFrame]:
-        return {name: self._out("silver", name, df) for name, df in self._lookup_set.tables.items()}
+        items = list(self._lookup_set.tables.items())
+        if self.sink is None:
+            return dict(items)
+        with ThreadPoolExecutor(max_workers=len(items)) as pool:   # six small independent writes
+            return dict(pool.map(lambda kv: (kv[0], self._out("silver", kv[0], kv[1])), items))
 
     def lk(self, name: str) -> DataFrame:
         return self.lookups[name]

@@ -7,6 +7,7 @@ Row counts are taken while writing (``DataFrame.observe``), not by a second pass
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -36,6 +37,7 @@ class LayerWriter:
                         + "-" + uuid.uuid4().hex[:6])
     fmt: str = "parquet"
     stats: list[WriteStat] = field(default_factory=list)
+    _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/runs/{self.run_id}/{layer}/{table}"
@@ -52,7 +54,8 @@ class LayerWriter:
         df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or [])).write.mode(mode).format(self.fmt).save(path)
         got = dict(obs.get)
         rows = int(got["rows"])
-        self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path, got))
+        with self._lock:
+            self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path, got))
         return remember_rows(self.spark.read.format(self.fmt).load(path), rows)
 
     def local_frame(self, data: dict, ddl: str) -> DataFrame:
