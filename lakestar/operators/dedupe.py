@@ -65,12 +65,6 @@ def _order_fields(df: DataFrame, orders: list[Order]) -> list[Column]:
     return fields
 
 
-def order_by_sql(keys: list[str], orders: list[Order], payload: list[str]) -> str:
-    """The same total order as SQL text (used by tests and oracles)."""
-    parts = list(keys) + [o.sql() for o in orders] + [f"{c} ASC NULLS FIRST" for c in payload]
-    return ", ".join(parts)
-
-
 def _sort_col(o: Order) -> Column:
     c = F.col(o.column)
     if o.descending:
@@ -97,7 +91,3 @@ def first_per_key(df: DataFrame, keys: list[str], orders: list[Order] | None = N
     extra_names = [c for c in out.columns if c not in keys and c != "__first"]
     return out.select(*[F.col(k) for k in keys], *[F.col("__first")[c].alias(c) for c in payload],
                       *[F.col(c) for c in extra_names]).select(*df.columns, *extra_names)
-
-
-def payload_columns(df: DataFrame, keys: list[str]) -> list[str]:
-    return [c for c in df.columns if c not in keys]

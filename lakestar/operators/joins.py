@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakestar.session import ensure_checkpoint_dir
@@ -71,11 +71,3 @@ def semi(df: DataFrame, parent: DataFrame, on, small: bool = False) -> DataFrame
 def anti(df: DataFrame, parent: DataFrame, on, small: bool = False) -> DataFrame:
     """Rows of ``df`` whose key is missing from ``parent``."""
     return join_small(df, parent, on, "left_anti") if small else df.join(parent, on, "left_anti")
-
-
-def key_equal(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc] == right[rc]
-        cond = c if cond is None else cond & c
-    return cond

@@ -1,4 +1,4 @@
-"""Lookup tables: distinct labels with dense surrogate ids, and attaching ids / names."""
+"""Lookup tables: distinct labels with dense surrogate ids, raw-value maps, attaching ids / names."""
 
 from __future__ import annotations
 
@@ -8,31 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import (BROADCAST_MAX_ROWS, fits_broadcast, join_small, known_rows, materialize,
-                                      remember_rows)
+from lakestar.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, join_small, materialize, remember_rows
 from lakestar.operators.keys import dense_ids
 
 
-def build_lookup(src: DataFrame, raw_col: str, label: Column, id_col: str, name_col: str) -> DataFrame:
-    """``SELECT DISTINCT label`` over non-NULL raw values, NULL labels dropped, ids by name.
-
-    The distinct is a partial + final hash aggregate, so each map task ships only
-    its own distinct labels. The label set is written once and counted during
-    the write; a set of at most ``BROADCAST_MAX_ROWS`` labels is numbered by one
-    ordered window (its size is measured, so one task is bounded), a larger one
-    by :func:`dense_ids`, which never gathers the set into one task.
-    """
-    names = materialize(src.where(F.col(raw_col).isNotNull())
-                        .select(label.alias(name_col))
-                        .where(F.col(name_col).isNotNull())
-                        .distinct())
-    n = known_rows(names)
-    if n is not None and n <= BROADCAST_MAX_ROWS:
-        numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col), name_col)
-        return remember_rows(numbered, n)
-    return dense_ids(names, name_col, id_col)
-
-
 @dataclass
 class LookupSet:
     """Lookup tables ``(id, name)`` plus, per lookup, a ``(raw_value, id)`` map.
@@ -96,12 +75,6 @@ def attach_id_by_value(df: DataFrame, raw_col: str, value_map: DataFrame, id_col
     return df.join(side, df[raw_col].cast("string") == F.col("__rv"), "left").drop("__rv")
 
 
-def attach_id(df: DataFrame, label: Column, lookup: DataFrame, name_col: str, id_col: str) -> DataFrame:
-    """Left-join the lookup on a label computed once from the row."""
-    lk = lookup.select(F.col(name_col).alias("__label"), F.col(id_col))
-    return join_small(df.withColumn("__label", label), lk, "__label", "left").drop("__label")
-
-
 def attach_name(df: DataFrame, id_col: str, lookup: DataFrame, name_col: str, alias: str | None = None) -> DataFrame:
     """Left-join id -> name."""
     lk = lookup.select(F.col(lookup.columns[0]).alias("__lk_id"), F.col(name_col).alias(alias or name_col))

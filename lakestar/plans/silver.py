@@ -16,7 +16,7 @@ from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
 from lakestar.operators.joins import semi
-from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookup, build_lookups
+from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
 LOOKUP_SPECS = {
@@ -42,11 +42,6 @@ DEDUPE = {
 }
 
 
-def lookup(raw: dict[str, DataFrame], name: str) -> DataFrame:
-    table, col, fn, id_col, name_col = LOOKUP_SPECS[name]
-    return build_lookup(raw[table], col, fn(F.col(col)), id_col, name_col)
-
-
 def all_lookups(raw: dict[str, DataFrame]) -> LookupSet:
     """The six lookups (and their raw-value maps) from one distinct job."""
     return build_lookups(raw, LOOKUP_SPECS)

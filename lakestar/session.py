@@ -56,3 +56,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lakestar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20,
+                 broadcast_bytes: int = 64 << 20) -> dict[str, str]:
+    """Settings sized to the input, so shuffle partitions fit executor memory without spilling.
+
+    Starts with about one shuffle partition per ``partition_bytes`` of input (AQE
+    coalesces the small ones and splits skewed ones), reads files in splits of
+    the same size, and caps automatic broadcasts at ``broadcast_bytes``.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+        "spark.sql.autoBroadcastJoinThreshold": str(broadcast_bytes),
+    }
