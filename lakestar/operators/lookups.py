@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -51,18 +52,25 @@ def build_lookups(sources: dict[str, DataFrame],
     labeled = values.select("lookup", "raw_value", label.alias("label"))
     sizes = {r["lookup"]: (r["values"], r["labels"]) for r in labeled.groupBy("lookup").agg(
         F.count(F.lit(1)).alias("values"), F.count_distinct("label").alias("labels")).collect()}
-    tables, maps = {}, {}
+    numbered_all = []
     for n, (_, _, _, id_col, name_col) in specs.items():
         n_values, n_labels = sizes.get(n, (0, 0))
         names = labeled.where((F.col("lookup") == n) & F.col("label").isNotNull()).select(
-            F.col("label").alias(name_col)).distinct()
+            F.col("label").alias("name")).distinct()
         if n_labels <= BROADCAST_MAX_ROWS:
-            numbered = names.select(F.row_number().over(Window.orderBy(name_col)).cast("int").alias(id_col), name_col)
+            numbered = names.select(F.row_number().over(Window.orderBy("name")).cast("int").alias("id"), "name")
         else:
-            numbered = dense_ids(names, name_col, id_col)
-        tables[n] = remember_rows(numbered, n_labels)
+            numbered = dense_ids(names, "name", "id")
+        numbered_all.append(numbered.select(F.lit(n).alias("lookup"), "id", "name"))
+    # all six numberings in one write, so later plans scan them instead of re-deriving them
+    numbered_all = materialize(reduce(lambda x, y: x.unionByName(y), numbered_all))
+    tables, maps = {}, {}
+    for n, (_, _, _, id_col, name_col) in specs.items():
+        n_values, n_labels = sizes.get(n, (0, 0))
+        mine = numbered_all.where(F.col("lookup") == n)
+        tables[n] = remember_rows(mine.select(F.col("id").alias(id_col), F.col("name").alias(name_col)), n_labels)
         vmap = (labeled.where(F.col("lookup") == n)
-                .join(numbered.select(F.col(name_col).alias("label"), F.col(id_col).alias("id")), "label")
+                .join(mine.select(F.col("name").alias("label"), "id"), "label")
                 .select("raw_value", "id"))
         maps[n] = remember_rows(vmap, n_values)          # an upper bound: one row per raw value at most
     return LookupSet(tables, maps)
