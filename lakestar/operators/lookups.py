@@ -64,14 +64,15 @@ def build_lookups(sources: dict[str, DataFrame],
         numbered_all.append(numbered.select(F.lit(n).alias("lookup"), "id", "name"))
     # all six numberings in one write, so later plans scan them instead of re-deriving them
     numbered_all = materialize(reduce(lambda x, y: x.unionByName(y), numbered_all))
+    # raw value -> id for every lookup, written once as well (a join of two small written frames)
+    maps_all = materialize(labeled.join(numbered_all.select("lookup", F.col("name").alias("label"), "id"),
+                                        ["lookup", "label"]).select("lookup", "raw_value", "id"))
     tables, maps = {}, {}
     for n, (_, _, _, id_col, name_col) in specs.items():
         n_values, n_labels = sizes.get(n, (0, 0))
         mine = numbered_all.where(F.col("lookup") == n)
         tables[n] = remember_rows(mine.select(F.col("id").alias(id_col), F.col("name").alias(name_col)), n_labels)
-        vmap = (labeled.where(F.col("lookup") == n)
-                .join(mine.select(F.col("name").alias("label"), "id"), "label")
-                .select("raw_value", "id"))
+        vmap = maps_all.where(F.col("lookup") == n).select("raw_value", "id")
         maps[n] = remember_rows(vmap, n_values)          # an upper bound: one row per raw value at most
     return LookupSet(tables, maps)
 
