@@ -70,7 +70,30 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def table_checks(tables: dict[str, DataFrame], contracts: dict[str, Table], prefix: str) -> dict[str, list[DataFrame]]:
+def column_checks(df: DataFrame, table_name: str, not_null: list[str],
+                  limits: dict[str, int]) -> tuple[DataFrame | None, DataFrame | None]:
+    """NOT NULL and VARCHAR(n) findings from ONE aggregate pass over the table."""
+    aggs = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"nn__{c}") for c in not_null]
+    aggs += [F.count(F.when(F.char_length(c) > n, F.lit(1))).alias(f"vc__{c}") for c, n in limits.items()]
+    if not aggs:
+        return None, None
+    row = df.agg(*aggs)
+    nn = vc = None
+    if not_null:
+        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"nn__{c}").cast("long").alias("null_rows"))
+                        for c in not_null])
+        nn = row.select(F.explode(arr).alias("kv")).select(F.lit(table_name).alias("table_name"),
+                                                          "kv.column_name", "kv.null_rows")
+    if limits:
+        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("max_chars"),
+                                 F.col(f"vc__{c}").cast("long").alias("overflow_rows")) for c, n in limits.items()])
+        vc = row.select(F.explode(arr).alias("kv")).select(F.lit(table_name).alias("table_name"), "kv.column_name",
+                                                          "kv.max_chars", "kv.overflow_rows")
+    return nn, vc
+
+
+def table_checks(tables: dict[str, DataFrame], contracts: dict[str, Table], prefix: str,
+                 varchar: bool = True) -> dict[str, list[DataFrame]]:
     """All single-table checks for a layer, grouped by check kind."""
     out: dict[str, list[DataFrame]] = {"pk": [], "not_null": [], "varchar": []}
     for name, df in tables.items():
@@ -80,10 +103,11 @@ def table_checks(tables: dict[str, DataFrame], contracts: dict[str, Table], pref
             out["pk"].append(key_summary(df, qual, list(t.key)))
         for u in t.unique:
             out["pk"].append(key_summary(df, qual, list(u)))
-        if t.not_null:
-            out["not_null"].append(not_null_summary(df, qual, list(t.not_null)))
-        if t.varchar:
-            out["varchar"].append(varchar_summary(df, qual, dict(t.varchar)))
+        nn, vc = column_checks(df, qual, list(t.not_null), dict(t.varchar) if varchar else {})
+        if nn is not None:
+            out["not_null"].append(nn)
+        if vc is not None:
+            out["varchar"].append(vc)
     return out
 
 

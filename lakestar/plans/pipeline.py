@@ -38,7 +38,7 @@ def quality_frames(b: Build) -> dict[str, DataFrame]:
     gold_t = b.gold_tables()
     lk = b.lookups
     s = quality.table_checks(silver_t, schemas.SILVER, "silver")
-    lq = quality.table_checks(lk, schemas.LOOKUPS, "silver")
+    lq = quality.table_checks(lk, schemas.LOOKUPS, "silver", varchar=False)
     g = quality.table_checks(gold_t, schemas.GOLD, "gold")
     parents = {n: (f"silver.{n}", df) for n, df in {**silver_t, **lk}.items()}
     gparents = {n: (f"gold.{n}", df) for n, df in gold_t.items()}
