@@ -32,24 +32,35 @@ class RunReport:
     table_seconds: dict[str, float]
 
 
-def quality_frames(b: Build) -> dict[str, DataFrame]:
-    """Checks over the built silver and gold tables (plus lookups)."""
+def quality_frames(b: Build, threads: int = 8) -> dict[str, DataFrame]:
+    """Checks over the built silver and gold tables (plus lookups).
+
+    The ~60 check frames are independent, so their (driver-side) analysis is
+    done on a small thread pool; nothing runs until they are written.
+    """
     silver_t = b.silver_tables()
     gold_t = b.gold_tables()
     lk = b.lookups
-    s = quality.table_checks(silver_t, schemas.SILVER, "silver")
-    lq = quality.table_checks(lk, schemas.LOOKUPS, "silver", varchar=False)
-    g = quality.table_checks(gold_t, schemas.GOLD, "gold")
+    jobs = []
+    for tables, contracts, prefix, varchar in [(silver_t, schemas.SILVER, "silver", True),
+                                               (lk, schemas.LOOKUPS, "silver", False),
+                                               (gold_t, schemas.GOLD, "gold", True)]:
+        for name, df in tables.items():
+            jobs.append(lambda n=name, d=df, c=contracts, p=prefix, v=varchar:
+                        quality.table_checks({n: d}, c, p, varchar=v))
     parents = {n: (f"silver.{n}", df) for n, df in {**silver_t, **lk}.items()}
     gparents = {n: (f"gold.{n}", df) for n, df in gold_t.items()}
-    fk = quality.fk_checks(silver_t, schemas.SILVER, "silver", parents) + \
-        quality.fk_checks(gold_t, schemas.GOLD, "gold", gparents)
-    return {
-        "pk": quality.union_all(s["pk"] + lq["pk"] + g["pk"]),
-        "not_null": quality.union_all(s["not_null"] + lq["not_null"] + g["not_null"]),
-        "varchar": quality.union_all(s["varchar"] + g["varchar"]),
-        "fk": quality.union_all(fk),
-    }
+    for name, df in silver_t.items():
+        jobs.append(lambda n=name, d=df: {"fk": quality.fk_checks({n: d}, schemas.SILVER, "silver", parents)})
+    for name, df in gold_t.items():
+        jobs.append(lambda n=name, d=df: {"fk": quality.fk_checks({n: d}, schemas.GOLD, "gold", gparents)})
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        results = list(pool.map(lambda f: f(), jobs))
+    merged: dict[str, list[DataFrame]] = {"pk": [], "not_null": [], "varchar": [], "fk": []}
+    for r in results:
+        for kind, frames in r.items():
+            merged[kind].extend(frames)
+    return {kind: quality.union_all(frames) for kind, frames in merged.items()}
 
 
 # Tables whose inputs are all built by earlier waves; a wave's writes are
@@ -99,9 +110,10 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
     secs["gold"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    q = quality_frames(b)
     with ThreadPoolExecutor(max_workers=2) as pool:
-        rej = pool.submit(w, "audit", "rejected_rows", rejected_rows(b))
+        rej_df = pool.submit(rejected_rows, b)
+        q = quality_frames(b)
+        rej = pool.submit(w, "audit", "rejected_rows", rej_df.result())
         dq_f = pool.submit(w, "audit", "dq_results", quality.dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"]))
         rej.result()
         dq = dq_f.result()
