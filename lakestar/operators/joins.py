@@ -8,6 +8,7 @@ shuffled join, which AQE can still split when one key is hot.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation
@@ -34,7 +35,27 @@ def remember_rows(df: DataFrame, rows: int) -> DataFrame:
     return df
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def write_table(df: DataFrame, path: str, obs: Observation, bucket: tuple[str, int] | None = None,
+                fmt: str = "parquet", mode: str = "overwrite", metrics: list | None = None) -> DataFrame:
+    """Write ``df`` (counting rows while writing) and return it read back.
+
+    With ``bucket=(column, n)`` the files are bucketed on ``column`` and the table
+    is registered in the session catalog (data stays at ``path``), so later joins
+    and aggregations on that column read it already hash-partitioned and shuffle
+    only the other side.
+    """
+    spark = df.sparkSession
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or []))
+    if bucket is None:
+        observed.write.mode(mode).format(fmt).save(path)
+        return spark.read.format(fmt).load(path)
+    col, n = bucket
+    name = "lakestar_" + re.sub(r"[^0-9A-Za-z_]", "_", path.rstrip("/").split("://")[-1])[-180:]
+    observed.write.mode(mode).format(fmt).bucketBy(n, col).sortBy(col).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def materialize(df: DataFrame, bucket: tuple[str, int] | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     One job (a reliable ``checkpoint()`` computes the plan twice unless cached),
@@ -44,8 +65,8 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-tables/{uuid.uuid4().hex}"
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return remember_rows(spark.read.parquet(path), int(obs.get["rows"]))
+    out = write_table(df, path, obs, bucket)
+    return remember_rows(out, int(obs.get["rows"]))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:

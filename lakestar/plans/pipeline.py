@@ -80,9 +80,16 @@ def build_waves(b: Build, waves: list[list[str]], parallel: bool = True) -> None
                 getattr(b, attr)
 
 
+def co_location(spark: SparkSession) -> dict[str, tuple[str, int]]:
+    """Parents joined again and again on one key are written bucketed on it."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return {"silver.users": ("user_legacy_id", n), "silver.subscriptions": ("sub_id", n)}
+
+
 def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT_AS_OF,
         publish: bool = True, run_id: str | None = None) -> RunReport:
-    w = LayerWriter(spark, root) if run_id is None else LayerWriter(spark, root, run_id)
+    w = LayerWriter(spark, root, buckets=co_location(spark)) if run_id is None else \
+        LayerWriter(spark, root, run_id, buckets=co_location(spark))
     secs: dict[str, float] = {}
 
     t = time.perf_counter()

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import remember_rows
+from lakestar.operators.joins import remember_rows, write_table
 
 
 @dataclass
@@ -36,6 +36,7 @@ class LayerWriter:
     run_id: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
                         + "-" + uuid.uuid4().hex[:6])
     fmt: str = "parquet"
+    buckets: dict[str, tuple[str, int]] = field(default_factory=dict)   # "layer.table" -> (column, n)
     stats: list[WriteStat] = field(default_factory=list)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
@@ -51,12 +52,12 @@ class LayerWriter:
         path = self.path(layer, table)
         obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:6]}")
         t0 = time.perf_counter()
-        df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or [])).write.mode(mode).format(self.fmt).save(path)
+        out = write_table(df, path, obs, self.buckets.get(f"{layer}.{table}"), self.fmt, mode, metrics)
         got = dict(obs.get)
         rows = int(got["rows"])
         with self._lock:
             self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path, got))
-        return remember_rows(self.spark.read.format(self.fmt).load(path), rows)
+        return remember_rows(out, rows)
 
     def local_frame(self, data: dict, ddl: str) -> DataFrame:
         """A small frame from driver-side values (one row per table), via Arrow."""
@@ -82,6 +83,7 @@ def published_run(spark: SparkSession, root: str) -> str:
 
 
 def read_published(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
+    """Files of the published run (bucketed tables read as plain parquet here)."""
     run = published_run(spark, root)
     return spark.read.parquet(f"{root.rstrip('/')}/runs/{run}/{layer}/{table}")
 

@@ -38,7 +38,9 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", shuffle_partitions=16)
     raw = {k: materialize(v) for k, v in Fixtures(spark, sf_dir).raw().items()}   # bronze, as written by a run
-    b = Build(spark, raw, sink=lambda layer, name, df: materialize(df))
+    from lakestar.plans.pipeline import co_location
+    buckets = co_location(spark)
+    b = Build(spark, raw, sink=lambda layer, name, df: materialize(df, buckets.get(f"{layer}.{name}")))
     b.lookups, b.locations, b.users, b.watchlist, b.devices, b.subscriptions, b.payments, b.viewing_activity
     b.dim_date, b.dim_content, b.dim_user
     def items():
