@@ -47,8 +47,14 @@ def _ratio(num: Column, den: Column) -> Column:
 
 
 class Ticketing:
-    def __init__(self, raw: dict[str, DataFrame]):
+    """``sink(layer, name, df)`` (optional) writes each finished table and returns it read back."""
+
+    def __init__(self, raw: dict[str, DataFrame], sink=None):
         self.raw = raw
+        self.sink = sink
+
+    def _out(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        return df if self.sink is None else self.sink(layer, name, df)
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Ticketing":
@@ -62,19 +68,22 @@ class Ticketing:
     def venues(self) -> DataFrame:
         v = first_per_key(self.raw["venues"].where(F.col("venue_id").isNotNull()), ["venue_id"])
         cap = cast_to(F.col("capacity"), v.schema["capacity"].dataType, T.IntegerType())
-        return v.select("venue_id", "name", cap.alias("capacity"))
+        out = v.select("venue_id", "name", cap.alias("capacity"))
+        return self._out("silver", "venues", out)
 
     @cached_property
     def events(self) -> DataFrame:
         e = first_per_key(self.raw["events"].where(F.col("event_id").isNotNull()), ["event_id"])
-        return e.select("event_id", "artist_id", "venue_id", dates.text_to_date("event_date").alias("event_date"),
-                        conform_enum("status", EVENT_STATUSES).alias("status"),
-                        F.col("ticket_price").try_cast("decimal(10,2)").alias("ticket_price"))
+        out = e.select("event_id", "artist_id", "venue_id", dates.text_to_date("event_date").alias("event_date"),
+                       conform_enum("status", EVENT_STATUSES).alias("status"),
+                       F.col("ticket_price").try_cast("decimal(10,2)").alias("ticket_price"))
+        return self._out("silver", "events", out)
 
     @cached_property
     def customers(self) -> DataFrame:
         c = first_per_key(self.raw["customers"].where(F.col("customer_id").isNotNull()), ["customer_id"])
-        return c.select("customer_id", "name", normalise_email("email").alias("email"))
+        out = c.select("customer_id", "name", normalise_email("email").alias("email"))
+        return self._out("silver", "customers", out)
 
     @cached_property
     def tickets(self) -> DataFrame:
@@ -83,8 +92,9 @@ class Ticketing:
         t = semi(t, self.customers.select("customer_id"), "customer_id")
         t = first_per_key(t, ["ticket_id"], [asc("event_id"), asc("purchase_datetime"), asc("channel"),
                                              asc("price_paid")])
-        return t.select("ticket_id", "event_id", "customer_id", "purchase_datetime",
-                        conform_enum("channel").alias("channel"), "price_paid")
+        out = t.select("ticket_id", "event_id", "customer_id", "purchase_datetime",
+                       conform_enum("channel").alias("channel"), "price_paid")
+        return self._out("silver", "tickets", out)
 
     def _via_ticket(self, df: DataFrame, key: str, orders) -> DataFrame:
         """FK-valid rows, deduplicated, carrying the event of their ticket."""
@@ -95,19 +105,22 @@ class Ticketing:
     @cached_property
     def checkins(self) -> DataFrame:
         c = self._via_ticket(self.raw["checkins"], "checkin_id", [])
-        return c.select("checkin_id", F.col("__ticket_event").alias("event_id"), "ticket_id")
+        out = c.select("checkin_id", F.col("__ticket_event").alias("event_id"), "ticket_id")
+        return self._out("silver", "checkins", out)
 
     @cached_property
     def refunds(self) -> DataFrame:
         r = self._via_ticket(self.raw["refunds"], "refund_id", [asc("refund_amount"), asc("refunded_at")])
-        return r.select("refund_id", "ticket_id", F.col("__ticket_event").alias("event_id"), "refund_amount",
-                        "refunded_at")
+        out = r.select("refund_id", "ticket_id", F.col("__ticket_event").alias("event_id"), "refund_amount",
+                       "refunded_at")
+        return self._out("silver", "refunds", out)
 
     @cached_property
     def campaigns(self) -> DataFrame:
         c = self.raw["campaigns"].where(F.col("campaign_id").isNotNull())
         c = first_per_key(semi(c, self.events.select("event_id"), "event_id"), ["campaign_id"])
-        return c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend")
+        out = c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend")
+        return self._out("silver", "campaigns", out)
 
     # ---- gold ----
     @cached_property
@@ -125,12 +138,13 @@ class Ticketing:
         came_n = F.coalesce("attendance", F.lit(0)).cast("long")
         gross = F.coalesce("gross_revenue", F.lit(0)).cast("decimal(18,2)")
         refunds = F.coalesce("refunds_amount", F.lit(0)).cast("decimal(18,2)")
-        return e.select("event_id", "event_date", "artist_id", "venue_id", "venue_capacity",
-                        sold_n.alias("tickets_sold"), came_n.alias("attendance"),
-                        (F.lit(1.0) - _ratio(came_n, sold_n)).alias("no_show_rate"),
-                        gross.alias("gross_revenue"), refunds.alias("refunds_amount"),
-                        (gross - refunds).cast("decimal(18,2)").alias("net_revenue"),
-                        _ratio(sold_n, F.col("venue_capacity")).alias("sell_through"))
+        out = e.select("event_id", "event_date", "artist_id", "venue_id", "venue_capacity",
+                       sold_n.alias("tickets_sold"), came_n.alias("attendance"),
+                       (F.lit(1.0) - _ratio(came_n, sold_n)).alias("no_show_rate"),
+                       gross.alias("gross_revenue"), refunds.alias("refunds_amount"),
+                       (gross - refunds).cast("decimal(18,2)").alias("net_revenue"),
+                       _ratio(sold_n, F.col("venue_capacity")).alias("sell_through"))
+        return self._out("gold", "event_sales", out)
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
@@ -142,9 +156,10 @@ class Ticketing:
                 .groupBy("date").agg(F.sum("refund").alias("refunds")))
         d = sold.join(back, "date", "left")
         gross = F.col("gross_revenue").cast("decimal(18,2)")
-        return d.select("date", F.col("tickets_sold").cast("long").alias("tickets_sold"),
-                        gross.alias("gross_revenue"),
-                        (gross - F.coalesce("refunds", F.lit(0))).cast("decimal(18,2)").alias("net_revenue"))
+        out = d.select("date", F.col("tickets_sold").cast("long").alias("tickets_sold"),
+                       gross.alias("gross_revenue"),
+                       (gross - F.coalesce("refunds", F.lit(0))).cast("decimal(18,2)").alias("net_revenue"))
+        return self._out("gold", "daily_metrics", out)
 
     @cached_property
     def campaign_roi(self) -> DataFrame:
@@ -155,5 +170,6 @@ class Ticketing:
         sp = F.col("spend").cast("decimal(18,2)")
         n = F.coalesce("conv_tickets", F.lit(0)).cast("long")
         rev = F.coalesce("conv_revenue", F.lit(0)).cast("decimal(18,2)")
-        return j.select("event_id", "channel", sp.alias("spend"), n.alias("conv_tickets"), rev.alias("conv_revenue"),
-                        _ratio(sp, n).alias("cpa"), _ratio(rev - sp, sp).alias("roi"))
+        out = j.select("event_id", "channel", sp.alias("spend"), n.alias("conv_tickets"), rev.alias("conv_revenue"),
+                       _ratio(sp, n).alias("cpa"), _ratio(rev - sp, sp).alias("roi"))
+        return self._out("gold", "campaign_roi", out)

@@ -134,3 +134,37 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
     return RunReport(w.run_id, ok and publish, failed, secs,
                      {f"{s.layer}.{s.table}": s.rows for s in w.stats},
                      {f"{s.layer}.{s.table}": round(s.seconds, 3) for s in w.stats})
+
+
+def run_ticketing(spark: SparkSession, raw: dict[str, DataFrame], root: str,
+                  publish: bool = True) -> RunReport:
+    """Documented ticketing domain: silver rules, then event sales, daily metrics, campaign ROI.
+
+    Each silver table is written once and read back before the KPIs read it;
+    independent tables of a wave are written together.
+    """
+    from lakestar.plans.kpis import Ticketing
+
+    w = LayerWriter(spark, root)
+    secs: dict[str, float] = {}
+    k = Ticketing(raw, sink=w)
+    t = time.perf_counter()
+    build_waves(k, [["venues", "events", "customers"], ["tickets"], ["checkins", "refunds", "campaigns"]])
+    secs["silver"] = time.perf_counter() - t
+    t = time.perf_counter()
+    build_waves(k, [["event_sales", "daily_metrics", "campaign_roi"]])
+    secs["gold"] = time.perf_counter() - t
+    key_checks = quality.union_all([
+        quality.key_summary(k.tickets, "silver.tickets", ["ticket_id"]),
+        quality.key_summary(k.event_sales, "gold.event_sales", ["event_id"]),
+        quality.key_summary(k.daily_metrics, "gold.daily_metrics", ["date"]),
+        quality.key_summary(k.campaign_roi, "gold.campaign_roi", ["event_id", "channel"])])
+    checks = w("audit", "key_checks", key_checks)
+    failed = checks.where((F.col("null_key_rows") + F.col("duplicate_key_values")) > 0).count()
+    w("audit", "load_audit", w.stats_frame())
+    ok = failed == 0
+    if ok and publish:
+        w.publish()
+    return RunReport(w.run_id, ok and publish, failed, secs,
+                     {f"{s.layer}.{s.table}": s.rows for s in w.stats},
+                     {f"{s.layer}.{s.table}": round(s.seconds, 3) for s in w.stats})

@@ -56,6 +56,24 @@ RAW = {
                                ("completion_percentage", T.DoubleType()), ("rating", I)),
 }
 RAW_TABLES = list(RAW)
+
+# --- documented ticketing inputs (column lists from the data dictionary) ---
+RAW_TICKETING = {
+    "artists": struct(("artist_id", L), ("name", S), ("genre", S), ("country", S), ("created_at", S)),
+    "venues": struct(("venue_id", L), ("name", S), ("city", S), ("state", S), ("country", S), ("capacity", S)),
+    "events": struct(("event_id", L), ("artist_id", L), ("venue_id", L), ("event_date", S), ("status", S),
+                     ("ticket_price", S), ("currency", S)),
+    "customers": struct(("customer_id", L), ("name", S), ("email", S), ("city", S), ("state", S), ("country", S),
+                        ("created_at", S)),
+    "tickets": struct(("ticket_id", L), ("event_id", L), ("customer_id", L), ("purchase_datetime", TS),
+                      ("channel", S), ("price_paid", dec(12, 2)), ("currency", S), ("status", S)),
+    "checkins": struct(("checkin_id", L), ("event_id", L), ("ticket_id", L), ("scanned_at", S), ("gate", S)),
+    "refunds": struct(("refund_id", L), ("ticket_id", L), ("event_id", L), ("reason", S),
+                      ("refund_amount", dec(12, 2)), ("refunded_at", TS)),
+    "campaigns": struct(("campaign_id", L), ("event_id", L), ("channel", S), ("spend", dec(12, 2)),
+                        ("impressions", L), ("clicks", L), ("conversions", L), ("start_date", S), ("end_date", S)),
+}
+RAW.update({f"ticketing.{n}": s for n, s in RAW_TICKETING.items()})
 RAW_STRING = {n: struct(*[(f.name, S) for f in s.fields]) for n, s in RAW.items()}
 
 

@@ -1,4 +1,4 @@
-"""Raw (bronze) landing: read each raw table with an explicit schema, conform it to
+"""Raw (bronze) landing: read each raw table as text, conform it by column name to
 the landing contract (ids and measures numeric, dates and labels text), and drop
 rows that are entirely NULL. A missing table is reported and skipped.
 """
@@ -20,8 +20,11 @@ def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parqu
     """Read one raw table; ``None`` if the path does not exist."""
     try:
         if fmt == "csv":
-            df = (spark.read.schema(schemas.RAW_STRING[table]).option("header", True)
-                  .option("mode", "PERMISSIVE").csv(path))
+            # Header names, every column read as text (no inference): columns are then
+            # matched to the contract by name, so a file with another column order or
+            # fewer columns lands correctly (an explicit CSV schema would bind by position).
+            df = (spark.read.option("header", True).option("inferSchema", False)
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
         else:
             df = spark.read.format(fmt).load(path)
         df.schema  # resolves the path now, so a missing table is caught here
@@ -39,12 +42,18 @@ def land(df: DataFrame) -> DataFrame:
 
 
 def read_raw_set(spark: SparkSession, folder: str, fmt: str = "parquet",
-                 tables: list[str] | None = None) -> dict[str, DataFrame]:
-    """``{table: landed frame}`` for every raw table present under ``folder``."""
+                 tables: list[str] | None = None, domain: str = "subscriptions") -> dict[str, DataFrame]:
+    """``{table: landed frame}`` for every raw table present under ``folder``.
+
+    ``domain="ticketing"`` reads the documented ticketing inputs (artists, venues,
+    events, customers, tickets, checkins, refunds, campaigns) instead.
+    """
     ext = {"csv": ".csv", "parquet": ""}.get(fmt, "")
+    prefix = "ticketing." if domain == "ticketing" else ""
+    names = tables or (list(schemas.RAW_TICKETING) if domain == "ticketing" else schemas.RAW_TABLES)
     out = {}
-    for t in tables or schemas.RAW_TABLES:
-        df = read_raw_table(spark, f"{folder.rstrip('/')}/{t}{ext}", t, fmt)
+    for t in names:
+        df = read_raw_table(spark, f"{folder.rstrip('/')}/{t}{ext}", prefix + t, fmt)
         if df is not None:
             out[t] = land(df)
     return out

@@ -18,9 +18,11 @@ from lakestar.sources.landing import land
 
 def land_stream(spark: SparkSession, src_dir: str, table: str, out_path: str, checkpoint: str,
                 fmt: str = "csv", max_files_per_trigger: int = 1000) -> StreamingQuery:
+    # A stream needs its schema up front; CSV files must carry the contract's column order.
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        stream = reader.schema(schemas.RAW_STRING[table]).option("header", True).csv(src_dir)
+        stream = (reader.schema(schemas.RAW_STRING[table]).option("header", True)
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(src_dir))
     else:
         stream = reader.schema(schemas.RAW[table]).format(fmt).load(src_dir)
     landed = land(conform(stream, schemas.RAW[table]))
