@@ -188,12 +188,11 @@ def q_parse_mixed_ts(spark, sf_dir):
 
 
 @register("strict_iso_timestamp", O.query(f"""
-SELECT payment_id, {O.strict_ts('payment_date')} AS payment_date,
-       {O.strict_ts(chr(39) + '2024-01-05' + chr(39))} AS date_only FROM raw_payments""", "raw_payments"))
+SELECT device_id, last_used AS raw_value, {O.strict_ts('last_used')} AS last_used FROM raw_devices""", "raw_devices"))
 def q_strict_ts(spark, sf_dir):
-    return _raw(spark, sf_dir)["payments"].select(
-        "payment_id", dates.strict_iso_timestamp("payment_date").alias("payment_date"),
-        dates.strict_iso_timestamp(F.lit("2024-01-05")).alias("date_only"))
+    # last_used mixes full ISO timestamps with date-only values; only the former parse
+    return _raw(spark, sf_dir)["devices"].select(
+        "device_id", F.col("last_used").alias("raw_value"), dates.strict_iso_timestamp("last_used").alias("last_used"))
 
 
 @register("date_parts", O.query(f"""

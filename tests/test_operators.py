@@ -74,3 +74,23 @@ def test_orphans_and_varchar(spark):
     assert quality.orphan_summary(child, "p", parent, "id", "c", "p").first().orphan_rows == 1
     r = quality.varchar_summary(child, "c", {"s": 3}).first()
     assert (r.column_name, r.max_chars, r.overflow_rows) == ("s", 3, 1)
+
+
+def test_lookups_large_path_matches_small_path(spark, monkeypatch):
+    """Above the bound, labels are numbered by dense_ids and maps are joined by shuffle: same ids."""
+    from lakestar.operators import joins, lookups
+    from lakestar.plans import silver
+    from lakestar.sources.fixtures import Fixtures
+    from tests.conftest import SMALL_SF
+    raw = Fixtures(spark, SMALL_SF).raw()
+    small = silver.all_lookups(raw)
+    monkeypatch.setattr(lookups, "BROADCAST_MAX_ROWS", 2)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 2)
+    big = silver.all_lookups(raw)
+    for name in silver.LOOKUP_SPECS:
+        assert sorted(big.tables[name].collect()) == sorted(small.tables[name].collect()), name
+        assert sorted(big.value_maps[name].collect()) == sorted(small.value_maps[name].collect()), name
+    w_big = silver.watchlist(raw["watchlist"], big.value_maps["dim_content_types"], big.value_maps["dim_genres"])
+    w_small = silver.watchlist(raw["watchlist"], small.value_maps["dim_content_types"],
+                               small.value_maps["dim_genres"])
+    assert sorted(w_big.collect()) == sorted(w_small.collect())
