@@ -58,3 +58,20 @@ def test_ticketing_run_from_csv_inputs(spark):
     got = read_published(spark, root, "gold", "event_sales")
     cols = ["event_id", "tickets_sold", "attendance", "gross_revenue", "refunds_amount"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, expected.select(cols).collect()))
+
+
+def test_writer_append_and_publish_flip(spark):
+    from lakestar.sources.sinks import LayerWriter, append, published_run
+    root = tempfile.mkdtemp(prefix="lakestar-flip-")
+    first = LayerWriter(spark, root, "run1")
+    first("gold", "t", spark.range(3))
+    first.publish()
+    second = LayerWriter(spark, root, "run2")
+    second("gold", "t", spark.range(5))
+    assert published_run(spark, root) == "run1"          # an unpublished run is invisible
+    assert read_published(spark, root, "gold", "t").count() == 3
+    append(spark.range(2), second.path("gold", "t"))
+    second.publish()
+    assert published_run(spark, root) == "run2"
+    assert read_published(spark, root, "gold", "t").count() == 7
+    assert [s.rows for s in second.stats] == [5]          # rows counted while writing
