@@ -38,6 +38,7 @@ class Build:
         self.raw = raw
         self.as_of = as_of
         self.sink = sink
+        self._checked: dict[str, DataFrame] = {}     # created here: waves read it from several threads
 
     def _out(self, layer: str, name: str, df: DataFrame, reuse: bool = False) -> DataFrame:
         if self.sink is not None:
@@ -71,6 +72,14 @@ class Build:
         """Raw value -> id for one lookup (labels computed on distinct raw values only)."""
         return self._lookup_set.value_maps[name]
 
+    # ---- FK-checked raw tables (one set of FK joins feeds silver and rejects) ----
+    def checked(self, table: str) -> DataFrame:
+        if table not in self._checked:
+            parents = {p: getattr(self, p) for _, p, _ in silver.FK_TESTS[table]}
+            df = silver.check_fks(table, self.raw[table], parents)
+            self._checked[table] = self._out("bronze", f"{table}_fk_checked", df)
+        return self._checked[table]
+
     # ---- silver ----
     @cached_property
     def locations(self) -> DataFrame:
@@ -78,7 +87,8 @@ class Build:
 
     @cached_property
     def users(self) -> DataFrame:
-        return self._out("silver", "users", silver.users(self.raw["users"], self.locations), reuse=True)
+        return self._out("silver", "users", silver.users(self.raw["users"], checked=self.checked("users")),
+                         reuse=True)
 
     @cached_property
     def watchlist(self) -> DataFrame:
@@ -87,22 +97,24 @@ class Build:
 
     @cached_property
     def devices(self) -> DataFrame:
-        return self._out("silver", "devices", silver.devices(self.raw["devices"], self.users,
-                                                              self.vmap("dim_device_types"), self.vmap("dim_os")))
+        return self._out("silver", "devices", silver.devices(self.raw["devices"], None, self.vmap("dim_device_types"),
+                                                              self.vmap("dim_os"), checked=self.checked("devices")))
 
     @cached_property
     def subscriptions(self) -> DataFrame:
         return self._out("silver", "subscriptions", silver.subscriptions(
-            self.raw["subscriptions"], self.users, self.vmap("dim_plan_types"), self.vmap("dim_event_types")))
+            self.raw["subscriptions"], None, self.vmap("dim_plan_types"), self.vmap("dim_event_types"),
+            checked=self.checked("subscriptions")))
 
     @cached_property
     def payments(self) -> DataFrame:
-        return self._out("silver", "payments", silver.payments(self.raw["payments"], self.subscriptions))
+        return self._out("silver", "payments", silver.payments(self.raw["payments"], None,
+                                                                checked=self.checked("payments")))
 
     @cached_property
     def viewing_activity(self) -> DataFrame:
         return self._out("silver", "viewing_activity", silver.viewing_activity(
-            self.raw["viewing_activity"], self.users, self.watchlist, self.devices))
+            self.raw["viewing_activity"], None, None, None, checked=self.checked("viewing_activity")))
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {"locations": self.locations, "users": self.users, "watchlist": self.watchlist,

@@ -1,8 +1,9 @@
 """Rejected rows (the reference declares ``audit.rejected_rows`` but never fills it).
 
 Every raw row is tested against all rules of its silver table in one pass: row
-rules are Column predicates, a foreign-key miss is a left join to the parent's
-(unique) key carrying a marker column. A row yields one reject record per rule
+rules are Column predicates, and a foreign-key miss is a missing marker in the
+FK-checked raw table the silver build itself reads (``Build.checked``), so in a
+run the FK joins are not repeated for the rejects. A row yields one reject record per rule
 it breaks, with its JSON image. Rules that null a value but keep the row (a
 pattern-matching date that is not a real date, an unknown device label) are
 reported too: the reference would have aborted the whole load on those.
@@ -14,9 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestar.functions import dates, text
-from lakestar.operators.joins import join_small
 from lakestar.plans.build import Build
-from lakestar.plans.silver import end_not_before_start, rating_ok
+from lakestar.plans.silver import end_not_before_start, fk_marker, rating_ok
 
 REJECT_COLUMNS = ["source_table", "target_table", "rejection_reason", "row_key", "row_data", "rejected_at"]
 
@@ -29,11 +29,6 @@ def _matched_but_null(raw: Column, patterns: list[str], parsed: Column) -> Colum
     return raw.isNotNull() & matched & parsed.isNull()
 
 
-def _with_fk(df: DataFrame, col: str, parent: DataFrame, parent_col: str, flag: str, small: bool) -> DataFrame:
-    keys = parent.select(F.col(parent_col).alias(col), F.lit(True).alias(flag))
-    return join_small(df, keys, col, "left") if small else df.join(keys, col, "left")
-
-
 def _rejects(table: str, df: DataFrame, key: str, rules: list[tuple[str, Column]],
              raw_cols: list[str]) -> DataFrame:
     reasons = F.filter(F.array(*[F.when(cond, F.lit(reason)) for reason, cond in rules]),
@@ -45,8 +40,8 @@ def _rejects(table: str, df: DataFrame, key: str, rules: list[tuple[str, Column]
                     "rejection_reason", "row_key", "row_data", F.current_timestamp().alias("rejected_at")))
 
 
-def _fk_miss(flag: str) -> Column:
-    return F.col(flag).isNull()
+def _fk_miss(parent: str) -> Column:
+    return F.col(fk_marker(parent)).isNull()
 
 
 def rejected_rows(b: Build) -> DataFrame:
@@ -58,11 +53,11 @@ def rejected_rows(b: Build) -> DataFrame:
                         [("country_id is null", F.col("country_id").isNull())], r.columns))
 
     r = raw["users"]
-    j = _with_fk(r, "country_id", b.locations, "country_id", "__fk", small=True)
+    j = b.checked("users")
     out.append(_rejects("users", j, "user_id", [
         ("user_legacy_id is null", F.col("user_legacy_id").isNull()),
         ("name is blank", text.is_blank("name")),
-        ("country_id not in locations", _fk_miss("__fk")),
+        ("country_id not in locations", _fk_miss("locations")),
         ("signup_date is not a valid date",
          _matched_but_null(F.col("signup_date"), [dates.ISO_DATE_PREFIX, dates.US_DATE_EXACT],
                            dates.iso_or_us_date("signup_date"))),
@@ -73,10 +68,10 @@ def rejected_rows(b: Build) -> DataFrame:
                         [("content_id is null", F.col("content_id").isNull())], r.columns))
 
     r = raw["devices"]
-    j = _with_fk(r, "user_legacy_id", b.users, "user_legacy_id", "__fk", small=False)
+    j = b.checked("devices")
     out.append(_rejects("devices", j, "device_id", [
         ("device_id is null", F.col("device_id").isNull()),
-        ("user_legacy_id not in users", _fk_miss("__fk")),
+        ("user_legacy_id not in users", _fk_miss("users")),
         ("device_type has no canonical label",
          F.col("device_type").isNotNull() & text.device_type_label("device_type").isNull()),
         ("operating_system has no canonical label",
@@ -86,11 +81,11 @@ def rejected_rows(b: Build) -> DataFrame:
     ], r.columns))
 
     r = raw["subscriptions"]
-    j = _with_fk(r, "user_legacy_id", b.users, "user_legacy_id", "__fk", small=False)
+    j = b.checked("subscriptions")
     out.append(_rejects("subscriptions", j, "sub_id", [
         ("sub_id is null", F.col("sub_id").isNull()),
         ("end_date before start_date", ~F.coalesce(end_not_before_start(), F.lit(False))),
-        ("user_legacy_id not in users", _fk_miss("__fk")),
+        ("user_legacy_id not in users", _fk_miss("users")),
         ("start_date is not a valid date",
          _matched_but_null(F.col("start_date"), [dates.ISO_DATE_EXACT], dates.strict_iso_date("start_date"))),
         ("end_date is not a valid date",
@@ -101,11 +96,11 @@ def rejected_rows(b: Build) -> DataFrame:
     ], r.columns))
 
     r = raw["payments"]
-    j = _with_fk(r, "sub_id", b.subscriptions, "sub_id", "__fk", small=False)
+    j = b.checked("payments")
     out.append(_rejects("payments", j, "payment_id", [
         ("payment_id is null", F.col("payment_id").isNull()),
         ("amount is negative or missing", ~F.coalesce(F.col("amount") >= 0, F.lit(False))),
-        ("sub_id not in subscriptions", _fk_miss("__fk")),
+        ("sub_id not in subscriptions", _fk_miss("subscriptions")),
         ("amount does not fit numeric(10,2)",
          F.col("amount").isNotNull() & F.col("amount").try_cast("decimal(10,2)").isNull()),
         ("payment_date is not a valid timestamp",
@@ -114,15 +109,13 @@ def rejected_rows(b: Build) -> DataFrame:
     ], r.columns))
 
     r = raw["viewing_activity"]
-    j = _with_fk(r, "user_legacy_id", b.users, "user_legacy_id", "__fk_u", small=False)
-    j = _with_fk(j, "content_id", b.watchlist, "content_id", "__fk_c", small=False)
-    j = _with_fk(j, "device_id", b.devices, "device_id", "__fk_d", small=False)
+    j = b.checked("viewing_activity")
     out.append(_rejects("viewing_activity", j, "session_id", [
         ("session_id is null", F.col("session_id").isNull()),
         ("rating outside 1..5", ~F.coalesce(rating_ok(), F.lit(False))),
-        ("user_legacy_id not in users", _fk_miss("__fk_u")),
-        ("content_id not in watchlist", _fk_miss("__fk_c")),
-        ("device_id not in devices", _fk_miss("__fk_d")),
+        ("user_legacy_id not in users", _fk_miss("users")),
+        ("content_id not in watchlist", _fk_miss("watchlist")),
+        ("device_id not in devices", _fk_miss("devices")),
         ("session_start_ts is not a valid timestamp",
          _matched_but_null(F.col("session_start_ts"), [dates.ISO_DATE_PREFIX, dates.US_DATE_PREFIX],
                            dates.iso_or_us_timestamp("session_start_ts"))),

@@ -1,13 +1,15 @@
 """Silver layer: typed, cleaned, deduplicated, foreign-key-valid tables and lookups.
 
-Order inside every table build: row rules (WHERE) -> FK existence (left semi
-join) -> one row per key (``first_per_key``) -> parse / label / attach ids ->
-assignment cast to the silver schema. Deduplicating after the rules means an
+Order inside every table build: FK existence (left join with a marker, see
+``check_fks``) and row rules (WHERE) -> one row per key (``first_per_key``) ->
+parse / label / attach ids -> assignment cast to the silver schema. Deduplicating after the rules means an
 invalid duplicate never hides a valid row.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from lakestar import schemas
 from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
-from lakestar.operators.joins import semi
+from lakestar.operators.joins import join_small
 from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
@@ -42,6 +44,43 @@ DEDUPE = {
 }
 
 
+# FK existence tests per table: (raw column, parent table, parent column). Parent keys
+# are unique (each parent is one row per key), so a left join never fans out.
+FK_TESTS = {
+    "users": [("country_id", "locations", "country_id")],
+    "devices": [("user_legacy_id", "users", "user_legacy_id")],
+    "subscriptions": [("user_legacy_id", "users", "user_legacy_id")],
+    "payments": [("sub_id", "subscriptions", "sub_id")],
+    "viewing_activity": [("user_legacy_id", "users", "user_legacy_id"), ("content_id", "watchlist", "content_id"),
+                         ("device_id", "devices", "device_id")],
+}
+SMALL_PARENTS = {"locations"}          # a label-sized table: broadcast after a measured count
+
+
+def fk_marker(parent: str) -> str:
+    return f"__in_{parent}"
+
+
+def check_fks(table: str, raw_df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
+    """Raw rows plus one marker per FK test: TRUE when the key exists in the parent, else NULL.
+
+    The same checked frame yields both the silver rows (all markers set) and the
+    reject records (a marker missing), so in a run the FK joins of a raw table
+    are done once. Raw columns keep their order (it is the tie-break order).
+    """
+    out = raw_df
+    for col, parent, pcol in FK_TESTS[table]:
+        keys = parents[parent].select(F.col(pcol).alias(col), F.lit(True).alias(fk_marker(parent)))
+        out = join_small(out, keys, col, "left") if parent in SMALL_PARENTS else out.join(keys, col, "left")
+    return out.select(*raw_df.columns, *[fk_marker(p) for _, p, _ in FK_TESTS[table]])
+
+
+def fk_passed(checked: DataFrame) -> DataFrame:
+    """Rows whose every FK exists (Catalyst turns the left joins into inner joins)."""
+    markers = [c for c in checked.columns if c.startswith("__in_")]
+    return checked.where(reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in markers])).drop(*markers)
+
+
 def all_lookups(raw: dict[str, DataFrame]) -> LookupSet:
     """The six lookups (and their raw-value maps) from one distinct job."""
     return build_lookups(raw, LOOKUP_SPECS)
@@ -65,8 +104,10 @@ def users_rules(raw_users: DataFrame) -> DataFrame:
     return raw_users.where(F.col("user_legacy_id").isNotNull() & ~text.is_blank("name"))
 
 
-def users(raw_users: DataFrame, locations_df: DataFrame) -> DataFrame:
-    kept = semi(users_rules(raw_users), locations_df.select("country_id"), "country_id", small=True)
+def users(raw_users: DataFrame, locations_df: DataFrame | None = None,
+          checked: DataFrame | None = None) -> DataFrame:
+    checked = checked if checked is not None else check_fks("users", raw_users, {"locations": locations_df})
+    kept = users_rules(fk_passed(checked))
     d = _pick(kept, "users")
     out = d.select("user_id", "user_legacy_id", text.initcap_alnum(F.trim("name")).alias("name"), "email",
                    "age", "country_id", "region_id", "region_code", "region_name",
@@ -81,9 +122,10 @@ def watchlist(raw_watchlist: DataFrame, content_type_map: DataFrame, genre_map:
     return conform(d, schemas.SILVER["watchlist"].schema)
 
 
-def devices(raw_devices: DataFrame, users_df: DataFrame, device_type_map: DataFrame, os_map: DataFrame) -> DataFrame:
-    kept = semi(raw_devices.where(F.col("device_id").isNotNull()), users_df.select("user_legacy_id"),
-                "user_legacy_id")
+def devices(raw_devices: DataFrame, users_df: DataFrame | None, device_type_map: DataFrame, os_map: DataFrame,
+            checked: DataFrame | None = None) -> DataFrame:
+    checked = checked if checked is not None else check_fks("devices", raw_devices, {"users": users_df})
+    kept = fk_passed(checked).where(F.col("device_id").isNotNull())
     d = _pick(kept, "devices")
     d = attach_id_by_value(d, "device_type", device_type_map, "device_type_id")
     d = attach_id_by_value(d, "operating_system", os_map, "os_id")
@@ -96,10 +138,10 @@ def end_not_before_start() -> F.Column:
     return end.isNull() | (dates.text_to_date(end) >= dates.text_to_date(start))
 
 
-def subscriptions(raw_subs: DataFrame, users_df: DataFrame, plan_type_map: DataFrame,
-                  event_type_map: DataFrame) -> DataFrame:
-    kept = raw_subs.where(F.col("sub_id").isNotNull() & end_not_before_start())
-    kept = semi(kept, users_df.select("user_legacy_id"), "user_legacy_id")
+def subscriptions(raw_subs: DataFrame, users_df: DataFrame | None, plan_type_map: DataFrame,
+                  event_type_map: DataFrame, checked: DataFrame | None = None) -> DataFrame:
+    checked = checked if checked is not None else check_fks("subscriptions", raw_subs, {"users": users_df})
+    kept = fk_passed(checked).where(F.col("sub_id").isNotNull() & end_not_before_start())
     d = _pick(kept, "subscriptions")
     d = attach_id_by_value(d, "plan_type", plan_type_map, "plan_type_id")
     d = attach_id_by_value(d, "last_event_type", event_type_map, "last_event_type_id")
@@ -110,9 +152,11 @@ def subscriptions(raw_subs: DataFrame, users_df: DataFrame, plan_type_map: DataF
     return conform(d, schemas.SILVER["subscriptions"].schema)
 
 
-def payments(raw_payments: DataFrame, subscriptions_df: DataFrame) -> DataFrame:
-    kept = raw_payments.where(F.col("payment_id").isNotNull() & (F.col("amount") >= 0))
-    kept = semi(kept, subscriptions_df.select("sub_id"), "sub_id")
+def payments(raw_payments: DataFrame, subscriptions_df: DataFrame | None,
+             checked: DataFrame | None = None) -> DataFrame:
+    checked = checked if checked is not None else check_fks("payments", raw_payments,
+                                                            {"subscriptions": subscriptions_df})
+    kept = fk_passed(checked).where(F.col("payment_id").isNotNull() & (F.col("amount") >= 0))
     d = _pick(kept, "payments")
     d = d.withColumn("payment_date", dates.strict_iso_timestamp("payment_date"))
     return conform(d, schemas.SILVER["payments"].schema)
@@ -123,12 +167,11 @@ def rating_ok() -> F.Column:
     return r.isNull() | ((r >= 1) & (r <= 5))
 
 
-def viewing_activity(raw_viewing: DataFrame, users_df: DataFrame, watchlist_df: DataFrame,
-                     devices_df: DataFrame) -> DataFrame:
-    kept = raw_viewing.where(F.col("session_id").isNotNull() & rating_ok())
-    kept = semi(kept, users_df.select("user_legacy_id"), "user_legacy_id")
-    kept = semi(kept, watchlist_df.select("content_id"), "content_id")
-    kept = semi(kept, devices_df.select("device_id"), "device_id")
+def viewing_activity(raw_viewing: DataFrame, users_df: DataFrame | None, watchlist_df: DataFrame | None,
+                     devices_df: DataFrame | None, checked: DataFrame | None = None) -> DataFrame:
+    checked = checked if checked is not None else check_fks(
+        "viewing_activity", raw_viewing, {"users": users_df, "watchlist": watchlist_df, "devices": devices_df})
+    kept = fk_passed(checked).where(F.col("session_id").isNotNull() & rating_ok())
     d = _pick(kept, "viewing_activity")
     d = d.withColumn("session_start_ts", dates.iso_or_us_timestamp("session_start_ts"))
     return conform(d, schemas.SILVER["viewing_activity"].schema)
