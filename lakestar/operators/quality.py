@@ -32,21 +32,6 @@ def key_summary(df: DataFrame, table_name: str, key_cols: list[str]) -> DataFram
                  .alias("duplicate_key_values"))
 
 
-def not_null_summary(df: DataFrame, table_name: str, cols: list[str]) -> DataFrame:
-    row = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in cols])
-    out = _unpivot(row, [(c, F.col(c)) for c in cols], "column_name", "null_rows")
-    return out.select(F.lit(table_name).alias("table_name"), "column_name", "null_rows")
-
-
-def varchar_summary(df: DataFrame, table_name: str, limits: dict[str, int]) -> DataFrame:
-    cols = list(limits)
-    row = df.agg(*[F.count(F.when(F.char_length(c) > limits[c], F.lit(1))).alias(c) for c in cols])
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(limits[c]).alias("max_chars"),
-                             F.col(c).cast("long").alias("overflow_rows")) for c in cols])
-    return row.select(F.explode(arr).alias("kv")).select(
-        F.lit(table_name).alias("table_name"), "kv.column_name", "kv.max_chars", "kv.overflow_rows")
-
-
 def precision_summary(df: DataFrame, table_name: str, cols: dict[str, tuple[int, int]]) -> DataFrame:
     """Values present in the source that do not fit NUMERIC(p, s)."""
     names = list(cols)

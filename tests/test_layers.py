@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 
 from lakestar import schemas
-from lakestar.plans import gold, silver
+from lakestar.plans import gold
 from lakestar.plans.build import Build
 from lakestar.plans.kpis import Ticketing
 from lakestar.sources.landing import land

@@ -72,8 +72,10 @@ def test_orphans_and_varchar(spark):
     child = spark.createDataFrame([(1, "abc"), (2, "abcdef"), (None, None)], "p int, s string")
     parent = spark.createDataFrame([(1,)], "id int")
     assert quality.orphan_summary(child, "p", parent, "id", "c", "p").first().orphan_rows == 1
-    r = quality.varchar_summary(child, "c", {"s": 3}).first()
+    nn, vc = quality.column_checks(child, "c", ["p"], {"s": 3})
+    r = vc.first()
     assert (r.column_name, r.max_chars, r.overflow_rows) == ("s", 3, 1)
+    assert nn.first().null_rows == 1
 
 
 def test_lookups_large_path_matches_small_path(spark, monkeypatch):
