@@ -10,9 +10,24 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestar import oracle_sql as O
+from lakestar import schemas
+from lakestar.functions import dates, text
+from lakestar.functions.conform import conform
+from lakestar.operators import audit
+from lakestar.operators.dedupe import asc, first_per_key
+from lakestar.operators.joins import anti, semi
+from lakestar.operators.lookups import attach_id_by_value
+from lakestar.operators.quality import dq_results, precision_summary
+from lakestar.plans import gold, silver
 from lakestar.plans.build import Build
+from lakestar.plans.kpis import Ticketing
+from lakestar.plans.pipeline import quality_frames
+from lakestar.plans.rejects import rejected_rows
+from lakestar.sources.fixtures import Fixtures
+from lakestar.sources.landing import land
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -64,20 +79,6 @@ for _t in ["dim_content", "dim_user", "fact_subscription_events", "fact_viewing_
 
 # ---------------------------------------------------------------------------
 # Operator-level queries: each runs one rule of the build over a whole raw table.
-from pyspark.sql import functions as F  # noqa: E402
-
-from lakestar import schemas  # noqa: E402
-from lakestar.functions import dates, text  # noqa: E402
-from lakestar.functions.conform import conform  # noqa: E402
-from lakestar.operators import audit  # noqa: E402
-from lakestar.operators.dedupe import asc, first_per_key  # noqa: E402
-from lakestar.operators.joins import anti, semi  # noqa: E402
-from lakestar.operators.lookups import attach_id_by_value  # noqa: E402
-from lakestar.plans import gold, silver  # noqa: E402
-from lakestar.sources.fixtures import Fixtures  # noqa: E402
-from lakestar.sources.landing import land  # noqa: E402
-
-
 def _raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return Fixtures(spark, sf_dir).raw()
 
@@ -304,7 +305,6 @@ def q_date_lookup(spark, sf_dir):
 
 # ---- quality (Q1-Q7), rejects (S15), DQ results (S16) ----
 def _quality(spark, sf_dir):
-    from lakestar.plans.pipeline import quality_frames
     return quality_frames(Build.from_fixtures(spark, sf_dir, materialized=True))
 
 
@@ -341,7 +341,6 @@ SELECT 'raw.viewing_activity', 'completion_percentage',
                              AND try_cast(completion_percentage AS DECIMAL(5,2)) IS NULL) AS BIGINT)
 FROM raw_viewing""", "raw_payments", "raw_viewing"))
 def q_precision(spark, sf_dir):
-    from lakestar.operators.quality import precision_summary
     raw = _raw(spark, sf_dir)
     return precision_summary(raw["payments"], "raw.payments", {"amount": (10, 2)}).unionByName(
         precision_summary(raw["viewing_activity"], "raw.viewing_activity", {"completion_percentage": (5, 2)}))
@@ -349,13 +348,11 @@ def q_precision(spark, sf_dir):
 
 @register("rejected_rows", O.rejected_rows_sql())
 def q_rejected(spark, sf_dir):
-    from lakestar.plans.rejects import rejected_rows
     return rejected_rows(_b(spark, sf_dir)).select("source_table", "target_table", "rejection_reason", "row_key")
 
 
 @register("dq_results", O.dq_results_sql())
 def q_dq_results(spark, sf_dir):
-    from lakestar.operators.quality import dq_results
     q = _quality(spark, sf_dir)
     return dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"])
 
@@ -377,8 +374,6 @@ def q_sample_limit(spark, sf_dir):
 
 # ---- ticketing KPIs (K1-K10) ----
 def _kpi_query(name: str, attr: str, oracle_cte: str) -> None:
-    from lakestar.plans.kpis import Ticketing
-
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
         return getattr(Ticketing.from_fixtures(spark, sf_dir), attr)
     fn.__name__ = name
