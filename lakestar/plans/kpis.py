@@ -64,6 +64,14 @@ class Ticketing:
                     "campaigns": fx.campaigns})
 
     # ---- silver ----
+    @cached_property
+    def artists(self) -> DataFrame:
+        """Artists, one row per id (needs a raw ``artists`` table)."""
+        a = first_per_key(self.raw["artists"].where(F.col("artist_id").isNotNull()), ["artist_id"])
+        out = a.select("artist_id", F.trim("name").alias("name"), "genre", "country",
+                       dates.iso_or_us_date("created_at").alias("created_at"))
+        return self._out("silver", "artists", out)
+
     @cached_property
     def venues(self) -> DataFrame:
         v = first_per_key(self.raw["venues"].where(F.col("venue_id").isNotNull()), ["venue_id"])
@@ -119,7 +127,9 @@ class Ticketing:
     def campaigns(self) -> DataFrame:
         c = self.raw["campaigns"].where(F.col("campaign_id").isNotNull())
         c = first_per_key(semi(c, self.events.select("event_id"), "event_id"), ["campaign_id"])
-        out = c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend")
+        # campaign dates are conformed when the input carries them (ISO or M/D/YYYY text)
+        dated = [dates.iso_or_us_date(d).alias(d) for d in ("start_date", "end_date") if d in c.columns]
+        out = c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend", *dated)
         return self._out("silver", "campaigns", out)
 
     # ---- gold ----

@@ -149,7 +149,8 @@ def run_ticketing(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     secs: dict[str, float] = {}
     k = Ticketing(raw, sink=w)
     t = time.perf_counter()
-    build_waves(k, [["venues", "events", "customers"], ["tickets"], ["checkins", "refunds", "campaigns"]])
+    first = ["venues", "events", "customers"] + (["artists"] if "artists" in raw else [])
+    build_waves(k, [first, ["tickets"], ["checkins", "refunds", "campaigns"]])
     secs["silver"] = time.perf_counter() - t
     t = time.perf_counter()
     build_waves(k, [["event_sales", "daily_metrics", "campaign_roi"]])

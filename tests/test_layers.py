@@ -186,3 +186,20 @@ def test_rejects_carry_reason_key_and_row_image(spark):
                         ("3", "signup_date is not a valid date")}
     assert json.loads(got[("3", "signup_date is not a valid date")])["signup_date"] == "02/30/2024"
     assert [r.signup_date for r in b.users.where("user_id = 3").collect()] == [None]   # kept, value nulled
+
+
+def test_artists_dedupe_and_campaign_dates(spark):
+    artists = spark.createDataFrame([(1, " Ann ", "rock", "NL", "2024-01-05"), (1, "Bob", "pop", "NL", None),
+                                     (2, "Cy", "jazz", "US", "1/5/2024")],
+                                    "artist_id long, name string, genre string, country string, created_at string")
+    events = spark.createDataFrame([(1, 1, 1, "2024-01-01", "scheduled", "1.0")],
+                                   "event_id long, artist_id long, venue_id long, event_date string, status string, "
+                                   "ticket_price string")
+    campaigns = spark.createDataFrame([(1, 1, " Web ", Decimal("5"), "2024-02-01", "02/30/2024")],
+                                      "campaign_id long, event_id long, channel string, spend decimal(12,2), "
+                                      "start_date string, end_date string")
+    k = Ticketing({"artists": artists, "events": events, "campaigns": campaigns})
+    got = {r.artist_id: (r.name, r.created_at) for r in k.artists.collect()}
+    assert got == {1: ("Ann", dt.date(2024, 1, 5)), 2: ("Cy", dt.date(2024, 1, 5))}
+    c = k.campaigns.first()
+    assert (c.channel, c.start_date, c.end_date) == ("web", dt.date(2024, 2, 1), None)
