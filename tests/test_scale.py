@@ -60,3 +60,14 @@ def test_cluster_conf_sizes_partitions_to_input():
     c = cluster_conf(100 * (1 << 40))
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SMALL_SF
+
+    def run():
+        return sorted(map(tuple, E.queries()["silver_viewing_activity"](spark, SMALL_SF).collect()), key=repr)
+    utc = run()
+    other = with_conf(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}, run)
+    assert utc == other and len(utc) > 0
