@@ -92,12 +92,13 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
         LayerWriter(spark, root, run_id, buckets=co_location(spark))
     secs: dict[str, float] = {}
 
-    t = time.perf_counter()
     def land_one(item):
+        """Land one raw table; its fingerprint is observed during the same write."""
         name, df = item
         landed = land(df)
         return name, w("bronze", name, landed, metrics=audit.fingerprint_metrics(landed))
 
+    t = time.perf_counter()
     with ThreadPoolExecutor(max_workers=4) as pool:
         bronze = dict(pool.map(land_one, raw.items()))
     prints = [s for s in w.stats if s.layer == "bronze"]
@@ -121,7 +122,8 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
         rej_df = pool.submit(rejected_rows, b)
         q = quality_frames(b)
         rej = pool.submit(w, "audit", "rejected_rows", rej_df.result())
-        dq_f = pool.submit(w, "audit", "dq_results", quality.dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"]))
+        dq_df = quality.dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"])
+        dq_f = pool.submit(w, "audit", "dq_results", dq_df)
         rej.result()
         dq = dq_f.result()
     failed = dq.where(~F.col("passed")).count()
