@@ -99,7 +99,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
         return name, w("bronze", name, landed, metrics=audit.fingerprint_metrics(landed))
 
     t = time.perf_counter()
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(raw))) as pool:
         bronze = dict(pool.map(land_one, raw.items()))
     prints = [s for s in w.stats if s.layer == "bronze"]
     w("audit", "bronze_fingerprints", w.local_frame(
