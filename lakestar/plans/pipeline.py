@@ -113,19 +113,18 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT
     build_waves(b, SILVER_WAVES)
     secs["silver"] = time.perf_counter() - t
 
+    # reject records need only silver: written in the background while gold builds
+    background = ThreadPoolExecutor(max_workers=1)
+    rej = background.submit(lambda: w("audit", "rejected_rows", rejected_rows(b)))
     t = time.perf_counter()
     build_waves(b, GOLD_WAVES)
     secs["gold"] = time.perf_counter() - t
 
     t = time.perf_counter()
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        rej_df = pool.submit(rejected_rows, b)
-        q = quality_frames(b)
-        rej = pool.submit(w, "audit", "rejected_rows", rej_df.result())
-        dq_df = quality.dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"])
-        dq_f = pool.submit(w, "audit", "dq_results", dq_df)
-        rej.result()
-        dq = dq_f.result()
+    q = quality_frames(b)
+    dq = w("audit", "dq_results", quality.dq_results(q["pk"], q["not_null"], q["fk"], q["varchar"]))
+    rej.result()
+    background.shutdown()
     failed = dq.where(~F.col("passed")).count()
     secs["checks"] = time.perf_counter() - t
 
