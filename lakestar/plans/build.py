@@ -77,14 +77,14 @@ class Build:
         """Raw rows of ``table`` with FK markers, shared by the silver build and the rejects.
 
         Written once in a run when an FK parent is joined by shuffle (the write
-        saves repeating that shuffle for the rejects); when every parent is a
-        broadcast-sized table, re-deriving the markers costs no shuffle, so the
-        frame stays lazy.
+        saves repeating that shuffle for the rejects); when every parent is
+        measured small enough to broadcast, re-deriving the markers costs no
+        shuffle, so the frame stays lazy.
         """
         if table not in self._checked:
-            fk_parents = [p for _, p, _ in silver.FK_TESTS[table]]
-            df = silver.check_fks(table, self.raw[table], {p: getattr(self, p) for p in fk_parents})
-            if all(p in silver.SMALL_PARENTS for p in fk_parents):
+            parents = {p: getattr(self, p) for _, p, _ in silver.FK_TESTS[table]}
+            df = silver.check_fks(table, self.raw[table], parents)
+            if all(silver.small_parent(name, frame) for name, frame in parents.items()):
                 self._checked[table] = df
             else:
                 self._checked[table] = self._out("bronze", f"{table}_fk_checked", df)
