@@ -75,3 +75,19 @@ def test_writer_append_and_publish_flip(spark):
     assert published_run(spark, root) == "run2"
     assert read_published(spark, root, "gold", "t").count() == 7
     assert [s.rows for s in second.stats] == [5]          # rows counted while writing
+
+
+def test_pipeline_with_large_parents_writes_fk_checked_tables(spark, monkeypatch):
+    """The at-scale path: parents over the bound are shuffle-joined, the FK-checked raw tables are
+    written once and feed both silver and the rejects; results equal the small-parent run."""
+    from lakestar.plans import silver
+    raw = Fixtures(spark, SMALL_SF).raw()
+    small = pipeline.run(spark, raw, tempfile.mkdtemp(prefix="lakestar-small-"), publish=False)
+    monkeypatch.setattr(silver, "BROADCAST_MAX_ROWS", 0)
+    root = tempfile.mkdtemp(prefix="lakestar-large-")
+    big = pipeline.run(spark, raw, root)
+    assert big.published and big.failed_checks == 0
+    checked = {k for k in big.rows if k.endswith("_fk_checked")}
+    assert checked == {f"bronze.{t}_fk_checked" for t in ["devices", "subscriptions", "payments", "viewing_activity"]}
+    same = [k for k in small.rows if k.startswith(("silver.", "gold.", "audit.rejected"))]
+    assert {k: big.rows[k] for k in same} == {k: small.rows[k] for k in same}
