@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lakestar.llm import exact_dedup
+from lakestar.llm import exact_dedup, ngram_join, quality_classifier
 
 QUERIES = {
+    "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
 }
 

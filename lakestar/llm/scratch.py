@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -23,6 +24,14 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    here = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if here not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (here, env.get("PYTHONPATH")) if x)
+
+
 class Scratch:
     """Writes frames as Parquet under one fresh folder and reads them back.
 
@@ -31,6 +40,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, name: str):
+        reachable(spark)
         self.spark = spark
         self.folder = f"{shared_dir(spark)}/lakestar-llm-{name}-{uuid.uuid4().hex}"
         self.n = 0
