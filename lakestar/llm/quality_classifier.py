@@ -43,7 +43,10 @@ for _i, _c in enumerate(CLASSES.values()):
 RATES = ("upper", "digit", "bang", "symbol", "stop", "newline", "lead")
 NAMES = ("log_words", "log_word_chars", *(f"log_{c}" for c in RATES), "log_other", "distinct", "log_top",
          "log_same_as_last", "log_short", "distinct_pairs")
-FLOOR = 1e-3  # added to a rate before its logarithm
+#: Rates are those of the text together with so much text of these rates, so that a few words do not look extreme.
+PRIOR_CHARS, PRIOR_WORDS = 200, 40
+PRIOR = {"upper": 0.02, "digit": 0.002, "bang": 0.001, "symbol": 0.001, "stop": 0.025, "newline": 0.005, "lead": 0.02,
+         "other": 0.002, "same": 0.002, "short": 0.4, "top": 0.05}
 SHRINK = 0.2  # of a class covariance towards the pooled one
 DIAGONAL = 0.1  # of the pooled covariance towards its diagonal
 THRESHOLD = 0.3
@@ -78,11 +81,16 @@ def statistics(texts: pa.LargeStringArray) -> np.ndarray:
     pairs, _ = _runs(of[:-1][inside], pair[inside], n)
     same = np.bincount(of[:-1][inside & (h[1:] == h[:-1])], minlength=n)
     short = np.bincount(of[(w.end - w.start) <= 3], minlength=n)
-    rate = lambda x, d: np.log(x / d + FLOOR)
-    cols = [np.log1p(n_words), np.log1p((chars - got["space"] - got["newline"]) / some)]
-    cols += [rate(got[c], chars) for c in RATES]
-    cols += [rate(kinds[:, -1], chars), np.log((distinct + 1) / (n_words + 1)), rate(top, some), rate(same, some),
-             rate(short, some), np.log((pairs + 1) / np.maximum(n_words, 1))]
+    solid = chars - got["space"] - got["newline"]
+
+    def rate(x: np.ndarray, of: np.ndarray, more: int, name: str) -> np.ndarray:
+        return np.log((x + more * PRIOR[name]) / (of + more))
+
+    cols = [np.log1p(n_words), np.log((solid + 5 * PRIOR_WORDS) / (some + PRIOR_WORDS))]
+    cols += [rate(got[c], chars, PRIOR_CHARS, c) for c in RATES]
+    cols += [rate(kinds[:, -1], chars, PRIOR_CHARS, "other"), np.log((distinct + PRIOR_WORDS) / (some + PRIOR_WORDS)),
+             rate(top, some, PRIOR_WORDS, "top"), rate(same, some, PRIOR_WORDS, "same"),
+             rate(short, some, PRIOR_WORDS, "short"), np.log((pairs + PRIOR_WORDS) / (some + PRIOR_WORDS))]
     x = np.column_stack(cols)
     x[n_words == 0] = 0
     return x
