@@ -102,14 +102,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     Rows that repeat both id and text are told apart by a window over those few rows only.
     """
     names = docs.columns
-    wins = (decide(docs, id_col, text_col).where("kept")
-            .select(F.col("keep_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("n_same").alias("_same")))
-    rows = docs.withColumn("_sha", F.sha2(normalised(F.col(text_col)), 256))
-    found = rows.join(wins, (F.col(id_col).eqNullSafe(F.col("_id"))) & (rows["_sha"] == wins["_sha"]))
-    once = found.where("_same = 1").select(*names)
-    first = Window.partitionBy("_id", wins["_sha"]).orderBy(*[F.col(c) for c in names])
-    repeated = (found.where("_same > 1").withColumn("_n", F.row_number().over(first))
-                .where("_n = 1").select(*names))
+    wins = decide(docs, id_col, text_col).where("kept").select(
+        F.col("keep_id").alias("__win_id"), F.col("text_sha256").alias("__win_sha"), F.col("n_same").alias("__win_same"))
+    rows = docs.withColumn("__row_sha", F.sha2(normalised(F.col(text_col)), 256))
+    found = rows.join(wins, F.col(id_col).eqNullSafe(F.col("__win_id")) & (F.col("__row_sha") == F.col("__win_sha")))
+    once = found.where("__win_same = 1").select(*names)
+    first = Window.partitionBy("__win_id", "__win_sha").orderBy(*[F.col(c) for c in names])
+    repeated = (found.where("__win_same > 1").withColumn("__row_n", F.row_number().over(first))
+                .where("__row_n = 1").select(*names))
     return once.unionByName(repeated)
 
 

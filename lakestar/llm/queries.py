@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from lakestar.llm import exact_dedup, ngram_join, quality_classifier
+from lakestar.llm import exact_dedup, mixing, ngram_join, packing, quality_classifier
 
 QUERIES = {
+    "op4_mix_sources": mixing.op4_mix_sources,
+    "op9_best_two_fit": packing.op9_best_two_fit,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
