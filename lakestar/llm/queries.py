@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from lakestar.llm import exact_dedup, mixing, ngram_join, packing, quality_classifier
+from lakestar.llm import exact_dedup, mixing, ngram_join, packing, perplexity, quality_classifier
 
 QUERIES = {
+    "op5_ngram_perplexity": perplexity.op5_ngram_perplexity,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op9_best_two_fit": packing.op9_best_two_fit,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
