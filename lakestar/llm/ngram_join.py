@@ -39,6 +39,10 @@ PERCENT = 80
 SHINGLE = 5
 FLUSH = 4_000_000      # postings that a task holds before it sends them
 PER_BUCKET = 2_000_000  # postings that a bucket is meant for
+#: Inverted lists hold 48 bits of a hash. Two sets of 300 shingles then have a wrong hit with a chance of 3e-10; a wrong
+#: hit elsewhere only keeps a class in the search for longer.
+HASH_BYTES = 6
+DROP_BITS = np.uint64(64 - 8 * HASH_BYTES)
 
 
 def distinct_shingles(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,62 +89,64 @@ def postings(docs: DataFrame, n_buckets: int, text_col: str = "text") -> DataFra
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        seen: set[int] = set()
+        names: dict[int, int] = {}
         for b in batches:
             for _, texts in W.slices(b.column(0)):
                 at, run = distinct_shingles(texts)
                 n, digest = set_digests(at, run, len(texts))
-                fresh = np.zeros(len(texts), bool)
-                for i in np.flatnonzero(n):
-                    if (c := int(digest[i])) not in seen:
-                        seen.add(c)
-                        fresh[i] = True
-                mine = fresh[at]
-                held.append((run[mine], digest[at[mine]]))
+                number = np.full(len(texts), -1)
+                for i in np.flatnonzero(n).tolist():
+                    if (c := int(digest[i])) not in names:
+                        number[i] = names[c] = len(names)
+                mine = number[at] >= 0
+                held.append((run[mine] >> DROP_BITS, number[at[mine]]))
                 size += int(mine.sum())
                 if size >= FLUSH:
-                    yield from flush(held)
-                    held, size, seen = [], 0, set()
+                    yield from flush(held, names)
+                    held, size, names = [], 0, {}
         if size:
-            yield from flush(held)
+            yield from flush(held, names)
 
-    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[tuple[np.ndarray, np.ndarray]], names: dict[int, int]) -> Iterator[pa.RecordBatch]:
+        """One row a bucket: its classes, how many postings each has, and the hashes in that order."""
         h, c = (np.concatenate(x) for x in zip(*held, strict=True))
         held.clear()
+        name = np.fromiter(names, np.int64, len(names))
         order = np.argsort(h, kind="stable")
         h, c = h[order], c[order]
         first = np.ones(len(h), bool)
         first[1:] = h[1:] != h[:-1]
         to = (h % np.uint64(n_buckets)).astype(np.int64)
-        more = n_buckets + (c.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)
+        more = n_buckets + (name.view(np.uint64) % np.uint64(n_buckets)).astype(np.int64)[c]
         to = np.where(first, to, more)
         # a posting whose shingle the task holds twice carries the mark, so its bucket needs no second one
         twice = np.zeros(len(h), bool)
         twice[:-1] = ~first[1:]
-        order = np.argsort(to, kind="stable")
+        order = np.argsort(to * len(name) + c, kind="stable")
         ends = np.flatnonzero(np.r_[to[order][1:] != to[order][:-1], True]) + 1
         begin = 0
-        for end in ends:
+        for end in ends.tolist():
             part = order[begin:end]
-            names, local = np.unique(c[part], return_inverse=True)
-            small = np.uint16 if len(names) <= 65535 else np.uint32
+            own, n = np.unique(c[part], return_counts=True)
+            raw = h[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(to[part[0]])]), pa.array([h[part].tobytes()], pa.binary()),
-                 pa.array([names.tobytes()], pa.binary()), pa.array([local.astype(small).tobytes()], pa.binary()),
+                [pa.array([int(to[part[0]])]), pa.array([raw.tobytes()], pa.binary()),
+                 pa.array([name[own].tobytes()], pa.binary()), pa.array([n.astype("<u4").tobytes()], pa.binary()),
                  pa.array([np.packbits(twice[part]).tobytes()], pa.binary())],
-                ["bucket", "h", "names", "local", "twice"])
+                ["bucket", "h", "names", "sizes", "twice"])
             begin = end
 
     def repeated(table: pa.Table) -> pa.Table:
         h, c, t = [], [], []
         for row in table.to_batches():
             for i in range(row.num_rows):
-                x = np.frombuffer(row.column(1)[i].as_py(), np.uint64)
-                names = np.frombuffer(row.column(2)[i].as_py(), np.int64)
-                local = row.column(3)[i].as_py()
-                h.append(x)
-                c.append(names[np.frombuffer(local, np.uint16 if len(local) == 2 * len(x) else np.uint32)])
-                t.append(np.unpackbits(np.frombuffer(row.column(4)[i].as_py(), np.uint8), count=len(x)).astype(bool))
+                raw = np.frombuffer(row.column(1)[i].as_py(), np.uint8).reshape(-1, HASH_BYTES)
+                whole = np.zeros((len(raw), 8), np.uint8)
+                whole[:, :HASH_BYTES] = raw
+                h.append(whole.view("<u8").ravel())
+                c.append(np.repeat(np.frombuffer(row.column(2)[i].as_py(), np.int64),
+                                   np.frombuffer(row.column(3)[i].as_py(), "<u4")))
+                t.append(np.unpackbits(np.frombuffer(row.column(4)[i].as_py(), np.uint8), count=len(raw)).astype(bool))
         bucket = table.column(0)[0].as_py()
         h, c, t = np.concatenate(h), np.concatenate(c), np.concatenate(t)
         if bucket < n_buckets:
@@ -158,7 +164,7 @@ def postings(docs: DataFrame, n_buckets: int, text_col: str = "text") -> DataFra
         return pa.table({"h": h.view(np.int64), "class": c})
 
     sent = (docs.select(F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(send, "bucket bigint, h binary, names binary, local binary, twice binary"))
+            .mapInArrow(send, "bucket bigint, h binary, names binary, sizes binary, twice binary"))
     return sent.groupBy("bucket").applyInArrow(repeated, "h bigint, class bigint")
 
 
@@ -250,12 +256,14 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.first("n_shingles").alias("n"), F.min("id").alias("least")), "classes")
     total = info.agg(F.sum("n_shingles")).first()[0] or 0
     lists = scratch.keep(postings(docs, buckets(spark, total, PER_BUCKET), text_col), "lists")
-    lists = lists.distinct()  # a class that several tasks sent
-    for _ in range(2):
+    for turn in range(2):
+        # a class that several tasks sent counts twice in the first turn, which only prunes less
         busy = (lists.groupBy("class").agg(F.count("*").alias("held")).join(classes, "class")
                 .where(f"100 * held >= {PERCENT} * n").select("class"))
         lists = scratch.keep(lists.join(busy, "class", "left_semi"), "lists")
-        lists = lists.join(lists.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "h").select("h", "class")
+        lists = lists.distinct() if turn == 0 else lists
+        lists = scratch.keep(lists.join(lists.groupBy("h").agg(F.count("*").alias("df")).where("df > 1"), "h")
+                             .select("h", "class"), "lists")
     df = lists.groupBy("h").agg(F.count("*").alias("df"))
     lists = scratch.keep(lists.join(df, "h").join(classes.select("class", "n"), "class"), "lists")
     members = scratch.keep(lists.groupBy("class").agg(

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from lakestar.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, perplexity, quality_classifier
+from lakestar.llm import (
+    exact_dedup,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    perplexity,
+    quality_classifier,
+    repeated_substrings,
+)
 
 QUERIES = {
+    "op6_repeated_substrings": repeated_substrings.op6_repeated_substrings,
     "op8_fuzzy_line_dedup": line_dedup.op8_fuzzy_line_dedup,
     "op5_ngram_perplexity": perplexity.op5_ngram_perplexity,
     "op4_mix_sources": mixing.op4_mix_sources,
