@@ -9,11 +9,13 @@ from lakestar.llm import (
     ngram_join,
     packing,
     perplexity,
+    pitman_yor,
     quality_classifier,
     repeated_substrings,
 )
 
 QUERIES = {
+    "op1_pitman_yor": pitman_yor.op1_pitman_yor,
     "op6_repeated_substrings": repeated_substrings.op6_repeated_substrings,
     "op8_fuzzy_line_dedup": line_dedup.op8_fuzzy_line_dedup,
     "op5_ngram_perplexity": perplexity.op5_ngram_perplexity,
