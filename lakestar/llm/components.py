@@ -38,16 +38,19 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
 
 
 def link_groups(scratch: Scratch, entries: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                may: Callable[[str, str], str] = lambda a, b: "true", rounds: int = 2) -> DataFrame:
+                may: Callable[[str, str], str] = lambda a, b: "true", rounds: int = 2,
+                worth: str = "0") -> DataFrame:
     """Components (node, component) of the nodes of ``entries`` (key, node, ...) that verified pairs link.
 
     Two nodes are a candidate pair if they share a key. ``verify`` takes distinct pairs (a, b) and
-    returns those that hold; ``may(a, b)`` is a cheap SQL condition over two aliased entry rows
-    that must hold first. Pairs inside one component need no check, as they cannot
+    returns those that hold; ``may(a, b)`` is a cheap SQL condition over two aliased entry rows, true for at
+    least one shared key of any pair that holds. ``worth`` is an SQL expression over an entry, high for nodes
+    that are likely to be linked to many others; it guides the choice of pivots and changes no result. Pairs inside one component need no check, as they cannot
     change the result, so the pairs of a key are not enumerated:
 
-    * in each round every key that still spans several components picks one pivot, and its
-      members of other components are checked against it alone: linear in the entries;
+    * in each round every key that still spans several components picks one pivot (the worthiest node, in
+      later rounds the worthiest outside that one's component), and its members of other components are
+      checked against it alone: linear in the entries;
     * what is left after the rounds, members of different components under one key, is
       checked pair by pair, so no link is lost.
     """
@@ -59,10 +62,14 @@ def link_groups(scratch: Scratch, entries: DataFrame, verify: Callable[[DataFram
         if comp is not None:
             e = (entries.join(comp, "node", "left")
                  .withColumn("comp", F.coalesce("component", "node")).drop("component"))
+        best = F.max(F.struct(F.expr(worth).alias("worth"), F.xxhash64("node", F.lit(r)).alias("h"), "node", "comp"))
         spans = e.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-            F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node")).alias("p")).where("lo <> hi")
-        e = scratch.keep(e.join(spans.select("key", F.col("p.node").alias("pivot")), "key"), "spanning")
+            F.min("comp").alias("lo"), F.max("comp").alias("hi"), best.alias("p")).where("lo <> hi")
+        e = e.join(spans.select("key", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "key")
+        e = scratch.keep(e, "spanning")
+        if 0 < r < rounds:
+            others = e.where("comp <> pivot_comp").groupBy("key").agg(best.alias("p"))
+            e = e.drop("pivot").join(others.select("key", F.col("p.node").alias("pivot")), "key")
         if e.isEmpty():
             break
         x, y = e.alias("x"), e.alias("y")

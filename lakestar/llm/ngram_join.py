@@ -271,12 +271,17 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # the n - T + 1 rarest shingles, of which those in one class only are gone already
     rarest = Window.partitionBy("class").orderBy("df", "h")
     entries = scratch.keep(
-        lists.withColumn("place", F.row_number().over(rarest))
-        .withColumn("held", F.count("*").over(Window.partitionBy("class")))
-        .where(f"place + (n - held) <= n - ceil({PERCENT} * n / 100) + 1")
-        .select(F.col("h").alias("key"), F.col("class").alias("node"), "n"), "entries")
-    comp = link_groups(scratch, entries, lambda p: verified(p, members),
-                       lambda a, b: f"100 * least({a}.n, {b}.n) >= {PERCENT} * greatest({a}.n, {b}.n)")
+        lists.withColumn("held", F.count("*").over(Window.partitionBy("class")))
+        .withColumn("place", F.row_number().over(rarest) + F.col("n") - F.col("held"))
+        .where(f"place <= n - ceil({PERCENT} * n / 100) + 1")
+        .select(F.col("h").alias("key"), F.col("class").alias("node"), "n", "held", "place"), "entries")
+
+    def may(a: str, b: str) -> str:
+        """At the first shingle that two linked sets share, in order of rarity, both have the overlap still before them."""
+        need = f"ceil({PERCENT} * ({a}.n + {b}.n) / {100 + PERCENT})"
+        return f"{a}.n - {a}.place + 1 >= {need} and {b}.n - {b}.place + 1 >= {need}"
+
+    comp = link_groups(scratch, entries, lambda p: verified(p, members), may, worth="held / n")
     named = (classes.join(comp, classes["class"] == comp["node"], "left")
              .select("class", "least", F.coalesce("component", "class").alias("component")))
     named = scratch.keep(named, "named")

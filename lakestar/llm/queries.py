@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lakestar.llm import (
     exact_dedup,
+    id_coder,
     line_dedup,
     mixing,
     ngram_join,
@@ -15,6 +16,7 @@ from lakestar.llm import (
 )
 
 QUERIES = {
+    "op2_id_coder": id_coder.op2_id_coder,
     "op1_pitman_yor": pitman_yor.op1_pitman_yor,
     "op6_repeated_substrings": repeated_substrings.op6_repeated_substrings,
     "op8_fuzzy_line_dedup": line_dedup.op8_fuzzy_line_dedup,
