@@ -64,13 +64,13 @@ class _Lanes:
         self.before = np.cumsum(rows, 1, dtype=np.int32) - rows  # count of earlier rows
         self.total = n_ids.astype(np.int64)
         self.range = np.full(b, np.uint64(2**48 - 1))
-        self.last = np.full(b, self.v)
-        self.last2 = np.full(b, self.v)
+        self.last = np.full(b, -1)  # no id yet; the same in any company of blocks
+        self.last2 = np.full(b, -1)
         self.cells = np.arange(self.side)
 
     def predict(self, m: int) -> None:
         lane, a, z = self.lane[:m], self.last[:m], self.last2[:m]
-        self.at = (lane * CONTEXTS + ((a * 40503 + z * 30011) & (CONTEXTS - 1)), lane * (self.v + 1) + a)
+        self.at = (lane * CONTEXTS + ((a * 40503 + z * 30011) & (CONTEXTS - 1)), lane * (self.v + 1) + a + 1)
         self.c = [self.cand[k][self.at[k]] for k in (0, 1)]
         self.k = [self.conf[k][self.at[k]] for k in (0, 1)]
         agree = self.c[0] == self.c[1]
@@ -78,7 +78,8 @@ class _Lanes:
         self.use2 = self.k[0] > 0
         self.use1 = (self.k[1] > 0) & ~(self.use2 & agree)
         self.s2 = np.where(self.use2, self.share[0][self.key], 0)
-        self.s1 = np.where(self.use1, ((_ONE - self.s2) * self.share[1][self.key].astype(np.int64)) >> 16, 0)
+        s1 = ((_ONE - self.s2) * self.share[1][self.key].astype(np.int64)) >> 16
+        self.s1 = np.where(self.use1, np.maximum(s1, 1), 0)
 
     def learn(self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         for share, use, hit in ((self.share[0], self.use2, hit2), (self.share[1], self.use1 & ~hit2, hit1)):
@@ -112,15 +113,24 @@ def encode(blocks: list[np.ndarray], n_ids: np.ndarray) -> list[np.ndarray]:
     for i, x in enumerate(blocks):
         ids[:len(x), i] = x
     low = np.zeros(len(blocks), np.uint64)
-    out = np.zeros((2 * steps + 4, len(blocks)), np.uint32)
+    out = np.zeros((steps // 2 + 8, len(blocks)), np.uint32)
     used = np.zeros(len(blocks), np.int64)
 
     def shift(at: np.ndarray) -> None:
+        nonlocal out
+        if not len(at):
+            return
+        if used[at].max() >= len(out):
+            out = np.concatenate([out, np.zeros_like(out)])
         out[used[at], at] = (low[at] >> _S32).astype(np.uint32)
         used[at] += 1
         low[at] = (low[at] & _LOW32) << _S16
         s.range[at] <<= _S16
 
+    def renew(at: np.ndarray) -> None:
+        while len(at := at[s.range[at] <= _LOW32]):
+            shift(at)
+
     for t in range(steps):
         m = int(np.searchsorted(-lengths, -t, "left"))  # blocks longer than t
         x = ids[t, :m]
@@ -132,14 +142,14 @@ def encode(blocks: list[np.ndarray], n_ids: np.ndarray) -> list[np.ndarray]:
         r = s.range[:m] >> _S16
         low[:m] += start.astype(np.uint64) * r
         s.range[:m] = size.astype(np.uint64) * r
-        shift(np.flatnonzero(s.range[:m] <= _LOW32))
+        renew(s.lane[:m])
         at = np.flatnonzero(~(hit2 | hit1))
         y = x[at]
         row, col = np.divmod(y, s.side)
         r = s.range[at] // s.total[at].astype(np.uint64)
         low[at] += (s.before[at, row] + s.within[at, row, col]).astype(np.uint64) * r
         s.range[at] = s.count[at, y].astype(np.uint64) * r
-        shift(at[s.range[at] <= _LOW32])
+        renew(at)
         s.seen(at, y)
         s.learn(m, x, hit2, hit1)
     every = np.arange(len(blocks))
@@ -169,6 +179,10 @@ def decode(digits: list[np.ndarray], lengths: np.ndarray, n_ids: np.ndarray) ->
         used[at] += 1
         s.range[at] <<= _S16
 
+    def renew(at: np.ndarray) -> None:
+        while len(at := at[s.range[at] <= _LOW32]):
+            shift(at)
+
     for t in range(steps):
         m = int(np.searchsorted(-lengths, -t, "left"))
         s.predict(m)
@@ -180,7 +194,7 @@ def decode(digits: list[np.ndarray], lengths: np.ndarray, n_ids: np.ndarray) ->
         size = np.where(hit2, s.s2, np.where(hit1, s.s1, _ONE - s.s2 - s.s1))
         code[:m] -= start.astype(np.uint64) * r
         s.range[:m] = size.astype(np.uint64) * r
-        shift(np.flatnonzero(s.range[:m] <= _LOW32))
+        renew(s.lane[:m])
         x = np.where(hit2, s.c[0], s.c[1])
         at = np.flatnonzero(~(hit2 | hit1))
         total = s.total[at].astype(np.uint64)
@@ -198,7 +212,7 @@ def decode(digits: list[np.ndarray], lengths: np.ndarray, n_ids: np.ndarray) ->
         row, col = np.divmod(y, s.side)
         code[at] -= (s.before[at, row] + s.within[at, row, col]).astype(np.uint64) * r
         s.range[at] = s.count[at, y].astype(np.uint64) * r
-        shift(at[s.range[at] <= _LOW32])
+        renew(at)
         x[at] = y
         s.seen(at, y)
         s.learn(m, x, hit2, hit1)
