@@ -252,12 +252,9 @@ def q_distinct_on(spark, sf_dir):
 
 
 @register("latest_subscription", O.query("""
-SELECT r.user_legacy_id, f.first_subscription_date, r.end_date AS latest_end_date,
-       r.plan_type_id AS latest_plan_type_id
-FROM ranked_subscriptions r
-JOIN (SELECT user_legacy_id, min(start_date) AS first_subscription_date FROM silver_subscriptions
-      GROUP BY user_legacy_id) f ON f.user_legacy_id = r.user_legacy_id
-WHERE r.rn = 1""", "ranked_subscriptions", "silver_subscriptions"))
+SELECT user_legacy_id, first_start AS first_subscription_date, latest.until AS latest_end_date,
+       latest.plan AS latest_plan_type_id
+FROM subscriber_state""", "subscriber_state"))
 def q_latest_subscription(spark, sf_dir):
     return gold.subscription_summary(_b(spark, sf_dir).subscriptions)
 

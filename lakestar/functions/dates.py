@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 # Patterns of the reference's parsing rules (POSIX-style, `.` is any character).
 ISO_DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}"
-ISO_DATE_EXACT = r"^\d{4}-\d{2}-\d{2}$"
-US_DATE_EXACT = r"^\d{1,2}/\d{1,2}/\d{4}$"
+ISO_DATE_EXACT = r"^\d{4}-\d{2}-\d{2}\z"
+US_DATE_EXACT = r"^\d{1,2}/\d{1,2}/\d{4}\z"
 US_DATE_PREFIX = r"^\d{1,2}/\d{1,2}/\d{4}"
-ISO_TIMESTAMP_MICROS_Z = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}.\d{6}Z$"
+ISO_TIMESTAMP_MICROS_Z = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}.\d{6}Z\z"
+PLAIN_DATE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}\s*\z"
 US_DATE_FORMAT = "M/d/yyyy"          # month and day with one or two digits
 # ---------------------------------------------------------------------------
 
@@ -27,8 +28,9 @@ def _c(c: Column | str) -> Column:
 
 
 def text_to_date(c: Column | str) -> Column:
-    """ISO text to DATE; a time part after the date is ignored."""
-    return _c(c).try_cast("date")
+    """ISO text to DATE; a valid time after the date is left off, anything else after it gives NULL."""
+    c = _c(c)
+    return F.when(c.rlike(PLAIN_DATE), c.try_cast("date")).otherwise(c.try_cast("timestamp_ntz").cast("date"))
 
 
 def text_to_timestamp(c: Column | str) -> Column:

@@ -1,14 +1,12 @@
-"""Joins whose strategy is decided on measured sizes, plus FK existence tests.
+"""Written intermediate tables and FK existence tests.
 
-``broadcast()`` is applied only after the small side has been materialised
-(reliable checkpoint in the cluster's shared folder) and counted: at or under
-``max_rows`` it is shipped to every task; above that the join falls back to a
-shuffled join, which AQE can still split when one key is hot.
+No join here forces a strategy: finished tables are written and read back, so Catalyst knows their file sizes and
+broadcasts a side only under ``spark.sql.autoBroadcastJoinThreshold``; every other join is a
+shuffled join, which AQE re-plans and splits when one key is hot.
 """
 
 from __future__ import annotations
 
-import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation
@@ -16,46 +14,16 @@ from pyspark.sql import functions as F
 
 from lakestar.session import ensure_checkpoint_dir
 
-# Lookup and geography tables are label sets; above this many rows they are
-# joined by shuffle instead of broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
 
-# Row counts measured while writing materialised frames: id(frame) -> (frame, rows).
-# (dict item assignment is atomic, so concurrent writers can record safely.)
-_KNOWN_ROWS: dict[int, tuple[DataFrame, int]] = {}
-
-
-def known_rows(df: DataFrame) -> int | None:
-    hit = _KNOWN_ROWS.get(id(df))
-    return hit[1] if hit and hit[0] is df else None
-
-
-def remember_rows(df: DataFrame, rows: int) -> DataFrame:
-    _KNOWN_ROWS[id(df)] = (df, rows)
-    return df
-
-
-def write_table(df: DataFrame, path: str, obs: Observation, bucket: tuple[str, int] | None = None,
-                fmt: str = "parquet", mode: str = "overwrite", metrics: list | None = None) -> DataFrame:
-    """Write ``df`` (counting rows while writing) and return it read back.
-
-    With ``bucket=(column, n)`` the files are bucketed on ``column`` and the table
-    is registered in the session catalog (data stays at ``path``), so later joins
-    and aggregations on that column read it already hash-partitioned and shuffle
-    only the other side.
-    """
-    spark = df.sparkSession
+def write_table(df: DataFrame, path: str, obs: Observation, fmt: str = "parquet", mode: str = "overwrite",
+                metrics: list | None = None) -> DataFrame:
+    """Write ``df`` (counting rows while writing) and return it read back."""
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or []))
-    if bucket is None:
-        observed.write.mode(mode).format(fmt).save(path)
-        return spark.read.format(fmt).load(path)
-    col, n = bucket
-    name = "lakestar_" + re.sub(r"[^0-9A-Za-z_]", "_", path.rstrip("/").split("://")[-1])[-180:]
-    observed.write.mode(mode).format(fmt).bucketBy(n, col).sortBy(col).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    observed.write.mode(mode).format(fmt).save(path)
+    return df.sparkSession.read.format(fmt).load(path)
 
 
-def materialize(df: DataFrame, bucket: tuple[str, int] | None = None) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     One job (a reliable ``checkpoint()`` computes the plan twice unless cached),
@@ -64,31 +32,15 @@ def materialize(df: DataFrame, bucket: tuple[str, int] | None = None) -> DataFra
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-tables/{uuid.uuid4().hex}"
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    out = write_table(df, path, obs, bucket)
-    return remember_rows(out, int(obs.get["rows"]))
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """Count the side (free when it was materialised); only a bounded side may be broadcast."""
-    n = known_rows(df)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    return n <= max_rows
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join against a side expected to be small; broadcast only if it is."""
-    side = F.broadcast(small) if fits_broadcast(small, max_rows) else small
-    return big.join(side, on, how)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def semi(df: DataFrame, parent: DataFrame, on, small: bool = False) -> DataFrame:
+def semi(df: DataFrame, parent: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key exists in ``parent`` (no fan-out, no parent columns)."""
-    return join_small(df, parent, on, "left_semi") if small else df.join(parent, on, "left_semi")
+    return df.join(parent, on, "left_semi")
 
 
-def anti(df: DataFrame, parent: DataFrame, on, small: bool = False) -> DataFrame:
+def anti(df: DataFrame, parent: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key is missing from ``parent``."""
-    return join_small(df, parent, on, "left_anti") if small else df.join(parent, on, "left_anti")
+    return df.join(parent, on, "left_anti")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, join_small, materialize, remember_rows
+from lakestar.operators.joins import materialize
 from lakestar.operators.keys import dense_ids
 
 
@@ -18,7 +17,7 @@ class LookupSet:
     """Lookup tables ``(id, name)`` plus, per lookup, a ``(raw_value, id)`` map.
 
     Labels are computed once per *distinct raw value*, never per row; the
-    build attaches ids by joining the raw column against the (size-checked)
+    build attaches ids by joining the raw column against the
     value map, so title-casing and prefix rules do not run on the big tables.
     """
     tables: dict[str, DataFrame]
@@ -30,9 +29,7 @@ def build_lookups(sources: dict[str, DataFrame],
     """Several lookups from one job: ``specs[name] = (source, raw column, label fn, id col, name col)``.
 
     Each source is scanned once; its non-NULL raw values are exploded into
-    ``(lookup, raw_value)`` pairs, one distinct over the union is written, and
-    one small aggregate gives per lookup the raw-value and label counts (a
-    bound for broadcasting the maps and for numbering in one task).
+    ``(lookup, raw_value)`` pairs, and one distinct over the union is written.
     """
     parts = []
     for src_name in dict.fromkeys(s[0] for s in specs.values()):
@@ -50,41 +47,27 @@ def build_lookups(sources: dict[str, DataFrame],
         cond = F.col("lookup") == F.lit(n)
         label = F.when(cond, fn(F.col("raw_value"))) if label is None else label.when(cond, fn(F.col("raw_value")))
     labeled = values.select("lookup", "raw_value", label.alias("label"))
-    sizes = {r["lookup"]: (r["values"], r["labels"]) for r in labeled.groupBy("lookup").agg(
-        F.count(F.lit(1)).alias("values"), F.count_distinct("label").alias("labels")).collect()}
-    numbered_all = []
-    for n, (_, _, _, id_col, name_col) in specs.items():
-        n_values, n_labels = sizes.get(n, (0, 0))
-        names = labeled.where((F.col("lookup") == n) & F.col("label").isNotNull()).select(
-            F.col("label").alias("name")).distinct()
-        if n_labels <= BROADCAST_MAX_ROWS:
-            numbered = names.select(F.row_number().over(Window.orderBy("name")).cast("int").alias("id"), "name")
-        else:
-            numbered = dense_ids(names, "name", "id")
-        numbered_all.append(numbered.select(F.lit(n).alias("lookup"), "id", "name"))
-    # all six numberings in one write, so later plans scan them instead of re-deriving them
-    numbered_all = materialize(reduce(lambda x, y: x.unionByName(y), numbered_all))
-    # raw value -> id for every lookup, written once as well (a join of two small written frames)
+    # all labels are numbered in one go, each lookup from 1 by ascending name, whatever their number
+    names = labeled.where(F.col("label").isNotNull()).select("lookup", F.col("label").alias("name")).distinct()
+    numbered_all = materialize(dense_ids(names, "name", "id", group_col="lookup"))
+    # raw value -> id for every lookup, written once as well (a join of two written frames)
     maps_all = materialize(labeled.join(numbered_all.select("lookup", F.col("name").alias("label"), "id"),
                                         ["lookup", "label"]).select("lookup", "raw_value", "id"))
     tables, maps = {}, {}
     for n, (_, _, _, id_col, name_col) in specs.items():
-        n_values, n_labels = sizes.get(n, (0, 0))
         mine = numbered_all.where(F.col("lookup") == n)
-        tables[n] = remember_rows(mine.select(F.col("id").alias(id_col), F.col("name").alias(name_col)), n_labels)
-        vmap = maps_all.where(F.col("lookup") == n).select("raw_value", "id")
-        maps[n] = remember_rows(vmap, n_values)          # an upper bound: one row per raw value at most
+        tables[n] = mine.select(F.col("id").alias(id_col), F.col("name").alias(name_col))
+        maps[n] = maps_all.where(F.col("lookup") == n).select("raw_value", "id")
     return LookupSet(tables, maps)
 
 
 def attach_id_by_value(df: DataFrame, raw_col: str, value_map: DataFrame, id_col: str) -> DataFrame:
     """Left-join ``raw value -> id``; a NULL or unknown raw value gets a NULL id."""
     vm = value_map.select(F.col("raw_value").alias("__rv"), F.col("id").alias(id_col))
-    side = F.broadcast(vm) if fits_broadcast(value_map) else vm
-    return df.join(side, df[raw_col].cast("string") == F.col("__rv"), "left").drop("__rv")
+    return df.join(vm, df[raw_col].cast("string") == F.col("__rv"), "left").drop("__rv")
 
 
 def attach_name(df: DataFrame, id_col: str, lookup: DataFrame, name_col: str, alias: str | None = None) -> DataFrame:
     """Left-join id -> name."""
     lk = lookup.select(F.col(lookup.columns[0]).alias("__lk_id"), F.col(name_col).alias(alias or name_col))
-    return join_small(df, lk, df[id_col] == lk["__lk_id"], "left").drop("__lk_id")
+    return df.join(lk, df[id_col] == lk["__lk_id"], "left").drop("__lk_id")

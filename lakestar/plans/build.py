@@ -1,8 +1,7 @@
 """One build over one input folder: raw -> lookups -> silver -> gold, built lazily.
 
-Frames that several later steps read (lookups, locations, users) are written
-once to the reliable checkpoint folder, which also gives the measured row count
-that decides whether they are broadcast.
+Frames that several later steps read are written once to the reliable checkpoint folder, which also
+gives Catalyst their file sizes.
 """
 
 from __future__ import annotations
@@ -76,18 +75,12 @@ class Build:
     def checked(self, table: str) -> DataFrame:
         """Raw rows of ``table`` with FK markers, shared by the silver build and the rejects.
 
-        Written once in a run when an FK parent is joined by shuffle (the write
-        saves repeating that shuffle for the rejects); when every parent is
-        measured small enough to broadcast, re-deriving the markers costs no
-        shuffle, so the frame stays lazy.
+        Written once in a run, so the rejects do not repeat the joins.
         """
         if table not in self._checked:
             parents = {p: getattr(self, p) for _, p, _ in silver.FK_TESTS[table]}
-            df = silver.check_fks(table, self.raw[table], parents)
-            if all(silver.small_parent(name, frame) for name, frame in parents.items()):
-                self._checked[table] = df
-            else:
-                self._checked[table] = self._out("bronze", f"{table}_fk_checked", df)
+            self._checked[table] = self._out("bronze", f"{table}_fk_checked",
+                                             silver.check_fks(table, self.raw[table], parents))
         return self._checked[table]
 
     # ---- silver ----
@@ -114,7 +107,7 @@ class Build:
     def subscriptions(self) -> DataFrame:
         return self._out("silver", "subscriptions", silver.subscriptions(
             self.raw["subscriptions"], None, self.vmap("dim_plan_types"), self.vmap("dim_event_types"),
-            checked=self.checked("subscriptions")))
+            checked=self.checked("subscriptions")), reuse=True)
 
     @cached_property
     def payments(self) -> DataFrame:
@@ -144,7 +137,7 @@ class Build:
     @cached_property
     def dim_user(self) -> DataFrame:
         return self._out("gold", "dim_user", gold.dim_user(self.users, self.locations, self.subscriptions,
-                                                           self.lk("dim_plan_types"), self.as_of))
+                                                           self.lk("dim_plan_types"), self.as_of), reuse=True)
 
     @cached_property
     def fact_subscription_events(self) -> DataFrame:

@@ -17,7 +17,6 @@ from lakestar import schemas
 from lakestar.functions import dates
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import desc, first_per_key
-from lakestar.operators.joins import join_small
 from lakestar.operators.lookups import attach_name
 
 # The calendar range of the date dimension.
@@ -72,7 +71,7 @@ def dim_user(users: DataFrame, locations: DataFrame, subscriptions: DataFrame, p
     as_of_col = F.current_date() if as_of is None else F.lit(str(as_of)).cast("date")
     u = users.select("user_legacy_id", "name", "email", "country_id")
     geo = locations.select("country_id", "country_name", "region_name")
-    j = join_small(u, geo, "country_id", "left")
+    j = u.join(geo, "country_id", "left")
     j = j.join(subscription_summary(subscriptions), "user_legacy_id", "left")
     j = attach_name(j, "latest_plan_type_id", plan_types, "plan_type_name", "current_plan_type")
     # The reference groups the user x subscription fan-out by these columns; the
@@ -96,7 +95,7 @@ def fact_subscription_events(payments: DataFrame, subscriptions: DataFrame, dim_
     s = subscriptions.select("sub_id", "start_date", "last_event_type_id")
     s = s.join(_calendar(dim_date_df), s.start_date == F.col("full_date"))
     et = event_types.select(F.col("event_type_id").alias("last_event_type_id"), "event_type_name")
-    s = join_small(s, et, "last_event_type_id").select("sub_id", "date_key", "event_type_name")
+    s = s.join(et, "last_event_type_id").select("sub_id", "date_key", "event_type_name")
     p = payments.select("sub_id", F.trim("user_legacy_id").alias("user_key"), "amount")
     f = p.join(s, "sub_id").join(dim_user_df.select("user_key"), "user_key")
     out = f.select("date_key", "user_key", "event_type_name", F.col("amount").alias("mrr_change"))

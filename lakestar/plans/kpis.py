@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from lakestar.functions import dates
 from lakestar.functions.conform import cast_to
 from lakestar.operators.dedupe import asc, first_per_key
-from lakestar.operators.joins import semi
+from lakestar.operators.joins import materialize, semi
 from lakestar.sources.fixtures import Fixtures
 
 # Allowed event statuses (ours; the documents say "enum(status)" only).
@@ -46,6 +46,9 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+REUSED = ("events", "tickets", "refunds")  # read by several later steps
+
+
 class Ticketing:
     """``sink(layer, name, df)`` (optional) writes each finished table and returns it read back."""
 
@@ -54,7 +57,9 @@ class Ticketing:
         self.sink = sink
 
     def _out(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        return df if self.sink is None else self.sink(layer, name, df)
+        if self.sink is not None:
+            return self.sink(layer, name, df)
+        return materialize(df) if name in REUSED else df
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Ticketing":
@@ -164,7 +169,9 @@ class Ticketing:
         per_ticket = self.refunds.groupBy("ticket_id").agg(F.sum("refund_amount").alias("refund"))
         back = (per_ticket.join(t.select("ticket_id", "date"), "ticket_id")
                 .groupBy("date").agg(F.sum("refund").alias("refunds")))
-        d = sold.join(back, "date", "left")
+        # tickets without a purchase date have a day of their own (NULL), their refunds with them
+        back = back.withColumnRenamed("date", "back_date")
+        d = sold.join(back, F.col("date").eqNullSafe(F.col("back_date")), "left")
         gross = F.col("gross_revenue").cast("decimal(18,2)")
         out = d.select("date", F.col("tickets_sold").cast("long").alias("tickets_sold"),
                        gross.alias("gross_revenue"),

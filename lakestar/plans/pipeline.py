@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lakestar import schemas
 from lakestar.operators import audit, quality
-from lakestar.plans.build import DEFAULT_AS_OF, Build
+from lakestar.plans.build import Build
 from lakestar.plans.rejects import rejected_rows
 from lakestar.sources.landing import land
 from lakestar.sources.sinks import LayerWriter
@@ -80,16 +80,15 @@ def build_waves(b: Build, waves: list[list[str]], parallel: bool = True) -> None
                 getattr(b, attr)
 
 
-def co_location(spark: SparkSession) -> dict[str, tuple[str, int]]:
-    """Parents joined again and again on one key are written bucketed on it."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return {"silver.users": ("user_legacy_id", n), "silver.subscriptions": ("sub_id", n)}
-
-
-def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=DEFAULT_AS_OF,
+def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=None,
         publish: bool = True, run_id: str | None = None) -> RunReport:
-    w = LayerWriter(spark, root, buckets=co_location(spark)) if run_id is None else \
-        LayerWriter(spark, root, run_id, buckets=co_location(spark))
+    """Build and publish all layers. ``as_of``: the day that "active" is judged on; None is the current date.
+
+    A raw table that is missing counts as empty.
+    """
+    w = LayerWriter(spark, root) if run_id is None else LayerWriter(spark, root, run_id)
+    missing = [t for t in schemas.SUBSCRIPTION_TABLES if t not in raw]
+    raw = raw | {t: spark.createDataFrame([], schemas.RAW[t]) for t in missing}
     secs: dict[str, float] = {}
 
     def land_one(item):

@@ -17,7 +17,6 @@ from lakestar import schemas
 from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
-from lakestar.operators.joins import BROADCAST_MAX_ROWS, join_small, known_rows
 from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
@@ -54,19 +53,12 @@ FK_TESTS = {
     "viewing_activity": [("user_legacy_id", "users", "user_legacy_id"), ("content_id", "watchlist", "content_id"),
                          ("device_id", "devices", "device_id")],
 }
-SMALL_PARENTS = {"locations"}          # a label-sized table: broadcast after a measured count
 
 
 def fk_marker(parent: str) -> str:
     return f"__in_{parent}"
 
 
-def small_parent(name: str, parent: DataFrame) -> bool:
-    """A label-sized parent, or one whose row count is known (it was written) and bounded."""
-    n = known_rows(parent)
-    return name in SMALL_PARENTS or (n is not None and n <= BROADCAST_MAX_ROWS)
-
-
 def check_fks(table: str, raw_df: DataFrame, parents: dict[str, DataFrame]) -> DataFrame:
     """Raw rows plus one marker per FK test: TRUE when the key exists in the parent, else NULL.
 
@@ -77,8 +69,7 @@ def check_fks(table: str, raw_df: DataFrame, parents: dict[str, DataFrame]) -> D
     out = raw_df
     for col, parent, pcol in FK_TESTS[table]:
         keys = parents[parent].select(F.col(pcol).alias(col), F.lit(True).alias(fk_marker(parent)))
-        small = small_parent(parent, parents[parent])
-        out = join_small(out, keys, col, "left") if small else out.join(keys, col, "left")
+        out = out.join(keys, col, "left")
     return out.select(*raw_df.columns, *[fk_marker(p) for _, p, _ in FK_TESTS[table]])
 
 

@@ -56,6 +56,7 @@ RAW = {
                                ("completion_percentage", T.DoubleType()), ("rating", I)),
 }
 RAW_TABLES = list(RAW)
+SUBSCRIPTION_TABLES = tuple(RAW_TABLES)
 
 # --- documented ticketing inputs (column lists from the data dictionary) ---
 RAW_TICKETING = {
@@ -137,7 +138,6 @@ SILVER = {
         fks=(("user_legacy_id", "users", "user_legacy_id"), ("content_id", "watchlist", "content_id"),
              ("device_id", "devices", "device_id"))),
 }
-SILVER_ORDER = ["locations", "users", "watchlist", "devices", "subscriptions", "payments", "viewing_activity"]
 
 GOLD = {
     "dim_date": Table("dim_date", struct(
@@ -169,8 +169,3 @@ GOLD = {
         fks=(("date_key", "dim_date", "date_key"), ("user_key", "dim_user", "user_key"),
              ("content_key", "dim_content", "content_key"))),
 }
-GOLD_ORDER = ["dim_date", "dim_content", "dim_user", "fact_subscription_events", "fact_viewing_activity"]
-
-# Reject table (declared by the reference, filled here).
-REJECTS = struct(("source_table", S), ("target_table", S), ("rejection_reason", S), ("row_key", S),
-                 ("row_data", S), ("rejected_at", T.TimestampType()))

@@ -44,8 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if none is configured.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
-    system). Only when nothing is configured — local tests and single-machine
-    runs — a fresh folder under the local temp dir is used.
+    system). Only a local master, whose driver and executors are one process, may run
+    without one; it gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakestar-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

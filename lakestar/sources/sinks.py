@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakestar.operators.joins import remember_rows, write_table
+from lakestar.operators.joins import write_table
 
 
 @dataclass
@@ -36,7 +36,6 @@ class LayerWriter:
     run_id: str = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
                         + "-" + uuid.uuid4().hex[:6])
     fmt: str = "parquet"
-    buckets: dict[str, tuple[str, int]] = field(default_factory=dict)   # "layer.table" -> (column, n)
     stats: list[WriteStat] = field(default_factory=list)
     _lock: threading.Lock = field(default_factory=threading.Lock, repr=False)
 
@@ -52,12 +51,12 @@ class LayerWriter:
         path = self.path(layer, table)
         obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:6]}")
         t0 = time.perf_counter()
-        out = write_table(df, path, obs, self.buckets.get(f"{layer}.{table}"), self.fmt, mode, metrics)
+        out = write_table(df, path, obs, self.fmt, mode, metrics)
         got = dict(obs.get)
         rows = int(got["rows"])
         with self._lock:
             self.stats.append(WriteStat(layer, table, rows, time.perf_counter() - t0, path, got))
-        return remember_rows(out, rows)
+        return out
 
     def local_frame(self, data: dict, ddl: str) -> DataFrame:
         """A small frame from driver-side values (one row per table), via Arrow."""
@@ -72,18 +71,22 @@ class LayerWriter:
                                                "run_id string")
 
     def publish(self) -> None:
-        """Point readers at this run (one-row pointer table, replaced atomically per run)."""
+        """Point readers at this run: one more row of the pointer table, the latest of which counts.
+
+        Earlier pointers stay, so a crash while this one is written leaves readers with the last good run.
+        """
         ptr = self.spark.range(1).select(F.lit(self.run_id).alias("run_id"),
                                          F.localtimestamp().cast("timestamp_ntz").alias("published_at"))
-        ptr.coalesce(1).write.mode("overwrite").parquet(f"{self.root.rstrip('/')}/published")
+        ptr.coalesce(1).write.mode("append").parquet(f"{self.root.rstrip('/')}/published")
 
 
 def published_run(spark: SparkSession, root: str) -> str:
-    return spark.read.parquet(f"{root.rstrip('/')}/published").first()["run_id"]
+    pointers = spark.read.parquet(f"{root.rstrip('/')}/published")
+    return pointers.orderBy(F.desc("published_at"), F.desc("run_id")).first()["run_id"]
 
 
 def read_published(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    """Files of the published run (bucketed tables read as plain parquet here)."""
+    """Files of the published run."""
     run = published_run(spark, root)
     return spark.read.parquet(f"{root.rstrip('/')}/runs/{run}/{layer}/{table}")
 

@@ -41,6 +41,17 @@ def test_signup_date_styles(spark):
     assert got == [d, d, d, None, None, None, None]
 
 
+def test_trailing_garbage_and_newlines_are_no_dates(spark):
+    bad = ["2024-01-05 garbage", "2024-01-05Tgarbage", "2024-02-30", "2024-01-05 25:00:00"]
+    assert one_col(spark, bad, dates.text_to_date) == [None] * 4
+    assert one_col(spark, bad, dates.iso_or_us_date) == [None] * 4
+    good = ["2024-01-05", "2024-01-05 10:11:12", "2024-01-05T10:11:12.5Z"]
+    assert one_col(spark, good, dates.text_to_date) == [dt.date(2024, 1, 5)] * 3
+    assert one_col(spark, ["2024-01-05\n", "2024-01-05"], dates.strict_iso_date) == [None, dt.date(2024, 1, 5)]
+    assert one_col(spark, ["1/5/2024\n"], dates.iso_or_us_date) == [None]
+    assert one_col(spark, ["2024-01-05T10:11:12.123456Z\n"], dates.strict_iso_timestamp) == [None]
+
+
 def test_strict_timestamp_needs_full_pattern(spark):
     got = one_col(spark, ["2024-01-05", "2024-01-05T10:11:12.123456Z"], dates.strict_iso_timestamp)
     assert got == [None, dt.datetime(2024, 1, 5, 10, 11, 12, 123456)]

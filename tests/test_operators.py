@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from lakestar.operators import audit, quality
 from lakestar.operators.dedupe import asc, desc, first_per_key
-from lakestar.operators.joins import BROADCAST_MAX_ROWS, join_small, materialize
 from lakestar.operators.keys import dense_ids
 
 
@@ -41,12 +40,11 @@ def test_dense_ids_range_path(spark):
     assert rows == [(i + 1, f"n{i:03d}") for i in range(57)]
 
 
-def test_join_small_broadcasts_only_bounded_sides(spark):
-    big = spark.range(1000).select((F.col("id") % 10).alias("k"))
-    small = materialize(spark.range(10).select(F.col("id").alias("k")))
-    assert "BroadcastHashJoin" in plan(join_small(big, small, "k", max_rows=BROADCAST_MAX_ROWS))
-    j = join_small(big, small, "k", max_rows=5)
-    assert "Broadcast" not in j._jdf.queryExecution().optimizedPlan().toString()
+def test_dense_ids_number_each_group_from_one(spark):
+    rows = [(g, f"{g}{i:03d}") for g in "abc" for i in range(31)]
+    ids = dense_ids(spark.createDataFrame(rows, "g string, name string").repartition(7), "name", "id", group_col="g")
+    assert sorted((r.g, r.id, r.name) for r in ids.collect()) == sorted(
+        (g, i + 1, f"{g}{i:03d}") for g in "abc" for i in range(31))
 
 
 def test_fingerprint_is_order_free_and_null_aware(spark):
@@ -78,21 +76,18 @@ def test_orphans_and_varchar(spark):
     assert nn.first().null_rows == 1
 
 
-def test_lookups_large_path_matches_small_path(spark, monkeypatch):
-    """Above the bound, labels are numbered by dense_ids and maps are joined by shuffle: same ids."""
-    from lakestar.operators import joins, lookups
+def test_lookups_do_not_depend_on_join_strategy(spark):
+    """The same ids and maps whether Catalyst broadcasts the small sides or shuffles them."""
     from lakestar.plans import silver
     from lakestar.sources.fixtures import Fixtures
     from tests.conftest import SMALL_SF
+    from tests.test_scale import with_conf
     raw = Fixtures(spark, SMALL_SF).raw()
-    small = silver.all_lookups(raw)
-    monkeypatch.setattr(lookups, "BROADCAST_MAX_ROWS", 2)
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 2)
-    big = silver.all_lookups(raw)
-    for name in silver.LOOKUP_SPECS:
-        assert sorted(big.tables[name].collect()) == sorted(small.tables[name].collect()), name
-        assert sorted(big.value_maps[name].collect()) == sorted(small.value_maps[name].collect()), name
-    w_big = silver.watchlist(raw["watchlist"], big.value_maps["dim_content_types"], big.value_maps["dim_genres"])
-    w_small = silver.watchlist(raw["watchlist"], small.value_maps["dim_content_types"],
-                               small.value_maps["dim_genres"])
-    assert sorted(w_big.collect()) == sorted(w_small.collect())
+
+    def run():
+        found = silver.all_lookups(raw)
+        w = silver.watchlist(raw["watchlist"], found.value_maps["dim_content_types"], found.value_maps["dim_genres"])
+        return {n: (sorted(found.tables[n].collect()), sorted(found.value_maps[n].collect()))
+                for n in silver.LOOKUP_SPECS} | {"watchlist": sorted(w.collect())}
+
+    assert with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}, run) == run()

@@ -1,4 +1,4 @@
-"""Plan-shape guarantees that matter at scale: co-located joins, hot keys, sizing."""
+"""Plan-shape guarantees that matter at scale: hot keys, sizing, shared folders."""
 
 from pyspark.sql import functions as F
 
@@ -6,10 +6,6 @@ from lakestar.operators.joins import materialize, semi
 from lakestar.session import cluster_conf
 
 
-def shuffles(df) -> int:
-    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
-
-
 def with_conf(spark, conf: dict, fn):
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
@@ -24,20 +20,6 @@ def with_conf(spark, conf: dict, fn):
                 spark.conf.set(k, v)
 
 
-def test_bucketed_parent_is_not_reshuffled(spark):
-    def run():
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        parent = spark.range(500).select(F.concat(F.lit("U"), F.col("id").cast("string")).alias("k"))
-        child = spark.range(5000).select(F.concat(F.lit("U"), (F.col("id") % 700).cast("string")).alias("k"),
-                                         F.col("id").alias("v"))
-        plain = materialize(parent)
-        bucketed = materialize(parent, bucket=("k", n))
-        a, b = semi(child, plain, "k"), semi(child, bucketed, "k")
-        assert a.count() == b.count() == child.where(F.col("v") % 700 < 500).count()
-        assert shuffles(b) == shuffles(a) - 1
-    with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}, run)
-
-
 def test_hot_key_semi_join_is_split_by_aqe(spark):
     def run():
         hot = spark.range(60000).select(F.lit("HOT").alias("k"), F.col("id").alias("v"))
@@ -56,6 +38,62 @@ def test_hot_key_semi_join_is_split_by_aqe(spark):
                       "spark.sql.adaptive.coalescePartitions.enabled": "false"}, run)
 
 
+def test_hot_user_is_split_on_the_pipelines_own_parent(spark):
+    """Subscriptions of one user hold a third of the rows; the join to the written silver users is split."""
+    from pyspark.sql import types as T
+
+    from lakestar.plans import silver
+    from lakestar.plans.build import Build
+    from lakestar.sources.fixtures import Fixtures
+    from tests.conftest import SMALL_SF
+
+    def run():
+        raw = Fixtures(spark, SMALL_SF).raw()
+        b = Build(spark, raw, sink=lambda layer, name, df: materialize(df))
+        hot = b.users.select("user_legacy_id").orderBy("user_legacy_id").limit(1).first()[0]
+        many = spark.range(60000).select(F.lit(hot).alias("user_legacy_id"), F.col("id").alias("sub_id"))
+        rest = spark.range(120000).select(F.concat(F.lit("x"), (F.col("id") % 5000).cast("string")).alias("user_legacy_id"),
+                                          (F.col("id") + 60000).alias("sub_id"))
+        subs = many.unionByName(rest)
+        for f in raw["subscriptions"].schema:
+            if f.name not in subs.columns:
+                subs = subs.withColumn(f.name, F.lit(None).cast(T.StringType()).cast(f.dataType))
+        subs = materialize(subs.select(*raw["subscriptions"].columns))
+        out = silver.check_fks("subscriptions", subs, {"users": b.users})
+        rows = out.collect()
+        assert len(rows) == 180000 and sum(r["__in_users"] is True for r in rows) == 60000
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    plan = with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+                             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+                             "spark.sql.adaptive.coalescePartitions.enabled": "false"}, run)
+    assert "isSkewJoin=true" in plan or "skew=true" in plan
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(monkeypatch):
+    import pytest
+
+    from lakestar import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
 def test_cluster_conf_sizes_partitions_to_input():
     c = cluster_conf(100 * (1 << 40))
     assert int(c["spark.sql.shuffle.partitions"]) == 409600

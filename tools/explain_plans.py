@@ -38,9 +38,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", shuffle_partitions=16)
     raw = {k: materialize(v) for k, v in Fixtures(spark, sf_dir).raw().items()}   # bronze, as written by a run
-    from lakestar.plans.pipeline import co_location
-    buckets = co_location(spark)
-    b = Build(spark, raw, sink=lambda layer, name, df: materialize(df, buckets.get(f"{layer}.{name}")))
+    b = Build(spark, raw, sink=lambda layer, name, df: materialize(df))
     b.lookups, b.locations, b.users, b.watchlist, b.devices, b.subscriptions, b.payments, b.viewing_activity
     b.dim_date, b.dim_content, b.dim_user
     def items():
@@ -57,17 +55,15 @@ def main() -> None:
                                                                      b.dim_date),
         }
     print(f"# Physical plans (inputs materialised, {os.path.basename(sf_dir)}, local[8])\n")
-    print("Generated by `tools/explain_plans.py`. Join strategies follow measured sizes. Part 1: at this\n"
+    print("Generated by `tools/explain_plans.py`. Join strategies follow file sizes. Part 1: at this\n"
           "scale the materialised silver parents are under Catalyst's file-size broadcast threshold.\n"
           "Part 2: the same plans with automatic broadcast off, i.e. the shape when parents are large\n"
-          "(100 TB), with FK parents also treated as over the measured bound: shuffled joins on the\n"
-          "same keys (AQE splits skewed partitions); only the measured lookup maps and the fixed-size\n"
-          "`dim_date` remain broadcast.\n")
+          "(100 TB): shuffled joins on the same keys (AQE splits skewed partitions); only the fixed-size\n"
+          "`dim_date` remains broadcast.\n")
     print("## Part 1 — as planned at this scale\n")
     for name, df in items().items():
         print(summarise(name, df))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    silver.BROADCAST_MAX_ROWS = 0          # FK parents over the measured bound, as at 100 TB
     print("## Part 2 — parents too large to broadcast\n")
     for name, df in items().items():
         print(summarise(name, df))
