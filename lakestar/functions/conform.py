@@ -23,10 +23,33 @@ def cast_to(c: Column, source: T.DataType, target: T.DataType) -> Column:
         if isinstance(source, _FRACTIONAL):
             return F.rint(c.cast("double")).try_cast(target)
         if isinstance(source, T.StringType):
-            return F.rint(F.trim(c).try_cast("double")).try_cast(target)
+            # whole numbers as they are (a double has 53 bits only), others through a double
+            return F.coalesce(F.trim(c).try_cast(target), F.rint(F.trim(c).try_cast("double")).try_cast(target))
     return c.try_cast(target)
 
 
+def as_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Every column as text (absent ones NULL): the form in which raw tables are landed."""
+    return df.select(*[(F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(c)
+                       for c in columns or df.columns])
+
+
+def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Text columns cast to the contract's types; columns that have a type already are left as they are."""
+    want = {f.name: f.dataType for f in schema.fields}
+    return df.select(*[
+        cast_to(F.col(f.name), f.dataType, want[f.name]).alias(f.name)
+        if isinstance(f.dataType, T.StringType) and f.name in want else F.col(f.name) for f in df.schema.fields])
+
+
+def failed_casts(df: DataFrame, schema: T.StructType) -> list[tuple[str, T.DataType, Column]]:
+    """(column, wanted type, whether a text that is there is lost by the cast) of a landed table."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return [(f.name, f.dataType, F.col(f.name).isNotNull() & cast_to(F.col(f.name), have[f.name], f.dataType).isNull())
+            for f in schema.fields if isinstance(have.get(f.name), T.StringType)
+            and not isinstance(f.dataType, T.StringType)]
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order, cast to its types; absent columns are NULL."""
     have = {f.name: f.dataType for f in df.schema.fields}

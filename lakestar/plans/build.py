@@ -13,6 +13,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestar import schemas
+from lakestar.functions.conform import typed
 from lakestar.operators.joins import materialize
 from lakestar.plans import gold, silver
 from lakestar.sources.fixtures import Fixtures
@@ -34,7 +36,8 @@ class Build:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame], as_of=DEFAULT_AS_OF,
                  sink: Sink | None = None):
         self.spark = spark
-        self.raw = raw
+        self.landed = raw
+        self.raw = {t: typed(df, schemas.RAW[t]) for t, df in raw.items()}
         self.as_of = as_of
         self.sink = sink
         self._checked: dict[str, DataFrame] = {}     # created here: waves read it from several threads

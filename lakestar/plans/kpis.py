@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakestar import schemas
 from lakestar.functions import dates
-from lakestar.functions.conform import cast_to
+from lakestar.functions.conform import cast_to, typed
 from lakestar.operators.dedupe import asc, first_per_key
 from lakestar.operators.joins import materialize, semi
 from lakestar.sources.fixtures import Fixtures
@@ -53,7 +54,7 @@ class Ticketing:
     """``sink(layer, name, df)`` (optional) writes each finished table and returns it read back."""
 
     def __init__(self, raw: dict[str, DataFrame], sink=None):
-        self.raw = raw
+        self.raw = {t: typed(df, schemas.RAW_TICKETING[t]) for t, df in raw.items()}
         self.sink = sink
 
     def _out(self, layer: str, name: str, df: DataFrame) -> DataFrame:

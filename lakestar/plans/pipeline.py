@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import schemas
+from lakestar.functions.conform import as_text
 from lakestar.operators import audit, quality
 from lakestar.plans.build import Build
 from lakestar.plans.rejects import rejected_rows
@@ -94,7 +95,7 @@ def run(spark: SparkSession, raw: dict[str, DataFrame], root: str, as_of=None,
     def land_one(item):
         """Land one raw table; its fingerprint is observed during the same write."""
         name, df = item
-        landed = land(df)
+        landed = land(as_text(df))
         return name, w("bronze", name, landed, metrics=audit.fingerprint_metrics(landed))
 
     t = time.perf_counter()

@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakestar import schemas
 from lakestar.functions import dates, text
+from lakestar.functions.conform import failed_casts
 from lakestar.plans.build import Build
 from lakestar.plans.silver import end_not_before_start, fk_marker, rating_ok
 
@@ -84,7 +86,8 @@ def rejected_rows(b: Build) -> DataFrame:
     j = b.checked("subscriptions")
     out.append(_rejects("subscriptions", j, "sub_id", [
         ("sub_id is null", F.col("sub_id").isNull()),
-        ("end_date before start_date", ~F.coalesce(end_not_before_start(), F.lit(False))),
+        ("end_date before start_date", F.coalesce(~end_not_before_start(), F.lit(False))),
+        ("end_date cannot be compared with start_date", F.col("end_date").isNotNull() & end_not_before_start().isNull()),
         ("user_legacy_id not in users", _fk_miss("users")),
         ("start_date is not a valid date",
          _matched_but_null(F.col("start_date"), [dates.ISO_DATE_EXACT], dates.strict_iso_date("start_date"))),
@@ -116,11 +119,22 @@ def rejected_rows(b: Build) -> DataFrame:
         ("user_legacy_id not in users", _fk_miss("users")),
         ("content_id not in watchlist", _fk_miss("watchlist")),
         ("device_id not in devices", _fk_miss("devices")),
+        ("completion_percentage does not fit numeric(5,2)",
+         F.col("completion_percentage").isNotNull() & F.col("completion_percentage").try_cast("decimal(5,2)").isNull()),
         ("session_start_ts is not a valid timestamp",
          _matched_but_null(F.col("session_start_ts"), [dates.ISO_DATE_PREFIX, dates.US_DATE_PREFIX],
                            dates.iso_or_us_timestamp("session_start_ts"))),
     ], r.columns))
 
+    # texts that do not fit their column's type (landed tables hold text)
+    keys = {"locations": "country_id", "users": "user_id", "watchlist": "content_id", "devices": "device_id",
+            "subscriptions": "sub_id", "payments": "payment_id", "viewing_activity": "session_id"}
+    for table, key in keys.items():
+        rules = [(f"{c} is not a valid {kind.simpleString()}", lost)
+                 for c, kind, lost in failed_casts(b.landed[table], schemas.RAW[table])]
+        if rules:
+            out.append(_rejects(table, b.landed[table], key, rules, b.landed[table].columns))
+
     res = out[0]
     for f in out[1:]:
         res = res.unionByName(f)

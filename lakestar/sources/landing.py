@@ -1,6 +1,6 @@
-"""Raw (bronze) landing: read each raw table as text, conform it by column name to
-the landing contract (ids and measures numeric, dates and labels text), and drop
-rows that are entirely NULL. A missing table is reported and skipped.
+"""Raw (bronze) landing: every value as the text that was read, columns matched to the
+contract by name, rows that are entirely NULL dropped. Types come later, in the silver build, where a
+text that does not fit its type becomes a reject record. A missing table is reported and skipped.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestar import schemas
-from lakestar.functions.conform import conform
+from lakestar.functions.conform import as_text
 
 log = logging.getLogger(__name__)
 
 
 def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame | None:
-    """Read one raw table; ``None`` if the path does not exist."""
+    """Read one raw table, all columns as text; ``None`` if the path does not exist."""
     try:
         if fmt == "csv":
             # Header names, every column read as text (no inference): columns are then
@@ -33,7 +33,7 @@ def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parqu
             log.warning("raw table %s not found at %s; skipped", table, path)
             return None
         raise
-    return conform(df, schemas.RAW[table])
+    return as_text(df, schemas.RAW[table].names)
 
 
 def land(df: DataFrame) -> DataFrame:

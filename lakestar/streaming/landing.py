@@ -1,7 +1,8 @@
 """Raw landing as a Structured Streaming job over a folder of arriving files.
 
-Same rules as ``lakestar.sources.landing`` (explicit schema, landing contract
-casts, all-NULL rows dropped); the file sink plus the checkpoint make each file
+Same form as ``lakestar.sources.landing`` (every column as text, all-NULL rows dropped). A stream needs its
+schema up front, so a CSV file's header must name the contract's columns in their order; a file with another header fails
+the query instead of landing values in the wrong columns. The file sink plus the checkpoint make each file
 land exactly once, and ``availableNow`` processes what is there and stops, so
 the job can run on a schedule and survive restarts.
 """
@@ -12,19 +13,18 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestar import schemas
-from lakestar.functions.conform import conform
+from lakestar.functions.conform import as_text
 from lakestar.sources.landing import land
 
 
 def land_stream(spark: SparkSession, src_dir: str, table: str, out_path: str, checkpoint: str,
                 fmt: str = "csv", max_files_per_trigger: int = 1000) -> StreamingQuery:
-    # A stream needs its schema up front; CSV files must carry the contract's column order.
     reader = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
         stream = (reader.schema(schemas.RAW_STRING[table]).option("header", True)
-                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(src_dir))
+                  .option("enforceSchema", False).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(src_dir))
     else:
         stream = reader.schema(schemas.RAW[table]).format(fmt).load(src_dir)
-    landed = land(conform(stream, schemas.RAW[table]))
+    landed = land(as_text(stream, schemas.RAW[table].names))
     return (landed.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out_path))

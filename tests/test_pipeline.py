@@ -28,8 +28,11 @@ def test_raw_set_reader_round_trip_csv(spark):
     fx.users.write.options(**CSV_OPTS).csv(f"{src}/users.csv")
     got = read_raw_set(spark, src, "csv")
     assert list(got) == ["users"]                      # missing tables are skipped
-    assert dict(got["users"].dtypes)["user_id"] == "bigint"
+    assert {t for _, t in got["users"].dtypes} == {"string"}   # bronze holds the text as read
     cols = ["user_id", "user_legacy_id", "name", "age", "country_id", "signup_date"]
+    from lakestar import schemas
+    from lakestar.functions.conform import typed
+    got["users"] = typed(got["users"], schemas.RAW["users"])
     as_rows = lambda df: sorted(map(tuple, df.select(cols).collect()), key=repr)
     assert as_rows(got["users"]) == as_rows(fx.users)          # values land in their own columns
 
@@ -118,3 +121,29 @@ def test_daily_net_adds_up_with_tickets_of_unknown_day(spark):
     by_event = k.event_sales.agg(F.sum("net_revenue")).first()[0]
     assert by_day == by_event
     assert k.daily_metrics.where("date is null").count() == 1
+
+
+def test_texts_that_do_not_fit_become_rejects(spark):
+    """No bad cell and no row goes unseen: the raw text stays in bronze, the cast failure in the rejects."""
+    from pyspark.sql import functions as F
+
+    from lakestar import schemas
+    from lakestar.functions.conform import as_text
+    raw = {t: as_text(df, schemas.RAW[t].names) for t, df in Fixtures(spark, SMALL_SF).raw().items()}
+    some = raw["viewing_activity"].columns
+    bad = spark.createDataFrame(
+        [("x9", "U1", "1", "1", "2020-01-01", "10", "1.5", "3"), ("900001", "U1", "1", "1", None, "ten", "1.5", "abc"),
+         ("900002", "U1", "1", "1", None, "7", "123456.5", None), tuple([None] * 8)], ", ".join(f"{c} string" for c in some))
+    raw["viewing_activity"] = raw["viewing_activity"].unionByName(bad)
+    root = tempfile.mkdtemp(prefix="lakestar-casts-")
+    rep = pipeline.run(spark, raw, root)
+    landed = read_published(spark, root, "bronze", "viewing_activity")
+    assert {t for _, t in landed.dtypes} == {"string"}
+    assert rep.rows["bronze.viewing_activity"] == raw["viewing_activity"].count() - 1     # the all-NULL row only
+    rejected = read_published(spark, root, "audit", "rejected_rows").where("source_table = 'raw.viewing_activity'")
+    got = {(r.row_key, r.rejection_reason) for r in rejected.where(
+        F.col("row_key").isin("x9", "900001", "900002") | F.col("row_key").isNull()).collect()}
+    assert {("x9", "session_id is not a valid bigint"), ("900001", "duration_watched_sec is not a valid int"),
+            ("900001", "rating is not a valid int"), (None, "session_id is null"),
+            ("900002", "completion_percentage does not fit numeric(5,2)")} <= got
+    assert "ten" in rejected.where("row_key = '900001'").first().row_data

@@ -3,6 +3,7 @@
 import tempfile
 
 from lakestar import schemas
+from lakestar.functions.conform import typed
 from lakestar.sources.fixtures import Fixtures
 from lakestar.streaming import land_stream
 from tests.conftest import SMALL_SF
@@ -23,7 +24,8 @@ def test_land_stream_is_incremental(spark):
     q.awaitTermination()
     assert spark.read.parquet(out).count() == 20 + users.count()
     landed = spark.read.parquet(out)
-    assert dict(landed.dtypes)["user_id"] == "bigint"
+    assert {t for _, t in landed.dtypes} == {"string"}
+    landed = typed(landed, schemas.RAW["users"])
     cols = ["user_id", "user_legacy_id", "name", "signup_date"]
     assert sorted(map(tuple, landed.select(cols).distinct().collect()), key=repr) == \
         sorted(map(tuple, users.select(cols).collect()), key=repr)
