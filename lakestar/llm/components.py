@@ -14,12 +14,9 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b); component is the smallest node reachable.
 
     Alternating large-star and small-star steps. Each step is a partial aggregate and two
-    joins on the node, which AQE may split; it ends when a step changes nothing.
+    joins on the node, which AQE may split; it ends when every node but the centres has one edge, to a centre.
     """
-    e = scratch.keep(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
-        "edges")
-    seen = None
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -29,10 +26,10 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = scratch.keep(small, "stars")
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == seen:
+        centres = e.select(F.col("v").alias("u")).distinct().withColumn("centre", F.lit(True))
+        loose = e.groupBy("u").agg(F.count("*").alias("n")).join(centres, "u", "left").where("n > 1 or centre")
+        if loose.isEmpty():
             break
-        seen = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
@@ -45,8 +42,9 @@ def link_groups(scratch: Scratch, entries: DataFrame, verify: Callable[[DataFram
     Two nodes are a candidate pair if they share a key. ``verify`` takes distinct pairs (a, b) and
     returns those that hold; ``may(a, b)`` is a cheap SQL condition over two aliased entry rows, true for at
     least one shared key of any pair that holds. ``worth`` is an SQL expression over an entry, high for nodes
-    that are likely to be linked to many others; it guides the choice of pivots and changes no result. Pairs inside one component need no check, as they cannot
-    change the result, so the pairs of a key are not enumerated:
+    that are likely to be linked to many others; it guides the choice of pivots and changes no result.
+    Pairs inside one component need no check, as they cannot change the result, so the pairs of a key are
+    not enumerated:
 
     * in each round every key that still spans several components picks one pivot (the worthiest node, in
       later rounds the worthiest outside that one's component), and its members of other components are
