@@ -20,7 +20,14 @@ from lakestar.operators import audit
 from lakestar.operators.dedupe import asc, first_per_key
 from lakestar.operators.joins import anti, semi
 from lakestar.operators.lookups import attach_id_by_value
-from lakestar.operators.quality import dq_results, precision_summary
+from lakestar.operators.quality import (
+    column_checks,
+    dq_results,
+    key_summary,
+    orphan_summary,
+    precision_summary,
+    union_all,
+)
 from lakestar.plans import gold, silver
 from lakestar.plans.build import Build
 from lakestar.plans.kpis import Ticketing
@@ -343,6 +350,45 @@ def q_precision(spark, sf_dir):
         precision_summary(raw["viewing_activity"], "raw.viewing_activity", {"completion_percentage": (5, 2)}))
 
 
+# The same checks where they find something: on the raw tables.
+_RAW_KEYS = {"locations": ["country_id"], "users": ["user_legacy_id"], "watchlist": ["content_id"],
+             "payments": ["payment_id"], "viewing_activity": ["session_id"]}
+_RAW_NOT_NULL = {"users": ["user_legacy_id", "name", "signup_date"], "watchlist": ["content_id", "genre"],
+                 "subscriptions": ["start_date", "end_date"], "payments": ["amount"],
+                 "viewing_activity": ["session_start_ts", "rating"]}
+_RAW_FKS = [("users", "country_id", "locations", "country_id"), ("payments", "sub_id", "subscriptions", "sub_id"),
+            ("viewing_activity", "content_id", "watchlist", "content_id"),
+            ("viewing_activity", "device_id", "devices", "device_id")]
+
+
+def _raw_cte(table: str) -> str:
+    return "raw_viewing" if table == "viewing_activity" else f"raw_{table}"
+
+
+@register("raw_key_violations", O.union_query(
+    [O.pk_sql(f"raw.{t}", _raw_cte(t), k) for t, k in _RAW_KEYS.items()], [_raw_cte(t) for t in _RAW_KEYS]))
+def q_raw_keys(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return union_all([key_summary(raw[t], f"raw.{t}", k) for t, k in _RAW_KEYS.items()])
+
+
+@register("raw_null_counts", O.union_query(
+    [O.not_null_sql(f"raw.{t}", _raw_cte(t), c) for t, cols in _RAW_NOT_NULL.items() for c in cols],
+    [_raw_cte(t) for t in _RAW_NOT_NULL]))
+def q_raw_nulls(spark, sf_dir):
+    raw = _raw(spark, sf_dir)
+    return union_all([column_checks(raw[t], f"raw.{t}", cols, {})[0] for t, cols in _RAW_NOT_NULL.items()])
+
+
+@register("raw_orphans", O.union_query(
+    [O.fk_sql(f"raw.{t}", _raw_cte(t), c, f"silver.{p}", f"silver_{p}", pc) for t, c, p, pc in _RAW_FKS],
+    [x for t, _, p, _ in _RAW_FKS for x in (_raw_cte(t), f"silver_{p}")]))
+def q_raw_orphans(spark, sf_dir):
+    b = _b(spark, sf_dir)
+    return union_all([orphan_summary(b.raw[t], c, getattr(b, p), pc, f"raw.{t}", f"silver.{p}")
+                      for t, c, p, pc in _RAW_FKS])
+
+
 @register("rejected_rows", O.rejected_rows_sql())
 def q_rejected(spark, sf_dir):
     return rejected_rows(_b(spark, sf_dir)).select("source_table", "target_table", "rejection_reason", "row_key")
