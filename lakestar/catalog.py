@@ -423,7 +423,7 @@ def _kpi_query(name: str, attr: str, oracle_cte: str) -> None:
     REGISTRY[name] = Entry(fn, O.table(oracle_cte))
 
 
-for _n, _a, _c in [("silver_venues", "venues", "silver_venues"),
+for _n, _a, _c in [("silver_artists", "artists", "silver_artists"), ("silver_venues", "venues", "silver_venues"),
                    ("enum_conform", "events", "silver_ticket_events"),
                    ("email_normalised", "customers", "silver_customers"),
                    ("silver_tickets", "tickets", "silver_tickets"),

@@ -50,6 +50,25 @@ def _ratio(num: Column, den: Column) -> Column:
 REUSED = ("events", "tickets", "refunds")  # read by several later steps
 
 
+def _more(table: str, df: DataFrame, done: list[str]) -> list[Column]:
+    """The documented columns that the input carries and no rule above names, typed."""
+    out = []
+    for f in schemas.RAW_TICKETING[table].fields:
+        if f.name in done or f.name not in df.columns:
+            continue
+        c = F.col(f.name)
+        if f.name == "created_at":
+            c = dates.iso_or_us_date(c)
+        elif f.name == "scanned_at":
+            c = dates.text_to_timestamp(c)
+        elif f.name == "status":
+            c = conform_enum(c)
+        elif isinstance(f.dataType, T.StringType):
+            c = F.trim(c)
+        out.append(c.alias(f.name))
+    return out
+
+
 class Ticketing:
     """``sink(layer, name, df)`` (optional) writes each finished table and returns it read back."""
 
@@ -65,7 +84,7 @@ class Ticketing:
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str) -> "Ticketing":
         fx = Fixtures(spark, sf_dir)
-        return cls({"venues": fx.venues, "events": fx.ticket_events, "customers": fx.customers,
+        return cls({"artists": fx.artists, "venues": fx.venues, "events": fx.ticket_events, "customers": fx.customers,
                     "tickets": fx.tickets, "checkins": fx.checkins, "refunds": fx.refunds,
                     "campaigns": fx.campaigns})
 
@@ -82,7 +101,7 @@ class Ticketing:
     def venues(self) -> DataFrame:
         v = first_per_key(self.raw["venues"].where(F.col("venue_id").isNotNull()), ["venue_id"])
         cap = cast_to(F.col("capacity"), v.schema["capacity"].dataType, T.IntegerType())
-        out = v.select("venue_id", "name", cap.alias("capacity"))
+        out = v.select("venue_id", "name", cap.alias("capacity"), *_more("venues", v, ["venue_id", "name", "capacity"]))
         return self._out("silver", "venues", out)
 
     @cached_property
@@ -90,13 +109,15 @@ class Ticketing:
         e = first_per_key(self.raw["events"].where(F.col("event_id").isNotNull()), ["event_id"])
         out = e.select("event_id", "artist_id", "venue_id", dates.text_to_date("event_date").alias("event_date"),
                        conform_enum("status", EVENT_STATUSES).alias("status"),
-                       F.col("ticket_price").try_cast("decimal(10,2)").alias("ticket_price"))
+                       F.col("ticket_price").try_cast("decimal(10,2)").alias("ticket_price"),
+                       *_more("events", e, ["event_id", "artist_id", "venue_id", "event_date", "status", "ticket_price"]))
         return self._out("silver", "events", out)
 
     @cached_property
     def customers(self) -> DataFrame:
         c = first_per_key(self.raw["customers"].where(F.col("customer_id").isNotNull()), ["customer_id"])
-        out = c.select("customer_id", "name", normalise_email("email").alias("email"))
+        out = c.select("customer_id", "name", normalise_email("email").alias("email"),
+                       *_more("customers", c, ["customer_id", "name", "email"]))
         return self._out("silver", "customers", out)
 
     @cached_property
@@ -107,7 +128,9 @@ class Ticketing:
         t = first_per_key(t, ["ticket_id"], [asc("event_id"), asc("purchase_datetime"), asc("channel"),
                                              asc("price_paid")])
         out = t.select("ticket_id", "event_id", "customer_id", "purchase_datetime",
-                       conform_enum("channel").alias("channel"), "price_paid")
+                       conform_enum("channel").alias("channel"), "price_paid",
+                       *_more("tickets", t, ["ticket_id", "event_id", "customer_id", "purchase_datetime", "channel",
+                                             "price_paid"]))
         return self._out("silver", "tickets", out)
 
     def _via_ticket(self, df: DataFrame, key: str, orders) -> DataFrame:
@@ -119,14 +142,16 @@ class Ticketing:
     @cached_property
     def checkins(self) -> DataFrame:
         c = self._via_ticket(self.raw["checkins"], "checkin_id", [])
-        out = c.select("checkin_id", F.col("__ticket_event").alias("event_id"), "ticket_id")
+        out = c.select("checkin_id", F.col("__ticket_event").alias("event_id"), "ticket_id",
+                       *_more("checkins", c, ["checkin_id", "event_id", "ticket_id"]))
         return self._out("silver", "checkins", out)
 
     @cached_property
     def refunds(self) -> DataFrame:
         r = self._via_ticket(self.raw["refunds"], "refund_id", [asc("refund_amount"), asc("refunded_at")])
         out = r.select("refund_id", "ticket_id", F.col("__ticket_event").alias("event_id"), "refund_amount",
-                       "refunded_at")
+                       "refunded_at", *_more("refunds", r, ["refund_id", "ticket_id", "event_id", "refund_amount",
+                                                            "refunded_at"]))
         return self._out("silver", "refunds", out)
 
     @cached_property
@@ -135,7 +160,8 @@ class Ticketing:
         c = first_per_key(semi(c, self.events.select("event_id"), "event_id"), ["campaign_id"])
         # campaign dates are conformed when the input carries them (ISO or M/D/YYYY text)
         dated = [dates.iso_or_us_date(d).alias(d) for d in ("start_date", "end_date") if d in c.columns]
-        out = c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend", *dated)
+        out = c.select("campaign_id", "event_id", conform_enum("channel").alias("channel"), "spend", *dated,
+                       *_more("campaigns", c, ["campaign_id", "event_id", "channel", "spend", "start_date", "end_date"]))
         return self._out("silver", "campaigns", out)
 
     # ---- gold ----

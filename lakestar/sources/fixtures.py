@@ -15,8 +15,6 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
-
 
 def _legacy_id(k: Column) -> Column:
     """``U<id>``, with a leading space for ids ending in 1."""
@@ -166,6 +164,16 @@ class Fixtures:
                 "viewing_activity": self.viewing_activity}
 
     # ---- ticketing domain (documented-only KPIs) ------------------------------
+    @cached_property
+    def artists(self) -> DataFrame:
+        s = self.table("supplier")
+        k = F.col("s_suppkey")
+        made = (F.when(k % 4 == 0, F.lit("2020-02-29")).when(k % 4 == 1, F.lit("2/30/2021"))
+                .when(k % 4 == 2, F.lit("2024-01-05 garbage")).otherwise(_null("string")))
+        return s.select(k.alias("artist_id"), F.concat(F.lit(" "), F.col("s_name")).alias("name"),
+                        F.when(k % 3 == 0, _null("string")).otherwise(F.lit("rock")).alias("genre"),
+                        F.col("s_nationkey").cast("string").alias("country"), made.alias("created_at"))
+
     @cached_property
     def venues(self) -> DataFrame:
         n = self.table("nation")
