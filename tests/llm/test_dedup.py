@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -160,3 +161,31 @@ def test_simhash_is_the_majority_of_word_hashes(spark):
         for k in (0, 1):
             bits = sum(1 << j for j in range(64) if 2 * sum((x[k] >> j) & 1 for x in h) > len(h))
             assert got[t][k] % 2**64 == bits
+
+
+def test_lines_with_one_changed_word_are_found(spark):
+    line = "the quick brown foxes jumped over seventeen sleeping badgers beside another river yesterday morning"
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(4, 8)))
+    data = [(1, line), (2, line.replace("river", "rivers"))]
+    for k in range(60):
+        w = [word() for _ in range(r.randint(8, 40))]
+        data.append((10 + 2 * k, " ".join(w)))
+        w[r.randrange(len(w))] = word()
+        data.append((11 + 2 * k, " ".join(w)))
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    x, y = docs.selectExpr("doc_id a", "text x"), docs.selectExpr("doc_id b", "text y")
+    similar = x.crossJoin(y).where("a < b and 100 * levenshtein(x, y) <= 20 * greatest(length(x), length(y))")
+    expected = {p.b for p in similar.collect()}
+    got = {g.doc_id for g in line_dedup.per_document(docs).where("n_dropped > 0").collect()}
+    assert 2 in got and len(expected) > 50
+    assert got <= expected and len(got) >= 0.95 * len(expected)
+
+
+def test_runs_of_long_lines_come_from_every_piece(spark):
+    r = random.Random(13)
+    text = "".join(r.choice("abcdefgh ") for _ in range(3 * line_dedup.PIECE + 17))
+    got = {x.norm: x.runs for x in line_dedup.sampled_runs(
+        spark.createDataFrame([(text,), ("x" + text,), ("tiny",)], "norm string")).collect()}
+    assert got["tiny"] == [] and len(got[text]) == line_dedup.SAMPLED
+    assert len(set(got[text]) & set(got["x" + text])) > line_dedup.SAMPLED // 2
