@@ -189,3 +189,24 @@ def test_runs_of_long_lines_come_from_every_piece(spark):
         spark.createDataFrame([(text,), ("x" + text,), ("tiny",)], "norm string")).collect()}
     assert got["tiny"] == [] and len(got[text]) == line_dedup.SAMPLED
     assert len(set(got[text]) & set(got["x" + text])) > line_dedup.SAMPLED // 2
+
+
+def test_short_lines_go_by_their_exact_form(spark):
+    cjk = "今日は天気がとても良いので公園まで散歩に行きましょう"
+    data = [(1, "Share this article\n\n" + cjk + "\n***"), (2, "share  this article!\n\n" + cjk[:-1] + "う。\n***\n---"),
+            (3, "spam spam spam spam spam spam"), (4, "spam " * 6 + "\nspam spam\n \n" + cjk.replace("公園", "学校"))]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    got = {r.doc_id: r.dropped_lines for r in line_dedup.per_document(docs, short=True).collect()}
+    assert got == {1: [], 2: [0, 2, 3], 3: [], 4: [0, 3]}
+    # the registered query takes short lines in; the default leaves them, but counts characters
+    got = {r.doc_id: r.dropped_lines for r in line_dedup.per_document(docs).collect()}
+    assert got == {1: [], 2: [2], 3: [], 4: [0, 3]}
+
+
+def test_registered_line_query_drops_short_repeats(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    norm = docs.select(F.explode(F.split("text", "\n")).alias("raw")).select(
+        line_dedup.normalised(F.col("raw")).alias("norm")).where("norm <> ''")
+    repeats = norm.count() - norm.distinct().count()
+    got = line_dedup.op8_fuzzy_line_dedup(spark, "/root/testdata/sf0.001").agg(F.sum("n_dropped")).first()[0]
+    assert got >= repeats > 0
