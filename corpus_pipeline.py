@@ -36,8 +36,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents, packed into sequences."""
-    return packing.packed(docs)
+    """Pieces of the documents with their ids, packed into sequences."""
+    return packing.packed(docs, with_ids=True)
 
 
 STAGES = [

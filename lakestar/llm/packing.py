@@ -8,7 +8,7 @@ they fit the widened gap more tightly. A packer closes all but its last sequence
 the method can, so the number of packers (one for every ``PER_PACKER`` pieces) costs at
 most about one sequence each.
 
-Only lengths are shuffled, never texts or ids. A null text is empty (its piece holds the end id
+Packers see lengths alone; the placed pieces are joined back to their ids by row. A null text is empty (its piece holds the end id
 alone); repeated rows are packed once each; null ids are kept.
 """
 
@@ -54,13 +54,14 @@ def pieces(docs: DataFrame, length: int = LENGTH, end: int = END, vocabulary_nam
                         raw = own[at:to].tobytes()
                         crc.append(zlib.crc32(raw))
                         if with_ids:
-                            kept.append(own[at:to])
+                            kept.append(own[at:to].view(np.int32))
                         at, to, k = to, to + length, k + 1
                 cols = [b.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                         pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    cols.append(pa.array(kept, pa.list_(pa.int32())))
+                    cols.append(pa.ListArray.from_arrays(
+                        pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *kept]))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
@@ -159,12 +160,37 @@ def pack(spark, found: DataFrame, length: int = LENGTH, per_packer: int = PER_PA
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-           end: int = END, vocabulary_name: str = VOCABULARY) -> DataFrame:
-    """(id, piece, start, length, ids_crc32, sequence_id, offset): every piece and its place."""
+           end: int = END, vocabulary_name: str = VOCABULARY, with_ids: bool = False) -> DataFrame:
+    """(id, piece, start, length, ids_crc32, sequence_id, offset[, ids]): every piece and its place."""
     scratch = Scratch(docs.sparkSession, "packing")
-    found = scratch.keep(pieces(docs, length, end, vocabulary_name, id_col, text_col), "pieces")
-    return pack(docs.sparkSession, found, length).withColumnRenamed("id", id_col)
+    found = pieces(docs, length, end, vocabulary_name, id_col, text_col, with_ids)
+    if not with_ids:
+        return pack(docs.sparkSession, scratch.keep(found, "pieces"), length).withColumnRenamed("id", id_col)
+    found = scratch.keep(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
+    placed = pack(docs.sparkSession, found.drop("ids"), length)
+    return (placed.join(found.select("row", "ids"), "row").drop("row").withColumnRenamed("id", id_col))
+
+
+def sequences(placed: DataFrame) -> DataFrame:
+    """(sequence_id, ids): the ids of each sequence in a row, from ``packed`` with ids."""
+    return placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids"))).alias("parts")).select(
+        "sequence_id", F.flatten("parts.ids").alias("ids"))
+
+
+def digested(placed: DataFrame) -> DataFrame:
+    """Placed pieces with ids_crc32 taken from the ids as placed, without the ids."""
+    kept = [c for c in placed.columns if c != "ids"]
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in placed.select(kept).schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("ids")
+            raw, off = ids.flatten().to_numpy().astype("<u4").tobytes(), np.r_[0, np.cumsum(ids.value_lengths().to_numpy())]
+            crc = pa.array([zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.int64())
+            yield pa.RecordBatch.from_arrays([crc if c == "ids_crc32" else b.column(c) for c in kept], kept)
+
+    return placed.mapInArrow(run, schema)
 
 
 def op9_best_two_fit(spark, sf_dir: str) -> DataFrame:
-    return packed(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return digested(packed(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_ids=True))

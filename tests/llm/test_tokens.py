@@ -139,3 +139,17 @@ def test_mix_as_documents(spark):
     assert out.columns == messy(spark).columns
     assert out.groupBy("doc_id", "text").count().agg({"count": "max"}).first()[0] <= 9  # three repeated rows, three times
     assert mixing.mix(empty(spark)).count() == 0
+
+
+def test_packed_sequences_hold_the_ids(spark):
+    placed = packing.packed(messy(spark), length=256, with_ids=True)
+    got, plain = placed.collect(), packing.packed(messy(spark), length=256).drop("sequence_id", "offset").collect()
+    held = Counter((r.doc_id, r.piece, r.start, r.length, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in got)
+    assert held == Counter(tuple(r) for r in plain)
+    whole = defaultdict(list)
+    for r in sorted(got, key=lambda r: r.offset):
+        whole[r.sequence_id] += r.ids
+    made = {r.sequence_id: r.ids for r in packing.sequences(placed).collect()}
+    assert Counter(map(tuple, made.values())) == Counter(map(tuple, whole.values()))
+    assert Counter(map(tuple, packing.digested(placed).drop("sequence_id", "offset").collect())) == held
+    assert packing.digested(packing.packed(empty(spark), with_ids=True)).count() == 0
