@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakestar.llm import (
+    alignment,
     exact_dedup,
     id_coder,
     line_dedup,
@@ -16,6 +17,7 @@ from lakestar.llm import (
 )
 
 QUERIES = {
+    "op13_align_tokens": alignment.op13_align_tokens,
     "op2_id_coder": id_coder.op2_id_coder,
     "op1_pitman_yor": pitman_yor.op1_pitman_yor,
     "op6_repeated_substrings": repeated_substrings.op6_repeated_substrings,
