@@ -8,8 +8,8 @@ they fit the widened gap more tightly. A packer closes all but its last sequence
 the method can, so the number of packers (one for every ``PER_PACKER`` pieces) costs at
 most about one sequence each.
 
-Packers see lengths alone; the placed pieces are joined back to their ids by row. A null text is empty (its piece holds the end id
-alone); repeated rows are packed once each; null ids are kept.
+Packers see lengths alone; the placed pieces are joined back to their ids by row. A null text is
+empty (its piece holds the end id alone); repeated rows are packed once each; null ids are kept.
 """
 
 from __future__ import annotations
@@ -40,28 +40,16 @@ def pieces(docs: DataFrame, length: int = LENGTH, end: int = END, vocabulary_nam
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, n, ids, off in encoded(b.column(1), path):
-                of, piece, start, size, crc, kept = [], [], [], [], [], []
-                for i in range(n):
-                    own = np.append(ids[off[i]:off[i + 1]], np.uint32(end)).astype("<u4")
-                    at = 0
-                    to = len(own) % length or min(length, len(own))
-                    k = 0
-                    while at < len(own):
-                        of.append(first + i)
-                        piece.append(k)
-                        start.append(at)
-                        size.append(to - at)
-                        raw = own[at:to].tobytes()
-                        crc.append(zlib.crc32(raw))
-                        if with_ids:
-                            kept.append(own[at:to].view(np.int32))
-                        at, to, k = to, to + length, k + 1
-                cols = [b.column(0).take(pa.array(of)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.array(size, pa.int64()), pa.array(crc, pa.int64())]
+                ids = np.insert(ids, off[1:], end).astype("<u4", copy=False)
+                of, piece, start, size = cuts(np.diff(off) + 1, length)
+                at = np.r_[0, np.cumsum(size)]
+                raw = memoryview(ids).cast("B")
+                crc = [zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                cols = [b.column(0).take(pa.array(first + of)), pa.array(piece, pa.int32()), pa.array(start), pa.array(size),
+                        pa.array(crc, pa.int64())]
                 names = ["id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    cols.append(pa.ListArray.from_arrays(
-                        pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *kept]))))
+                    cols.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.view(np.int32))))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names)
 
@@ -70,6 +58,16 @@ def pieces(docs: DataFrame, length: int = LENGTH, end: int = END, vocabulary_nam
             .mapInArrow(run, schema + ", ids array<int>" * with_ids))
 
 
+def cuts(n: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, piece, start, size) of the pieces of documents of n ids each; only a first piece may be shorter."""
+    pieces = -(-n // length)
+    of = np.repeat(np.arange(len(n)), pieces)
+    piece = np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    head = (n - (pieces - 1) * length)[of]
+    start = np.where(piece > 0, head + (piece - 1) * length, 0)
+    return of, piece, start, np.where(piece > 0, length, head)
+
+
 def best_two_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(bin, offset) of each piece; no piece is longer than ``size``."""
     order = np.argsort(-lengths, kind="stable").tolist()
@@ -140,9 +138,7 @@ def pack(spark, found: DataFrame, length: int = LENGTH, per_packer: int = PER_PA
     packers = max(1, -(-found.where(F.col("length") < length).count() // per_packer))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        order = np.lexsort([table[c].to_numpy() for c in ("ids_crc32", "start", "packer")])
-        table = table.take(pa.array(order))
+        table = table.combine_chunks().sort_by([(c, "ascending") for c in ("start", "ids_crc32", "id", "piece")])
         n = table["length"].to_numpy()
         place, offset = best_two_fit(n, length)
         packer = table["packer"].to_numpy()
@@ -185,8 +181,9 @@ def digested(placed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column("ids")
-            raw, off = ids.flatten().to_numpy().astype("<u4").tobytes(), np.r_[0, np.cumsum(ids.value_lengths().to_numpy())]
-            crc = pa.array([zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.int64())
+            at = np.r_[0, np.cumsum(ids.value_lengths().to_numpy())].tolist()
+            raw = memoryview(ids.flatten().to_numpy()).cast("B")  # the batch's own buffer, not a copy
+            crc = pa.array([zlib.crc32(raw[4 * x:4 * y]) for x, y in zip(at[:-1], at[1:], strict=True)], pa.int64())
             yield pa.RecordBatch.from_arrays([crc if c == "ids_crc32" else b.column(c) for c in kept], kept)
 
     return placed.mapInArrow(run, schema)
