@@ -5,6 +5,7 @@ from __future__ import annotations
 from lakestar.llm import (
     alignment,
     exact_dedup,
+    hard_negatives,
     id_coder,
     line_dedup,
     mixing,
@@ -14,9 +15,12 @@ from lakestar.llm import (
     pitman_yor,
     quality_classifier,
     repeated_substrings,
+    secret_scan,
 )
 
 QUERIES = {
+    "op11_secret_scan": secret_scan.op11_secret_scan,
+    "op12_slot_negatives": hard_negatives.op12_slot_negatives,
     "op13_align_tokens": alignment.op13_align_tokens,
     "op2_id_coder": id_coder.op2_id_coder,
     "op1_pitman_yor": pitman_yor.op1_pitman_yor,
@@ -31,5 +35,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op11_secret_scan": secret_scan.OP11_SQL,
+    "op12_slot_negatives": hard_negatives.OP12_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
 }
