@@ -6,6 +6,7 @@ input tables; nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -28,13 +29,15 @@ from lakestar.operators.quality import (
     precision_summary,
     union_all,
 )
-from lakestar.plans import gold, silver
-from lakestar.plans.build import Build
+from lakestar.plans import gold, late, silver
+from lakestar.plans.build import DEFAULT_AS_OF, Build
 from lakestar.plans.kpis import Ticketing
 from lakestar.plans.pipeline import quality_frames
-from lakestar.plans.rejects import rejected_rows
+from lakestar.plans.rejects import rejected_rows, replay
+from lakestar.session import ensure_checkpoint_dir
 from lakestar.sources.fixtures import Fixtures
 from lakestar.sources.landing import land
+from lakestar.sources.sinks import LayerWriter, append_history, load_history, read_facts, register_tables
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -114,9 +117,10 @@ def q_row_count_audit(spark, sf_dir):
     return audit.row_counts(_raw(spark, sf_dir))
 
 
-@register("content_fingerprint", None)
+@register("content_fingerprint", O.union_query(
+    [O.fingerprint_sql(t, c, schemas.RAW[t]) for t, c in RAW_CTE.items()], list(RAW_CTE.values())))
 def q_content_fingerprint(spark, sf_dir):
-    raw = _raw(spark, sf_dir)
+    raw = {t: conform(df, schemas.RAW[t]) for t, df in _raw(spark, sf_dir).items()}
     frames = [audit.fingerprint(df).select(F.lit(t).alias("table_name"), "*") for t, df in raw.items()]
     out = frames[0]
     for f in frames[1:]:
@@ -394,6 +398,89 @@ def q_rejected(spark, sf_dir):
     return rejected_rows(_b(spark, sf_dir)).select("source_table", "target_table", "rejection_reason", "row_key")
 
 
+@register("reject_fields", O.reject_fields_sql())
+def q_reject_fields(spark, sf_dir):
+    """Fields read out of the payments' reject images by name."""
+    r = rejected_rows(_b(spark, sf_dir)).where("source_table = 'raw.payments'")
+    field = lambda name, kind: F.variant_get("row_image", f"$.{name}", kind).alias(name)
+    return r.select("rejection_reason", field("payment_id", "bigint"), field("user_legacy_id", "string"),
+                    field("sub_id", "bigint"), field("amount", "decimal(12,2)"), field("method", "string"))
+
+
+@register("rejects_replayed", O.rejects_replayed_sql())
+def q_rejects_replayed(spark, sf_dir):
+    """Payments rejected for a negative amount only, corrected and put through the silver rules again."""
+    b = _b(spark, sf_dir)
+    rows = replay(rejected_rows(b), "payments").where(F.col("reasons") == F.array(F.lit("amount is negative or missing")))
+    fixed = rows.drop("reasons").withColumn("amount", F.abs("amount"))
+    return silver.payments(fixed, b.subscriptions)
+
+
+@register("fact_rejects", O.fact_rejects_sql())
+def q_fact_rejects(spark, sf_dir):
+    return _b(spark, sf_dir).fact_rejects
+
+
+@register("mrr_one_year", O.query('SELECT * FROM mrr_by_month_event WHERE "year" = 2019', "mrr_by_month_event"))
+def q_mrr_one_year(spark, sf_dir):
+    """The report on one year, from facts written by month: only that year's partitions are read."""
+    b = Build.from_fixtures(spark, sf_dir, materialized=True)
+    return gold.mrr_by_month_event(b.fact_subscription_events, b.dim_date, F.col("year") == 2019)
+
+
+# Payments dated from here on arrive late in the queries below.
+LATE_FROM = "1997-01-01"
+
+
+@register("late_payments_rebuild", O.table("fact_subscription_events"))
+def q_late_payments(spark, sf_dir):
+    """Facts from the payments known first, then brought up to date month by month: the full build's rows."""
+    raw = _raw(spark, sf_dir)
+    is_late = F.coalesce(F.col("payment_date") >= LATE_FROM, F.lit(False))
+    early, late_rows = raw["payments"].where(~is_late), raw["payments"].where(is_late)
+    w = LayerWriter(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-late/{uuid.uuid4().hex}")
+    b = Build(spark, raw | {"payments": early}, sink=w)
+    b.fact_subscription_events  # noqa: B018
+    path = w.path("gold", late.FACT)
+    late.rebuild(b, early, late_rows, path)
+    return read_facts(spark, path, late.FACT).drop("fact_month")
+
+
+@register("load_changes", O.query(f"""
+SELECT 'raw' AS layer, 'payments' AS table_name, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(*) FILTER (WHERE NOT coalesce(payment_date >= '{LATE_FROM}', false)) AS BIGINT) AS rows_before,
+       CAST(count(*) FILTER (WHERE coalesce(payment_date >= '{LATE_FROM}', false)) AS BIGINT) AS change
+FROM raw_payments HAVING change <> 0""", "raw_payments"))
+def q_load_changes(spark, sf_dir):
+    """Two loads in the audit history, the second with the late payments: the tables whose counts changed."""
+    raw = _raw(spark, sf_dir)
+    first = raw | {"payments": raw["payments"].where(~F.coalesce(F.col("payment_date") >= LATE_FROM, F.lit(False)))}
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-history/{uuid.uuid4().hex}"
+    for run_id, tables in (("run-1", first), ("run-2", raw)):
+        append_history(spark, root, run_id, audit.row_counts(tables).select(F.lit("raw").alias("layer"), "*"))
+    return (load_history(spark, root).where("change <> 0").select("layer", "table_name", "rows", "rows_before", "change"))
+
+
+# ---- named tables (S12, S13): the documented verification statements as SQL text ----
+def _published_gold(spark: SparkSession, sf_dir: str) -> None:
+    w = LayerWriter(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-published/{uuid.uuid4().hex}")
+    Build(spark, _raw(spark, sf_dir), DEFAULT_AS_OF, sink=w).gold_tables()
+    w.publish()
+    register_tables(spark, w.root, {"gold": list(schemas.GOLD)})
+
+
+@register("sql_fact_count", O.query("SELECT count(*) AS n FROM fact_viewing_activity", "fact_viewing_activity"))
+def q_sql_fact_count(spark, sf_dir):
+    _published_gold(spark, sf_dir)
+    return spark.sql("SELECT COUNT(*) AS n FROM gold.fact_viewing_activity")
+
+
+@register("sql_dim_sample", O.query("SELECT * FROM dim_user ORDER BY user_key LIMIT 10", "dim_user"))
+def q_sql_dim_sample(spark, sf_dir):
+    _published_gold(spark, sf_dir)
+    return spark.sql("SELECT * FROM gold.dim_user ORDER BY user_key LIMIT 10")
+
+
 @register("dq_results", O.dq_results_sql())
 def q_dq_results(spark, sf_dir):
     q = _quality(spark, sf_dir)

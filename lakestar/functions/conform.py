@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Columns beside a raw table's own: a malformed line, reasons of lost values, the row's texts.
+LINE, LOST, LANDED = "__line", "__lost", "__landed"
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -29,9 +32,10 @@ def cast_to(c: Column, source: T.DataType, target: T.DataType) -> Column:
 
 
 def as_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Every column as text (absent ones NULL): the form in which raw tables are landed."""
+    """Every column as text (absent ones NULL): the form in which raw tables are landed. Malformed lines are kept."""
+    names = [*columns, *[c for c in df.columns if c == LINE]] if columns else df.columns
     return df.select(*[(F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(c)
-                       for c in columns or df.columns])
+                       for c in names])
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -50,6 +54,32 @@ def failed_casts(df: DataFrame, schema: T.StructType) -> list[tuple[str, T.DataT
             and not isinstance(f.dataType, T.StringType)]
 
 
+def flagged(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``typed`` rows of a landed table, and beside them what was lost: ``__lost`` holds the reasons (NULL when all
+    texts fit), ``__landed`` the row's texts as JSON, ``__line`` a malformed line that holds no row at all.
+
+    A frame whose columns have types already has nothing to lose and gets no such columns.
+    """
+    lost = [F.when(cond, F.lit(f"{c} is not a valid {kind.simpleString()}")) for c, kind, cond in failed_casts(df, schema)]
+    out = [x for x in typed(df, schema).columns if x != LINE]
+    values = typed(df, schema)
+    if not lost and LINE not in df.columns:
+        return values
+    why = F.filter(F.array(*lost), lambda x: x.isNotNull()) if lost else F.array().cast("array<string>")
+    image = F.to_json(F.struct(*[F.col(c) for c in out]))
+    have = df.select("*", why.alias(LOST), image.alias(LANDED))
+    kept = F.size(LOST) > 0
+    cols = [F.col(LINE) if LINE in df.columns else F.lit(None).cast("string").alias(LINE),
+            F.when(kept, F.col(LOST)).alias(LOST), F.when(kept, F.col(LANDED)).alias(LANDED)]
+    return typed(have, schema).select(*out, *cols)
+
+
+def well_formed(df: DataFrame) -> DataFrame:
+    """The rows of a flagged table, without its flags."""
+    rows = df.where(F.col(LINE).isNull()) if LINE in df.columns else df
+    return rows.drop(LINE, LOST, LANDED)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order, cast to its types; absent columns are NULL."""
     have = {f.name: f.dataType for f in df.schema.fields}

@@ -1,4 +1,10 @@
-"""Load audit: row counts observed on the write and an order-free content fingerprint."""
+"""Load audit: row counts observed on the write and a content fingerprint that any engine can work out.
+
+A row is written as text, column by column in order: ``N`` for NULL, else ``V``, the number of characters,
+``:`` and the value (fractions with six decimals, timestamps with microseconds, everything else as its plain
+text). The fingerprint is a SHA-256 over the row count and two sums of parts of the rows' MD5 digests, so
+neither row order nor partitioning matters.
+"""
 
 from __future__ import annotations
 
@@ -6,42 +12,45 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+DIGITS = 15     # hexadecimal digits of a digest part: 60 bits
+
+
+def canonical(c: str, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        value = F.coalesce(F.col(c).try_cast("decimal(28,6)").cast("string"), F.col(c).cast("string"))
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    else:
+        value = F.col(c).cast("string")
+    return F.when(F.col(c).isNull(), "N").otherwise(F.concat(F.lit("V"), F.char_length(value).cast("string"), F.lit(":"), value))
 
 
-def _row_hash(df: DataFrame) -> Column:
-    cols = [F.col(c) for c in df.columns]
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+def row_digest(df: DataFrame) -> Column:
+    """MD5, in hexadecimal, of a row's canonical text."""
+    return F.md5(F.concat(F.lit(""), *[canonical(f.name, f.dataType) for f in df.schema.fields]))
 
 
 def fingerprint_metrics(df: DataFrame) -> list[Column]:
     """Aggregates for ``DataFrame.observe``: the fingerprint taken during a write, no second pass."""
-    h = _row_hash(df)
-    return [F.count(F.lit(1)).alias("row_count"),
-            F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum"),
-            F.coalesce(F.bit_xor(h), F.lit(0).cast("long")).alias("hash_xor")]
+    part = lambda at: F.conv(F.substring(row_digest(df), at, DIGITS), 16, 10).cast("decimal(38,0)")
+    none = F.lit(0).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(part(1)), none).alias("hash_high"),
+            F.coalesce(F.sum(part(1 + DIGITS)), none).alias("hash_low")]
 
 
 def fingerprint_from_metrics(m: dict) -> str:
     """Same value as :func:`fingerprint` computes in Spark."""
-    text = f"{int(m['row_count'])}|{int(m['hash_sum'])}|{int(m['hash_xor'])}"
+    text = f"{int(m['row_count'])}|{int(m['hash_high'])}|{int(m['hash_low'])}"
     return hashlib.sha256(text.encode()).hexdigest()
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: ``row_count`` and a SHA-256 over a multiset hash of all rows.
-
-    Row order does not matter (sum and xor of per-row hashes), so a re-run or a
-    re-partitioned copy gives the same value. NULL flags are hashed too, since
-    ``xxhash64`` skips NULLs and would make ``(NULL, 1)`` equal ``(1, NULL)``.
-    One pass; partial aggregates per task, no shuffle of rows.
-    """
-    h = _row_hash(df)
-    agg = df.agg(F.count(F.lit(1)).alias("row_count"),
-                 F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("__sum"),
-                 F.coalesce(F.bit_xor(h), F.lit(0).cast("long")).alias("__xor"))
-    return agg.select("row_count",
-                      F.sha2(F.concat_ws("|", F.col("row_count").cast("string"), F.col("__sum").cast("string"),
-                                         F.col("__xor").cast("string")), 256).alias("fingerprint"))
+    """One row: ``row_count`` and the fingerprint. One pass; partial aggregates per task, no shuffle of rows."""
+    agg = df.agg(*fingerprint_metrics(df))
+    text = F.concat_ws("|", *[F.col(c).cast("string") for c in ("row_count", "hash_high", "hash_low")])
+    return agg.select("row_count", F.sha2(text, 256).alias("fingerprint"))
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -16,24 +16,42 @@ from lakestar.session import ensure_checkpoint_dir
 
 
 def write_table(df: DataFrame, path: str, obs: Observation, fmt: str = "parquet", mode: str = "overwrite",
-                metrics: list | None = None) -> DataFrame:
-    """Write ``df`` (counting rows while writing) and return it read back."""
+                metrics: list | None = None, layout: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` (counting rows while writing) and return it read back.
+
+    ``layout``: partition columns. Rows are gathered by them first, in pieces of AQE's advisory size: a
+    small partition becomes one file, a hot one several.
+    """
+    if layout:
+        df = df.hint("rebalance", *[F.col(c) for c in layout])
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or []))
-    observed.write.mode(mode).format(fmt).save(path)
-    return df.sparkSession.read.format(fmt).load(path)
+    writer = observed.write.mode(mode).format(fmt)
+    if layout:
+        writer = writer.partitionBy(*layout).option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
+    writer.save(path)
+    reader = df.sparkSession.read.format(fmt)
+    return (reader.schema(df.schema) if layout else reader).load(path)  # a partitioned table may have no file at all
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, metrics: list | None = None, layout: tuple[str, ...] = (),
+                observed: dict | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     One job (a reliable ``checkpoint()`` computes the plan twice unless cached),
     lineage is cut, a lost executor only costs re-reading files, and the
-    read-back carries real file sizes for Catalyst's broadcast threshold.
+    read-back carries real file sizes for Catalyst's broadcast threshold. ``metrics`` are
+    observed during the write and put into ``observed``.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not metrics and not layout:
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    obs = Observation(f"t{uuid.uuid4().hex[:10]}")
+    out = write_table(df, path, obs, metrics=metrics, layout=layout)
+    if observed is not None:
+        observed.update(obs.get)
+    return out
 
 
 def semi(df: DataFrame, parent: DataFrame, on) -> DataFrame:

@@ -9,12 +9,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestar import schemas
-from lakestar.functions.conform import typed
+from lakestar.functions.conform import flagged, well_formed
+from lakestar.operators import quality
 from lakestar.operators.joins import materialize
 from lakestar.plans import gold, silver
 from lakestar.sources.fixtures import Fixtures
@@ -26,6 +28,17 @@ DEFAULT_AS_OF = dt.date(2023, 1, 1)
 Sink = Callable[[str, str, DataFrame], DataFrame]
 
 
+class Kept:
+    """A sink for queries: tables in the checkpoint folder, with what was observed while they were written."""
+
+    def __init__(self):
+        self.observed: dict[tuple[str, str], dict] = {}
+
+    def __call__(self, layer: str, name: str, df: DataFrame, metrics: list | None = None,
+                 layout: tuple[str, ...] = ()) -> DataFrame:
+        return materialize(df, metrics, layout, self.observed.setdefault((layer, name), {}))
+
+
 class Build:
     """``sink(layer, name, df)`` writes a finished table and returns it read back.
 
@@ -37,22 +50,45 @@ class Build:
                  sink: Sink | None = None):
         self.spark = spark
         self.landed = raw
-        self.raw = {t: typed(df, schemas.RAW[t]) for t, df in raw.items()}
+        self.flagged = {t: flagged(df, schemas.RAW[t]) for t, df in raw.items()}
+        self.raw = {t: well_formed(df) for t, df in self.flagged.items()}
         self.as_of = as_of
         self.sink = sink
         self._checked: dict[str, DataFrame] = {}     # created here: waves read it from several threads
-
-    def _out(self, layer: str, name: str, df: DataFrame, reuse: bool = False) -> DataFrame:
+        self._stars: dict[str, DataFrame] = {}
+
+    @property
+    def observed(self) -> dict[tuple[str, str], dict] | None:
+        """Metrics observed by a sink that takes them, by (layer, table)."""
+        return getattr(self.sink, "observed", None)
+
+    def _out(self, layer: str, name: str, df: DataFrame, reuse: bool = False, metrics: list | None = None) -> DataFrame:
+        if self.observed is not None:
+            contract = {"silver": {**schemas.SILVER, **schemas.LOOKUPS}, "gold": schemas.GOLD}.get(layer, {}).get(name)
+            if contract is not None:
+                metrics = quality.column_metrics(contract, name not in schemas.LOOKUPS)
+            return self.sink(layer, name, df, metrics=metrics)
         if self.sink is not None:
             return self.sink(layer, name, df)
         return materialize(df) if reuse else df
 
+    def _fact(self, name: str, star: DataFrame) -> DataFrame:
+        """The fact rows of a star; a sink that takes a layout gets facts and lost rows in one write."""
+        self._stars[name] = star
+        if self.sink is None:
+            return gold.facts(star, name)
+        if self.observed is None:
+            return self.sink("gold", name, gold.facts(star, name))
+        kept = F.col("kept")
+        metrics = quality.column_metrics(schemas.GOLD[name], rows=kept) + [F.count(F.when(kept, F.lit(1))).alias("kept_rows")]
+        self._stars[name] = self.sink("gold", name, star, metrics=metrics, layout=schemas.LAYOUT)
+        return self._stars[name].where("kept").select(*schemas.GOLD[name].schema.names, "fact_month")
+
     @classmethod
     def from_fixtures(cls, spark: SparkSession, sf_dir: str, as_of=DEFAULT_AS_OF,
                       materialized: bool = False) -> "Build":
         """``materialized``: write every finished table once (for many readers, e.g. checks)."""
-        sink = (lambda layer, name, df: materialize(df)) if materialized else None
-        return cls(spark, Fixtures(spark, sf_dir).raw(), as_of, sink=sink)
+        return cls(spark, Fixtures(spark, sf_dir).raw(), as_of, sink=Kept() if materialized else None)
 
     # ---- lookups ----
     @cached_property
@@ -82,8 +118,10 @@ class Build:
         """
         if table not in self._checked:
             parents = {p: getattr(self, p) for _, p, _ in silver.FK_TESTS[table]}
+            flagged = self.flagged[table]
             self._checked[table] = self._out("bronze", f"{table}_fk_checked",
-                                             silver.check_fks(table, self.raw[table], parents))
+                                             silver.check_fks(table, flagged, parents),
+                                             metrics=quality.precision_metrics(flagged, schemas.SILVER[table]))
         return self._checked[table]
 
     # ---- silver ----
@@ -144,14 +182,24 @@ class Build:
 
     @cached_property
     def fact_subscription_events(self) -> DataFrame:
-        return self._out("gold", "fact_subscription_events", gold.fact_subscription_events(
+        return self._fact("fact_subscription_events", gold.star_subscription_events(
             self.payments, self.subscriptions, self.dim_user, self.dim_date, self.lk("dim_event_types")))
 
     @cached_property
     def fact_viewing_activity(self) -> DataFrame:
-        return self._out("gold", "fact_viewing_activity", gold.fact_viewing_activity(
+        return self._fact("fact_viewing_activity", gold.star_viewing_activity(
             self.viewing_activity, self.dim_user, self.dim_content, self.dim_date))
 
+    def star(self, name: str) -> DataFrame:
+        """All source rows of a fact, lost ones included."""
+        getattr(self, name)
+        return self._stars[name]
+
+    @property
+    def fact_rejects(self) -> DataFrame:
+        """Source rows that became no fact, counted by the lookup that failed and its key."""
+        return reduce(lambda a, b: a.unionByName(b), [gold.lost(self.star(n), n) for n in schemas.FACTS])
+
     @cached_property
     def mrr_by_month_event(self) -> DataFrame:
         return gold.mrr_by_month_event(self.fact_subscription_events, self.dim_date)

@@ -1,16 +1,19 @@
 """Gold layer: star schema (date, user, content dimensions; subscription and viewing facts).
 
-Dimensions with a bounded size are broadcast: ``dim_date`` always (it is a fixed
-calendar, 2,922 rows), lookups after a measured count. ``dim_user`` and
-``dim_content`` grow with the data and are joined by shuffle; AQE splits a hot
-user key across tasks.
+``dim_date`` is broadcast (a fixed calendar, 2,922 rows). Lookups, ``dim_user`` and ``dim_content`` are
+joined as Catalyst plans it from their sizes; AQE splits a hot user key across tasks.
+
+A fact's star joins are left joins with markers (``star_*``): one pass gives the fact rows (every marker
+set) and the lost rows with the first join that failed. Facts are laid out by month (``fact_month``,
+yyyymm), so a report on some months reads those months only.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestar import schemas
@@ -90,35 +93,89 @@ def _calendar(dim_date_df: DataFrame) -> DataFrame:
     return F.broadcast(dim_date_df.select("full_date", "date_key"))
 
 
-def fact_subscription_events(payments: DataFrame, subscriptions: DataFrame, dim_user_df: DataFrame,
+def _star(df: DataFrame, name: str, source_key: Column, lookups: list[tuple[Column, str, Column]]) -> DataFrame:
+    """Fact columns of ``name``, ``source_key``, the first failed lookup, ``kept`` and ``fact_month``.
+
+    ``lookups``: (found, reason if not, the key that was looked for) in the order in which they are blamed.
+    """
+    reason = F.coalesce(*[F.when(~found, F.lit(why)) for found, why, _ in lookups])
+    key = F.coalesce(*[F.when(~found, F.coalesce(k.cast("string"), F.lit("NULL"))) for found, _, k in lookups])
+    kept = reduce(lambda x, y: x & y, [found for found, _, _ in lookups])
+    facts = conform(df, schemas.GOLD[name].schema).columns
+    out = df.withColumns({"source_key": source_key.cast("string"), "lost_reason": reason,
+                          "lost_key": F.when(~kept, key), "kept": kept, "fact_month": fact_month("date_key")})
+    return conform(out, schemas.star_schema(name)).select(*facts, *schemas.STAR_COLUMNS)
+
+
+def fact_month(date_key: str) -> Column:
+    """yyyymm of a date key; 0 for a row without a day."""
+    return F.coalesce(F.expr(f"CAST({date_key} div 100 AS INT)"), F.lit(0))
+
+
+def facts(star: DataFrame, name: str) -> DataFrame:
+    """The star's fact rows (Catalyst turns the left joins into inner joins)."""
+    return star.where("kept").select(*schemas.GOLD[name].schema.names)
+
+
+def lost(star: DataFrame, name: str) -> DataFrame:
+    """(fact_table, lost_reason, lost_key, lost_rows): source rows that became no fact, by the first failed lookup."""
+    return (star.where(~F.col("kept")).groupBy("lost_reason", "lost_key").agg(F.count(F.lit(1)).alias("lost_rows"))
+            .select(F.lit(f"gold.{name}").alias("fact_table"), "lost_reason", "lost_key", "lost_rows"))
+
+
+def star_subscription_events(payments: DataFrame, subscriptions: DataFrame, dim_user_df: DataFrame,
                              dim_date_df: DataFrame, event_types: DataFrame) -> DataFrame:
-    s = subscriptions.select("sub_id", "start_date", "last_event_type_id")
-    s = s.join(_calendar(dim_date_df), s.start_date == F.col("full_date"))
+    """Every payment, with what its subscription, its start day and event type, and its user were found to be."""
+    s = subscriptions.select("sub_id", "start_date", "last_event_type_id", F.lit(True).alias("__sub"))
+    s = s.join(_calendar(dim_date_df), s.start_date == F.col("full_date"), "left")
     et = event_types.select(F.col("event_type_id").alias("last_event_type_id"), "event_type_name")
-    s = s.join(et, "last_event_type_id").select("sub_id", "date_key", "event_type_name")
-    p = payments.select("sub_id", F.trim("user_legacy_id").alias("user_key"), "amount")
-    f = p.join(s, "sub_id").join(dim_user_df.select("user_key"), "user_key")
-    out = f.select("date_key", "user_key", "event_type_name", F.col("amount").alias("mrr_change"))
-    return conform(out, schemas.GOLD["fact_subscription_events"].schema)
+    s = s.join(et, "last_event_type_id", "left").drop("full_date")
+    p = payments.select("payment_id", "sub_id", F.trim("user_legacy_id").alias("user_key"),
+                        F.col("amount").alias("mrr_change"))
+    f = p.join(s, "sub_id", "left").join(dim_user_df.select("user_key", F.lit(True).alias("__user")), "user_key", "left")
+    return _star(f, "fact_subscription_events", F.col("payment_id"), [
+        (F.col("__sub").isNotNull(), "subscription is not in silver", F.col("sub_id")),
+        (F.col("date_key").isNotNull(), "start date is not in dim_date", F.col("start_date")),
+        (F.col("event_type_name").isNotNull(), "subscription has no event type", F.col("sub_id")),
+        (F.col("__user").isNotNull(), "user is not in dim_user", F.col("user_key"))])
+
+
+def fact_subscription_events(payments: DataFrame, subscriptions: DataFrame, dim_user_df: DataFrame,
+                             dim_date_df: DataFrame, event_types: DataFrame) -> DataFrame:
+    return facts(star_subscription_events(payments, subscriptions, dim_user_df, dim_date_df, event_types),
+                 "fact_subscription_events")
+
+
+def star_viewing_activity(viewing: DataFrame, dim_user_df: DataFrame, dim_content_df: DataFrame,
+                          dim_date_df: DataFrame) -> DataFrame:
+    """Every session, with what its day, content and user were found to be."""
+    v = viewing.select("session_id", F.trim("user_legacy_id").alias("user_key"),
+                       F.col("content_id").cast("string").alias("content_key"), F.col("device_id").cast("string").alias("device_id"),
+                       F.to_date("session_start_ts").alias("__day"), "duration_watched_sec", F.col("rating").alias("user_rating"))
+    v = v.join(_calendar(dim_date_df), F.col("__day") == F.col("full_date"), "left")
+    v = v.join(dim_content_df.select("content_key", F.lit(True).alias("__content")), "content_key", "left")
+    v = v.join(dim_user_df.select("user_key", F.lit(True).alias("__user")), "user_key", "left")
+    return _star(v, "fact_viewing_activity", F.col("session_id"), [
+        (F.col("date_key").isNotNull(), "session day is not in dim_date", F.col("__day")),
+        (F.col("__content").isNotNull(), "content is not in dim_content", F.col("content_key")),
+        (F.col("__user").isNotNull(), "user is not in dim_user", F.col("user_key"))])
 
 
 def fact_viewing_activity(viewing: DataFrame, dim_user_df: DataFrame, dim_content_df: DataFrame,
                           dim_date_df: DataFrame) -> DataFrame:
-    v = viewing.select(F.trim("user_legacy_id").alias("user_key"),
-                       F.col("content_id").cast("string").alias("content_key"), "device_id",
-                       F.to_date("session_start_ts").alias("__day"), "duration_watched_sec", "rating")
-    v = v.join(_calendar(dim_date_df), F.col("__day") == F.col("full_date"))
-    v = v.join(dim_content_df.select("content_key"), "content_key")
-    v = v.join(dim_user_df.select("user_key"), "user_key")
-    out = v.select("date_key", "user_key", "content_key", F.col("device_id").cast("string").alias("device_id"),
-                   "duration_watched_sec", F.col("rating").alias("user_rating"))
-    return conform(out, schemas.GOLD["fact_viewing_activity"].schema)
-
-
-def mrr_by_month_event(fact_sub: DataFrame, dim_date_df: DataFrame) -> DataFrame:
-    """Monthly MRR change and event count per event type (the star's headline report)."""
-    cal = F.broadcast(dim_date_df.select("date_key", "year", "month", "month_name"))
-    j = fact_sub.join(cal, "date_key")
+    return facts(star_viewing_activity(viewing, dim_user_df, dim_content_df, dim_date_df), "fact_viewing_activity")
+
+
+def mrr_by_month_event(fact_sub: DataFrame, dim_date_df: DataFrame, days: Column | None = None) -> DataFrame:
+    """Monthly MRR change and event count per event type (the star's headline report).
+
+    ``days`` narrows the calendar. On a fact laid out by month the join carries the month too, so that
+    partitions without such a day are not read (runtime partition pruning).
+    """
+    cal = dim_date_df if days is None else dim_date_df.where(days)
+    on = ["fact_month", "date_key"] if "fact_month" in fact_sub.columns else ["date_key"]
+    cal = F.broadcast(cal.withColumn("fact_month", fact_month("date_key")).select(*on, "year", "month", "month_name"))
+    j = fact_sub.join(cal, on)
     return (j.groupBy("year", "month", "month_name", "event_type_name")
             .agg(F.sum("mrr_change").cast("decimal(18,2)").alias("mrr_change"),
                  F.count(F.lit(1)).alias("events")))

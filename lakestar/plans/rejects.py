@@ -6,7 +6,12 @@ FK-checked raw table the silver build itself reads (``Build.checked``), so in a
 run the FK joins are not repeated for the rejects. A row yields one reject record per rule
 it breaks, with its JSON image. Rules that null a value but keep the row (a
 pattern-matching date that is not a real date, an unknown device label) are
-reported too: the reference would have aborted the whole load on those.
+reported too: the reference would have aborted the whole load on those. Texts that do not fit their column's
+type, and malformed lines, come from flags of the same rows (``conform.flagged``), so no table is read twice.
+
+``rejection_id`` is a digest of the reject's content and the number of its occurrence, the same in every run;
+occurrences are counted by an aggregate, so a row that repeats a million times is one row until then.
+``row_image`` holds the row as VARIANT, for fields to be read by name; ``replay`` makes raw rows of them again.
 """
 
 from __future__ import annotations
@@ -16,11 +21,14 @@ from pyspark.sql import functions as F
 
 from lakestar import schemas
 from lakestar.functions import dates, text
-from lakestar.functions.conform import failed_casts
+from lakestar.functions.conform import LANDED, LINE, LOST
 from lakestar.plans.build import Build
 from lakestar.plans.silver import end_not_before_start, fk_marker, rating_ok
 
-REJECT_COLUMNS = ["source_table", "target_table", "rejection_reason", "row_key", "row_data", "rejected_at"]
+REJECT_COLUMNS = ["rejection_id", "source_table", "target_table", "rejection_reason", "row_key", "row_data", "row_image",
+                  "occurrence", "rejected_at"]
+_CONTENT = ["source_table", "target_table", "rejection_reason", "row_key", "row_data"]
+MALFORMED = "malformed line"
 
 
 def _matched_but_null(raw: Column, patterns: list[str], parsed: Column) -> Column:
@@ -33,13 +41,45 @@ def _matched_but_null(raw: Column, patterns: list[str], parsed: Column) -> Colum
 
 def _rejects(table: str, df: DataFrame, key: str, rules: list[tuple[str, Column]],
              raw_cols: list[str]) -> DataFrame:
+    """One row per broken rule: the content columns of a reject."""
     reasons = F.filter(F.array(*[F.when(cond, F.lit(reason)) for reason, cond in rules]),
                        lambda r: r.isNotNull())
-    return (df.select(F.explode(reasons).alias("rejection_reason"),
-                      F.col(key).cast("string").alias("row_key"),
-                      F.to_json(F.struct(*[F.col(c) for c in raw_cols])).alias("row_data"))
-            .select(F.lit(f"raw.{table}").alias("source_table"), F.lit(f"silver.{table}").alias("target_table"),
-                    "rejection_reason", "row_key", "row_data", F.current_timestamp().alias("rejected_at")))
+    image, row_key = F.to_json(F.struct(*[F.col(c) for c in raw_cols])), F.col(key).cast("string")
+    target = F.lit(f"silver.{table}")
+    keyed = lambda why, k: F.transform(why, lambda r: F.struct(r.alias("why"), k.alias("key")))
+    found = keyed(reasons, row_key)
+    if LOST in df.columns:
+        line = F.col(LINE).isNotNull()
+        # a value lost by its cast is reported under the key as it was landed
+        lost = keyed(F.coalesce(F.col(LOST), F.array().cast("array<string>")), F.get_json_object(LANDED, f"$.{key}"))
+        found = F.when(line, keyed(F.array(F.lit(MALFORMED)), F.lit(None).cast("string"))).otherwise(F.concat(found, lost))
+        image = F.when(line, F.to_json(F.struct(F.col(LINE).alias("line")))).otherwise(F.coalesce(F.col(LANDED), image))
+        target = F.when(line, F.lit(f"bronze.{table}")).otherwise(target)
+    return (df.select(F.explode(found).alias("x"), image.alias("row_data"), target.alias("target_table"))
+            .select(F.lit(f"raw.{table}").alias("source_table"), "target_table", F.col("x.why").alias("rejection_reason"),
+                    F.col("x.key").alias("row_key"), "row_data"))
+
+
+def _numbered(rejects: DataFrame) -> DataFrame:
+    """All columns of a reject, from its content: equal rejects are told apart by their occurrence."""
+    parts = [F.coalesce(F.col(c), F.lit("\x00")) for c in _CONTENT]
+    return (rejects.groupBy(*_CONTENT).agg(F.count(F.lit(1)).alias("__n"))
+            .select("*", F.explode(F.expr("sequence(1L, __n)")).alias("occurrence"))
+            .withColumn("rejection_id", F.concat_ws("-", F.sha2(F.concat_ws("\x01", *parts), 256), F.col("occurrence")))
+            .withColumn("row_image", F.parse_json("row_data")).withColumn("rejected_at", F.current_timestamp())
+            .select(*REJECT_COLUMNS))
+
+
+def replay(rejects: DataFrame, table: str) -> DataFrame:
+    """The raw rows behind a table's rejects, typed, each once, with the ``reasons`` it was rejected for.
+
+    Corrected, they can be fed to the silver build of the table again. Fields that do not fit their type are NULL.
+    """
+    mine = rejects.where((F.col("source_table") == f"raw.{table}") & (F.col("rejection_reason") != MALFORMED))
+    rows = mine.groupBy("row_data", "occurrence").agg(F.sort_array(F.collect_set("rejection_reason")).alias("reasons"))
+    image = F.parse_json("row_data")
+    return rows.select(*[F.try_variant_get(image, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                         for f in schemas.RAW[table].fields], "reasons")
 
 
 def _fk_miss(parent: str) -> Column:
@@ -51,7 +91,7 @@ def rejected_rows(b: Build) -> DataFrame:
     out = []
 
     r = raw["locations"]
-    out.append(_rejects("locations", r, "country_id",
+    out.append(_rejects("locations", b.flagged["locations"], "country_id",
                         [("country_id is null", F.col("country_id").isNull())], r.columns))
 
     r = raw["users"]
@@ -66,7 +106,7 @@ def rejected_rows(b: Build) -> DataFrame:
     ], r.columns))
 
     r = raw["watchlist"]
-    out.append(_rejects("watchlist", r, "content_id",
+    out.append(_rejects("watchlist", b.flagged["watchlist"], "content_id",
                         [("content_id is null", F.col("content_id").isNull())], r.columns))
 
     r = raw["devices"]
@@ -126,16 +166,7 @@ def rejected_rows(b: Build) -> DataFrame:
                            dates.iso_or_us_timestamp("session_start_ts"))),
     ], r.columns))
 
-    # texts that do not fit their column's type (landed tables hold text)
-    keys = {"locations": "country_id", "users": "user_id", "watchlist": "content_id", "devices": "device_id",
-            "subscriptions": "sub_id", "payments": "payment_id", "viewing_activity": "session_id"}
-    for table, key in keys.items():
-        rules = [(f"{c} is not a valid {kind.simpleString()}", lost)
-                 for c, kind, lost in failed_casts(b.landed[table], schemas.RAW[table])]
-        if rules:
-            out.append(_rejects(table, b.landed[table], key, rules, b.landed[table].columns))
-
     res = out[0]
     for f in out[1:]:
         res = res.unionByName(f)
-    return res.select(*REJECT_COLUMNS)
+    return _numbered(res)

@@ -76,7 +76,8 @@ def check_fks(table: str, raw_df: DataFrame, parents: dict[str, DataFrame]) -> D
 def fk_passed(checked: DataFrame) -> DataFrame:
     """Rows whose every FK exists (Catalyst turns the left joins into inner joins)."""
     markers = [c for c in checked.columns if c.startswith("__in_")]
-    return checked.where(reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in markers])).drop(*markers)
+    passed = checked.where(reduce(lambda a, b: a & b, [F.col(m).isNotNull() for m in markers]))
+    return passed.drop(*[c for c in checked.columns if c.startswith("__")])
 
 
 def all_lookups(raw: dict[str, DataFrame]) -> LookupSet:

@@ -169,3 +169,13 @@ GOLD = {
         fks=(("date_key", "dim_date", "date_key"), ("user_key", "dim_user", "user_key"),
              ("content_key", "dim_content", "content_key"))),
 }
+
+# Facts are written with their lost rows, one partition per (kept, month).
+FACTS = tuple(n for n in GOLD if n.startswith("fact_"))
+STAR_COLUMNS = ("source_key", "lost_reason", "lost_key", "kept", "fact_month")
+LAYOUT = ("kept", "fact_month")
+
+
+def star_schema(name: str) -> T.StructType:
+    return T.StructType([*GOLD[name].schema.fields,
+                         *struct(("source_key", S), ("lost_reason", S), ("lost_key", S), ("kept", B), ("fact_month", I)).fields])

@@ -1,6 +1,7 @@
 """Raw (bronze) landing: every value as the text that was read, columns matched to the
 contract by name, rows that are entirely NULL dropped. Types come later, in the silver build, where a
-text that does not fit its type becomes a reject record. A missing table is reported and skipped.
+text that does not fit its type becomes a reject record, as does a malformed line. A missing table is
+reported and skipped.
 """
 
 from __future__ import annotations
@@ -9,22 +10,37 @@ import logging
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestar import schemas
-from lakestar.functions.conform import as_text
+from lakestar.functions.conform import LINE, as_text
 
 log = logging.getLogger(__name__)
 
 
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of CSV files as text, by the header's names, with ``__line`` holding each malformed line.
+
+    A line with too few or too many cells, or with a quoted cell that does not end where a cell should, is
+    kept whole in ``__line`` and gives no values. The first file's header names the columns; a file
+    with other headers is an error, since its cells would land in the wrong columns.
+    """
+    options = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"',
+               "unescapedQuoteHandling": "STOP_AT_CLOSING_QUOTE"}
+    names = spark.read.options(**options, inferSchema=False).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, LINE]])
+    df = spark.read.schema(schema).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=LINE,
+                                           enforceSchema=False).csv(path)
+    # values of a malformed line may have moved to other columns
+    return df.select(*[F.when(F.col(LINE).isNull(), F.col(c)).alias(c) for c in names], LINE)
+
+
 def read_raw_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet") -> DataFrame | None:
     """Read one raw table, all columns as text; ``None`` if the path does not exist."""
     try:
         if fmt == "csv":
-            # Header names, every column read as text (no inference): columns are then
-            # matched to the contract by name, so a file with another column order or
-            # fewer columns lands correctly (an explicit CSV schema would bind by position).
-            df = (spark.read.option("header", True).option("inferSchema", False)
-                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+            df = read_csv(spark, path)
         else:
             df = spark.read.format(fmt).load(path)
         df.schema  # resolves the path now, so a missing table is caught here
