@@ -33,7 +33,7 @@ from lakestar.plans import gold, late, silver
 from lakestar.plans.build import DEFAULT_AS_OF, Build
 from lakestar.plans.kpis import Ticketing
 from lakestar.plans.pipeline import quality_frames
-from lakestar.plans.rejects import rejected_rows, replay
+from lakestar.plans.rejects import rejected_rows, replay, ticketing_rejects
 from lakestar.session import ensure_checkpoint_dir
 from lakestar.sources.fixtures import Fixtures
 from lakestar.sources.landing import land
@@ -99,15 +99,18 @@ RAW_CTE = {"locations": "raw_locations", "users": "raw_users", "watchlist": "raw
 
 
 # ---- ingest (S1, S4, S6, S7, P13) ----
-@register("drop_all_null_rows", O.query("""
-SELECT CAST(user_id AS BIGINT) AS user_id, user_legacy_id, name, email, age, country_id, region_id, region_code,
-       region_name, signup_date, acquisition_source
-FROM raw_users
+# rows without a name stand for blank sheet rows: every cell of theirs is NULL before landing
+_BLANKED = ", ".join(f"CASE WHEN name IS NOT NULL THEN {c} END AS {c}" for c in schemas.RAW["users"].names)
+
+
+@register("drop_all_null_rows", O.query(f"""
+SELECT CAST(user_id AS BIGINT) AS user_id, * EXCLUDE (user_id) FROM (SELECT {_BLANKED} FROM raw_users) x
 WHERE NOT (user_id IS NULL AND user_legacy_id IS NULL AND name IS NULL AND email IS NULL AND age IS NULL
            AND country_id IS NULL AND region_id IS NULL AND region_code IS NULL AND region_name IS NULL
            AND signup_date IS NULL AND acquisition_source IS NULL)""", "raw_users"))
 def q_drop_all_null_rows(spark, sf_dir):
-    return land(conform(_raw(spark, sf_dir)["users"], schemas.RAW["users"]))
+    users = conform(_raw(spark, sf_dir)["users"], schemas.RAW["users"])
+    return land(users.select(*[F.when(F.col("name").isNotNull(), F.col(c)).alias(c) for c in users.columns]))
 
 
 @register("row_count_audit", O.query(" UNION ALL ".join(
@@ -510,6 +513,12 @@ def _kpi_query(name: str, attr: str, oracle_cte: str) -> None:
     REGISTRY[name] = Entry(fn, O.table(oracle_cte))
 
 
+@register("ticketing_rejects", O.ticketing_rejects_sql())
+def q_ticketing_rejects(spark, sf_dir):
+    return ticketing_rejects(Ticketing.from_fixtures(spark, sf_dir)).select(
+        "source_table", "target_table", "rejection_reason", "row_key")
+
+
 for _n, _a, _c in [("silver_artists", "artists", "silver_artists"), ("silver_venues", "venues", "silver_venues"),
                    ("enum_conform", "events", "silver_ticket_events"),
                    ("email_normalised", "customers", "silver_customers"),

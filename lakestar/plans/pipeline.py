@@ -18,7 +18,7 @@ from lakestar import schemas
 from lakestar.functions.conform import as_text
 from lakestar.operators import audit, quality
 from lakestar.plans.build import Build
-from lakestar.plans.rejects import rejected_rows
+from lakestar.plans.rejects import rejected_rows, ticketing_rejects
 from lakestar.sources.landing import land
 from lakestar.sources.sinks import LayerWriter, append_history
 
@@ -146,6 +146,7 @@ def run_ticketing(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     t = time.perf_counter()
     build_waves(k, [["event_sales", "daily_metrics", "campaign_roi"]])
     secs["gold"] = time.perf_counter() - t
+    w("audit", "rejected_rows", ticketing_rejects(k))
     key_checks = quality.union_all([
         quality.key_summary(k.tickets, "silver.tickets", ["ticket_id"]),
         quality.key_summary(k.event_sales, "gold.event_sales", ["event_id"]),
@@ -153,7 +154,7 @@ def run_ticketing(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         quality.key_summary(k.campaign_roi, "gold.campaign_roi", ["event_id", "channel"])])
     checks = w("audit", "key_checks", key_checks)
     failed = checks.where((F.col("null_key_rows") + F.col("duplicate_key_values")) > 0).count()
-    w("audit", "load_audit", w.stats_frame())
+    append_history(spark, root, w.run_id, w("audit", "load_audit", w.stats_frame()))
     ok = failed == 0
     if ok and publish:
         w.publish()

@@ -16,6 +16,8 @@ occurrences are counted by an aggregate, so a row that repeats a million times i
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from lakestar import schemas
 from lakestar.functions import dates, text
 from lakestar.functions.conform import LANDED, LINE, LOST
 from lakestar.plans.build import Build
+from lakestar.plans.kpis import EVENT_STATUSES, Ticketing, conform_enum
 from lakestar.plans.silver import end_not_before_start, fk_marker, rating_ok
 
 REJECT_COLUMNS = ["rejection_id", "source_table", "target_table", "rejection_reason", "row_key", "row_data", "row_image",
@@ -170,3 +173,39 @@ def rejected_rows(b: Build) -> DataFrame:
     for f in out[1:]:
         res = res.unionByName(f)
     return _numbered(res)
+
+
+def ticketing_rejects(k: Ticketing) -> DataFrame:
+    """Rejects of the ticketing tables: rows a silver table drops, and values it empties (labels outside their
+    set, dates and numbers that are none)."""
+    def unread(c: str, parsed: Column) -> Column:
+        return F.col(c).isNotNull() & parsed.isNull()
+
+    def missing(df: DataFrame, parent: DataFrame, col: str, name: str) -> DataFrame:
+        return df.join(parent.select(col, F.lit(True).alias(fk_marker(name))), col, "left")
+
+    day = dates.iso_or_us_date
+    rules = {
+        "venues": ("venue_id", [], [("capacity", "capacity is not a number", lambda: F.trim("capacity").try_cast("double"))]),
+        "events": ("event_id", [], [("status", "status is not a known status", lambda: conform_enum("status", EVENT_STATUSES)),
+                                    ("event_date", "event_date is not a valid date", lambda: dates.text_to_date("event_date"))]),
+        "customers": ("customer_id", [], []),
+        "artists": ("artist_id", [], [("created_at", "created_at is not a valid date", lambda: day("created_at"))]),
+        "tickets": ("ticket_id", [("event_id", "events"), ("customer_id", "customers")], []),
+        "checkins": ("checkin_id", [("ticket_id", "tickets")], []),
+        "refunds": ("refund_id", [("ticket_id", "tickets")], []),
+        "campaigns": ("campaign_id", [("event_id", "events")], [
+            (c, f"{c} is not a valid date", lambda c=c: day(c)) for c in ("start_date", "end_date")]),
+    }
+    out = []
+    for table, (key, parents, values) in rules.items():
+        if table not in k.raw:
+            continue
+        raw = df = k.raw[table]
+        for col, parent in parents:
+            df = missing(df, getattr(k, parent), col, parent)
+        found = [(f"{key} is null", F.col(key).isNull())]
+        found += [(f"{col} not in {parent}", _fk_miss(parent)) for col, parent in parents]
+        found += [(why, unread(c, parsed())) for c, why, parsed in values if c in raw.columns]
+        out.append(_rejects(table, df, key, found, raw.columns))
+    return _numbered(reduce(lambda a, b: a.unionByName(b), out))

@@ -230,5 +230,9 @@ class Fixtures:
         k = F.col("p_partkey")
         channel = (F.when(k % 5 == 0, "1-urgent").when(k % 5 == 1, "2-high").when(k % 5 == 2, "3-medium")
                    .when(k % 5 == 3, "4-not specified").otherwise("5-low"))
+        start = (F.when(k % 4 == 0, F.date_add(F.lit("2020-01-01").cast("date"), (k % 700).cast("int")).cast("string"))
+                 .when(k % 4 == 1, F.concat((k % 12 + 1).cast("string"), F.lit("/"), (k % 31 + 1).cast("string"), F.lit("/2021")))
+                 .when(k % 4 == 2, F.lit("soon")).otherwise(_null("string")))
+        end = F.when(k % 2 == 0, F.lit("2022-02-28")).otherwise(F.lit("2/30/2022"))
         return p.select(k.alias("campaign_id"), k.alias("event_id"), channel.alias("channel"),
-                        F.col("p_retailprice").cast("decimal(12,2)").alias("spend"))
+                        F.col("p_retailprice").cast("decimal(12,2)").alias("spend"), start.alias("start_date"), end.alias("end_date"))
