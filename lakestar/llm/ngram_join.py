@@ -68,19 +68,21 @@ def set_digests(at: np.ndarray, run: np.ndarray, n_texts: int) -> tuple[np.ndarr
     return n, W.mix(total ^ (n.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
 
 
-def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, class): one row per document."""
-    kind = docs.schema[id_col].dataType
+def sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_shingles, class): one row per document, with ``more`` of its columns."""
+    kept = docs.select(F.col(id_col).alias("id"), *more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, texts in W.slices(b.column(1)):
+            for first, texts in W.slices(b.column(0)):
                 n, digest = set_digests(*distinct_shingles(texts), len(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(first, len(texts)), pa.array(n), pa.array(digest)], ["id", "n_shingles", "class"])
+                    [*(b.column(k).slice(first, len(texts)) for k in range(1, b.num_columns)), pa.array(n), pa.array(digest)],
+                    [*b.schema.names[1:], "n_shingles", "class"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, f"id {kind.simpleString()}, n_shingles bigint, class bigint"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
+    return (docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"), *more)
+            .mapInArrow(run, f"{schema}, n_shingles bigint, class bigint"))
 
 
 def postings(docs: DataFrame, n_buckets: int, text_col: str = "text") -> DataFrame:
@@ -247,11 +249,11 @@ def verified(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "a bigint, b bigint")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id): one row per document; component_id is the smallest linked id."""
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: tuple[str, ...] = ()) -> DataFrame:
+    """(id, n_shingles, component_id): one row per document, with ``more`` of its columns; component_id is the smallest linked id."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngram")
-    info = scratch.keep(sets(docs, id_col, text_col), "sets")
+    info = scratch.keep(sets(docs, id_col, text_col, more), "sets")
     classes = scratch.keep(info.where("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n"), F.min("id").alias("least")), "classes")
     total = info.agg(F.sum("n_shingles")).first()[0] or 0
@@ -288,13 +290,19 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     groups = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component")
     return (info.join(groups.select("class", "component_id"), "class", "left")
             .select(F.col("id").alias(id_col), "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")))
+                    F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), *more))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without those that are linked, over any path, to one of a smaller id."""
-    gone = join(docs, id_col, text_col).where(f"component_id <> {id_col}").select(id_col)
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """The documents without those that are linked, over any path, to one of a smaller id.
+
+    A row is known by its id and its text's hash, so of rows that repeat an id with other texts only
+    those go that are linked themselves.
+    """
+    row = F.xxhash64(F.col(text_col).cast("string"))
+    gone = (join(docs.withColumn("__row", row), id_col, text_col, ("__row",)).where(f"component_id <> `{id_col}`")
+            .select(F.col(id_col).alias("__gone"), F.col("__row").alias("__gone_row")))
+    return docs.join(gone, (F.col(id_col) == F.col("__gone")) & (row == F.col("__gone_row")), "left_anti").select(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

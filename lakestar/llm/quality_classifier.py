@@ -50,6 +50,7 @@ PRIOR = {"upper": 0.02, "digit": 0.002, "bang": 0.001, "symbol": 0.001, "stop":
 SHRINK = 0.2  # of a class covariance towards the pooled one
 DIAGONAL = 0.1  # of the pooled covariance towards its diagonal
 THRESHOLD = 0.3
+SLICE = 1 << 20  # bytes of text worked on at a time: the arrays over its bytes take some 40 times as much
 
 
 def _runs(of: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -154,11 +155,12 @@ def described(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, texts in W.slices(b.column(1)):
+            for first, texts in W.slices(b.column(1), SLICE):
                 x = statistics(texts)
                 at = pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(x)), pa.ListArray.from_arrays(at, pa.array(x.ravel()))], ["id", "x"])
+            W.give_back()
 
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, f"id {kind}, x array<double>"))
@@ -193,9 +195,10 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, texts in W.slices(b.column(at)):
+            for first, texts in W.slices(b.column(at), SLICE):
                 keep = model.score(statistics(texts)) >= threshold
                 yield b.slice(first, len(texts)).filter(pa.array(keep))
+            W.give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

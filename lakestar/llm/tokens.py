@@ -9,7 +9,7 @@ Python. Texts with white space beyond ASCII, where the rule could differ, are en
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from lakestar.llm import words as W
 VOCABULARY = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 HELD = 1_000_000  # parts that a worker remembers before it starts anew; a matter of speed, not of results
-SLICE = 4 << 20
+SLICE = 2 << 20
 TOGETHER = 2_000  # new parts that are encoded as one text
 _JOINT = np.zeros(256, bool)  # bytes after which a space does not cut
 _JOINT[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
@@ -48,7 +48,7 @@ class Known:
     """Parts seen so far with their ids: hashes in order, bytes to confirm a match, ids in one row."""
 
     def __init__(self):
-        self.hash, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hash, self.entry = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.bytes, self.byte_off = np.zeros(0, np.uint8), np.zeros(1, np.int64)
         self.ids, self.id_off = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
@@ -72,7 +72,7 @@ class Known:
         return found
 
     def add(self, buf: np.ndarray, size: np.ndarray, hashes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        new = np.arange(len(self.byte_off) - 1, len(self.byte_off) - 1 + len(size))
+        new = np.arange(len(self.byte_off) - 1, len(self.byte_off) - 1 + len(size), dtype=np.int32)
         self.bytes, self.ids = np.concatenate([self.bytes, buf]), np.concatenate([self.ids, ids])
         self.byte_off = np.r_[self.byte_off, self.byte_off[-1] + np.cumsum(size)]
         self.id_off = np.r_[self.id_off, self.id_off[-1] + np.cumsum(counts)]
@@ -165,8 +165,9 @@ class Bpe(Coder):
         apart, together = np.flatnonzero(~joins), np.flatnonzero(joins)
         own, own_n = _listed([x.ids for x in self.one.encode_batch_fast([parts[k] for k in apart], add_special_tokens=False)])
         runs = ["".join([parts[k] for k in together[at:at + TOGETHER]]) for at in range(0, len(together), TOGETHER)]
+        # one run at a time: the library's own result of a run is many times its ids
         joined = np.concatenate([np.zeros(0, np.uint32)] + [
-            np.array(x.ids, np.uint32) for x in self.one.encode_batch_fast(runs, add_special_tokens=False)])
+            np.array(self.one.encode_batch_fast([run], add_special_tokens=False)[0].ids, np.uint32) for run in runs])
         ends = np.cumsum([len(parts[k].encode()) for k in together], dtype=np.int64)
         joined_n = np.diff(np.r_[0, np.searchsorted(np.cumsum(self.size[joined]), ends) + 1])
         counts = np.empty(len(parts), np.int64)
@@ -215,3 +216,4 @@ def encoded(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray,
     for first, part in W.slices(texts, SLICE):
         ids, off = bpe(path).encode(part)
         yield first, len(part), ids, off
+    W.give_back()

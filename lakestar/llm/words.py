@@ -7,6 +7,7 @@ different words agree with a chance of about 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +27,14 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _M = np.uint64(0xFF51AFD7ED558CCD)
 _S = np.uint64(33)
 _powers = np.ones(1, np.uint64)
+_LIBC = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system: a worker lives on, and later stages share its executor."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -66,6 +66,13 @@ def test_ngram_join_against_brute_force(spark):
     assert ngram_join.join(empty(spark)).count() == 0
 
 
+def test_ngram_dedup_decides_by_row_not_by_id(spark):
+    a, b = "a b c d e f g h i j", "other words that are not linked to it at all"
+    docs = spark.createDataFrame([(1, a), (7, a), (7, b), (8, None), (8, a + " k"), (None, a)], "doc_id long, text string")
+    kept = sorted(map(tuple, ngram_join.dedup(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (7, b), (8, None), (None, a)], key=repr)
+
+
 def test_ngram_dedup_keeps_one_of_each_group(spark):
     docs = unique(spark)
     kept = ngram_join.dedup(docs)
