@@ -6,17 +6,20 @@ A new table in a context's restaurant is a customer of the parent.
 
 Spark deals contexts to buckets; a bucket holds whole restaurants, so seating is local to it. The
 restaurants of frequent contexts (at most 8 per bucket, found by a first pass) are spread over buckets word by word and their totals
-are added up between passes. The schedule, each step a shuffle of packed blocks:
+are added up between passes. The texts are read once, in slices; a slice sends its distinct pairs to their buckets and keeps
+postings (which document holds which of them) for the end. The schedule, each step a shuffle of packed blocks:
 
-1. contexts, with the parent's probabilities estimated from the bucket's own words: initial seating and
-   ``SWEEPS`` sweeps of Gibbs moves; each word's tables and counts go to the word's bucket;
+1. contexts, with the parent's probabilities estimated from the bucket's own words: seating and ``SWEEPS`` Gibbs
+   sweeps; each word's tables and counts go to the word's bucket;
 2. parent: the same sampler over the tables that came up; its averaged predictive probabilities go back;
-3. contexts again with those probabilities: burn-in, then ``SAMPLES`` seatings, whose predictive
-   probabilities are averaged, looked up for every (document, pair), and added up by document.
+3. contexts again with those probabilities: seating, ``SWEEPS`` sweeps of burn-in, then ``SAMPLES`` seatings, whose
+   predictive probabilities are averaged. Every slice gets one log probability for each of its distinct pairs and
+   adds them up by document, so what is sent grows with the text, not with documents times buckets.
 
-A move takes a random customer of every (context, word) out and seats it again by the Chinese-restaurant
-weights; moves of different words are made side by side on the totals before them. A sweep makes
-``MOVES`` moves for every (context, word) alike. Words are 48-bit hashes: V words share one with a chance of V*V / 2**49.
+A sweep takes every customer out in turn and seats it again by the Chinese-restaurant weights; customers of different
+words move side by side, on the totals before their step. A word with more than ``LARGE`` customers in one restaurant has its number
+of tables drawn instead, from its conditional given the restaurant's other tables (``large_tables``), so a bucket's work has a bound.
+Words are 48-bit hashes: V words share one with a chance of V*V / 2**49.
 
 A null text is empty and has its end token only. A null id counts as training. Rows that repeat both id
 and text score alike and all of them train.
@@ -30,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,8 @@ from lakestar.llm.scratch import Scratch
 
 PER_BUCKET = 16 << 20  # bytes of text of a bucket
 SENT = 12 << 20        # bytes of text whose pairs are combined before they are sent
-MOVES = 2
+MIN_BUCKETS = 16       # of the smallest inputs; buckets follow the text alone, so scores do not change with the cluster
+LARGE = 128            # customers of a word in one restaurant that are seated one by one
 SWEEPS = 2
 SAMPLES = 3
 CONTEXT = (0.8, 1.0)   # discount and strength of context restaurants
@@ -48,63 +53,122 @@ END = np.uint64(1)     # also the context of a text's first word
 _DROP = np.uint64(16)
 
 
+def large_tables(count: np.ndarray, rest: np.ndarray, parent: np.ndarray, tables: np.ndarray, discount: float,
+                 strength: float) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, variance) of the tables that many customers of a word take, given the ``rest`` of the restaurant's tables.
+
+    With a = (strength + discount * all tables) * parent, t tables of c customers weigh a**t times the number of ways to sit,
+    whose generating function is exp(a * (1 - y**discount) / discount) in x = 1 - y. One table holds most customers; the saddle
+    point a * x * y**(discount - 1) = c gives mean and variance of the others. As all tables include the word's own, the mean is a
+    fixed point.
+    """
+    c, d = count.astype(float), discount
+    others = tables - 1.0
+    for _ in range(60):
+        a = np.maximum((strength + d * (rest + 1 + others)) * parent, 1e-300)
+        lo, hi = np.full(len(c), -700.0), np.full(len(c), -1e-12)
+        for _ in range(50):  # x * y**(d - 1) falls in log y
+            mid = (lo + hi) / 2
+            high = np.log(a) + np.log(-np.expm1(mid)) - (1 - d) * mid > np.log(c)
+            lo, hi = np.where(high, mid, lo), np.where(high, hi, mid)
+        y = np.exp((lo + hi) / 2)
+        new = np.clip(a * (1 - y ** d) / d, 0, c - 1)
+        done = np.all(np.abs(new - others) <= 1e-4 * (1 + new))
+        others = new
+        if done:
+            break
+    spread = np.maximum(others - c / (1 + (1 - d) * (1 - y) / y), 1e-9)
+    tight = 1 / spread - d / (strength + d * (rest + 1 + others))
+    return 1 + others, np.where(tight > 0, 1 / np.maximum(tight, 1e-9), spread)
+
+
 class Seating:
-    """Tables of many (restaurant, dish) pairs; all moves are made side by side."""
+    """Customers of many (restaurant, dish) pairs, seated one by one; the pairs' steps are made side by side.
+
+    ``scale``: of a restaurant's own tables to all it has; ``known``: all its tables where they are known, else nan.
+    """
 
     def __init__(self, count: np.ndarray, room: np.ndarray, n_rooms: int, parent: np.ndarray, discount: float,
-                 strength: float, moves: int, seed: int, scale: np.ndarray | None = None):
+                 strength: float, seed: int, scale: float = 1.0, known: np.ndarray | None = None):
         self.rng = np.random.default_rng(seed)
         self.count, self.room, self.parent = count, room, parent
         self.d, self.s = discount, strength
-        self.n_rooms, self.scale = n_rooms, scale
-        self.busy = np.flatnonzero(count > 1)
+        self.n_rooms, self.scale, self.known = n_rooms, scale, known
         self.tables = (count > 0).astype(np.int64)
+        some = np.flatnonzero((count > 1) & (count <= LARGE))
+        self.busy = some[np.argsort(-count[some], kind="stable")]  # those with a k-th customer stand first
+        self.big = np.flatnonzero(count > LARGE)
         c = count[self.busy]
-        # a start near the mean: new tables come about count ** discount times, less for dishes the parent rarely serves
-        start = np.clip(np.rint(c ** (discount * np.clip(parent[self.busy], 1e-9, 1) ** 0.1)), 1, c).astype(np.int64)
-        self.tables[self.busy] = start
-        cap = start + moves  # a move takes up one new place at most
-        self.first = np.cumsum(cap) - cap
-        self.used = start.copy()
-        self.size = np.zeros(int(cap.sum()), np.int64)
-        within = np.arange(len(self.size)) - np.repeat(self.first, cap)
-        share, more = np.repeat(c // start, cap), np.repeat(c % start, cap)
-        self.size = np.where(within < np.repeat(start, cap), share + (within < more), 0)
+        self.first = np.cumsum(c) - c
+        self.table = np.zeros(int(c.sum()), np.int32)  # of each customer, numbered within its dish
+        self.size = np.zeros(len(self.table), np.int32)
+        self.free = (np.arange(len(self.table)) - np.repeat(self.first, c)).astype(np.int32)  # numbers; the used ones first
+        self.tables[self.busy] = 0
+        self.sweep(seated=False)
 
     def room_tables(self) -> np.ndarray:
-        t = np.bincount(self.room, self.tables, self.n_rooms)
-        return t if self.scale is None else t * self.scale
-
-    def move(self) -> None:
-        b = self.busy
-        if not len(b):
-            return
-        c, rng = self.count[b], self.rng
-        cum = np.cumsum(self.size)
-        base = np.cumsum(c) - c
-        who = (rng.random(len(b)) * c).astype(np.int64)
-        table = np.searchsorted(cum, base + who, "right")
-        self.size[table] -= 1
-        emptied = self.size[table] == 0
-        t = self.tables[b] - emptied
-        rooms = self.room_tables()[self.room[b]] - emptied
-        old = (c - 1) - self.d * t
-        new = (self.s + self.d * rooms) * self.parent[b]
-        fresh = rng.random(len(b)) * (old + new) >= old
-        slot = self.first + self.used
-        into = np.where(emptied, table, slot)
-        self.used += fresh & ~emptied
-        left = np.flatnonzero(~fresh)
-        while len(left):  # a table in proportion to its size less the discount, by rejection
-            other = (rng.random(len(left)) * (c[left] - 1)).astype(np.int64)
-            other += other >= who[left]
-            pick = np.searchsorted(cum, base[left] + other, "right")
-            n = self.size[pick]
-            ok = rng.random(len(left)) * n < n - self.d
-            into[left[ok]] = pick[ok]
-            left = left[~ok]
-        self.size[into] += 1
-        self.tables[b] = t + fresh
+        t = np.bincount(self.room, self.tables, self.n_rooms) * self.scale
+        return t if self.known is None else np.where(np.isnan(self.known), t, self.known)
+
+    def sweep(self, seated: bool = True) -> None:
+        """Every customer leaves and sits down again; not ``seated``: all come in, one after another."""
+        rng, rooms = self.rng, self.room_tables()
+        grows = np.full(self.n_rooms, float(self.scale))
+        if self.known is not None:
+            grows[~np.isnan(self.known)] = 0
+        c_all = self.count[self.busy]
+        alive = np.searchsorted(-c_all, -np.arange(int(c_all[0]) if len(c_all) else 0), "left")
+        room_all, parent_all = self.room[self.busy], self.parent[self.busy]
+        t_all = self.tables[self.busy]
+        for k, m in enumerate(alive.tolist()):
+            first, room = self.first[:m], room_all[:m]
+            t = t_all[:m].copy()
+            if seated:
+                left = self.table[first + k]
+                self.size[first + left] -= 1
+                empty = self.size[first + left] == 0
+                t -= empty
+                e = np.flatnonzero(empty)
+                self.free[first[e] + t[e]] = left[e]
+                n = c_all[:m] - 1
+                total = rooms[room] - empty * grows[room]
+            else:
+                n = np.full(m, k)
+                total = rooms[room]
+            old = n - self.d * t
+            fresh = rng.random(m) * (old + (self.s + self.d * total) * parent_all[:m]) >= old
+            fresh |= n == 0
+            f = np.flatnonzero(fresh)
+            slot = self.free[first[f] + t[f]]
+            self.table[first[f] + k] = slot
+            self.size[first[f] + slot] = 1
+            t[f] += 1
+            j = np.flatnonzero(~fresh)
+            while len(j):  # a table in proportion to its size less the discount, by rejection
+                other = (rng.random(len(j)) * n[j]).astype(np.int64)
+                if seated:
+                    other += other >= k
+                pick = self.table[first[j] + other]
+                size = self.size[first[j] + pick]
+                ok = rng.random(len(j)) * size < size - self.d
+                g = j[ok]
+                self.table[first[g] + k] = pick[ok]
+                self.size[first[g] + pick[ok]] += 1
+                j = j[~ok]
+            moved = np.flatnonzero(t != t_all[:m])
+            np.add.at(rooms, room[moved], (t[moved] - t_all[moved]) * grows[room[moved]])
+            t_all[:m] = t
+        self.tables[self.busy] = t_all
+        if len(self.big):
+            b = self.big
+            own = self.tables[b] * grows[self.room[b]]
+            mean, var = large_tables(self.count[b], np.maximum(rooms[self.room[b]] - own, 0), self.parent[b],
+                                     self.tables[b], self.d, self.s)
+            m = np.maximum(mean - 1, 1e-9)
+            wide = np.maximum(var, m * (1 + 1e-6))  # the tables besides the first: negative binomial, normal where tighter
+            drawn = np.where(var >= m, rng.negative_binomial(m * m / (wide - m), m / wide),
+                             np.rint(m + np.sqrt(var) * rng.standard_normal(len(b))))
+            self.tables[b] = 1 + np.clip(drawn, 0, self.count[b] - 1).astype(np.int64)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -173,43 +237,58 @@ def frequent(docs: DataFrame, n: int) -> np.ndarray:
     return np.sort(np.array([r[0] for r in often.collect()], np.uint64))
 
 
-def sent_pairs(docs: DataFrame, hot: np.ndarray, n: int, with_docs: bool) -> DataFrame:
-    """(bucket, block): distinct pairs with their training counts, or with the documents they stand in."""
+def _pack_pairs(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
+    """Pairs in order of their context, each context once."""
+    new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.zeros(0, np.int64)
+    return _pack(_low(context[new]), np.diff(np.r_[new, len(context)]).astype("<u4"), _low(word), count.astype("<u8"))
+
+
+def _unpack_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    context, run, word, count = _unpack(raw, "six", "<u4", "six", "<u8")
+    return np.repeat(context, run), word, count.astype(np.int64)
+
+
+def sent_pairs(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
+    """(bucket, slice, block): a slice's distinct pairs with their training counts by bucket, in order of (context, word).
+
+    And one row with a negative bucket for each slice: its documents' keys and the documents of each of its pairs, in order of
+    (bucket, context, word).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for b in batches:
             for first, texts in W.slices(b.column(0), SENT):
-                yield from send(texts, b.column(1).slice(first, len(texts)), b.column(2).slice(first, len(texts)))
+                yield from send(number, texts, b.column(1).slice(first, len(texts)), b.column(2).slice(first, len(texts)))
+                number += 1
 
-    def send(texts: pa.Array, train: pa.Array, keys: pa.Array) -> Iterator[pa.RecordBatch]:
+    def send(number: int, texts: pa.Array, train: pa.Array, keys: pa.Array) -> Iterator[pa.RecordBatch]:
         train, keys = train.to_numpy(zero_copy_only=False), keys.to_numpy()
         parts = [(of + first, c, w) for first, part in W.slices(texts) for of, c, w in [pairs(part)]]
         of, context, word = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         bucket = _spread(context, word, hot, n)
-        pair = W.mix(context * np.uint64(0x9E3779B97F4A7C15) + word)
-        order = np.lexsort((of, pair, bucket)) if with_docs else np.lexsort((pair, bucket))
-        of, context, word, bucket, pair = (x[order] for x in (of, context, word, bucket, pair))
-        ends = np.flatnonzero(np.r_[bucket[1:] != bucket[:-1], True]) + 1 if len(bucket) else []
-        begin = 0
-        for end in ends:
-            s = slice(begin, end)
-            c, w, o, p = context[s], word[s], of[s], pair[s]
-            new = np.r_[True, p[1:] != p[:-1]]
-            start = np.flatnonzero(new)
-            if with_docs:
-                fresh = np.r_[True, (p[1:] != p[:-1]) | (o[1:] != o[:-1])]
-                post = np.flatnonzero(fresh)
-                times = np.diff(np.r_[post, len(p)])
-                n_post = np.diff(np.r_[np.searchsorted(post, start), len(post)])
-                raw = _pack(_low(c[start]), _low(w[start]), n_post.astype("<u4"), o[post].astype("<u4"),
-                            times.astype("<u4"), keys, train.astype(np.uint8))
-            else:
-                raw = _pack(_low(c[start]), _low(w[start]), np.add.reduceat(train[o], start, dtype="<u4"))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[begin])], pa.int32()), pa.array([raw], pa.binary())], ["bucket", "block"])
-            begin = end
-
-    return docs.select("text", "train", "key").mapInArrow(run, "bucket int, block binary")
+        order = np.lexsort((word, context, bucket))  # stable: documents stay in order
+        of, context, word, bucket = (x[order] for x in (of, context, word, bucket))
+        del order
+        new = np.r_[True, (word[1:] != word[:-1]) | (context[1:] != context[:-1])]
+        start = np.flatnonzero(new)
+        post = np.flatnonzero(new | np.r_[True, of[1:] != of[:-1]])
+        held = np.diff(np.r_[np.searchsorted(post, start), len(post)])
+        raw = _pack(held.astype("<u4"), of[post].astype("<u4"), np.diff(np.r_[post, len(of)]).astype("<u4"), keys)
+        yield batch(-1 - number % n, number, raw)
+        count = np.add.reduceat(train[of], start, dtype=np.int64)
+        context, word, bucket = context[start], word[start], bucket[start]
+        ends = np.flatnonzero(np.r_[bucket[1:] != bucket[:-1], True]) + 1
+        for a, z in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            yield batch(int(bucket[a]), number, _pack_pairs(context[a:z], word[a:z], count[a:z]))
+
+    def batch(bucket: int, number: int, raw: bytes) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), pa.array([number], pa.int64()), pa.array([raw], pa.binary())],
+            ["bucket", "slice", "block"])
+
+    return docs.select("text", "train", "key").mapInArrow(run, "bucket int, slice bigint, block binary")
 
 
 def _merged(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -223,20 +302,20 @@ def _merged(context: np.ndarray, word: np.ndarray, n: np.ndarray) -> tuple[np.nd
     return c[new], w[new], np.bincount(place, n, int(new.sum())).astype(np.int64), place
 
 
-def _rooms(context: np.ndarray, hot: np.ndarray, totals: dict[int, tuple[int, int]] | None, tables: np.ndarray):
-    """(restaurant of each pair, contexts, scale of a restaurant's own tables to all of them)."""
-    names, room = np.unique(context, return_inverse=True)
-    scale = np.ones(len(names))
-    if totals:
-        own = np.bincount(room, tables, len(names))
-        for i in np.flatnonzero(np.isin(names, hot)).tolist():
-            if own[i]:
-                scale[i] = totals[int(names[i])][1] / own[i]
-    return room, names, scale
+# kinds of rows that the first seating writes
+WORDS, TOTALS, PLACES, PAIRS, POSTINGS = range(5)
+SEATED = "kind int, bucket int, at bigint, block binary, n bigint, t bigint"
+
+
+def _seated(rows: list[tuple]) -> pa.Table:
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
+    names = ("kind", "bucket", "at", "block", "n", "t")
+    cols = list(zip(*rows, strict=True)) or [()] * len(names)
+    return pa.table({f: pa.array(c, k) for f, c, k in zip(names, cols, types, strict=True)})
 
 
 def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS,
-                 samples: int = SAMPLES, sweeps: int = SWEEPS, moves: int = MOVES, seed: int = 0) -> DataFrame:
+                 samples: int = SAMPLES, sweeps: int = SWEEPS, seed: int = 0) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "pitman-yor")
@@ -244,46 +323,47 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("key", F.xxhash64("id", "text")).withColumn("held_out", held).withColumn("train", ~held)
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # buckets follow the text, not the session's partitions: every document has a partial score in each bucket it meets
-    n = max(2 * spark.sparkContext.defaultParallelism, -(-size // PER_BUCKET))
+    n = max(MIN_BUCKETS, -(-size // PER_BUCKET))
     hot = frequent(rows, n)
     (d, s), (d0, s0) = CONTEXT, PARENT
 
     def first_seating(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        parts = [_unpack(x.as_py(), "six", "six", "<u4") for x in table["block"]]
-        context, word, count, _ = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        slices = table["slice"].to_pylist()
+        if bucket < 0:
+            return _seated([(POSTINGS, bucket, k, x.as_py(), None, None) for k, x in zip(slices, table["block"], strict=True)])
+        parts = [_unpack_pairs(x.as_py()) for x in table["block"]]
+        context, word, count, place = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        out = [(PAIRS, bucket, None, _pack_pairs(context, word, count), None, None)]
+        begin = 0
+        for k, part in zip(slices, parts, strict=True):  # ascending places, so their steps are small
+            mine = place[begin:begin + len(part[0])]
+            begin += len(part[0])
+            out.append((PLACES, bucket, k, _pack(np.diff(mine, prepend=0).astype("<u4")), None, None))
+        del parts, place
         names, of = np.unique(word, return_inverse=True)
         share = np.bincount(of, count > 0)  # in how many contexts the bucket has the word
-        room, rooms, _ = _rooms(context, hot, None, count)
-        seats = Seating(count, room, len(rooms), (share / max(share.sum(), 1))[of], d, s, sweeps * moves, seed + bucket)
-        for _ in range(sweeps * moves):
-            seats.move()
-        up = np.bincount(of, seats.tables, len(names)).astype("<u4")
+        rooms, room = np.unique(context, return_inverse=True)
+        seats = Seating(count, room, len(rooms), (share / max(share.sum(), 1))[of], d, s, seed + bucket)
+        for _ in range(sweeps):
+            seats.sweep()
+        up = np.bincount(of, seats.tables, len(names)).astype("<u8")
         c = np.bincount(of, count, len(names)).astype("<u8")
-        out = {"at": [], "bucket": [], "block": [], "context": [], "n": [], "t": []}
         to = (W.mix(names) % np.uint64(n)).astype(np.int64)
         for k in np.unique(to).tolist():
             mine = to == k
-            for f, v in (("at", k), ("bucket", bucket), ("block", _pack(_low(names[mine]), c[mine], up[mine])),
-                         ("context", None), ("n", None), ("t", None)):
-                out[f].append(v)
+            out.append((WORDS, bucket, k, _pack(_low(names[mine]), c[mine], up[mine]), None, None))
         in_room, t_room = np.bincount(room, count, len(rooms)), seats.room_tables()
         for i in np.flatnonzero(np.isin(rooms, hot)).tolist():
-            for f, v in (("at", -1), ("bucket", bucket), ("block", None), ("context", int(rooms[i])),
-                         ("n", int(in_room[i])), ("t", int(t_room[i]))):
-                out[f].append(v)
-        return pa.table({"at": pa.array(out["at"], pa.int32()), "bucket": pa.array(out["bucket"], pa.int32()),
-                         "block": pa.array(out["block"], pa.binary()), "context": pa.array(out["context"], pa.int64()),
-                         "n": pa.array(out["n"], pa.int64()), "t": pa.array(out["t"], pa.int64())})
-
-    up = scratch.keep(sent_pairs(rows, hot, n, False).groupBy("bucket").applyInArrow(
-        first_seating, "at int, bucket int, block binary, context bigint, n bigint, t bigint"), "tables")
-    totals = {r["context"]: (r["n"], r["t"]) for r in up.where("at < 0").groupBy("context").agg(
+            out.append((TOTALS, bucket, int(rooms[i]), None, int(in_room[i]), int(t_room[i])))
+        return _seated(out)
+
+    up = scratch.keep(sent_pairs(rows, hot, n).groupBy("bucket").applyInArrow(first_seating, SEATED), "seated", "kind")
+    totals = {r["at"]: (r["n"], r["t"]) for r in up.where(F.col("kind") == TOTALS).groupBy("at").agg(
         F.sum("n").alias("n"), F.sum("t").alias("t")).collect()}  # one row per frequent context
 
     def words_of(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        parts = [_unpack(x.as_py(), "six", "<u8", "<u4") for x in table["block"]]
+        parts = [_unpack(x.as_py(), "six", "<u8", "<u8") for x in table["block"]]
         word, c, t = (np.concatenate(x) for x in zip(*parts, strict=True))
         names, of = np.unique(word, return_inverse=True)
         return parts, names, of, np.bincount(of, c), np.bincount(of, t)
@@ -292,7 +372,7 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _, _, _, c, t = words_of(table)
         return pa.table({"tokens": [int(c.sum())], "words": [int((c > 0).sum())], "tables": [int(t.sum())]})
 
-    asked = up.where("at >= 0").select("at", "bucket", "block")
+    asked = up.where(F.col("kind") == WORDS).select("at", "bucket", "block")
     told = asked.groupBy("at").applyInArrow(summed, "tokens bigint, words bigint, tables bigint").agg(
         F.sum("tokens").alias("tokens"), F.sum("words").alias("words"), F.sum("tables").alias("tables")).first()
     n_train, n_words, n_customers = (int(x or 0) for x in told)
@@ -302,13 +382,11 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         parts, names, of, c, t = words_of(table)
         t = t.astype(np.int64)
         base = np.full(len(names), 1 / (n_words + 1))
-        scale = np.array([n_words / max(int((t > 0).sum()), 1)])
-        seats = Seating(t, np.zeros(len(t), np.int64), 1, base, d0, s0, (sweeps + samples) * moves,
-                        seed + 10**6 + table["at"][0].as_py(), scale)
+        seats = Seating(t, np.zeros(len(t), np.int64), 1, base, d0, s0, seed + 10**6 + table["at"][0].as_py(),
+                        n_words / max(int((t > 0).sum()), 1))
         p = np.zeros(len(names))
         for k in range(sweeps + samples):
-            for _ in range(moves):
-                seats.move()
+            seats.sweep()
             if k >= sweeps:
                 p += (t - d0 * seats.tables + (s0 + d0 * seats.room_tables()[0]) * base) / (s0 + n_customers)
         p /= samples
@@ -316,78 +394,70 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for part in parts:
             mine = of[begin:begin + len(part[0])]
             begin += len(part[0])
-            out.append(_pack(_low(part[0]), c[mine].astype("<f4"), p[mine].astype("<f4")))
-        unseen = (s0 + d0 * seats.room_tables()[0]) / (s0 + n_customers) / (n_words + 1)
-        return pa.table({"bucket": table["bucket"], "words": pa.array(out, pa.binary()),
-                         "unseen": pa.array([float(unseen)] * len(out))})
+            out.append(_pack(_low(part[0]), c[mine].astype("<u8"), p[mine].astype("<f4")))
+        return pa.table({"bucket": table["bucket"], "words": pa.array(out, pa.binary())})
 
     down = scratch.keep(asked.groupBy("at").applyInArrow(
-        parent_seating, "bucket int, words binary, unseen double"), "parents")
+        parent_seating, "bucket int, words binary"), "parents")
     floor = math.log10(n_train + 0.1 * (n_words + 1))
 
     def score(block: pa.Table, parents: pa.Table) -> pa.Table:
-        bucket = (block if block.num_rows else parents)["bucket"][0].as_py()
-        parts = [_unpack(x.as_py(), "six", "six", "<u4", "<u4", "<u4", "<i8", "u1") for x in block["block"]]
-        if not parts:
-            return pa.table({"key": pa.array([], pa.int64()), "n": pa.array([], pa.int64()),
-                             "known": pa.array([], pa.int64()), "base": pa.array([], pa.float64()),
-                             "log": pa.array([], pa.float64())})
-        train = [np.add.reduceat(p[4] * p[6][p[3]].astype(np.int64), np.cumsum(p[2], dtype=np.int64) - p[2]) for p in parts]
-        context, word, count, place = _merged(np.concatenate([p[0] for p in parts]),
-                                              np.concatenate([p[1] for p in parts]), np.concatenate(train))
-        got = [_unpack(x.as_py(), "six", "<f4", "<f4") for x in parents["words"]]
-        names, c, p1 = (np.concatenate([g[i] for g in got]) if got else np.zeros(0) for i in range(3))
+        """For each slice: log probabilities of its pairs in the bucket, and how often training has their words."""
+        kinds = np.asarray(block["kind"])
+        if not len(kinds):
+            return pa.table({"slice": pa.array([], pa.int64()), "bucket": pa.array([], pa.int32()),
+                             "block": pa.array([], pa.binary())})
+        bucket = block["bucket"][0].as_py()
+        context, word, count = _unpack_pairs(block["block"][int(np.flatnonzero(kinds == PAIRS)[0])].as_py())
+        got = [_unpack(x.as_py(), "six", "<u8", "<f4") for x in parents["words"]]
+        names, c, p1 = (np.concatenate([g[i] for g in got]) for i in range(3))
         order = np.argsort(names)
-        names, c, p1 = names[order], c[order].astype(float), p1[order].astype(float)
-        at = np.minimum(np.searchsorted(names, word), max(len(names) - 1, 0))
-        known = names[at] == word if len(names) else np.zeros(len(word), bool)
-        unseen = float(np.mean(parents["unseen"].to_numpy())) if parents.num_rows else 1.0
-        parent = np.where(known, p1[at], unseen) if len(names) else np.full(len(word), unseen)
-        counts = np.where(known, c[at], 0) if len(names) else np.zeros(len(word))
+        at = np.searchsorted(names[order], word)  # every word of the bucket was asked for
+        counts, parent = c[order][at], p1[order][at].astype(float)
 
         seen = np.flatnonzero(count > 0)
         rooms, room = np.unique(context, return_inverse=True)
-        scale = np.ones(len(rooms))
         customers = np.bincount(room, count, len(rooms))
-        is_hot = np.flatnonzero(np.isin(rooms, hot))
-        seats = Seating(count[seen], room[seen], len(rooms), parent[seen], d, s, (sweeps + samples) * moves,
-                        seed + 2 * 10**6 + bucket)
-        own = seats.room_tables()
-        for i in is_hot.tolist():
-            customers[i], t = totals.get(int(rooms[i]), (0, 0))
-            scale[i] = t / own[i] if own[i] else 0
-        lone = [i for i in is_hot.tolist() if not own[i]]  # a frequent context of which the bucket has no training pair
-        seats.scale = scale
+        known = np.full(len(rooms), np.nan)
+        for i in np.flatnonzero(np.isin(rooms, hot)).tolist():
+            customers[i], known[i] = totals.get(int(rooms[i]), (0, 0))
+        seats = Seating(count[seen], room[seen], len(rooms), parent[seen], d, s, seed + 2 * 10**6 + bucket, known=known)
         p = np.zeros(len(word))
         for k in range(sweeps + samples):
-            for _ in range(moves):
-                seats.move()
+            seats.sweep()
             if k >= sweeps:
-                tables = seats.room_tables()
-                for i in lone:
-                    tables[i] = totals.get(int(rooms[i]), (0, 0))[1]
                 left = np.zeros(len(word))
                 left[seen] = count[seen] - d * seats.tables
-                p += (left + (s + d * tables[room]) * parent) / (s + customers[room])
-        log = np.log10(p / samples)
+                p += (left + (s + d * seats.room_tables()[room]) * parent) / (s + customers[room])
+        log = np.log10(p / samples).astype("<f4")
+        out = {"slice": [], "bucket": [], "block": []}
+        for i in np.flatnonzero(kinds == PLACES).tolist():
+            place = np.cumsum(_unpack(block["block"][i].as_py(), "<u4")[0], dtype=np.int64)
+            out["slice"].append(block["at"][i].as_py())
+            out["bucket"].append(bucket)
+            out["block"].append(_pack(log[place], counts[place]))
+        return pa.table({"slice": pa.array(out["slice"], pa.int64()), "bucket": pa.array(out["bucket"], pa.int32()),
+                         "block": pa.array(out["block"], pa.binary())})
+
+    def by_document(logs: pa.Table, postings: pa.Table) -> pa.Table:
+        """A slice's answers, in order of their bucket as its postings are, added up by document."""
+        order = np.argsort(np.asarray(logs["bucket"])).tolist()
+        parts = [_unpack(logs["block"][i].as_py(), "<f4", "<u8") for i in order]
+        log, counts = (np.concatenate([x[i] for x in parts]).astype(float) for i in range(2))
+        held, of, times, keys = _unpack(postings["block"][0].as_py(), "<u4", "<u4", "<u4", "<i8")
+        log, counts = np.repeat(log, held), np.repeat(counts, held)
+        m = len(keys)
         base = np.log10(counts + 0.1) - floor
-        out = {f: [] for f in ("key", "n", "known", "base", "log")}
-        begin = 0
-        for _, _, n_post, of, times, keys, _ in parts:
-            mine = np.repeat(place[begin:begin + len(n_post)], n_post)
-            begin += len(n_post)
-            n_docs = len(keys)
-            total = np.bincount(of, times, n_docs).astype(np.int64)
-            some = total > 0
-            out["key"].append(keys[some])
-            out["n"].append(total[some])
-            out["known"].append(np.bincount(of, times * (counts[mine] > 0), n_docs).astype(np.int64)[some])
-            out["base"].append(np.bincount(of, times * base[mine], n_docs)[some])
-            out["log"].append(np.bincount(of, times * log[mine], n_docs)[some])
-        return pa.table({f: np.concatenate(v) for f, v in out.items()})
-
-    scored = sent_pairs(rows, hot, n, True).groupBy("bucket").cogroup(down.groupBy("bucket")).applyInArrow(
-        score, "key bigint, n bigint, known bigint, base double, log double")
+        return pa.table({"key": keys, "n": np.bincount(of, times, m).astype(np.int64),
+                         "known": np.bincount(of, times * (counts > 0), m).astype(np.int64),
+                         "base": np.bincount(of, times * base, m), "log": np.bincount(of, times * log, m)})
+
+    pairs_of = up.where(F.col("kind").isin(PLACES, PAIRS)).select("kind", "bucket", "at", "block")
+    logs = pairs_of.groupBy("bucket").cogroup(down.groupBy("bucket")).applyInArrow(
+        score, "slice bigint, bucket int, block binary")
+    postings = up.where(F.col("kind") == POSTINGS).select(F.col("at").alias("slice"), "block")
+    scored = logs.groupBy("slice").cogroup(postings.groupBy("slice")).applyInArrow(
+        by_document, "key bigint, n bigint, known bigint, base double, log double")
     by_key = scored.groupBy("key").agg(*[F.sum(x).alias(x) for x in ("n", "known", "base", "log")])
     same = rows.groupBy("key").agg(F.count("*").alias("copies"))
     return (rows.select("id", "key", "held_out").join(by_key, "key").join(same, "key")

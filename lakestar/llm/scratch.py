@@ -45,10 +45,11 @@ class Scratch:
         self.folder = f"{shared_dir(spark)}/lakestar-llm-{name}-{uuid.uuid4().hex}"
         self.n = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, *by: str) -> DataFrame:
+        """``df``, written, in folders by the columns ``by`` if any, and read back."""
         self.n += 1
         path = f"{self.folder}/{self.n:03d}-{name}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

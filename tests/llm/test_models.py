@@ -1,3 +1,4 @@
+import functools
 import math
 import zlib
 from collections import Counter
@@ -36,23 +37,100 @@ def test_seating_keeps_its_books_and_its_mean():
     rng = np.random.default_rng(0)
     count = rng.integers(0, 9, 4000)
     room = rng.integers(0, 50, 4000)
-    s = pitman_yor.Seating(count, room, 50, np.full(4000, 0.01), 0.5, 1.0, 30, 1)
+    s = pitman_yor.Seating(count, room, 50, np.full(4000, 0.01), 0.5, 1.0, 1)
     for _ in range(30):
-        s.move()
-    ends = np.r_[s.first[1:], len(s.size)]
+        s.sweep()
     for i, b in enumerate(s.busy):
-        own = s.size[s.first[i]:ends[i]]
-        assert own.sum() == count[b] and (own > 0).sum() == s.tables[b]
+        own = slice(s.first[i], s.first[i] + count[b])
+        assert s.size[own].sum() == count[b] and (s.size[own] > 0).sum() == s.tables[b]
+        assert (np.bincount(s.table[own], minlength=count[b]) == s.size[own]).all()
     assert (s.tables[count == 1] == 1).all() and (s.tables[count == 0] == 0).all()
     # two customers of one dish: alone in their restaurant, they share with chance (1 - d) / (1 - d + (s + d) p)
     n = 20000
-    s = pitman_yor.Seating(np.full(n, 2), np.arange(n), n, np.full(n, 0.5), 0.5, 1.0, 20, 2)
+    s = pitman_yor.Seating(np.full(n, 2), np.arange(n), n, np.full(n, 0.5), 0.5, 1.0, 2)
     for _ in range(20):
-        s.move()
+        s.sweep()
     apart = (1.0 + 0.5) * 0.5 / (1 - 0.5 + (1.0 + 0.5) * 0.5)
     assert abs((s.tables == 2).mean() - apart) < 0.02
 
 
+def plain_tables(counts, parent, d, strength, sweeps, burn, seed):
+    """Mean tables of each dish of one restaurant, customer by customer with a list of tables a dish."""
+    rng = np.random.default_rng(seed)
+    tables = [[1] * c for c in counts]  # everyone alone at first
+    total, seen = sum(counts), np.zeros(len(counts))
+    for sweep in range(sweeps):
+        for w, own in enumerate(tables):
+            for _ in range(counts[w]):
+                i = rng.choice(len(own), p=np.array(own) / sum(own))
+                own[i] -= 1
+                if not own[i]:
+                    own.pop(i)
+                    total -= 1
+                weights = np.array([x - d for x in own] + [(strength + d * total) * parent[w]])
+                i = rng.choice(len(weights), p=weights / weights.sum())
+                if i == len(own):
+                    own.append(1)
+                    total += 1
+                else:
+                    own[i] += 1
+        if sweep >= burn:
+            seen += [len(x) for x in tables]
+    return seen / (sweeps - burn)
+
+
+def test_tables_against_a_plain_sampler():
+    counts, parent = [1, 2, 3, 5, 8, 13, 40], np.array([0.05, 0.1, 0.02, 0.2, 0.03, 0.3, 0.3])
+    plain = plain_tables(counts, parent, 0.8, 1.0, 1500, 100, 3)
+    k = 300  # as many restaurants side by side
+    s = pitman_yor.Seating(np.tile(counts, k), np.repeat(np.arange(k), len(counts)), k, np.tile(parent, k), 0.8, 1.0, 4)
+    got = np.zeros(len(counts))
+    for sweep in range(30):
+        s.sweep()
+        if sweep >= 10:
+            got += s.tables.reshape(k, -1).mean(0) / 20
+    assert np.allclose(got, plain, rtol=0.06, atol=0.08), (got, plain)
+
+
+@functools.cache
+def ways_to_sit(c, d):
+    """Logarithms of the numbers of ways in which c customers sit at 0 to c tables."""
+    t = np.arange(c + 1.0)
+    ways = np.full(c + 1, -np.inf)
+    ways[1] = 0.0
+    with np.errstate(divide="ignore"):
+        for n in range(1, c):
+            ways = np.logaddexp(np.r_[-np.inf, ways[:-1]], np.log(np.maximum(n - d * t, 0)) + ways)
+    return t, ways
+
+
+def exact_tables(c, rest, parent, d, strength):
+    """Mean and variance of the tables of c customers given the rest."""
+    t, ways = ways_to_sit(c, d)
+    weight = ways + np.r_[0, np.cumsum(np.log((strength + d * (rest + t[:-1])) * parent))]
+    p = np.exp(weight - weight.max())
+    p /= p.sum()
+    return (p * t).sum(), (p * t * t).sum() - (p * t).sum() ** 2
+
+
+def test_large_counts_are_drawn_from_their_conditional():
+    cases = [(c, rest, parent) for c in (129, 1000, 4000) for rest in (3, 300, 20000) for parent in (1e-5, 0.001, 0.02, 0.3)]
+    counts, rest, parent = (np.array(x) for x in zip(*cases, strict=True))
+    for d, strength in (pitman_yor.CONTEXT, pitman_yor.PARENT):
+        mean, var = pitman_yor.large_tables(counts, rest, parent, np.ones(len(counts)), d, strength)
+        for i, (c, r, p) in enumerate(cases):
+            m, v = exact_tables(c, r, p, d, strength)
+            assert abs(mean[i] - m) <= 0.03 * m + 1.5, (c, r, p)
+            assert v < 1 or 0.5 < var[i] / v < 2, (c, r, p)  # under one table the normal is rounded away
+    k = 400  # the draws themselves: as many restaurants, each with 3,000 customers of one word and 50 words once
+    count = np.tile(np.r_[3000, np.ones(50, int)], k)
+    s = pitman_yor.Seating(count, np.repeat(np.arange(k), 51), k, np.full(51 * k, 0.2), 0.8, 1.0, 6)
+    s.sweep()
+    m, v = exact_tables(3000, 50, 0.2, 0.8, 1.0)
+    drawn = s.tables.reshape(k, -1)[:, 0]
+    assert abs(drawn.mean() - m) < 0.1 * m and 0.6 < drawn.var() / v < 1.6
+
+
 def test_kneser_ney_probabilities_add_up():
     text = "the cat sat on the mat and the dog sat on the log".encode() * 3
     texts = pa.array([text.decode()], pa.large_string())
