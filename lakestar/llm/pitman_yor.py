@@ -41,11 +41,12 @@ from lakestar.llm import words as W
 from lakestar.llm.scratch import Scratch
 
 PER_BUCKET = 16 << 20  # bytes of text of a bucket
-SENT = 12 << 20        # bytes of text whose pairs are combined before they are sent
+SENT = 20 << 20        # bytes of text whose pairs are combined before they are sent
 MIN_BUCKETS = 16       # of the smallest inputs; buckets follow the text alone, so scores do not change with the cluster
 LARGE = 128            # customers of a word in one restaurant that are seated one by one
 SWEEPS = 2
 SAMPLES = 3
+GRAIN = 1 << 16        # log probabilities of pairs travel as whole parts of this size
 CONTEXT = (0.8, 1.0)   # discount and strength of context restaurants
 PARENT = (0.7, 10.0)
 FOLDS = 10
@@ -180,23 +181,23 @@ def _pack(*arrays: np.ndarray) -> bytes:
 
 
 def _unpack(raw: bytes, *types: str) -> list[np.ndarray]:
+    """Arrays of the given types; digits 4, 6 or 8 stand for ``_planes`` of so many bytes."""
     table = pa.ipc.open_stream(zstandard.decompress(raw)).read_all()
     out = []
     for column, kind in zip(table.columns, types, strict=True):
         data = column[0].as_py()
-        out.append(_six(data) if kind == "six" else np.frombuffer(data, kind))
+        if kind in "468":
+            wide = np.zeros((len(data) // int(kind), 4 if kind == "4" else 8), np.uint8)
+            wide[:, :int(kind)] = np.frombuffer(data, np.uint8).reshape(int(kind), -1).T
+            out.append(wide.view(f"<u{wide.shape[1]}").ravel())
+        else:
+            out.append(np.frombuffer(data, kind))
     return out
 
 
-def _low(x: np.ndarray) -> np.ndarray:
-    """48-bit numbers as 6 bytes each."""
-    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-
-
-def _six(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.view("<u8").ravel()
+def _planes(x: np.ndarray, k: int) -> np.ndarray:
+    """The lowest k bytes of numbers, all first bytes before all second ones: small or ascending numbers pack well."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k].T)
 
 
 def pairs(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -240,12 +241,14 @@ def frequent(docs: DataFrame, n: int) -> np.ndarray:
 def _pack_pairs(context: np.ndarray, word: np.ndarray, count: np.ndarray) -> bytes:
     """Pairs in order of their context, each context once."""
     new = np.flatnonzero(np.r_[True, context[1:] != context[:-1]]) if len(context) else np.zeros(0, np.int64)
-    return _pack(_low(context[new]), np.diff(np.r_[new, len(context)]).astype("<u4"), _low(word), count.astype("<u8"))
+    names, of = np.unique(word, return_inverse=True)
+    return _pack(_planes(context[new], 6), _planes(np.diff(np.r_[new, len(context)]), 4), _planes(names, 6), _planes(of, 4),
+                 _planes(count, 8))
 
 
 def _unpack_pairs(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    context, run, word, count = _unpack(raw, "six", "<u4", "six", "<u8")
-    return np.repeat(context, run), word, count.astype(np.int64)
+    context, run, names, of, count = _unpack(raw, "6", "4", "6", "4", "8")
+    return np.repeat(context, run), names[of], count.astype(np.int64)
 
 
 def sent_pairs(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
@@ -275,7 +278,7 @@ def sent_pairs(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
         start = np.flatnonzero(new)
         post = np.flatnonzero(new | np.r_[True, of[1:] != of[:-1]])
         held = np.diff(np.r_[np.searchsorted(post, start), len(post)])
-        raw = _pack(held.astype("<u4"), of[post].astype("<u4"), np.diff(np.r_[post, len(of)]).astype("<u4"), keys)
+        raw = _pack(_planes(held, 4), _planes(of[post], 4), _planes(np.diff(np.r_[post, len(of)]), 4), keys)
         yield batch(-1 - number % n, number, raw)
         count = np.add.reduceat(train[of], start, dtype=np.int64)
         context, word, bucket = context[start], word[start], bucket[start]
@@ -339,7 +342,7 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for k, part in zip(slices, parts, strict=True):  # ascending places, so their steps are small
             mine = place[begin:begin + len(part[0])]
             begin += len(part[0])
-            out.append((PLACES, bucket, k, _pack(np.diff(mine, prepend=0).astype("<u4")), None, None))
+            out.append((PLACES, bucket, k, _pack(_planes(np.diff(mine, prepend=0), 4)), None, None))
         del parts, place
         names, of = np.unique(word, return_inverse=True)
         share = np.bincount(of, count > 0)  # in how many contexts the bucket has the word
@@ -352,7 +355,7 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         to = (W.mix(names) % np.uint64(n)).astype(np.int64)
         for k in np.unique(to).tolist():
             mine = to == k
-            out.append((WORDS, bucket, k, _pack(_low(names[mine]), c[mine], up[mine]), None, None))
+            out.append((WORDS, bucket, k, _pack(_planes(names[mine], 6), _planes(c[mine], 8), _planes(up[mine], 8)), None, None))
         in_room, t_room = np.bincount(room, count, len(rooms)), seats.room_tables()
         for i in np.flatnonzero(np.isin(rooms, hot)).tolist():
             out.append((TOTALS, bucket, int(rooms[i]), None, int(in_room[i]), int(t_room[i])))
@@ -363,7 +366,7 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sum("n").alias("n"), F.sum("t").alias("t")).collect()}  # one row per frequent context
 
     def words_of(table: pa.Table) -> tuple[list, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        parts = [_unpack(x.as_py(), "six", "<u8", "<u8") for x in table["block"]]
+        parts = [_unpack(x.as_py(), "6", "8", "8") for x in table["block"]]
         word, c, t = (np.concatenate(x) for x in zip(*parts, strict=True))
         names, of = np.unique(word, return_inverse=True)
         return parts, names, of, np.bincount(of, c), np.bincount(of, t)
@@ -394,11 +397,11 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for part in parts:
             mine = of[begin:begin + len(part[0])]
             begin += len(part[0])
-            out.append(_pack(_low(part[0]), c[mine].astype("<u8"), p[mine].astype("<f4")))
-        return pa.table({"bucket": table["bucket"], "words": pa.array(out, pa.binary())})
+            out.append(_pack(_planes(c[mine], 8), p[mine].astype("<f4")))
+        return pa.table({"at": table["at"], "bucket": table["bucket"], "words": pa.array(out, pa.binary())})
 
     down = scratch.keep(asked.groupBy("at").applyInArrow(
-        parent_seating, "bucket int, words binary"), "parents")
+        parent_seating, "at bigint, bucket int, words binary"), "parents")
     floor = math.log10(n_train + 0.1 * (n_words + 1))
 
     def score(block: pa.Table, parents: pa.Table) -> pa.Table:
@@ -409,11 +412,12 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                              "block": pa.array([], pa.binary())})
         bucket = block["bucket"][0].as_py()
         context, word, count = _unpack_pairs(block["block"][int(np.flatnonzero(kinds == PAIRS)[0])].as_py())
-        got = [_unpack(x.as_py(), "six", "<u8", "<f4") for x in parents["words"]]
-        names, c, p1 = (np.concatenate([g[i] for g in got]) for i in range(3))
-        order = np.argsort(names)
-        at = np.searchsorted(names[order], word)  # every word of the bucket was asked for
-        counts, parent = c[order][at], p1[order][at].astype(float)
+        names, of = np.unique(word, return_inverse=True)
+        to = W.mix(names) % np.uint64(n)
+        counts, parent = np.zeros(len(names), np.uint64), np.zeros(len(names))
+        for k, x in zip(parents["at"].to_pylist(), parents["words"], strict=True):  # in the order the bucket asked
+            counts[to == k], parent[to == k] = _unpack(x.as_py(), "8", "<f4")
+        counts, parent = counts[of], parent[of]
 
         seen = np.flatnonzero(count > 0)
         rooms, room = np.unique(context, return_inverse=True)
@@ -429,23 +433,23 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 left = np.zeros(len(word))
                 left[seen] = count[seen] - d * seats.tables
                 p += (left + (s + d * seats.room_tables()[room]) * parent) / (s + customers[room])
-        log = np.log10(p / samples).astype("<f4")
+        log = np.rint(-np.log10(p / samples) * GRAIN).astype(np.int64)
         out = {"slice": [], "bucket": [], "block": []}
         for i in np.flatnonzero(kinds == PLACES).tolist():
-            place = np.cumsum(_unpack(block["block"][i].as_py(), "<u4")[0], dtype=np.int64)
+            place = np.cumsum(_unpack(block["block"][i].as_py(), "4")[0], dtype=np.int64)
             out["slice"].append(block["at"][i].as_py())
             out["bucket"].append(bucket)
-            out["block"].append(_pack(log[place], counts[place]))
+            out["block"].append(_pack(_planes(log[place], 4), _planes(counts[place], 8)))
         return pa.table({"slice": pa.array(out["slice"], pa.int64()), "bucket": pa.array(out["bucket"], pa.int32()),
                          "block": pa.array(out["block"], pa.binary())})
 
     def by_document(logs: pa.Table, postings: pa.Table) -> pa.Table:
         """A slice's answers, in order of their bucket as its postings are, added up by document."""
         order = np.argsort(np.asarray(logs["bucket"])).tolist()
-        parts = [_unpack(logs["block"][i].as_py(), "<f4", "<u8") for i in order]
+        parts = [_unpack(logs["block"][i].as_py(), "4", "8") for i in order]
         log, counts = (np.concatenate([x[i] for x in parts]).astype(float) for i in range(2))
-        held, of, times, keys = _unpack(postings["block"][0].as_py(), "<u4", "<u4", "<u4", "<i8")
-        log, counts = np.repeat(log, held), np.repeat(counts, held)
+        held, of, times, keys = _unpack(postings["block"][0].as_py(), "4", "4", "4", "<i8")
+        log, counts = np.repeat(log / -GRAIN, held), np.repeat(counts, held)
         m = len(keys)
         base = np.log10(counts + 0.1) - floor
         return pa.table({"key": keys, "n": np.bincount(of, times, m).astype(np.int64),
