@@ -41,7 +41,7 @@ from lakestar.llm import words as W
 from lakestar.llm.scratch import Scratch
 
 PER_BUCKET = 16 << 20  # bytes of text of a bucket
-SENT = 20 << 20        # bytes of text whose pairs are combined before they are sent
+SENT = 16 << 20        # bytes of text whose pairs are combined before they are sent
 MIN_BUCKETS = 16       # of the smallest inputs; buckets follow the text alone, so scores do not change with the cluster
 LARGE = 128            # customers of a word in one restaurant that are seated one by one
 SWEEPS = 2
@@ -264,13 +264,14 @@ def sent_pairs(docs: DataFrame, hot: np.ndarray, n: int) -> DataFrame:
             for first, texts in W.slices(b.column(0), SENT):
                 yield from send(number, texts, b.column(1).slice(first, len(texts)), b.column(2).slice(first, len(texts)))
                 number += 1
+                W.give_back()
 
     def send(number: int, texts: pa.Array, train: pa.Array, keys: pa.Array) -> Iterator[pa.RecordBatch]:
         train, keys = train.to_numpy(zero_copy_only=False), keys.to_numpy()
-        parts = [(of + first, c, w) for first, part in W.slices(texts) for of, c, w in [pairs(part)]]
+        parts = [((of + first).astype(np.int32), c, w) for first, part in W.slices(texts) for of, c, w in [pairs(part)]]
         of, context, word = (np.concatenate(x) for x in zip(*parts, strict=True))
         del parts
-        bucket = _spread(context, word, hot, n)
+        bucket = _spread(context, word, hot, n).astype(np.int32)
         order = np.lexsort((word, context, bucket))  # stable: documents stay in order
         of, context, word, bucket = (x[order] for x in (of, context, word, bucket))
         del order
@@ -359,6 +360,8 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         in_room, t_room = np.bincount(room, count, len(rooms)), seats.room_tables()
         for i in np.flatnonzero(np.isin(rooms, hot)).tolist():
             out.append((TOTALS, bucket, int(rooms[i]), None, int(in_room[i]), int(t_room[i])))
+        del seats, context, word, count, of, room
+        W.give_back()
         return _seated(out)
 
     up = scratch.keep(sent_pairs(rows, hot, n).groupBy("bucket").applyInArrow(first_seating, SEATED), "seated", "kind")
@@ -434,6 +437,8 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 left[seen] = count[seen] - d * seats.tables
                 p += (left + (s + d * seats.room_tables()[room]) * parent) / (s + customers[room])
         log = np.rint(-np.log10(p / samples) * GRAIN).astype(np.int64)
+        del seats, seen, p, left, context, word, count, of, room, parent
+        W.give_back()
         out = {"slice": [], "bucket": [], "block": []}
         for i in np.flatnonzero(kinds == PLACES).tolist():
             place = np.cumsum(_unpack(block["block"][i].as_py(), "4")[0], dtype=np.int64)
@@ -449,6 +454,8 @@ def model_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         parts = [_unpack(logs["block"][i].as_py(), "4", "8") for i in order]
         log, counts = (np.concatenate([x[i] for x in parts]).astype(float) for i in range(2))
         held, of, times, keys = _unpack(postings["block"][0].as_py(), "4", "4", "4", "<i8")
+        del parts
+        W.give_back()
         log, counts = np.repeat(log / -GRAIN, held), np.repeat(counts, held)
         m = len(keys)
         base = np.log10(counts + 0.1) - floor
