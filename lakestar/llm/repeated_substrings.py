@@ -1,7 +1,8 @@
-"""Suffix-array deduplication: bytes of passages that occur elsewhere, by longest-previous-factor arrays.
+"""Suffix-array deduplication: bytes of passages that occur elsewhere, by previous factors in suffix order.
 
 A passage is any string of ``LENGTH`` bytes. Where it occurs a second time, in another document or the same,
-it has an earlier occurrence there: its longest previous factor is at least LENGTH long.
+it has an earlier occurrence there: its longest previous factor is at least LENGTH long. Only that is decided;
+the lengths of shorter factors are not worked out, as nothing goes by them.
 
 1. Every window of LENGTH bytes has an anchor: the smallest of its hashed 32-byte grams, leftmost first. Equal
    windows have equal anchors at equal offsets, and neighbours share one, so there is one anchor for
@@ -12,7 +13,10 @@ it has an earlier occurrence there: its longest previous factor is at least LENG
    (8, 24, 72, then LENGTH bytes, in byte order). In suffix order, ties by text position, the previous smaller
    position of a suffix is its predecessor among those that agree to that depth; the next smaller one lies
    beyond them. So all but the first of such a run have a previous factor of LENGTH or more.
-4. Which windows repeat, and which are the first of their run, goes back to the buckets that
+4. An anchor whose distinct segments weigh more than PER_ANCHOR bytes (a phrase shorter than a passage, with
+   other words around it in every document) has no suffix array of its own: each of its windows becomes a row under the
+   window's 128-bit digest, and counts and first places by digest, combined before the shuffle, tell the same.
+5. Which windows repeat, and which are the first of their run, goes back to the buckets that
    sent the segment; they mark bytes in their documents.
 
 A frequent passage costs one segment per bucket, not per document. Texts travel between tasks as compressed
@@ -40,6 +44,7 @@ GRAM = 32
 SLICE = 1 << 20
 PER_BUCKET = 8 << 20   # bytes of text of a bucket
 PER_SORT = 1 << 20     # bytes of segments of a suffix array
+PER_ANCHOR = 8 << 20   # bytes of one anchor's segments in a suffix array; beyond, its windows meet by digest
 _INVERSE = np.uint64(pow(int(W._BASE), -1, 2**64))
 _steps = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -74,7 +79,7 @@ def anchors(buf: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tuple[np.
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(W._TABLE[buf] * up, out=total[1:])
     h = W.mix((total[GRAM:] - total[:-GRAM]) * down[:n - GRAM + 1])
-    bits = np.uint64(n.bit_length())
+    bits = np.uint64(32)  # of the place; the same in slices of any size, so that equal windows break ties alike
     ranked = ((h >> bits) << bits) | np.arange(len(h), dtype=np.uint64)
     least = sliding_min(ranked, length - GRAM + 1)
     np.add.at(valid, off[long], 1)
@@ -164,6 +169,48 @@ def _segments(texts: pa.LargeStringArray, hits: np.ndarray, length: int) -> Iter
         yield int(of[i]), int(lo[i] - off[of[i]]), raw[lo[i]:hi[i] + length], int(h[i])
 
 
+def _by_digest(segments: DataFrame, scratch: Scratch, kind: str, length: int) -> DataFrame:
+    """(bucket, name, repeats, firsts, h, first_id, at) of segments with a window that occurs elsewhere, window by window."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for first in range(0, b.num_rows, 1024):
+                part = b.slice(first, 1024)
+                raws = part.column("raw").to_pylist()
+                row = np.repeat(np.arange(len(raws)), [len(x) - length + 1 for x in raws])
+                k = np.concatenate([np.arange(len(x) - length + 1, dtype=np.int32) for x in raws])
+                digest = [xxhash.xxh3_128_digest(raws[i][j:j + length])
+                          for i, j in zip(row.tolist(), k.tolist(), strict=True)]
+                rows = part.select(["bucket", "name", "h", "n", "id", "at"]).take(pa.array(row))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(k), pa.array(digest, pa.binary())], [*rows.schema.names, "k", "digest"])
+
+    windows = scratch.keep(segments.select("bucket", "name", "h", "n", "id", "at", "raw").mapInArrow(
+        cut, f"bucket int, name binary, h bigint, n int, id {kind}, at bigint, k int, digest binary"), "windows")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", (F.col("at") + F.col("k")).alias("at"), "bucket", "name")
+    runs = windows.groupBy("digest").agg(F.sum("n").alias("all"), F.min(place).alias("lead")).where("all > 1")
+    is_lead = ((F.col("lead.bucket") == F.col("bucket")) & (F.col("lead.name") == F.col("name"))
+               & (F.col("lead.at") == F.col("at") + F.col("k")))
+    marks = windows.join(runs, "digest").groupBy("bucket", "name").agg(
+        F.min("h").alias("h"), F.first("id").alias("first_id"), F.min("at").alias("at"),
+        F.collect_list("k").alias("repeats"), F.collect_list(F.when(is_lead, F.col("k"))).alias("firsts"))
+
+    def bits(places: list[int]) -> bytes:
+        mark = np.zeros(max(places, default=0) + 1, bool)
+        mark[places] = True
+        return np.packbits(mark).tobytes()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            packed = [pa.array([bits(x) for x in b.column(c).to_pylist()], pa.binary()) for c in ("repeats", "firsts")]
+            yield pa.RecordBatch.from_arrays(
+                [b.column("bucket"), b.column("name"), *packed, b.column("h"), b.column("first_id"), b.column("at")],
+                ["bucket", "name", "repeats", "firsts", "h", "first_id", "at"])
+
+    return marks.mapInArrow(
+        pack, f"bucket int, name binary, repeats binary, firsts binary, h bigint, first_id {kind}, at bigint")
+
+
 def _order(ids: pa.Array) -> np.ndarray:
     """A rank of each id, null ids last."""
     order = pa.compute.sort_indices(ids, null_placement="at_end").to_numpy()
@@ -173,7 +220,7 @@ def _order(ids: pa.Array) -> np.ndarray:
 
 
 def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-           keep_first: bool = True, with_text: bool = False) -> DataFrame:
+           keep_first: bool = True, with_text: bool = False, per_anchor: int = PER_ANCHOR) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256[, starts, ends][, kept text as binary].
 
     keep_first: the first occurrence of a passage stays, later ones go; otherwise every byte of a
@@ -234,6 +281,8 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
         send, f"bucket int, name binary, h bigint, raw binary, n int, id {kind}, at bigint"), "segments")
     weight = sent.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     n_sorts = buckets(spark, weight, PER_SORT)
+    heavy = scratch.keep(sent.groupBy("h").agg(F.sum(F.octet_length("raw")).alias("weight"))
+                         .where(F.col("weight") > per_anchor).select("h"), "heavy")
 
     def judge(table: pa.Table) -> pa.Table:
         raws = [x.as_py() for x in table["raw"].combine_chunks()]
@@ -265,14 +314,15 @@ def marked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
             out_repeat.append(np.packbits(repeats[s]).tobytes())
             out_first.append(np.packbits(stays[s] & (place[i] == lead[w])).tobytes())
         return pa.table({"bucket": table["bucket"], "name": table["name"], "repeats": pa.array(out_repeat, pa.binary()),
-                         "firsts": pa.array(out_first, pa.binary())})
-
-    told = scratch.keep(
-        sent.withColumn("sort", F.pmod(F.xxhash64("h"), F.lit(n_sorts))).groupBy("sort").applyInArrow(
-            judge, "bucket int, name binary, repeats binary, firsts binary")
-        .withColumn("x", F.lit(1)).drop("x"), "told")
-    told = told.join(sent.select("bucket", "name", "h", "at", F.col("id").alias("first_id")), ["bucket", "name"]) \
-        if keep_first else told.join(sent.select("bucket", "name", "h"), ["bucket", "name"])
+                         "firsts": pa.array(out_first, pa.binary()), "h": table["h"], "first_id": table["id"],
+                         "at": table["at"]})
+
+    told = (sent.join(heavy, "h", "left_anti").withColumn("sort", F.pmod(F.xxhash64("h"), F.lit(n_sorts)))
+            .groupBy("sort").applyInArrow(
+                judge, f"bucket int, name binary, repeats binary, firsts binary, h bigint, first_id {kind}, at bigint"))
+    told = scratch.keep(told.unionByName(_by_digest(sent.join(heavy, "h", "left_semi"), scratch, kind, length)), "told")
+    if not keep_first:
+        told = told.drop("first_id", "at")
 
     schema = f"id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, " \
              "starts array<bigint>, ends array<bigint>" + ", kept binary" * with_text

@@ -120,6 +120,24 @@ def test_first_copy_of_a_passage_stays(spark):
     assert got[12].n_removed == 0 and got[15].n_removed > 200 and got[18].n_removed > 200
 
 
+def test_windows_of_heavy_anchors_meet_by_digest(spark):
+    for keep_first in (False, True):
+        plain, cut = (repeated_substrings.marked(messy(spark), keep_first=keep_first, per_anchor=n).collect()
+                      for n in (repeated_substrings.PER_ANCHOR, 0))
+        assert Counter(map(str, plain)) == Counter(map(str, cut))
+    # a phrase shorter than a passage in every text, with other words around it, and one passage in a few
+    r = random.Random(17)
+    prose = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    phrase, passage = prose(90), prose(260)
+    data = [(i, prose(300) + phrase + prose(300) + (passage if i % 50 == 7 else "")) for i in range(400)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    for n in (0, 100_000):
+        got = {x.doc_id: x for x in repeated_substrings.marked(docs, per_anchor=n).collect()}
+        assert {i for i, x in got.items() if x.n_removed} == {i for i in range(400) if i % 50 == 7 and i > 7}
+        assert all(260 <= x.n_removed < 270 for i, x in got.items() if i % 50 == 7 and i > 7)
+    assert repeated_substrings.marked(empty(spark), per_anchor=0).count() == 0
+
+
 def test_suffix_ranks_are_byte_order():
     rng = np.random.default_rng(0)
     buf = rng.integers(97, 99, 900).astype(np.uint8)
