@@ -72,24 +72,20 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("key", F.xxhash64("digest")), "digests")
     candidates = F.broadcast(scratch.keep(frequent(digests, counters), "candidates"))
 
-    # exact counts and winners of the candidates, combined map-side
-    best = F.max(F.struct("id", "row"))
-    held = scratch.keep(
-        digests.join(candidates, "key").groupBy("key", "digest", "id").agg(
-            F.count("*").alias("rows"), F.max("row").alias("row"))
-        .groupBy("key", "digest").agg(
-            F.sum("rows").alias("group_size"),
-            F.max(F.struct("id", "row", F.col("rows").alias("n_same"))).alias("win")), "winners")
+    # exact counts and winners, combined map-side; no window holds a group
+    def winners(rows: DataFrame) -> DataFrame:
+        return (rows.groupBy("key", "digest", "id").agg(F.count("*").alias("rows"), F.max("row").alias("row"))
+                .groupBy("key", "digest").agg(
+                    F.sum("rows").alias("group_size"),
+                    F.max(F.struct("id", "row", F.col("rows").alias("n_same"))).alias("win")))
+
+    def told(rows: DataFrame, winners: DataFrame) -> DataFrame:
+        return rows.join(winners, ["key", "digest"]).select("id", "row", "digest", "group_size", "win")
+
     # a candidate is one xxhash64 value; its digests (one, but for a collision) all stay in the table
-    heavy = (digests.join(F.broadcast(held.select("key", "digest", "group_size", "win")), ["key", "digest"])
-             .select("id", "row", "digest", "group_size", "win"))
-    group = Window.partitionBy("digest")
-    light = (digests.join(candidates, "key", "left_anti")
-             .select("id", "row", "digest",
-                     F.count("*").over(group).alias("group_size"), best.over(group).alias("top"))
-             .withColumn("n_same", F.count(F.when(F.col("id").eqNullSafe(F.col("top.id")), 1)).over(group))
-             .select("id", "row", "digest", "group_size",
-                     F.struct(F.col("top.id").alias("id"), F.col("top.row").alias("row"), "n_same").alias("win")))
+    heavy = told(digests, F.broadcast(scratch.keep(winners(digests.join(candidates, "key")), "winners")))
+    rest = digests.join(candidates, "key", "left_anti")
+    light = told(rest, winners(rest))
     return heavy.unionByName(light).select(
         F.col("id").alias(id_col), F.col("win.id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("win.row")).alias("kept"),
