@@ -1,8 +1,9 @@
 """Mixing sources to target weights by blocks.
 
 * Each source's documents, in order of their id, form one stream of words, cut into blocks of
-  ``BLOCK`` words. Stream places come from two-level prefix sums over (source, part), so a hot
-  source is spread over parts.
+  ``BLOCK`` words. Stream places come from two-level prefix sums: rows are range-partitioned by (source, id, hash of
+  the text), so a part is a run of the stream, and a hot source is spread over parts. Where the borders of
+  the parts fall changes no place.
 * Targets: all words are shared by weight; a source's target stops at ``REPEAT`` times its words
   and the excess is shared again by weight until none is above. If all stop, the rest is left.
 * A source's slots run through its blocks pass after pass; each pass has its own pseudorandom
@@ -29,13 +30,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestar.llm import words as W
-from lakestar.llm.scratch import Scratch, reachable
+from lakestar.llm.scratch import Scratch, buckets, reachable
 
 BLOCK = 1024   # words
 SHARD = 1024   # slots of an output shard
 REPEAT = 3
 WEIGHTS = (1, 2, 3)
-PART = 20_000  # documents of one part of a source's stream
+PART = 20_000  # documents of one part of the streams, about
+CHUNK = 4096   # shards whose draws are summed in one task
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -154,16 +156,18 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     number = spark.createDataFrame(
         [(s, i, plan.size[s], plan.target[s]) for i, s in enumerate(plan.sources)],
         "source string, source_no int, source_size bigint, target double")
-    parts = max(1, -(-max((r["rows"] for r in told), default=0) // PART))
+    # equal rows may change places, so a row number can part them; written, as the borders are drawn from a sample
     rows = (found.join(F.broadcast(number), found["source"].eqNullSafe(number["source"]))
-            .select(found["*"], "source_no", "source_size", "target")
-            .withColumn("part", F.pmod(F.xxhash64("id", "tie"), F.lit(parts))))
+            .select(found["*"], "source_no", "source_size", "target", F.monotonically_increasing_id().alias("row"))
+            .repartitionByRange(buckets(spark, sum(r["rows"] for r in told), PART), "source_no", "id", "tie", "row")
+            .withColumn("part", F.spark_partition_id()))
+    rows = scratch.keep(rows, "parts")
     sums = rows.groupBy("source_no", "part").agg(F.sum("size").alias("part_size"))
     before = Window.partitionBy("source_no").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source_no", "part", F.coalesce(F.sum("part_size").over(before), F.lit(0)).alias("part_start"))
     ahead = (Window.partitionBy("source_no", "part").orderBy("id", "tie")
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = (rows.withColumn("stop", F.sum("size").over(ahead)).join(F.broadcast(sums), ["source_no", "part"])
+    placed = (rows.withColumn("stop", F.sum("size").over(ahead)).join(sums, ["source_no", "part"])
               .withColumn("begin", F.col("part_start") + F.col("stop") - F.col("size")))
     placed = scratch.keep(placed.select("id", "source", "size", "tie", "source_size", "target", "source_no", "begin"),
                           "places")
@@ -201,8 +205,13 @@ def slots(spark, scratch: Scratch, plan: Plan, shard: int) -> DataFrame:
     drawn = spark.range(shards).mapInArrow(draw, "shard bigint, source_no int, n bigint")
     drawn = scratch.keep(drawn, "draws")
     need = spark.createDataFrame([(i, int(n)) for i, n in enumerate(wanted)], "source_no int, wanted bigint")
-    before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    dealt = (drawn.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    drawn_in = drawn.withColumn("chunk", F.expr(f"shard div {CHUNK}"))
+    before = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = drawn_in.groupBy("source_no", "chunk").agg(F.sum("n").alias("chunk_n")).select(
+        "source_no", "chunk", F.coalesce(F.sum("chunk_n").over(before), F.lit(0)).alias("chunk_at"))
+    within = Window.partitionBy("source_no", "chunk").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    dealt = (drawn_in.withColumn("within", F.coalesce(F.sum("n").over(within), F.lit(0)))
+             .join(chunks, ["source_no", "chunk"]).withColumn("at", F.col("chunk_at") + F.col("within"))
              .join(F.broadcast(need), "source_no"))
     # what was not drawn: more shards of ``shard`` slots at the end
     rest = (need.join(drawn.groupBy("source_no").agg(F.sum("n").alias("n")), "source_no", "left")

@@ -124,6 +124,30 @@ def test_mix_takes_its_targets(spark):
     assert mixing.taken(empty(spark)).count() == 0
 
 
+def test_mix_does_not_follow_the_parts(spark, monkeypatch):
+    plain = mixing.taken(messy(spark), block=16, shard=2).collect()
+    monkeypatch.setattr(mixing, "PART", 2)
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    cut = mixing.taken(messy(spark).repartition(5), block=16, shard=2).collect()
+    assert Counter(map(tuple, cut)) == Counter(map(tuple, plain))
+
+
+def test_streams_are_in_order_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PART", 4)
+    docs = spark.createDataFrame([(i * 7919 % 101, "w " * (1 + i % 9), "s") for i in range(101)],
+                                 "doc_id bigint, text string, source string")
+    _, spans = mixing.mixed(docs, block=8, shard=4)
+    size = {r.doc_id: len(words(r.text)) for r in docs.collect()}
+    begin, at = {}, 0
+    for i in sorted(size):
+        begin[i], at = at, at + size[i]
+    found = spans.collect()
+    assert sum(r.words for r in found) == at
+    for slot in {(r.slot,) for r in found}:  # the words of a slot are one block of the stream
+        mine = sorted((begin[r.id] + r.start, r.words) for r in found if (r.slot,) == slot)
+        assert mine[0][0] % 8 == 0 and all(a + n == b for (a, n), (b, _) in zip(mine, mine[1:], strict=False))
+
+
 def test_spans_of_a_shard_are_words_of_documents(spark):
     docs, spans = mixing.mixed(messy(spark), block=16, shard=8)
     size = defaultdict(int)
