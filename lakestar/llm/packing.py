@@ -163,8 +163,12 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leng
     if not with_ids:
         return pack(docs.sparkSession, scratch.keep(found, "pieces"), length).withColumnRenamed("id", id_col)
     found = scratch.keep(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
-    placed = pack(docs.sparkSession, found.drop("ids"), length)
-    return (placed.join(found.select("row", "ids"), "row").drop("row").withColumnRenamed("id", id_col))
+    # a piece that fills its sequence has its place already, so its ids go nowhere
+    full = found.where(F.col("length") >= length).withColumn(
+        "sequence_id", F.col("row") * -1 - 1).withColumn("offset", F.lit(0).cast("bigint"))
+    rest = found.where(F.col("length") < length)
+    placed = pack(docs.sparkSession, rest.drop("ids"), length).join(rest.select("row", "ids"), "row")
+    return placed.unionByName(full).drop("row").withColumnRenamed("id", id_col)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
