@@ -32,6 +32,7 @@ REJECT_COLUMNS = ["rejection_id", "source_table", "target_table", "rejection_rea
                   "occurrence", "rejected_at"]
 _CONTENT = ["source_table", "target_table", "rejection_reason", "row_key", "row_data"]
 MALFORMED = "malformed line"
+_FOUND = "array<struct<why:string,key:string>>"
 
 
 def _matched_but_null(raw: Column, patterns: list[str], parsed: Column) -> Column:
@@ -45,22 +46,24 @@ def _matched_but_null(raw: Column, patterns: list[str], parsed: Column) -> Colum
 def _rejects(table: str, df: DataFrame, key: str, rules: list[tuple[str, Column]],
              raw_cols: list[str]) -> DataFrame:
     """One row per broken rule: the content columns of a reject."""
-    reasons = F.filter(F.array(*[F.when(cond, F.lit(reason)) for reason, cond in rules]),
-                       lambda r: r.isNotNull())
     image, row_key = F.to_json(F.struct(*[F.col(c) for c in raw_cols])), F.col(key).cast("string")
     target = F.lit(f"silver.{table}")
-    keyed = lambda why, k: F.transform(why, lambda r: F.struct(r.alias("why"), k.alias("key")))
-    found = keyed(reasons, row_key)
+    entry = lambda why, k: F.struct(why.alias("why"), k.alias("key"))
+    # no lambda functions: Spark would interpret the rules row by row; the empty entries of kept rules are left out below
+    found = F.array(*[F.when(cond, entry(F.lit(reason), row_key)) for reason, cond in rules])
     if LOST in df.columns:
         line = F.col(LINE).isNotNull()
         # a value lost by its cast is reported under the key as it was landed
-        lost = keyed(F.coalesce(F.col(LOST), F.array().cast("array<string>")), F.get_json_object(LANDED, f"$.{key}"))
-        found = F.when(line, keyed(F.array(F.lit(MALFORMED)), F.lit(None).cast("string"))).otherwise(F.concat(found, lost))
+        landed = F.array_repeat(F.get_json_object(LANDED, f"$.{key}"), F.size(LOST))
+        lost = F.when(F.col(LOST).isNotNull(), F.arrays_zip(F.col(LOST), landed)).cast(_FOUND)
+        malformed = F.array(entry(F.lit(MALFORMED), F.lit(None).cast("string")))
+        found = F.when(line, malformed).otherwise(F.concat(found, F.coalesce(lost, F.array().cast(_FOUND))))
         image = F.when(line, F.to_json(F.struct(F.col(LINE).alias("line")))).otherwise(F.coalesce(F.col(LANDED), image))
         target = F.when(line, F.lit(f"bronze.{table}")).otherwise(target)
-    return (df.select(F.explode(found).alias("x"), image.alias("row_data"), target.alias("target_table"))
-            .select(F.lit(f"raw.{table}").alias("source_table"), "target_table", F.col("x.why").alias("rejection_reason"),
-                    F.col("x.key").alias("row_key"), "row_data"))
+    return (df.select("*", F.explode(found).alias("__found")).where(F.col("__found").isNotNull())
+            .select(F.lit(f"raw.{table}").alias("source_table"), target.alias("target_table"),
+                    F.col("__found.why").alias("rejection_reason"), F.col("__found.key").alias("row_key"),
+                    image.alias("row_data")))
 
 
 def _numbered(rejects: DataFrame) -> DataFrame:
@@ -79,9 +82,12 @@ def replay(rejects: DataFrame, table: str) -> DataFrame:
     Corrected, they can be fed to the silver build of the table again. Fields that do not fit their type are NULL.
     """
     mine = rejects.where((F.col("source_table") == f"raw.{table}") & (F.col("rejection_reason") != MALFORMED))
-    rows = mine.groupBy("row_data", "occurrence").agg(F.sort_array(F.collect_set("rejection_reason")).alias("reasons"))
-    image = F.parse_json("row_data")
-    return rows.select(*[F.try_variant_get(image, f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+    # the image is an aggregate's value, not its key: Catalyst would push conditions on its fields, and with them the
+    # making and parsing of JSON, down to the joins of the raw tables, once for every row and condition
+    rows = mine.groupBy(F.sha2("row_data", 256).alias("digest"), "occurrence").agg(
+        F.any_value(F.parse_json("row_data")).alias("image"),
+        F.sort_array(F.collect_set("rejection_reason")).alias("reasons"))
+    return rows.select(*[F.try_variant_get("image", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
                          for f in schemas.RAW[table].fields], "reasons")
 
 

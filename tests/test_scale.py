@@ -109,3 +109,39 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     utc = run()
     other = with_conf(spark, {"spark.sql.session.timeZone": "America/Los_Angeles"}, run)
     assert utc == other and len(utc) > 0
+
+
+PAYMENTS = [(1, "U1", 1, -5.0, "2024-01-05T10:11:12.123456Z", "cash"), (1, "U1", 1, -5.0, "2024-01-05T10:11:12.123456Z", "cash"),
+            (2, "U1", 7, -1.0, "2024-13-45T10:11:12.123456Z", "cash"), (None, "U1", 1, 3.0, None, None), (4, "U2", 1, 2.0, None, "card")]
+
+
+def checked_payments(spark):
+    from lakestar import schemas
+
+    rows = spark.createDataFrame(PAYMENTS, schemas.RAW["payments"])
+    return rows.join(spark.createDataFrame([(1, True)], "sub_id long, __in_subscriptions boolean"), "sub_id", "left").select(
+        *rows.columns, "__in_subscriptions")
+
+
+def test_reject_rules_are_compiled(spark):
+    from lakestar.plans.rejects import _rejects
+
+    df = checked_payments(spark)
+    got = _rejects("payments", df, "payment_id", [("no id", F.col("payment_id").isNull()), ("low", F.col("amount") < 0)],
+                   df.columns)
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()  # Spark interprets these for every row
+    assert sorted((r.rejection_reason, r.row_key or "") for r in got.collect()) == [
+        ("low", "1"), ("low", "1"), ("low", "2"), ("no id", "")]
+
+
+def test_replayed_conditions_stay_above_the_images(spark):
+    from lakestar.plans.rejects import _numbered, _rejects, replay
+
+    df = checked_payments(spark)
+    rules = [("low", F.col("amount") < 0), ("orphan", F.col("__in_subscriptions").isNull())]
+    back = replay(_numbered(_rejects("payments", df, "payment_id", rules, df.columns[:-1])), "payments")
+    kept = back.where(F.col("payment_id").isNotNull() & (F.abs("amount") >= 0))
+    joins = [x for x in kept._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x or "Relation" in x]
+    assert joins and not any("variant_get" in x for x in joins)
+    assert sorted((r.payment_id, r.amount, r.reasons) for r in kept.collect()) == [
+        (1, -5.0, ["low"]), (1, -5.0, ["low"]), (2, -1.0, ["low", "orphan"])]
