@@ -30,9 +30,9 @@ from lakestar.operators.quality import (
     union_all,
 )
 from lakestar.plans import gold, late, silver
-from lakestar.plans.build import DEFAULT_AS_OF, Build
+from lakestar.plans.build import DEFAULT_AS_OF, Build, Kept
 from lakestar.plans.kpis import Ticketing
-from lakestar.plans.pipeline import quality_frames
+from lakestar.plans.pipeline import GOLD_WAVES, SILVER_WAVES, build_waves, quality_frames
 from lakestar.plans.rejects import rejected_rows, replay, ticketing_rejects
 from lakestar.session import ensure_checkpoint_dir
 from lakestar.sources.fixtures import Fixtures
@@ -316,7 +316,9 @@ def q_date_lookup(spark, sf_dir):
 
 # ---- quality (Q1-Q7), rejects (S15), DQ results (S16) ----
 def _quality(spark, sf_dir):
-    return quality_frames(Build.from_fixtures(spark, sf_dir, materialized=True))
+    b = Build(spark, _raw(spark, sf_dir), sink=Kept(checked=False))
+    build_waves(b, SILVER_WAVES + GOLD_WAVES)
+    return quality_frames(b)
 
 
 _QS = O.quality_sql()

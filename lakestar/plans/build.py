@@ -29,13 +29,19 @@ Sink = Callable[[str, str, DataFrame], DataFrame]
 
 
 class Kept:
-    """A sink for queries: tables in the checkpoint folder, with what was observed while they were written."""
+    """A sink for queries: tables in the checkpoint folder, with what was observed while they were written.
 
-    def __init__(self):
+    ``checked``: whether FK-checked raw tables are written too. Without rejects only their silver table reads them.
+    """
+
+    def __init__(self, checked: bool = True):
+        self.checked = checked
         self.observed: dict[tuple[str, str], dict] = {}
 
     def __call__(self, layer: str, name: str, df: DataFrame, metrics: list | None = None,
                  layout: tuple[str, ...] = ()) -> DataFrame:
+        if layer == "bronze" and not self.checked:
+            return df
         return materialize(df, metrics, layout, self.observed.setdefault((layer, name), {}))
 
 

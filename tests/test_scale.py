@@ -145,3 +145,24 @@ def test_replayed_conditions_stay_above_the_images(spark):
     assert joins and not any("variant_get" in x for x in joins)
     assert sorted((r.payment_id, r.amount, r.reasons) for r in kept.collect()) == [
         (1, -5.0, ["low"]), (1, -5.0, ["low"]), (2, -1.0, ["low", "orphan"])]
+
+
+def test_checks_write_no_table_that_is_read_once(spark, monkeypatch):
+    from lakestar import catalog
+    from lakestar.plans import build
+
+    seen = []
+
+    class Noted(build.Kept):
+        def __call__(self, layer, name, df, metrics=None, layout=()):
+            out = super().__call__(layer, name, df, metrics, layout)
+            seen.append((layer, name, out is df))
+            return out
+
+    monkeypatch.setattr(catalog, "Kept", Noted, raising=False)
+    monkeypatch.setattr(build, "Kept", Noted)
+    found = catalog._quality(spark, "/root/testdata/sf0.001")
+    assert {n for layer, n, _ in seen if layer == "bronze"} == {
+        f"{t}_fk_checked" for t in ("users", "devices", "subscriptions", "payments", "viewing_activity")}
+    assert all(lazy == (layer == "bronze") for layer, _, lazy in seen)
+    assert set(found) == {"pk", "not_null", "fk", "varchar"} and not found["varchar"].isEmpty()
