@@ -445,7 +445,8 @@ def q_late_payments(spark, sf_dir):
     early, late_rows = raw["payments"].where(~is_late), raw["payments"].where(is_late)
     w = LayerWriter(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-late/{uuid.uuid4().hex}")
     b = Build(spark, raw | {"payments": early}, sink=w)
-    b.fact_subscription_events  # noqa: B018
+    build_waves(b, [["lookups", "locations"], ["users", "dim_date"], ["subscriptions"], ["payments", "dim_user"],
+                    ["fact_subscription_events"]])
     path = w.path("gold", late.FACT)
     late.rebuild(b, early, late_rows, path)
     return read_facts(spark, path, late.FACT).drop("fact_month")

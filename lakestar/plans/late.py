@@ -21,7 +21,9 @@ def rebuild(b: Build, payments: DataFrame, late: DataFrame, path: str) -> list[i
     that any row of a late id names is touched. Returns the touched months (0: no day), at most those of
     the calendar.
     """
-    rows = payments.unionByName(late)
+    # written once: the raw rows are read for the months, for the ids and for the rows themselves
+    marked = materialize(payments.withColumn("__late", F.lit(False)).unionByName(late.withColumn("__late", F.lit(True))))
+    rows, late = marked.drop("__late"), marked.where("__late").drop("__late")
     starts = b.subscriptions.select("sub_id", F.col("start_date").alias("full_date")).join(
         F.broadcast(b.dim_date.select("full_date", gold.fact_month("date_key").alias("month"))), "full_date", "left")
     starts = starts.select("sub_id", F.coalesce("month", F.lit(0)).alias("month"))

@@ -166,3 +166,27 @@ def test_checks_write_no_table_that_is_read_once(spark, monkeypatch):
         f"{t}_fk_checked" for t in ("users", "devices", "subscriptions", "payments", "viewing_activity")}
     assert all(lazy == (layer == "bronze") for layer, _, lazy in seen)
     assert set(found) == {"pk", "not_null", "fk", "varchar"} and not found["varchar"].isEmpty()
+
+
+def test_late_rows_are_read_once(spark, tmp_path):
+    from lakestar.plans import late
+    from lakestar.plans.build import Build
+    from lakestar.sources import sinks
+    from lakestar.sources.fixtures import Fixtures
+
+    raw = Fixtures(spark, "/root/testdata/sf0.001").raw()
+    is_late = F.coalesce(F.col("payment_date") >= "1997-01-01", F.lit(False))
+    early, tail = raw["payments"].where(~is_late), raw["payments"].where(is_late)
+    w = sinks.LayerWriter(spark, str(tmp_path))
+    b = Build(spark, raw | {"payments": early}, sink=w)
+    b.fact_subscription_events  # noqa: B018
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for x in batches:
+            read.add(x.num_rows)
+            yield x
+
+    rows = materialize(early)
+    late.rebuild(b, rows.mapInArrow(counted, rows.schema), tail, w.path("gold", late.FACT))
+    assert read.value == rows.count()
