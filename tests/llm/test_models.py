@@ -1,12 +1,13 @@
 import functools
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 
 from lakestar.llm import perplexity, pitman_yor, quality_classifier
+from lakestar.llm.scratch import Scratch
 from tests.llm.helpers import empty, messy, rows, words
 
 SF = "/root/testdata/sf0.01"
@@ -166,6 +167,56 @@ def test_rules_against_brute_force(spark):
     assert perplexity.judged(empty(spark)).count() == 0
 
 
+def kneser_ney(texts, order):
+    """log10 of each text's probability by modified Kneser-Ney over bytes, straight from the formulas."""
+    grams = Counter((b"\0" * (order - 1) + t)[i:i + order] for t in texts for i in range(len(t)))
+    levels = {order: grams}
+    for k in range(order - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    cut = {}
+    for k, c in levels.items():
+        n1, n2, n3, n4 = (sum(v == x for v in c.values()) for x in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0
+        cut[k] = [0, 0.5, 0.75, 0.9] if min(n1, n2, n3) == 0 else [
+            0, *(min(max(x - (x + 1) * y * b / a, 0), x - 0.01) for x, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))]
+    rest = {k: defaultdict(list) for k in levels}
+    for k, c in levels.items():
+        for g, n in c.items():
+            rest[k][g[:-1]].append(n)
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        own, d = rest[len(g)][g[:-1]], cut[len(g)]
+        n = levels[len(g)][g]
+        return (n - d[min(n, 3)] + sum(d[min(x, 3)] for x in own) * p(g[1:])) / sum(own)
+
+    return [sum(math.log10(p((b"\0" * (order - 1) + t)[i:i + order])) for i in range(len(t))) for t in texts]
+
+
+def test_perplexity_is_that_of_six_byte_kneser_ney(spark):
+    data = rows()
+    docs = messy(spark).selectExpr("doc_id id", "coalesce('=' || lang, '') key", "coalesce(text, '') text")
+    got = perplexity.measured(docs, perplexity.fit(Scratch(spark, "test"), docs, 5), 5).collect()
+    assert len(got) == len(data) and sum(r.log10_p < -100 for r in got) > 30
+    expected = Counter()
+    for lang in {x[2] for x in data}:
+        own = [x for x in data if x[2] == lang]
+        for x, log in zip(own, kneser_ney([(x[1] or "").encode() for x in own], perplexity.ORDER), strict=True):
+            expected[(x[0], len((x[1] or "").encode()), round(log, 0))] += 1
+    for r in got:
+        near = [k for k in expected if k[:2] == (r.id, r.n_bytes) and abs(k[2] - r.log10_p) <= 0.5 + 2e-4 * r.n_bytes]
+        assert near, r
+
+
+def test_perplexity_rejects_bad_documents_many_times_as_often(spark):
+    got = perplexity.judged(spark.read.parquet(f"{SF}/documents.parquet"))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    told = got.join(labels, "doc_id").where("not base_failed").toPandas()
+    bad, clean = ((~told.kept)[told.quality == q].mean() for q in (0, 1))
+    assert bad > 0.3 and bad > 10 * clean
+
+
 def test_perplexity_bands_keep_clean_documents(spark):
     got = perplexity.judged(spark.read.parquet(f"{SF}/documents.parquet"))
     labels = spark.read.parquet(f"{SF}/labels.parquet")
