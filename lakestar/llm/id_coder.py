@@ -1,20 +1,20 @@
 """Token ids in blocks of an adaptive context-mixing range coder.
 
 A block holds whole documents, about ``BLOCK`` ids, and is coded from a reset state, so any block can be read on its own;
-it carries the CRC-32 of its ids. An id is predicted by three orders:
+it carries the CRC-32 of its ids. A longer one, of one long document, is cut into parts of even length, ``BLOCK`` ids at
+most, each coded from a reset state. An id is predicted by three orders:
 
 * order 2: the id seen last after the two ids before it (hashed context), with a confidence of 0 to 3;
 * order 1: the id seen last after the id before it, with a confidence;
-* order 0: adaptive counts of the block's ids that were coded by them.
+* order 0: adaptive counts of the part's ids that were coded by them, taken up at steps that grow by half.
 
 The mixer keeps, for every pair of confidences and whether both orders agree, the share of the coder's range that goes to
-the order-2 and the order-1 prediction; the shares adapt after every id, and what is left goes to order 0. One range
-coder step picks the predictor, a second one the id within order 0. Blocks of a task are coded side by side, one id of
-each at a time, as numpy work; coder and decoder share the model code.
+the order-2 and the order-1 prediction; the shares adapt after every id, and what is left goes to order 0. The parts of a
+task are coded side by side, one id of each at a time, as numpy work; coder and decoder share the model code.
 
-Format, a Parquet row per block: shard, block, doc_ids, lengths (ids of each document), crc32, data. data: number of
-distinct ids, number of 16-bit code digits (both little-endian unsigned 32-bit), then, zstandard-compressed, the
-distinct ids ascending as differences (32 bits), then the digits (16 bits).
+Format, a Parquet row per block: shard, block, doc_ids, lengths (ids of each document), crc32, data. data: for each part
+the bytes of its ids' list and the number of its 16-bit code digits (both little-endian unsigned 32-bit), then for each
+part the list, zstandard-compressed (distinct ids ascending as differences, 32 bits), and the digits (16 bits).
 
 A null text is empty (its block has the end id alone); null ids come last; repeated ids are ordered by text hash.
 """
@@ -35,227 +35,276 @@ from lakestar.llm.tokens import VOCABULARY, encoded, vocabulary
 
 END = 2
 BLOCK = 8192
-LANES = 1024             # blocks coded side by side
+LANES = 1024             # parts coded side by side
 PER_SHARD = 16 << 20     # bytes of text of a shard
 STEP = 24                # what an order-0 count grows by
-CONTEXTS = 1 << 12       # hashed order-2 contexts of a block
+CONTEXTS = 1 << 12       # hashed order-2 contexts of a part
+LEAST, MOST = 15, (1 << 16) - 96  # of an adaptive share
 _ONE = 1 << 16
-_LOW32 = np.uint64(2**32 - 1)
-_S16, _S32 = np.uint64(16), np.uint64(32)
+_LOW32 = 2**32 - 1
+_TARGET = np.array([LEAST, MOST])
+_P, _Q, _CONTEXT = np.int32(40503), np.int32(30011), np.int32(CONTEXTS - 1)
 
 
 class _Lanes:
-    """The model and coder state of blocks that are coded side by side, longest block first."""
+    """The model and coder state of parts that are coded side by side, longest first.
+
+    A slot of order 2 or 1 is one number, the id last seen times 4 plus its confidence. The shares of a predictor that is
+    not to be used are 0 and stay so. All quantities are whole numbers, so coder and decoder come to the same intervals.
+    """
 
     def __init__(self, lengths: np.ndarray, n_ids: np.ndarray):
         b = len(lengths)
         self.lengths = lengths
-        self.side = int(np.ceil(np.sqrt(max(int(n_ids.max()), 1))))
-        self.v = self.side * self.side
-        self.lane = np.arange(b)
-        self.cand = [np.zeros(b * CONTEXTS, np.int32), np.zeros(b * (self.v + 1), np.int32)]
-        self.conf = [np.zeros(b * CONTEXTS, np.int8), np.zeros(b * (self.v + 1), np.int8)]
-        self.share = [np.full(b * 32, _ONE // 2, np.int32), np.full(b * 32, _ONE // 4, np.int32)]
-        there = np.arange(self.v) < n_ids[:, None]
-        self.count = there.astype(np.int32)
-        grid = self.count.reshape(b, self.side, self.side)
-        self.within = np.cumsum(grid, 2, dtype=np.int32) - grid  # count of smaller ids of the same row
-        rows = grid.sum(2, dtype=np.int32)
-        self.before = np.cumsum(rows, 1, dtype=np.int32) - rows  # count of earlier rows
-        self.total = n_ids.astype(np.int64)
-        self.range = np.full(b, np.uint64(2**48 - 1))
-        self.last = np.full(b, -1)  # no id yet; the same in any company of blocks
-        self.last2 = np.full(b, -1)
-        self.cells = np.arange(self.side)
-
-    def predict(self, m: int) -> None:
-        lane, a, z = self.lane[:m], self.last[:m], self.last2[:m]
-        self.at = (lane * CONTEXTS + ((a * 40503 + z * 30011) & (CONTEXTS - 1)), lane * (self.v + 1) + a + 1)
-        self.c = [self.cand[k][self.at[k]] for k in (0, 1)]
-        self.k = [self.conf[k][self.at[k]] for k in (0, 1)]
-        agree = self.c[0] == self.c[1]
-        self.key = lane * 32 + self.k[0] * 8 + self.k[1] * 2 + agree
-        self.use2 = self.k[0] > 0
-        self.use1 = (self.k[1] > 0) & ~(self.use2 & agree)
-        self.s2 = np.where(self.use2, self.share[0][self.key], 0)
-        s1 = ((_ONE - self.s2) * self.share[1][self.key].astype(np.int64)) >> 16
-        self.s1 = np.where(self.use1, np.maximum(s1, 1), 0)
-
-    def learn(self, m: int, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        for share, use, hit in ((self.share[0], self.use2, hit2), (self.share[1], self.use1 & ~hit2, hit1)):
-            p = share[self.key]
-            p = np.where(hit, p + ((_ONE - 96 - p) >> 4), p - ((p - 48) >> 4))
-            share[self.key] = np.where(use, p, share[self.key])
-        for k in (0, 1):
-            same = x == self.c[k]
-            n = self.k[k]
-            weak = ~same & (n < 2)
-            self.cand[k][self.at[k]] = np.where(weak, x, self.c[k])
-            self.conf[k][self.at[k]] = np.where(weak, 1, np.minimum(n + np.where(same & (n > 0), 1, 0) - (~same & ~weak), 3))
-        self.last2[:m] = self.last[:m]
-        self.last[:m] = x
-
-    def seen(self, at: np.ndarray, x: np.ndarray) -> None:
-        """Count ids that order 0 coded."""
-        row, col = np.divmod(x, self.side)
-        self.count[at, x] += STEP
-        self.within[at, row] += (self.cells > col[:, None]) * np.int32(STEP)
-        self.before[at] += (self.cells > row[:, None]) * np.int32(STEP)
-        self.total[at] += STEP
-
-
-def encode(blocks: list[np.ndarray], n_ids: np.ndarray) -> list[np.ndarray]:
-    """16-bit digits of each block; a block holds numbers below its n_ids. Longest block first."""
-    lengths = np.array([len(x) for x in blocks])
+        self.n = np.maximum(n_ids, 1).astype(np.int64)
+        self.v = int(self.n.max(initial=1))
+        self.bits = np.ceil(np.log2(self.n)).astype(np.int64) + 2  # of the number of order-0 units, at least 4 an id
+        self.units = np.int64(1) << self.bits
+        lane = np.arange(b, dtype=np.int64)
+        self.contexts, self.keys, self.ids = lane * CONTEXTS, lane * 32, lane * self.v
+        self.slots = [np.zeros(b * CONTEXTS, np.int32), np.zeros(b * self.v, np.int32)]
+        key = np.arange(32)  # confidence of order 2, of order 1, and whether they agree
+        use2 = key >> 3 > 0
+        use1 = (key >> 1 & 3 > 0) & ~(use2 & (key & 1 > 0))
+        self.share = [np.tile(np.where(use2, _ONE // 2, 0), b), np.tile(np.where(use1, _ONE // 4, 0), b)]
+        self.count = np.zeros(b * self.v, np.int32)
+        self.place = np.zeros(b * self.v, np.int32)  # of an id in order 0: its first unit, and 2**16 times its units
+        self.range = np.full(b, 2**48 - 1, np.int64)
+        self.last = self.ids.copy()  # the first id counts as one after id 0
+        self.before = np.zeros(b, np.int32)
+        self.x = np.zeros(b, np.int32)
+
+    def stretches(self) -> Iterator[tuple[int, int, int]]:
+        """(first step, end, parts longer than the first step): order 0 takes up its counts before each."""
+        t, steps = 0, int(self.lengths.max(initial=0))
+        while t < steps:
+            end = min(steps, t + min(max(16, t >> 1), 1024))
+            yield t, end, int(np.searchsorted(-self.lengths, -t, "left"))
+            t = end
+
+    def renew(self, m: int, table: bool) -> np.ndarray | None:
+        """Units for every id of the first m parts by the counts so far, and who holds each unit."""
+        wide = int(self.units[:m].max())
+        at = np.arange(1, self.v + 1)
+        holds = np.zeros((m, wide + 1), np.uint16) if table else None
+        for i in range(0, m, 128):
+            own = slice(i, min(m, i + 128))
+            n, units = self.n[own, None], self.units[own, None]
+            cells = slice(i * self.v, own.stop * self.v)
+            c = np.cumsum(self.count[cells].reshape(-1, self.v), axis=1, dtype=np.int64)
+            c *= STEP
+            c += at
+            c *= (units - n << 32) // np.take_along_axis(c, n - 1, 1)
+            c >>= 32
+            c += at
+            np.copyto(c, units, where=at >= n)
+            if table:
+                some = holds[own]
+                some.reshape(-1)[c + np.arange(len(c))[:, None] * (wide + 1)] = 1
+                np.cumsum(some, axis=1, dtype=np.uint16, out=some)
+            # the first unit c[i - 1] and 2**16 times c[i] - c[i - 1]
+            c[:, 1:] = (c[:, 1:] << 16) - c[:, :-1] * 0xFFFF
+            c[:, 0] <<= 16
+            self.place[cells] = c.ravel()
+        return holds.ravel() if table else None
+
+    def enter(self, m: int) -> None:
+        """Take up the first m parts for a stretch of steps."""
+        self.at_contexts, self.at_keys, self.at_ids, self.by = self.contexts[:m], self.keys[:m], self.ids[:m], self.bits[:m]
+        self.at, self.z, self.a, self.ranges = self.last[:m], self.before[:m], self.x[:m], self.range[:m]
+
+    def leave(self, m: int) -> None:
+        self.last[:m], self.before[:m], self.x[:m] = self.at, self.z, self.a
+
+    def predict(self) -> None:
+        """The ids that orders 2 and 1 expect, and the parts of the range: ``two``, up to ``both``, a ``unit`` of the rest."""
+        self.at2 = self.at_contexts + ((self.a * _P + self.z * _Q) & _CONTEXT)
+        self.at1 = self.at
+        self.w2, self.w1 = self.slots[0].take(self.at2, mode="clip"), self.slots[1].take(self.at1, mode="clip")
+        self.c2, self.c1 = self.w2 >> 2, self.w1 >> 2
+        self.k2, self.k1 = self.w2 & 3, self.w1 & 3
+        self.key = self.at_keys + ((self.k2 << 3) + (self.k1 << 1) + (self.c2 == self.c1))
+        self.p2, self.p1 = self.share[0].take(self.key, mode="clip"), self.share[1].take(self.key, mode="clip")
+        r = self.ranges >> 16
+        self.two = self.p2 * r
+        self.one = (((_ONE - self.p2) * self.p1) >> 16) * r
+        self.both = self.two + self.one
+        self.unit = ((r << 16) - self.both) >> self.by
+
+    def narrow(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> np.ndarray:
+        """Leave of the range the ids' parts; where those begin."""
+        self.at = self.at_ids + x
+        place = self.place.take(self.at, mode="clip")
+        start = self.both + (place & 0xFFFF) * self.unit
+        size = (place >> 16) * self.unit
+        np.copyto(start, self.two, where=hit1)
+        np.copyto(size, self.one, where=hit1)
+        np.copyto(start, 0, where=hit2)
+        np.copyto(size, self.two, where=hit2)
+        self.ranges[:] = size
+        return start
+
+    def learn(self, x: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, same2: np.ndarray, same1: np.ndarray) -> None:
+        # what is 0 stays 0, as LEAST // 16 is 0
+        self.share[0][self.key] = self.p2 + ((_TARGET.take(hit2) - self.p2) >> 4)
+        p1 = self.p1 + ((_TARGET.take(hit1) - self.p1) >> 4)
+        np.copyto(p1, self.p1, where=hit2)
+        self.share[1][self.key] = p1
+        new = (x << 2) + 1
+        for slots, at, w, k, same in ((self.slots[0], self.at2, self.w2, self.k2, same2), (self.slots[1], self.at1, self.w1, self.k1, same1)):
+            other = w - 1
+            np.copyto(other, new, where=k < 2)
+            np.copyto(other, w + (k < 3), where=same)
+            slots[at] = other
+        self.count[self.at] += ~(hit2 | hit1)
+        self.z, self.a = self.a, x
+
+
+def encode(parts: list[np.ndarray], n_ids: np.ndarray) -> list[np.ndarray]:
+    """16-bit digits of each part; a part holds numbers below its n_ids. Longest part first."""
+    lengths = np.array([len(x) for x in parts])
     s = _Lanes(lengths, n_ids)
-    steps = int(lengths.max(initial=0))
-    ids = np.zeros((steps, len(blocks)), np.int32)
-    for i, x in enumerate(blocks):
+    b, steps = len(parts), int(lengths.max(initial=0))
+    ids = np.zeros((steps, b), np.int32)
+    for i, x in enumerate(parts):
         ids[:len(x), i] = x
-    low = np.zeros(len(blocks), np.uint64)
-    out = np.zeros((steps // 2 + 8, len(blocks)), np.uint32)
-    used = np.zeros(len(blocks), np.int64)
+    low = np.zeros(b, np.int64)
+    out = np.zeros((steps // 2 + 8, b), np.uint32)
+    used = np.zeros(b, np.int64)
+    longer = np.searchsorted(-lengths, -np.arange(steps), "left").tolist()  # parts longer than each step
 
     def shift(at: np.ndarray) -> None:
         nonlocal out
-        if not len(at):
-            return
-        if used[at].max() >= len(out):
+        to, digit = used[at], low[at]
+        if to.max(initial=0) >= len(out):
             out = np.concatenate([out, np.zeros_like(out)])
-        out[used[at], at] = (low[at] >> _S32).astype(np.uint32)
-        used[at] += 1
-        low[at] = (low[at] & _LOW32) << _S16
-        s.range[at] <<= _S16
-
-    def renew(at: np.ndarray) -> None:
-        while len(at := at[s.range[at] <= _LOW32]):
-            shift(at)
-
-    for t in range(steps):
-        m = int(np.searchsorted(-lengths, -t, "left"))  # blocks longer than t
-        x = ids[t, :m]
-        s.predict(m)
-        hit2 = s.use2 & (x == s.c[0])
-        hit1 = s.use1 & ~hit2 & (x == s.c[1])
-        start = np.where(hit2, 0, np.where(hit1, s.s2, s.s2 + s.s1))
-        size = np.where(hit2, s.s2, np.where(hit1, s.s1, _ONE - s.s2 - s.s1))
-        r = s.range[:m] >> _S16
-        low[:m] += start.astype(np.uint64) * r
-        s.range[:m] = size.astype(np.uint64) * r
-        renew(s.lane[:m])
-        at = np.flatnonzero(~(hit2 | hit1))
-        y = x[at]
-        row, col = np.divmod(y, s.side)
-        r = s.range[at] // s.total[at].astype(np.uint64)
-        low[at] += (s.before[at, row] + s.within[at, row, col]).astype(np.uint64) * r
-        s.range[at] = s.count[at, y].astype(np.uint64) * r
-        renew(at)
-        s.seen(at, y)
-        s.learn(m, x, hit2, hit1)
-    every = np.arange(len(blocks))
+        out.reshape(-1)[to * b + at] = digit >> 32
+        used[at] = to + 1
+        low[at] = (digit & _LOW32) << 16
+        s.range[at] <<= 16
+
+    for first, end, m in s.stretches():
+        s.renew(m, False)
+        s.enter(m)
+        lows = low[:m]
+        for t in range(first, end):
+            x = ids[t, :m]
+            s.predict()
+            same2, same1 = x == s.c2, x == s.c1
+            hit2 = same2 & (s.two > 0)
+            hit1 = same1 & (s.one > 0) & ~hit2
+            start = s.narrow(x, hit2, hit1)
+            if longer[t] < m:  # a part that has ended writes no more
+                start[longer[t]:] = 0
+                s.ranges[longer[t]:] = 2**48 - 1
+            lows += start
+            at = np.flatnonzero(s.ranges <= _LOW32)
+            while len(at):
+                shift(at)
+                at = at[s.range[at] <= _LOW32]
+            s.learn(x, hit2, hit1, same2, same1)
+        s.leave(m)
+    every = np.arange(b)
     for _ in range(3):
         shift(every)
-    carry = np.zeros(len(blocks), np.uint32)
+    carry = np.zeros(b, np.uint32)
     for k in range(int(used.max(initial=0)) - 1, -1, -1):  # a digit may hold a carry into the one before
         whole = out[k] + carry
         carry = whole >> np.uint32(16)
         out[k] = whole & np.uint32(0xFFFF)
-    return [out[:used[i], i].astype("<u2") for i in range(len(blocks))]
+    return [out[:used[i], i].astype("<u2") for i in range(b)]
 
 
 def decode(digits: list[np.ndarray], lengths: np.ndarray, n_ids: np.ndarray) -> list[np.ndarray]:
-    """The numbers of each block. Longest block first."""
+    """The numbers of each part. Longest part first."""
     s = _Lanes(lengths, n_ids)
-    steps, b = int(lengths.max(initial=0)), len(digits)
-    code_in = np.zeros((max(map(len, digits), default=0) + 4, b), np.uint64)
+    b = len(digits)
+    code_in = np.zeros((max(map(len, digits), default=0) + 4, b), np.uint16)
     for i, x in enumerate(digits):
         code_in[:len(x), i] = x
-    code = (code_in[0] << _S32) | (code_in[1] << _S16) | code_in[2]
-    used = np.full(b, 3)
-    ids = np.zeros((steps, b), np.int32)
-
-    def shift(at: np.ndarray) -> None:
-        code[at] = (code[at] << _S16) | code_in[used[at], at]
-        used[at] += 1
-        s.range[at] <<= _S16
-
-    def renew(at: np.ndarray) -> None:
-        while len(at := at[s.range[at] <= _LOW32]):
-            shift(at)
-
-    for t in range(steps):
-        m = int(np.searchsorted(-lengths, -t, "left"))
-        s.predict(m)
-        r = s.range[:m] >> _S16
-        got = np.minimum(code[:m] // r, np.uint64(_ONE - 1)).astype(np.int64)
-        hit2 = got < s.s2
-        hit1 = ~hit2 & (got < s.s2 + s.s1)
-        start = np.where(hit2, 0, np.where(hit1, s.s2, s.s2 + s.s1))
-        size = np.where(hit2, s.s2, np.where(hit1, s.s1, _ONE - s.s2 - s.s1))
-        code[:m] -= start.astype(np.uint64) * r
-        s.range[:m] = size.astype(np.uint64) * r
-        renew(s.lane[:m])
-        x = np.where(hit2, s.c[0], s.c[1])
-        at = np.flatnonzero(~(hit2 | hit1))
-        total = s.total[at].astype(np.uint64)
-        r = s.range[at] // total
-        got = np.minimum(code[at] // r, total - np.uint64(1)).astype(np.int64)
-        row = (s.before[at] <= got[:, None]).sum(1) - 1
-        # rows without counts share a place with the next; step back to the one that holds the target
-        left = got - s.before[at, row]
-        col = (s.within[at, row] <= left[:, None]).sum(1) - 1
-        y = row * s.side + col
-        empty = s.count[at, y] == 0
-        while empty.any():
-            y[empty] -= 1
-            empty = s.count[at, y] == 0
-        row, col = np.divmod(y, s.side)
-        code[at] -= (s.before[at, row] + s.within[at, row, col]).astype(np.uint64) * r
-        s.range[at] = s.count[at, y].astype(np.uint64) * r
-        renew(at)
-        x[at] = y
-        s.seen(at, y)
-        s.learn(m, x, hit2, hit1)
-        ids[t, :m] = x
+    code = (code_in[0].astype(np.int64) << 32) | (code_in[1].astype(np.int64) << 16) | code_in[2]
+    code_in = code_in.ravel()
+    to = np.arange(b) + 3 * b
+    ids = np.zeros((int(lengths.max(initial=0)), b), np.int32)
+    for first, end, m in s.stretches():
+        holds = s.renew(m, True)
+        s.enter(m)
+        codes = code[:m]
+        row = np.arange(m) * (len(holds) // m)
+        most = s.units[:m].astype(np.uint64) - np.uint64(1)
+        for t in range(first, end):  # a part that has ended goes on, with numbers that nobody takes
+            s.predict()
+            hit2 = codes < s.two
+            hit1 = (codes < s.both) & ~hit2
+            unit = np.minimum((codes - s.both).view(np.uint64) // s.unit.view(np.uint64), most).view(np.int64)
+            x = holds.take(row + unit, mode="clip").astype(np.int32)
+            np.copyto(x, s.c1, where=hit1)
+            np.copyto(x, s.c2, where=hit2)
+            codes -= s.narrow(x, hit2, hit1)
+            at = np.flatnonzero(s.ranges <= _LOW32)
+            while len(at):
+                place = to[at]
+                code[at] = (code[at] << 16) | code_in.take(place, mode="clip")
+                to[at] = place + b
+                s.range[at] <<= 16
+                at = at[s.range[at] <= _LOW32]
+            s.learn(x, hit2, hit1, x == s.c2, x == s.c1)
+            ids[t, :m] = x
+        s.leave(m)
     return [ids[:n, i] for i, n in enumerate(lengths.tolist())]
 
 
+def _cuts(length: int) -> np.ndarray:
+    """Where the parts of a block begin, and its end."""
+    parts = max(1, -(-length // BLOCK))
+    return np.arange(parts + 1) * length // parts
+
+
 def _side_by_side(lengths: np.ndarray) -> Iterator[np.ndarray]:
-    """Blocks in groups of like length, longest first in each; long blocks come in smaller groups."""
+    """Parts in groups of like length, longest first in each."""
     order = np.argsort(-lengths, kind="stable")
-    at = 0
-    while at < len(order):
-        n = max(1, min(LANES, LANES * 2 * BLOCK // max(int(lengths[order[at]]), 1)))
-        yield order[at:at + n]
-        at += n
+    for at in range(0, len(order), LANES):
+        yield order[at:at + LANES]
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    names = [np.unique(x, return_inverse=True) for x in blocks]
-    out: list[bytes] = [b""] * len(blocks)
-    for group in _side_by_side(np.array([len(x) for x in blocks])):
-        digits = encode([names[i][1] for i in group], np.array([len(names[i][0]) for i in group]))
-        for i, d in zip(group.tolist(), digits, strict=True):
-            own = np.diff(names[i][0].astype(np.int64), prepend=0).astype("<u4")
-            head = np.array([len(own), len(d)], "<u4").tobytes()
-            out[i] = head + zstandard.compress(own.tobytes(), 3) + d.tobytes()
+    cuts = [_cuts(len(x)) for x in blocks]
+    names = [np.unique(x[a:z], return_inverse=True) for x, at in zip(blocks, cuts, strict=True)
+             for a, z in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    digits: list[np.ndarray] = [np.zeros(0, "<u2")] * len(names)
+    for group in _side_by_side(np.array([len(x) for _, x in names])):
+        coded = encode([names[i][1] for i in group], np.array([len(names[i][0]) for i in group]))
+        for i, d in zip(group.tolist(), coded, strict=True):
+            digits[i] = d
+    out, first = [], 0
+    for at in cuts:
+        own, coded = [], digits[first:first + len(at) - 1]
+        for ids, _ in names[first:first + len(at) - 1]:
+            own.append(zstandard.compress(np.diff(ids.astype(np.int64), prepend=0).astype("<u4").tobytes(), 3))
+        first += len(at) - 1
+        head = np.array([[len(x), len(d)] for x, d in zip(own, coded, strict=True)], "<u4").tobytes()
+        out.append(b"".join([head] + [y for x, d in zip(own, coded, strict=True) for y in (x, d.tobytes())]))
     return out
 
 
 def decode_blocks(data: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
-    heads = [np.frombuffer(x[:8], "<u4").astype(int) for x in data]
-    out: list[np.ndarray] = [np.zeros(0, "<u4")] * len(data)
-    for group in _side_by_side(lengths):
-        digits, names = [], []
-        for i in group.tolist():
-            n = len(data[i]) - 2 * heads[i][1]
-            digits.append(np.frombuffer(data[i][n:], "<u2"))
-            own = np.frombuffer(zstandard.decompress(data[i][8:n]), "<u4")
+    cuts = [_cuts(n) for n in lengths.tolist()]
+    digits, names = [], []
+    for x, at in zip(data, cuts, strict=True):
+        to = 8 * (len(at) - 1)
+        for n_own, n_digits in np.frombuffer(x[:to], "<u4").reshape(-1, 2).tolist():
+            own = np.frombuffer(zstandard.decompress(x[to:to + n_own]), "<u4")
             names.append(np.cumsum(own, dtype=np.int64).astype("<u4"))
-        ids = decode(digits, lengths[group], np.array([len(x) for x in names]))
-        for i, name, x in zip(group.tolist(), names, ids, strict=True):
-            out[i] = name[x]
-    return out
+            digits.append(np.frombuffer(x, "<u2", n_digits, to + n_own))
+            to += n_own + 2 * n_digits
+    parts: list[np.ndarray] = [np.zeros(0, "<u4")] * len(names)
+    sizes = np.concatenate([np.diff(at) for at in cuts] + [np.zeros(0, np.int64)])
+    for group in _side_by_side(sizes):
+        got = decode([digits[i] for i in group], sizes[group], np.array([len(names[i]) for i in group]))
+        for i, x in zip(group.tolist(), got, strict=True):
+            parts[i] = names[i][x]
+    first = np.cumsum([0] + [len(at) - 1 for at in cuts]).tolist()
+    return [np.concatenate(parts[a:z]) if z - a > 1 else parts[a] for a, z in zip(first[:-1], first[1:], strict=True)]
 
 
 def write(docs: DataFrame, path: str, end: int = END, vocabulary_name: str = VOCABULARY, id_col: str = "doc_id",

@@ -67,6 +67,23 @@ def test_coder_round_trip():
     assert len(data[4]) < 4 * len(blocks[4]) / 8
 
 
+def test_long_blocks_are_coded_in_parts_side_by_side(monkeypatch):
+    rng = np.random.default_rng(2)
+    blocks = [rng.zipf(1.2, 5 * id_coder.BLOCK + 7).clip(0, 60000).astype("<u4"), np.arange(2 * id_coder.BLOCK, dtype="<u4"),
+              np.full(id_coder.BLOCK + 1, 9, "<u4"), np.array([4], "<u4"), np.zeros(0, "<u4")]
+    steps = []
+    predict = id_coder._Lanes.predict
+    monkeypatch.setattr(id_coder._Lanes, "predict", lambda *a: (steps.append(1), predict(*a))[1])
+    data = id_coder.encode_blocks(blocks)
+    assert len(steps) <= id_coder.BLOCK  # not one step for each id of the longest block
+    back = id_coder.decode_blocks(data, np.array([len(x) for x in blocks]))
+    assert len(steps) <= 2 * id_coder.BLOCK
+    assert all(len(a) == len(b) and (a == b).all() for a, b in zip(blocks, back, strict=True))
+    alone = id_coder.decode_blocks(data[:1], np.array([len(blocks[0])]))[0]
+    assert (alone == blocks[0]).all()
+    assert id_coder.encode_blocks([]) == [] and id_coder.decode_blocks([], np.zeros(0, int)) == []
+
+
 def test_files_hold_all_ids_in_order(spark, tmp_path):
     id_coder.write(messy(spark), str(tmp_path / "ids"), block=512)
     got = sorted(id_coder.read(spark, str(tmp_path / "ids"), with_ids=True).collect(), key=lambda r: r.start)
