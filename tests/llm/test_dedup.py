@@ -216,6 +216,23 @@ def test_runs_of_long_lines_come_from_every_piece(spark):
     assert len(set(got[text]) & set(got["x" + text])) > line_dedup.SAMPLED // 2
 
 
+def test_runs_are_sampled_beside_the_votes_without_a_join(spark):
+    r = random.Random(17)
+    texts = ["".join(r.choice("abcdefgh ") for _ in range(n)) for n in (9, 15, 63, 64, 80, 81, 300, line_dedup.PIECE + 5)] + ["ab" * 40]
+    lines = spark.createDataFrame([(t, k) for k, t in enumerate(texts)], "norm string, k int")
+    found = line_dedup.sampled_runs(lines)
+    got = {x.k: x.runs for x in found.collect()}  # other columns stay, no row is shuffled
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    for k, t in enumerate(texts):
+        parts = [t[i:i + line_dedup.PIECE] for i in range(0, len(t), line_dedup.PIECE)]
+        expected = []
+        for c, (q, low, high) in enumerate(line_dedup.RUNS):
+            runs = {p[i:i + q] for p in parts for i in range(len(p) - q + 1)} if low <= len(t) <= high else set()
+            hashes = spark.createDataFrame([(x,) for x in runs], "x string").select(F.xxhash64("x", F.lit(c)).alias("h"))
+            expected += sorted({x.h for x in hashes.collect()})[:line_dedup.SAMPLED]
+        assert got[k] == expected
+
+
 def test_short_lines_go_by_their_exact_form(spark):
     cjk = "今日は天気がとても良いので公園まで散歩に行きましょう"
     data = [(1, "Share this article\n\n" + cjk + "\n***"), (2, "share  this article!\n\n" + cjk[:-1] + "う。\n***\n---"),
