@@ -1,8 +1,9 @@
 """Written intermediate tables and FK existence tests.
 
-No join here forces a strategy: finished tables are written and read back, so Catalyst knows their file sizes and
-broadcasts a side only under ``spark.sql.autoBroadcastJoinThreshold``; every other join is a
-shuffled join, which AQE re-plans and splits when one key is hot.
+Finished tables are written and read back, so Catalyst knows their file sizes and broadcasts a side only under
+``spark.sql.autoBroadcastJoinThreshold``; every other join is a shuffled join, which AQE re-plans and splits when
+one key is hot. A side that grows with the input is ``shuffled`` whatever its files take: compressed keys are a
+fifteenth of the hash table that a broadcast would build on the driver.
 """
 
 from __future__ import annotations
@@ -54,6 +55,11 @@ def materialize(df: DataFrame, metrics: list | None = None, layout: tuple[str, .
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """A join side with a row per user, subscription and the like: no broadcast, the driver's memory does not grow with it."""
+    return df.hint("merge")
+
+
 def semi(df: DataFrame, parent: DataFrame, on) -> DataFrame:
     """Rows of ``df`` whose key exists in ``parent`` (no fan-out, no parent columns)."""
     return df.join(parent, on, "left_semi")

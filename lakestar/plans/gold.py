@@ -1,7 +1,8 @@
 """Gold layer: star schema (date, user, content dimensions; subscription and viewing facts).
 
-``dim_date`` is broadcast (a fixed calendar, 2,922 rows). Lookups, ``dim_user`` and ``dim_content`` are
-joined as Catalyst plans it from their sizes; AQE splits a hot user key across tasks.
+``dim_date`` is broadcast (a fixed calendar, 2,922 rows). Lookups are joined as Catalyst plans it from their
+sizes; subscriptions, ``dim_user`` and ``dim_content`` grow with the input and are shuffled; AQE splits a hot user key
+across tasks.
 
 A fact's star joins are left joins with markers (``star_*``): one pass gives the fact rows (every marker
 set) and the lost rows with the first join that failed. Facts are laid out by month (``fact_month``,
@@ -20,6 +21,7 @@ from lakestar import schemas
 from lakestar.functions import dates
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import desc, first_per_key
+from lakestar.operators.joins import shuffled
 from lakestar.operators.lookups import attach_name
 
 # The calendar range of the date dimension.
@@ -75,7 +77,7 @@ def dim_user(users: DataFrame, locations: DataFrame, subscriptions: DataFrame, p
     u = users.select("user_legacy_id", "name", "email", "country_id")
     geo = locations.select("country_id", "country_name", "region_name")
     j = u.join(geo, "country_id", "left")
-    j = j.join(subscription_summary(subscriptions), "user_legacy_id", "left")
+    j = j.join(shuffled(subscription_summary(subscriptions)), "user_legacy_id", "left")
     j = attach_name(j, "latest_plan_type_id", plan_types, "plan_type_name", "current_plan_type")
     # The reference groups the user x subscription fan-out by these columns; the
     # fan-out is pre-aggregated above, so the group is one row per silver user.
@@ -132,7 +134,8 @@ def star_subscription_events(payments: DataFrame, subscriptions: DataFrame, dim_
     s = s.join(et, "last_event_type_id", "left").drop("full_date")
     p = payments.select("payment_id", "sub_id", F.trim("user_legacy_id").alias("user_key"),
                         F.col("amount").alias("mrr_change"))
-    f = p.join(s, "sub_id", "left").join(dim_user_df.select("user_key", F.lit(True).alias("__user")), "user_key", "left")
+    f = p.join(shuffled(s), "sub_id", "left")
+    f = f.join(shuffled(dim_user_df.select("user_key", F.lit(True).alias("__user"))), "user_key", "left")
     return _star(f, "fact_subscription_events", F.col("payment_id"), [
         (F.col("__sub").isNotNull(), "subscription is not in silver", F.col("sub_id")),
         (F.col("date_key").isNotNull(), "start date is not in dim_date", F.col("start_date")),
@@ -153,8 +156,8 @@ def star_viewing_activity(viewing: DataFrame, dim_user_df: DataFrame, dim_conten
                        F.col("content_id").cast("string").alias("content_key"), F.col("device_id").cast("string").alias("device_id"),
                        F.to_date("session_start_ts").alias("__day"), "duration_watched_sec", F.col("rating").alias("user_rating"))
     v = v.join(_calendar(dim_date_df), F.col("__day") == F.col("full_date"), "left")
-    v = v.join(dim_content_df.select("content_key", F.lit(True).alias("__content")), "content_key", "left")
-    v = v.join(dim_user_df.select("user_key", F.lit(True).alias("__user")), "user_key", "left")
+    v = v.join(shuffled(dim_content_df.select("content_key", F.lit(True).alias("__content"))), "content_key", "left")
+    v = v.join(shuffled(dim_user_df.select("user_key", F.lit(True).alias("__user"))), "user_key", "left")
     return _star(v, "fact_viewing_activity", F.col("session_id"), [
         (F.col("date_key").isNotNull(), "session day is not in dim_date", F.col("__day")),
         (F.col("__content").isNotNull(), "content is not in dim_content", F.col("content_key")),

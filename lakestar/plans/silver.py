@@ -17,6 +17,7 @@ from lakestar import schemas
 from lakestar.functions import dates, text
 from lakestar.functions.conform import conform
 from lakestar.operators.dedupe import asc, first_per_key
+from lakestar.operators.joins import shuffled
 from lakestar.operators.lookups import LookupSet, attach_id_by_value, build_lookups
 
 # lookup name -> (raw table, raw column, label function, id column, name column)
@@ -55,6 +56,9 @@ FK_TESTS = {
 }
 
 
+GROWING = {"users", "watchlist", "devices", "subscriptions"}  # parents that grow with the input; locations do not
+
+
 def fk_marker(parent: str) -> str:
     return f"__in_{parent}"
 
@@ -69,7 +73,7 @@ def check_fks(table: str, raw_df: DataFrame, parents: dict[str, DataFrame]) -> D
     out = raw_df
     for col, parent, pcol in FK_TESTS[table]:
         keys = parents[parent].select(F.col(pcol).alias(col), F.lit(True).alias(fk_marker(parent)))
-        out = out.join(keys, col, "left")
+        out = out.join(shuffled(keys) if parent in GROWING else keys, col, "left")
     return out.select(*raw_df.columns, *[fk_marker(p) for _, p, _ in FK_TESTS[table]])
 
 

@@ -15,6 +15,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestar.operators.joins import shuffled
+
 
 def _legacy_id(k: Column) -> Column:
     """``U<id>``, with a leading space for ids ending in 1."""
@@ -133,7 +135,7 @@ class Fixtures:
     def payments(self) -> DataFrame:
         li = self.table("lineitem")
         o = self.table("orders").select("o_orderkey", "o_custkey")
-        j = li.join(o, li.l_orderkey == o.o_orderkey)
+        j = li.join(shuffled(o), li.l_orderkey == o.o_orderkey)
         amount = (F.when(F.col("l_returnflag") == "R", -F.col("l_extendedprice"))
                   .when(F.col("l_quantity") == 50, _null("double")).otherwise(F.col("l_extendedprice")))
         pay_date = F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit("T00:00:0"),

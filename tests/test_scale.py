@@ -190,3 +190,68 @@ def test_late_rows_are_read_once(spark, tmp_path):
     rows = materialize(early)
     late.rebuild(b, rows.mapInArrow(counted, rows.schema), tail, w.path("gold", late.FACT))
     assert read.value == rows.count()
+
+
+def test_sides_that_grow_are_not_broadcast_whatever_their_files_take(spark):
+    from lakestar.plans import gold, silver
+
+    def frame(ddl: str, *rows):
+        return materialize(spark.createDataFrame(list(rows), ddl))   # written: Catalyst knows how small it is
+
+    def parents(df, kind):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        return plan.count(kind)
+
+    users = frame("user_legacy_id string, country_id int, name string, email string", ("U1", 1, "a", "b"))
+    subs = frame("sub_id long, user_legacy_id string, start_date date, end_date date, plan_type_id int, last_event_type_id int",
+                 (1, "U1", None, None, 1, 1))
+    viewing = frame("session_id long, user_legacy_id string, content_id long, device_id long, session_start_ts timestamp_ntz, "
+                    "duration_watched_sec int, rating int", (1, "U1", 2, 3, None, 4, 5), (2, None, 2, 9, None, 4, 5))
+    payments = frame("payment_id long, user_legacy_id string, sub_id long, amount decimal(10,2)", (1, "U1", 1, None), (2, "U1", None, None))
+    days = gold.dim_date(spark)
+    content = frame("content_key string", ("2",))
+    dim = frame("user_key string", ("U1",))
+    types = frame("event_type_id int, event_type_name string", (1, "x"))
+
+    def run():
+        checked = silver.check_fks("viewing_activity", viewing, {
+            "users": users, "watchlist": frame("content_id long", (2,)), "devices": frame("device_id long", (3,))})
+        assert (parents(checked, "BroadcastHashJoin"), parents(checked, "SortMergeJoin")) == (0, 3)
+        assert {tuple(r)[-3:] for r in checked.collect()} == {(True, True, True), (None, True, None)}
+        paid = silver.check_fks("payments", payments, {"subscriptions": subs})
+        assert parents(paid, "BroadcastHashJoin") == 0 and {r["__in_subscriptions"] for r in paid.collect()} == {True, None}
+        seen = gold.star_viewing_activity(viewing, dim, content, days)          # the calendar is bounded
+        assert (parents(seen, "BroadcastHashJoin"), parents(seen, "SortMergeJoin")) == (1, 2)
+        facts = gold.star_subscription_events(payments, subs, dim, days, types)  # and so are the event types
+        assert (parents(facts, "BroadcastHashJoin"), parents(facts, "SortMergeJoin")) == (2, 2)
+        assert facts.count() == 2
+        located = frame("country_id int, country_name string, region_name string", (1, "x", "y"))
+        who = gold.dim_user(users, located, subs, frame("plan_type_id int, plan_type_name string", (1, "p")))
+        assert parents(who, "SortMergeJoin") == 1 and who.count() == 1
+
+    with_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "64m"}, run)
+
+
+def test_raw_payments_meet_their_orders_in_a_shuffle(spark, tmp_path):
+    import datetime as dt
+
+    from lakestar.sources.fixtures import Fixtures
+
+    day = dt.datetime(1996, 1, 2)
+    spark.createDataFrame([(1, 5)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 1, 2.0, 10.0, "N", "O", day), (9, 1, 2.0, 10.0, "N", "O", day)],
+                          "l_orderkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    paid = Fixtures(spark, str(tmp_path)).payments
+    assert "BroadcastHashJoin" not in paid._jdf.queryExecution().sparkPlan().toString()
+    assert [r.payment_id for r in paid.collect()] == [11]
+
+
+def test_published_gold_writes_no_checked_raw_tables(spark, tmp_path):
+    from lakestar.sources import sinks
+
+    df = spark.range(3)
+    w = sinks.LayerWriter(spark, str(tmp_path), checked=False)
+    assert w("bronze", "users_fk_checked", df) is df and not w.stats
+    assert w("silver", "users", df).count() == 3 and [s.table for s in w.stats] == ["users"]
+    assert sinks.LayerWriter(spark, str(tmp_path))("bronze", "users_fk_checked", df).inputFiles()
