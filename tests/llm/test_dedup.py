@@ -188,6 +188,28 @@ def test_simhash_is_the_majority_of_word_hashes(spark):
             assert got[t][k] % 2**64 == bits
 
 
+def test_votes_take_several_words_a_row_and_a_line_is_normalised_once(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(r.randint(4, 7)))
+    texts = [" ".join(word() for _ in range(n)) for n in (1, 3, 4, 5, 8, 11, line_dedup.RUN, line_dedup.RUN + 3)]
+    found = line_dedup.simhash(spark.createDataFrame([(t,) for t in texts], "norm string"))
+    got = {x.norm: (x.s0 % 2**64, x.s1 % 2**64) for x in found.collect()}
+    vocab = sorted({w for t in texts for w in t.split(" ")})
+    h = {x.w: (x.a % 2**64, x.b % 2**64) for x in spark.createDataFrame([(w,) for w in vocab], "w string").select(
+        "w", F.xxhash64("w").alias("a"), F.xxhash64("w", F.lit(1)).alias("b")).collect()}
+    major = lambda v: sum(1 << j for j in range(64) if 2 * sum((x >> j) & 1 for x in v) > len(v))
+    for t in texts:
+        ws = t.split(" ")
+        parts = [ws[i:i + line_dedup.RUN] for i in range(0, len(ws), line_dedup.RUN)]
+        assert got[t] == tuple(major([major([h[w][k] for w in p]) for p in parts]) for k in (0, 1))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "few#" in plan and "word#" not in plan                 # a row holds several words
+    raw = spark.createDataFrame([(None,), ("",), ("--- ---",), ("\t",), ("A_b  c!",), ("\u4eca\u65e5\u3002",)], "raw string")
+    norm = raw.select(line_dedup.normalised(F.col("raw")).alias("norm"))
+    assert [x.norm for x in norm.collect()] == [None, "", "--- ---", "", "a b c", "\u4eca\u65e5"]
+    assert norm._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace(lower(raw") == 2
+
+
 def test_lines_with_one_changed_word_are_found(spark):
     line = "the quick brown foxes jumped over seventeen sleeping badgers beside another river yesterday morning"
     r = random.Random(11)
